@@ -1,9 +1,8 @@
 """Typed coercion of payload text, as built-in expressions only.
 
-Each coercion returns ``(value, why)``: ``value`` is null for null input and
-for text that does not coerce, ``why`` is the reason in the second case only.
-Casts are ``try_cast`` throughout, so ANSI mode does not turn bad text into a
-failed job.
+A coercion gives null for null input and for text that does not coerce; its
+``_why`` twin gives the reason in the second case only. Casts are ``try_cast``
+throughout, so ANSI mode does not turn bad text into a failed job.
 """
 
 from __future__ import annotations
@@ -13,10 +12,11 @@ from pyspark.sql import functions as F
 
 # The accepted forms of a number and of an ISO 8601 instant.
 NUMBER = r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$"
-NOT_A_NUMBER = r"^[+-]?[nN][aA][nN]$"
-INFINITE = r"^[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?$"
+# Bare NaN and Infinity tokens reach us in quotes.
+NOT_A_NUMBER = r'^"?[+-]?[nN][aA][nN]"?$'
+INFINITE = r'^"?[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?"?$'
 INSTANT = (
-    r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2}(:\d{2})?)$"
+    r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2}(:\d{2})?)?)$"
 )
 NAIVE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,9})?)?)?)?$"
 BLANKS = " \t\n\r\x0b\x0c"
@@ -34,14 +34,15 @@ def _number(raw: Column) -> Column:
 
 
 def integer(raw: Column) -> Column:
-    """32-bit integer, halves to even; whole numbers skip the regular expression."""
+    """Any accepted number text as a 32-bit integer, halves to even."""
     return F.coalesce(raw.try_cast("int"), F.rint(_number(raw)).try_cast("int"))
 
 
-def integer_why(raw: Column, value: Column) -> Column:
+def integer_why(raw: Column) -> Column:
+    """Why a text is no integer; null if it is one."""
     bare = F.btrim(raw, F.lit(BLANKS))
     return F.when(
-        raw.isNotNull() & value.isNull(),
+        raw.isNotNull() & integer(raw).isNull(),
         F.when(bare.rlike(NOT_A_NUMBER), F.lit("not a number"))
         .when(bare.rlike(INFINITE), F.lit("not a finite number"))
         .when(bare.rlike(NUMBER), F.lit("number out of 32-bit range"))
@@ -51,30 +52,18 @@ def integer_why(raw: Column, value: Column) -> Column:
 
 def instant(raw: Column) -> Column:
     """Instant of ISO 8601 text that carries its own offset."""
-    return F.when(raw.rlike(INSTANT), raw.try_cast("timestamp"))
+    seconds = F.regexp_replace(raw, r"^(.{13}:\d{2})(Z|[+-])", r"$1:00$2")
+    return F.when(
+        raw.rlike(INSTANT),
+        F.coalesce(raw.try_cast("timestamp"), seconds.try_cast("timestamp")),
+    )
 
 
-def instant_why(raw: Column, value: Column) -> Column:
+def instant_why(raw: Column) -> Column:
+    """Why a text is no instant; null if it is one."""
     return F.when(
-        raw.isNotNull() & value.isNull(),
+        raw.isNotNull() & instant(raw).isNull(),
         F.when(raw.rlike(NAIVE), F.lit("timestamp lacks a timezone offset")).otherwise(
             F.concat(F.lit("Invalid isoformat string: "), _quoted(raw))
         ),
     )
-
-
-def coerce(raw: Column, kind: str) -> Column:
-    if kind == "timestamp":
-        return instant(raw)
-    if kind == "integer":
-        return integer(raw)
-    return raw
-
-
-def why(raw: Column, value: Column, kind: str) -> Column | None:
-    """Reason a non-null text gave no value; text itself always coerces."""
-    if kind == "timestamp":
-        return instant_why(raw, value)
-    if kind == "integer":
-        return integer_why(raw, value)
-    return None

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -149,56 +151,88 @@ def apply_contract(
 
     ``reject`` is null for an accepted record, otherwise the first failure in
     contract order. Unknown keys vanish with the projection, an absent optional
-    key is null. Whether a null key was absent or explicit is decided from the
-    record's own key list, which is parsed only for required fields that are null.
-    ``keep`` names further input columns to pass through.
+    key is null. ``keep`` names further input columns to pass through.
+
+    Plain values take compiled casts only. The costly rules run just for records
+    that need them, as array functions over the fields, which also keeps the
+    generated code small whatever the number of fields: number texts that are no
+    plain integer, the key list that tells an absent key from an explicit null,
+    and the wording of a reject.
     """
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
-    parsed = records.select(
+    names = [f.name for f in fields]
+    integers = [f.name for f in fields if f.kind == "integer"]
+    typed = [f.name for f in fields if f.kind != "text"]
+    passed = [seq, *keep, record, "_raw"]
+
+    rows = records.select(
         seq,
         *keep,
         record,
         F.from_json(record, texts, {"allowSingleQuotes": "false"}).alias("_raw"),
     )
-    coerced = parsed.select(
-        seq,
-        *keep,
-        record,
-        "_raw",
-        *[coerce.coerce(F.col("_raw")[f.name], f.kind).alias(f.name) for f in fields],
-    )
+    plain = {f.name: F.expr(f"{_raw(f.name)} AS {f.name}") for f in fields}
+    for field in fields:
+        if field.kind == "integer":
+            plain[field.name] = F.expr(f"try_cast({_raw(field.name)} AS int) AS {field.name}")
+        elif field.kind == "timestamp":
+            plain[field.name] = coerce.instant(F.expr(_raw(field.name))).alias(field.name)
+    rows = rows.select(*passed, *plain.values())
+    if integers:
+        second = F.transform(F.expr(f"array({', '.join(map(_raw, integers))})"), coerce.integer)
+        rows = rows.select("*", F.when(_unread(integers), second).alias("_second"))
+        reread = {n: f"coalesce({n}, _second[{at}]) AS {n}" for at, n in enumerate(integers)}
+        rows = rows.selectExpr(*passed, *[reread.get(n, n) for n in names])
 
     keys = F.json_object_keys(record)
-    raw_key = F.col("_raw")[key]
-    label = F.when(raw_key != "", raw_key).otherwise(f"<no {key}>")
-    failures = [
-        F.when(
-            raw_key.isNull() & keys.isNull(),
-            F.lit("record is not an object"),
-        )
+    absent = [
+        F.expr(_raw(f.name)).isNull() & ~F.coalesce(F.array_contains(keys, f.name), F.lit(False))
+        for f in fields
+        if f.required
     ]
-    for field in fields:
-        raw = F.col("_raw")[field.name]
-        if field.required:
-            failures.append(
-                F.when(
-                    raw.isNull() & ~F.array_contains(keys, field.name),
-                    F.lit(f"required field '{field.name}' is missing"),
-                )
-            )
-        reason = coerce.why(raw, F.col(field.name), field.kind)
-        if reason is not None:
-            failures.append(
-                F.when(reason.isNotNull(), F.concat(F.lit(f"field '{field.name}': "), reason))
-            )
-    failures.append(F.when(F.col(key).isNull(), F.lit(f"{key} must not be null")))
-    why = F.coalesce(*failures)
-    return coerced.select(
-        seq,
-        *keep,
-        *[f.name for f in fields],
-        F.when(why.isNotNull(), F.concat(label, F.lit(": "), why)).alias("reject"),
+    suspect = reduce(or_, [_unread(typed), F.col(key).isNull(), *absent])
+    raw_key = F.expr(_raw(key))
+    label = F.when(raw_key != "", raw_key).otherwise(f"<no {key}>")
+    why = F.coalesce(
+        F.when(raw_key.isNull() & keys.isNull(), F.lit("record is not an object")),
+        _first_failure(fields, keys),
+        F.lit(f"{key} must not be null"),
     )
+    reject = F.when(suspect, F.concat(label, F.lit(": "), why)).alias("reject")
+    # A filter on plain projected columns would be pushed below the projections, with the parse
+    # and every coercion copied into it. Generated columns stop that.
+    return rows.select(F.inline(F.array(F.struct(seq, *keep, *names, reject))))
+
+
+def _raw(name: str) -> str:
+    return f"_raw.{name}"
+
+
+def _unread(names: list[str]) -> Column:
+    """Some field has text but no value yet."""
+    return F.expr(" OR ".join(f"({_raw(n)} IS NOT NULL AND {n} IS NULL)" for n in names))
+
+
+def _first_failure(fields: tuple[Field, ...], keys: Column) -> Column:
+    """The first reason in contract order, from the fields laid out as an array."""
+    cells = ", ".join(
+        f"named_struct('name', '{f.name}', 'kind', '{f.kind}', "
+        f"'required', {str(f.required).lower()}, 'raw', {_raw(f.name)})"
+        for f in fields
+    )
+
+    def reason(cell: Column) -> Column:
+        name, text = cell["name"], cell["raw"]
+        absent = cell["required"] & text.isNull() & ~F.array_contains(keys, name)
+        bad = F.when(cell["kind"] == "integer", coerce.integer_why(text)).when(
+            cell["kind"] == "timestamp", coerce.instant_why(text)
+        )
+        return F.when(
+            absent, F.concat(F.lit("required field '"), name, F.lit("' is missing"))
+        ).otherwise(F.concat(F.lit("field '"), name, F.lit("': "), bad))
+
+    reasons = F.filter(F.transform(F.expr(f"array({cells})"), reason), lambda why: why.isNotNull())
+    return F.get(reasons, F.lit(0))
 
 
 def accepted(rows: DataFrame) -> DataFrame:

@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from datetime import datetime
 from functools import reduce
-from operator import add, or_
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.functions import clock
+from gridtide.functions import clock, text
 from gridtide.operators.contract import GRID, Field, Layout, observed
 
 CHECK = (
@@ -190,8 +190,9 @@ def check_alignment(
 # -- plausible_ranges -------------------------------------------------------------------
 
 
-def outside(field: Field) -> Column:
-    return ~F.col(field.name).between(field.lo, field.hi)
+def outside(field: Field) -> str:
+    """Predicate text, false or null unless the value is out of its inclusive bounds."""
+    return f"({field.name} < {field.lo} OR {field.name} > {field.hi})"
 
 
 def range_violations(rows: DataFrame, fields: list[Field], where: Column | None = None) -> DataFrame:
@@ -200,12 +201,12 @@ def range_violations(rows: DataFrame, fields: list[Field], where: Column | None
     Rows are never multiplied by the number of fields.
     """
     kept = rows if where is None else rows.where(where)
-    wide = kept.agg(*[_count_if(outside(field)).alias(field.name) for field in fields])
+    wide = kept.agg(*[F.expr(f"count_if({outside(f)}) AS {f.name}") for f in fields])
     return wide.unpivot([], [field.name for field in fields], "field", "violations")
 
 
 def _range_facts(fields: list[Field], kept: Column) -> list[Column]:
-    per_row = reduce(add, [F.when(outside(f), F.lit(1)).otherwise(0) for f in fields])
+    per_row = F.expr(" + ".join(f"if({outside(f)}, 1, 0)" for f in fields))
     return [F.coalesce(F.sum(F.when(kept, per_row)), F.lit(0)).alias("out_of_range")]
 
 
@@ -214,22 +215,18 @@ def range_examples(
 ) -> DataFrame:
     """The first violations by field, then arrival: a top-``limit`` over violating rows only."""
     wall = clock.utc_wall(F.col(key), clock.type_of(rows, key))
-    cells = F.array(
-        *[
-            F.when(
-                outside(field),
-                F.struct(
-                    F.lit(position).alias("rank"),
-                    F.lit(field.name).alias("field"),
-                    F.col(field.name).cast("string").alias("value"),
-                ),
-            )
-            for position, field in enumerate(fields)
-        ]
+    cells = ", ".join(
+        f"if({outside(f)}, named_struct('rank', {rank}, 'field', '{f.name}', "
+        f"'value', CAST({f.name} AS string)), NULL)"
+        for rank, f in enumerate(fields)
     )
     return (
-        rows.where(reduce(or_, [outside(field) for field in fields]))
-        .select(F.col(seq).alias("_seq"), clock.text(wall).alias("at"), F.inline(F.array_compact(cells)))
+        rows.where(F.expr(" OR ".join(outside(field) for field in fields)))
+        .select(
+            F.col(seq).alias("_seq"),
+            clock.text(wall).alias("at"),
+            F.inline(F.array_compact(F.expr(f"array({cells})"))),
+        )
         .orderBy("rank", "_seq")
         .limit(limit)
     )
@@ -300,7 +297,7 @@ def _balanced(tolerance_pct: float) -> Column:
     checked, beyond, worst = F.col("checked"), F.col("beyond"), F.col("worst")
     detail = F.concat(
         _number(checked), F.lit(" row(s) checked, "), _number(beyond),
-        F.format_string(f" beyond ±{tolerance_pct:g}%% (worst %.1f%%)", worst),
+        F.lit(f" beyond ±{tolerance_pct:g}% (worst "), text.one_digit(worst), F.lit("%)"),
     )
     return _check("grid_balance", beyond == 0, "warn", detail, beyond, checked, worst)
 
@@ -335,7 +332,9 @@ def _fresh(now: datetime, warn_hours: float, fail_hours: float) -> Column:
         F.concat(
             F.lit("last observed quarter-hour "),
             F.date_format("last", "yyyy-MM-dd HH:mm"),
-            F.format_string(" UTC (%.1f h ago)", lag),
+            F.lit(" UTC ("),
+            text.one_digit(lag),
+            F.lit(" h ago)"),
         )
     )
     severity = F.when(lag <= fail_hours, "warn").otherwise("fail")

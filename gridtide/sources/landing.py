@@ -54,7 +54,7 @@ def triage(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     problem = (
         F.when(F.col("elements").isNotNull(), F.lit(None))
         .when(members.isNotNull(), F.concat(F.lit("API error: "), message))
-        .when(scalar.isNotNull(), F.concat(F.lit("unexpected payload shape: "), F.lower(scalar)))
+        .when(~text.rlike(r"^\s*[\[{]") & scalar.isNotNull(), F.concat(F.lit("unexpected payload shape: "), F.lower(scalar)))
         .otherwise("invalid JSON")
     )
     return payloads.withColumn("elements", _elements(text)).withColumn("problem", problem)
