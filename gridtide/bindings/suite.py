@@ -559,7 +559,7 @@ def read_daily(spark, sf_dir):
 
 @query
 def read_latest(spark, sf_dir):
-    rows = marts.in_order("02_mart_latest", marts.latest(readings(spark, sf_dir)))
+    rows = marts.in_order("02_mart_latest", marts.latest(grid(spark, sf_dir)))
     return _keyed(rows).select("date_heure", "consumption_mw", "production_total_mw")
 
 
