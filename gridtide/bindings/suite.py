@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
 
 from gridtide.bindings.tables import (
     EVENT_FIELDS,
@@ -114,7 +113,7 @@ def _contract(spark, sf_dir):
 @query
 def contract_project(spark, sf_dir):
     rows = accepted(_contract(spark, sf_dir))
-    wall = clock.utc_wall(F.col("ts"), clock.type_of(rows, "ts"))
+    wall = F.expr(clock.utc_wall("ts", clock.INSTANT))
     return rows.select("seq", stamp(wall).alias("ts"), "k", "note")
 
 
@@ -131,7 +130,7 @@ def coerce_integer(spark, sf_dir):
         WHEN 6 THEN concat(event_id, 'e3') WHEN 7 THEN '' WHEN 8 THEN concat(event_id, '000000000')
         WHEN 9 THEN 'Infinity' ELSE CAST(event_id AS string) END"""
     rows = table(spark, sf_dir, "events").selectExpr("event_id", f"{raw} AS raw")
-    return rows.select("event_id", coerce.integer(F.col("raw")).alias("value"))
+    return rows.selectExpr("event_id", f"{coerce.integer('raw')} AS value")
 
 
 @query
@@ -142,7 +141,7 @@ def coerce_timestamp(spark, sf_dir):
         WHEN 3 THEN 'yesterday' WHEN 4 THEN NULL WHEN 5 THEN concat({wall}, '-05:30')
         WHEN 6 THEN concat(substring({wall}, 12), 'Z') ELSE concat({wall}, '+00:00') END"""
     rows = table(spark, sf_dir, "events").selectExpr("event_id", f"{raw} AS raw")
-    return rows.select("event_id", F.unix_micros(coerce.instant(F.col("raw"))).alias("micros"))
+    return rows.selectExpr("event_id", f"unix_micros({coerce.instant('raw')}) AS micros")
 
 
 @query
@@ -152,7 +151,7 @@ def filter_observed(spark, sf_dir):
 
 @query
 def forecast_rows(spark, sf_dir):
-    return _keyed(grid(spark, sf_dir).where(~observed()).select("date_heure", "prevision_j"))
+    return _keyed(grid(spark, sf_dir).where(f"NOT ({observed()})").select("date_heure", "prevision_j"))
 
 
 # -- quality gate ------------------------------------------------------------------------------
@@ -330,7 +329,7 @@ def watermark(spark, sf_dir):
 def compute_window(spark, sf_dir):
     rows = grid(spark, sf_dir)
     mark = incremental.watermark(rows)
-    none = incremental.watermark(rows.where(~observed()))
+    none = incremental.watermark(rows.where(f"NOT ({observed()})"))
     now, since = at(2024, 2, 1), at(2023, 12, 1)
     shapes = {
         "watermark": incremental.compute_window(mark, now),
@@ -453,7 +452,7 @@ def run_cycle(spark, sf_dir):
 def incremental_two_runs(spark, sf_dir):
     base, _, _ = _two_runs(spark, sf_dir, "runs")
     return _keyed(Store(spark, base).raw().select(
-        clock.utc_wall(F.col("date_heure"), TimestampType()).alias("date_heure"),
+        F.expr(clock.utc_wall("date_heure", clock.INSTANT)).alias("date_heure"),
         "consommation", "nucleaire",
     ))
 
@@ -483,9 +482,10 @@ def marts_built(spark, sf_dir):
     base = scratch.fresh_dir(spark, "marts")
     store = Store(spark, base)
     rows = grid(spark, sf_dir)
-    instants = rows.withColumn(
-        "date_heure", F.timestamp_micros(clock.micros(F.col("date_heure"), rows.schema["date_heure"].dataType))
-    ).withColumn("ingested_at", F.lit(None).cast("timestamp"))
+    instant = clock.from_micros(clock.micros("date_heure", clock.WALL), clock.INSTANT)
+    instants = rows.withColumn("date_heure", F.expr(instant)).withColumn(
+        "ingested_at", F.lit(None).cast("timestamp")
+    )
     store.table.upsert(instants, None)
     names = store.build_marts()
     sizes = [

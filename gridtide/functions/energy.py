@@ -3,27 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
-from operator import add
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-#: A quarter-hour at X MW is X/4 MWh.
-QUARTERS_PER_HOUR = 4.0
-
-
-def total(names: Iterable[str]) -> Column:
+def total(names: Iterable[str]) -> str:
     """Row total in which a missing reading counts as nothing."""
-    return reduce(add, [F.coalesce(F.col(name), F.lit(0)) for name in names])
+    return "(" + " + ".join(f"coalesce({name}, 0)" for name in names) + ")"
 
 
-def mwh(power_sum: Column) -> Column:
-    return F.round(power_sum.cast("double") / F.lit(QUARTERS_PER_HOUR))
+def mwh(power_sum: str) -> str:
+    """Energy of quarter-hours: X MW over a quarter is X/4 MWh."""
+    return f"round(CAST({power_sum} AS double) / 4.0D)"
 
 
-def share_pct(part: Column, whole: Column) -> Column:
+def share_pct(part: str, whole: str) -> str:
     """Percentage to one digit; null over an empty whole."""
-    return F.round(
-        F.lit(100.0) * part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)), 1
-    )
+    return f"round(100.0D * CAST({part} AS double) / nullif(CAST({whole} AS double), 0.0D), 1)"

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -134,9 +132,9 @@ def table_schema(fields: tuple[Field, ...] = GRID.fields) -> T.StructType:
     return T.StructType([*columns, T.StructField("ingested_at", T.TimestampType())])
 
 
-def observed(consumption: str = GRID.consumption) -> Column:
+def observed(consumption: str = GRID.consumption) -> str:
     """A row is observed, not only forecast, once its consumption is filled."""
-    return F.col(consumption).isNotNull()
+    return f"{consumption} IS NOT NULL"
 
 
 def apply_contract(
@@ -159,80 +157,64 @@ def apply_contract(
     plain integer, the key list that tells an absent key from an explicit null,
     and the wording of a reject.
     """
-    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
     names = [f.name for f in fields]
     integers = [f.name for f in fields if f.kind == "integer"]
-    typed = [f.name for f in fields if f.kind != "text"]
+    texts = ", ".join(f"{name} STRING" for name in names)
+    parse = f"from_json({record}, '{texts}', map('allowSingleQuotes', 'false')) AS _raw"
     passed = [seq, *keep, record, "_raw"]
+    rows = records.selectExpr(seq, *keep, record, parse)
 
-    rows = records.select(
-        seq,
-        *keep,
-        record,
-        F.from_json(record, texts, {"allowSingleQuotes": "false"}).alias("_raw"),
-    )
-    plain = {f.name: F.expr(f"{_raw(f.name)} AS {f.name}") for f in fields}
-    for field in fields:
-        if field.kind == "integer":
-            plain[field.name] = F.expr(f"try_cast({_raw(field.name)} AS int) AS {field.name}")
-        elif field.kind == "timestamp":
-            plain[field.name] = coerce.instant(F.expr(_raw(field.name))).alias(field.name)
-    rows = rows.select(*passed, *plain.values())
+    first = {"integer": coerce.plain_integer, "timestamp": coerce.instant, "text": str}
+    rows = rows.selectExpr(*passed, *[f"{first[f.kind](_raw(f.name))} AS {f.name}" for f in fields])
     if integers:
-        second = F.transform(F.expr(f"array({', '.join(map(_raw, integers))})"), coerce.integer)
-        rows = rows.select("*", F.when(_unread(integers), second).alias("_second"))
+        cells = ", ".join(map(_raw, integers))
+        second = f"transform(array({cells}), text -> {coerce.integer('text')})"
         reread = {n: f"coalesce({n}, _second[{at}]) AS {n}" for at, n in enumerate(integers)}
+        rows = rows.selectExpr("*", f"CASE WHEN {_unread(integers)} THEN {second} END AS _second")
         rows = rows.selectExpr(*passed, *[reread.get(n, n) for n in names])
 
-    keys = F.json_object_keys(record)
-    absent = [
-        F.expr(_raw(f.name)).isNull() & ~F.coalesce(F.array_contains(keys, f.name), F.lit(False))
+    keys = f"json_object_keys({record})"
+    suspect = [_unread([f.name for f in fields if f.kind != "text"]), f"{key} IS NULL"]
+    suspect += [
+        f"({_raw(f.name)} IS NULL AND NOT coalesce(array_contains({keys}, '{f.name}'), false))"
         for f in fields
         if f.required
     ]
-    suspect = reduce(or_, [_unread(typed), F.col(key).isNull(), *absent])
-    raw_key = F.expr(_raw(key))
-    label = F.when(raw_key != "", raw_key).otherwise(f"<no {key}>")
-    why = F.coalesce(
-        F.when(raw_key.isNull() & keys.isNull(), F.lit("record is not an object")),
-        _first_failure(fields, keys),
-        F.lit(f"{key} must not be null"),
-    )
-    reject = F.when(suspect, F.concat(label, F.lit(": "), why)).alias("reject")
+    reject = f"""CASE WHEN {' OR '.join(suspect)} THEN concat(
+        CASE WHEN {_raw(key)} <> '' THEN {_raw(key)} ELSE '<no {key}>' END,
+        ': ',
+        coalesce(
+          CASE WHEN {_raw(key)} IS NULL AND {keys} IS NULL THEN 'record is not an object' END,
+          {_first_failure(fields, keys)},
+          '{key} must not be null')) END"""
     # A filter on plain projected columns would be pushed below the projections, with the parse
     # and every coercion copied into it. Generated columns stop that.
-    return rows.select(F.inline(F.array(F.struct(seq, *keep, *names, reject))))
+    return rows.select(F.inline(F.array(F.struct(seq, *keep, *names, F.expr(reject).alias("reject")))))
 
 
 def _raw(name: str) -> str:
     return f"_raw.{name}"
 
 
-def _unread(names: list[str]) -> Column:
+def _unread(names: list[str]) -> str:
     """Some field has text but no value yet."""
-    return F.expr(" OR ".join(f"({_raw(n)} IS NOT NULL AND {n} IS NULL)" for n in names))
+    return "(" + " OR ".join(f"({_raw(n)} IS NOT NULL AND {n} IS NULL)" for n in names) + ")"
 
 
-def _first_failure(fields: tuple[Field, ...], keys: Column) -> Column:
+def _first_failure(fields: tuple[Field, ...], keys: str) -> str:
     """The first reason in contract order, from the fields laid out as an array."""
     cells = ", ".join(
         f"named_struct('name', '{f.name}', 'kind', '{f.kind}', "
         f"'required', {str(f.required).lower()}, 'raw', {_raw(f.name)})"
         for f in fields
     )
-
-    def reason(cell: Column) -> Column:
-        name, text = cell["name"], cell["raw"]
-        absent = cell["required"] & text.isNull() & ~F.array_contains(keys, name)
-        bad = F.when(cell["kind"] == "integer", coerce.integer_why(text)).when(
-            cell["kind"] == "timestamp", coerce.instant_why(text)
-        )
-        return F.when(
-            absent, F.concat(F.lit("required field '"), name, F.lit("' is missing"))
-        ).otherwise(F.concat(F.lit("field '"), name, F.lit("': "), bad))
-
-    reasons = F.filter(F.transform(F.expr(f"array({cells})"), reason), lambda why: why.isNotNull())
-    return F.get(reasons, F.lit(0))
+    reason = f"""CASE
+        WHEN f.required AND f.raw IS NULL AND NOT array_contains({keys}, f.name)
+          THEN concat('required field \\'', f.name, '\\' is missing')
+        ELSE concat('field \\'', f.name, '\\': ', CASE f.kind
+          WHEN 'integer' THEN {coerce.integer_why('f.raw')}
+          WHEN 'timestamp' THEN {coerce.instant_why('f.raw')} END) END"""
+    return f"get(filter(transform(array({cells}), f -> {reason}), why -> why IS NOT NULL), 0)"
 
 
 def accepted(rows: DataFrame) -> DataFrame:

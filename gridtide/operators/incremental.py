@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.functions import clock
@@ -42,36 +42,25 @@ def watermark(
     raw: DataFrame, key: str = GRID.key, consumption: str = GRID.consumption
 ) -> DataFrame:
     """One row: the newest observed key, null when nothing is observed."""
-    return raw.agg(F.max(F.when(observed(consumption), F.col(key))).alias("watermark"))
+    return raw.agg(F.expr(f"max({key}) FILTER (WHERE {observed(consumption)}) AS watermark"))
 
 
-def window_bounds(
-    watermark_micros: Column, now_micros: Column, since_micros: Column, params: Params = Params()
-) -> list[Column]:
-    """``window_start`` and ``window_end`` in epoch microseconds.
+def compute_window(
+    watermark_row: DataFrame, now: datetime, since: datetime | None = None, params: Params = Params()
+) -> DataFrame:
+    """One row with the window's bounds in epoch microseconds, from :func:`watermark`'s row.
 
     Start is ``since``, else the watermark minus the overlap that late revisions
     need, else a bootstrap span; the end reaches past now for forecast rows.
     """
     hour = clock.HOUR_MICROS
-    start = F.coalesce(
-        since_micros,
-        watermark_micros - F.lit(params.overlap_hours * hour),
-        now_micros - F.lit(params.bootstrap_hours * hour),
-    )
-    end = now_micros + F.lit(params.horizon_hours * hour)
-    return [start.alias("window_start"), end.alias("window_end")]
-
-
-def compute_window(
-    watermark_row: DataFrame, now: datetime, since: datetime | None = None, params: Params = Params()
-) -> DataFrame:
-    """One row with the window as epoch microseconds, from :func:`watermark`'s row."""
-    dtype = clock.type_of(watermark_row, "watermark")
-    mark = clock.micros(F.col("watermark"), dtype)
-    override = F.lit(None if since is None else clock.micros_of(since)).cast("long")
-    return watermark_row.select(
-        *window_bounds(mark, F.lit(clock.micros_of(now)), override, params)
+    moment = clock.micros_of(now)
+    override = "NULL" if since is None else f"{clock.micros_of(since)}L"
+    mark = clock.micros("watermark", clock.type_of(watermark_row, "watermark"))
+    return watermark_row.selectExpr(
+        f"coalesce({override}, {mark} - {params.overlap_hours * hour}L, "
+        f"{moment - params.bootstrap_hours * hour}L) AS window_start",
+        f"{moment + params.horizon_hours * hour}L AS window_end",
     )
 
 

@@ -3,25 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
-from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.functions import clock, energy
 from gridtide.operators.contract import GRID, Layout, observed
 
-# The labels counted as renewable.
+# The labels counted as renewable, and the measures of the daily and latest marts
+# with the labels each one adds up.
 RENEWABLE = ("wind", "solar", "hydro", "bioenergy")
+MEASURES = {
+    "nuclear": ("nuclear",),
+    "wind": ("wind",),
+    "solar": ("solar",),
+    "hydro": ("hydro",),
+    "gas": ("gas",),
+    "oil_coal": ("oil", "coal"),
+    "bioenergy": ("bioenergy",),
+}
 MIX_DAYS = 7
 
 
-def _renewable(layout: Layout) -> list[str]:
-    return [layout.sources[label] for label in RENEWABLE]
-
-
-def _power(layout: Layout, *labels: str) -> Column:
+def _power(layout: Layout, labels: tuple[str, ...]) -> str:
     return energy.total(layout.sources[label] for label in labels)
 
 
@@ -31,54 +35,38 @@ def daily(raw: DataFrame, layout: Layout = GRID, zone: str = clock.PARIS) -> Dat
     Sums stay integral until the single division per measure, so the result does
     not depend on how rows were spread over tasks.
     """
-    day = clock.local_day(F.col(layout.key), clock.type_of(raw, layout.key), zone)
-    consumption = F.col(layout.consumption)
-    every = energy.total(layout.sources.values())
-    sums = (
-        raw.where(observed(layout.consumption))
-        .groupBy(day.alias("day"))
+    used = layout.consumption
+    measures = {name: _power(layout, labels) for name, labels in MEASURES.items()}
+    renewable, produced = _power(layout, RENEWABLE), energy.total(layout.sources.values())
+    return (
+        raw.where(observed(used))
+        .groupBy(F.expr(f"{clock.local_day(layout.key, clock.type_of(raw, layout.key), zone)} AS day"))
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg(consumption).alias("mean"),
-            F.max(consumption).alias("peak"),
-            F.sum(consumption).alias("used"),
-            *[F.sum(_power(layout, name)).alias(name) for name in
-              ("nuclear", "wind", "solar", "hydro", "gas", "bioenergy")],
-            F.sum(_power(layout, "oil", "coal")).alias("oil_coal"),
-            F.sum(energy.total(_renewable(layout))).alias("renewable"),
-            F.sum(every).alias("produced"),
-            F.avg(layout.co2).alias("co2"),
+            F.expr("count(1) AS quarters_observed"),
+            F.expr(f"round(avg({used})) AS avg_consumption_mw"),
+            F.expr(f"max({used}) AS peak_consumption_mw"),
+            F.expr(f"{energy.mwh(f'sum({used})')} AS energy_consumed_mwh"),
+            *[F.expr(f"{energy.mwh(f'sum({p})')} AS {name}_mwh") for name, p in measures.items()],
+            F.expr(f"{energy.share_pct(f'sum({renewable})', f'sum({produced})')} AS renewable_share_pct"),
+            F.expr(f"round(avg({layout.co2}), 1) AS avg_co2_g_kwh"),
         )
     )
-    return sums.select(
-        "day",
-        F.col("n").alias("quarters_observed"),
-        F.round("mean").alias("avg_consumption_mw"),
-        F.col("peak").alias("peak_consumption_mw"),
-        energy.mwh(F.col("used")).alias("energy_consumed_mwh"),
-        *[energy.mwh(F.col(name)).alias(f"{name}_mwh") for name in
-          ("nuclear", "wind", "solar", "hydro", "gas", "oil_coal", "bioenergy")],
-        energy.share_pct(F.col("renewable"), F.col("produced")).alias("renewable_share_pct"),
-        F.round("co2", 1).alias("avg_co2_g_kwh"),
-    )
 
 
 def latest(raw: DataFrame, layout: Layout = GRID) -> DataFrame:
     """The most recent observed row with derived totals; planned as a top-1, not a sort."""
     last = raw.where(observed(layout.consumption)).orderBy(F.desc(layout.key)).limit(1)
-    every = energy.total(layout.sources.values())
-    return last.select(
-        F.col(layout.key),
-        F.col(layout.consumption).alias("consumption_mw"),
-        F.col(layout.co2).alias("co2_g_kwh"),
-        *[_power(layout, name).alias(f"{name}_mw") for name in
-          ("nuclear", "wind", "solar", "hydro", "gas")],
-        _power(layout, "oil", "coal").alias("oil_coal_mw"),
-        _power(layout, "bioenergy").alias("bioenergy_mw"),
-        energy.total(layout.flows[:1]).alias("pumped_storage_mw"),
-        energy.total(layout.flows[1:2]).alias("net_exchange_mw"),
-        every.alias("production_total_mw"),
-        energy.share_pct(energy.total(_renewable(layout)), every).alias("renewable_share_pct"),
+    pumped, exchanged = layout.flows[:2]
+    renewable, produced = _power(layout, RENEWABLE), energy.total(layout.sources.values())
+    return last.selectExpr(
+        layout.key,
+        f"{layout.consumption} AS consumption_mw",
+        f"{layout.co2} AS co2_g_kwh",
+        *[f"{_power(layout, labels)} AS {name}_mw" for name, labels in MEASURES.items()],
+        f"coalesce({pumped}, 0) AS pumped_storage_mw",
+        f"coalesce({exchanged}, 0) AS net_exchange_mw",
+        f"{produced} AS production_total_mw",
+        f"{energy.share_pct(renewable, produced)} AS renewable_share_pct",
     )
 
 
@@ -90,20 +78,21 @@ def last_days(raw: DataFrame, layout: Layout = GRID, days: int = MIX_DAYS) -> Da
     """
     kept = raw.where(observed(layout.consumption))
     dtype = clock.type_of(raw, layout.key)
-    newest = kept.agg(
-        (clock.micros(F.max(layout.key), dtype) - days * 24 * clock.HOUR_MICROS).alias("bound")
+    span = days * 24 * clock.HOUR_MICROS
+    bound = clock.from_micros(f"{clock.micros(f'max({layout.key})', dtype)} - {span}L", dtype)
+    return kept.where(F.col(layout.key) >= kept.agg(F.expr(f"{bound} AS bound")).scalar())
+
+
+def _source_sums(rows: DataFrame, layout: Layout) -> DataFrame:
+    return rows.agg(
+        *[F.expr(f"sum(coalesce({column}, 0)) AS {name}") for name, column in layout.sources.items()]
     )
-    bound = clock.from_micros(newest.scalar(), dtype)
-    return kept.where(F.col(layout.key) >= bound)
 
 
 def mix_long(rows: DataFrame, layout: Layout = GRID) -> DataFrame:
     """Wide sums turned long: one scan and at most eight rows reach the unpivot."""
-    sums = rows.agg(
-        *[F.sum(F.coalesce(column, F.lit(0))).alias(label)
-          for label, column in ((name, F.col(c)) for name, c in layout.sources.items())]
-    )
-    return sums.unpivot([], list(layout.sources), "source", "mw").where(F.col("mw").isNotNull())
+    long = _source_sums(rows, layout).unpivot([], list(layout.sources), "source", "mw")
+    return long.where("mw IS NOT NULL")
 
 
 def mix_7d(raw: DataFrame, layout: Layout = GRID) -> DataFrame:
@@ -113,15 +102,14 @@ def mix_7d(raw: DataFrame, layout: Layout = GRID) -> DataFrame:
     un-partitioned window is needed.
     """
     labels = list(layout.sources)
-    sums = last_days(raw, layout).agg(
-        *[F.sum(F.coalesce(F.col(c), F.lit(0))).alias(name) for name, c in layout.sources.items()]
-    )
-    whole = reduce(add, [F.col(name) for name in labels])
-    shares = sums.withColumn("total", whole).unpivot("total", labels, "source", "mw")
-    return shares.where(F.col("mw").isNotNull()).select(
-        "source",
-        energy.mwh(F.col("mw")).alias("mwh"),
-        energy.share_pct(F.col("mw"), F.col("total")).alias("share_pct"),
+    sums = _source_sums(last_days(raw, layout), layout)
+    wide = sums.selectExpr("*", f"{' + '.join(labels)} AS total")
+    return (
+        wide.unpivot("total", labels, "source", "mw")
+        .where("mw IS NOT NULL")
+        .selectExpr(
+            "source", f"{energy.mwh('mw')} AS mwh", f"{energy.share_pct('mw', 'total')} AS share_pct"
+        )
     )
 
 
@@ -134,7 +122,7 @@ MARTS: tuple[tuple[str, Callable[[DataFrame, Layout], DataFrame]], ...] = (
 
 
 def in_order(name: str, mart: DataFrame) -> DataFrame:
-    """A mart in the order its readers rely on, ties broken by source."""
+    """A mart in the order its readers rely on, ties broken by source; files keep none."""
     if name == "01_mart_daily":
         return mart.orderBy("day")
     if name == "03_mart_mix_7d":

@@ -9,9 +9,8 @@ from __future__ import annotations
 
 from datetime import datetime
 from functools import reduce
-from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.functions import clock, text
@@ -42,80 +41,65 @@ ICONS = {"pass": "✅", "warn": "⚠️", "fail": "🛑"}
 
 def _check(
     name: str,
-    passed: Column,
-    severity: Column | str,
-    detail: Column,
-    counted: Column | None = None,
-    total: Column | None = None,
-    measure: Column | None = None,
-) -> Column:
-    none = F.lit(None)
-    return F.struct(
-        F.lit(ORDER.index(name) + 1).alias("position"),
-        F.lit(name).alias("name"),
-        passed.alias("passed"),
-        (F.lit(severity) if isinstance(severity, str) else severity).alias("severity"),
-        detail.alias("detail"),
-        (none if counted is None else counted).cast("bigint").alias("counted"),
-        (none if total is None else total).cast("bigint").alias("total"),
-        (none if measure is None else measure).cast("double").alias("measure"),
-    )
-
-
-def _emit(summary: DataFrame, *checks: Column) -> DataFrame:
+    passed: str,
+    severity: str,
+    detail: str,
+    counted: str = "NULL",
+    total: str = "NULL",
+    measure: str = "NULL",
+) -> str:
+    """A check as a struct over the columns of a one-row summary."""
+    return f"""named_struct('position', {ORDER.index(name) + 1}, 'name', '{name}',
+        'passed', {passed}, 'severity', {severity}, 'detail', {detail},
+        'counted', CAST({counted} AS bigint), 'total', CAST({total} AS bigint),
+        'measure', CAST({measure} AS double))"""
+
+
+def _emit(summary: DataFrame, *checks: str) -> DataFrame:
     """One summary row -> one row per check."""
-    return summary.select(F.inline(F.array(*checks)))
-
-
-def _number(value: Column) -> Column:
-    return value.cast("string")
+    return summary.selectExpr(f"inline(array({', '.join(checks)}))")
 
 
-def _count_if(condition: Column) -> Column:
-    return F.count(F.when(condition, F.lit(1)))
-
-
-def _accepted(reject: str | None) -> Column:
-    return F.lit(True) if reject is None else F.col(reject).isNull()
+def _facts(rows: DataFrame, *facts: str) -> DataFrame:
+    return rows.agg(*[F.expr(fact) for fact in facts])
 
 
 # -- contract_coercion and window_not_empty ---------------------------------------
 
 
-def _coercion_facts(reject: str, seq: str) -> list[Column]:
-    bad = F.col(reject).isNotNull()
+def _coercion_facts(reject: str, seq: str) -> list[str]:
     return [
-        F.count(F.lit(1)).alias("fetched"),
-        _count_if(bad).alias("rejected"),
-        F.min_by(F.col(reject), F.when(bad, F.col(seq))).alias("first_reject"),
+        "count(1) AS fetched",
+        f"count({reject}) AS rejected",
+        f"min_by({reject}, {seq}) FILTER (WHERE {reject} IS NOT NULL) AS first_reject",
     ]
 
 
-def _coercion() -> Column:
-    fetched, rejected, first = F.col("fetched"), F.col("rejected"), F.col("first_reject")
-    ratio = F.when(fetched > 0, rejected.cast("double") / fetched.cast("double")).otherwise(0.0)
-    detail = F.concat(
-        _number(rejected), F.lit("/"), _number(fetched), F.lit(" record(s) rejected"),
-        F.when(rejected > 0, F.concat(F.lit(" — first: "), first)).otherwise(""),
-    )
-    severity = F.when(ratio > REJECT_RATIO, "fail").otherwise("warn")
+def _coercion() -> str:
+    ratio = "CASE WHEN fetched > 0 THEN CAST(rejected AS double) / CAST(fetched AS double) ELSE 0.0D END"
     return _check(
-        "contract_coercion", rejected == 0, severity, detail, rejected, fetched, ratio
+        "contract_coercion",
+        "rejected = 0",
+        f"CASE WHEN {ratio} > {REJECT_RATIO}D THEN 'fail' ELSE 'warn' END",
+        "concat(rejected, '/', fetched, ' record(s) rejected', "
+        "CASE WHEN rejected > 0 THEN concat(' — first: ', first_reject) ELSE '' END)",
+        "rejected",
+        "fetched",
+        ratio,
     )
 
 
-def _not_empty() -> Column:
-    fetched = F.col("fetched")
-    detail = F.concat(_number(fetched), F.lit(" record(s) fetched"))
-    return _check("window_not_empty", fetched > 0, "warn", detail, fetched)
+def _not_empty() -> str:
+    detail = "concat(fetched, ' record(s) fetched')"
+    return _check("window_not_empty", "fetched > 0", "'warn'", detail, "fetched")
 
 
 def check_coercion(rows: DataFrame, reject: str = "reject", seq: str = "seq") -> DataFrame:
-    return _emit(rows.agg(*_coercion_facts(reject, seq)), _coercion())
+    return _emit(_facts(rows, *_coercion_facts(reject, seq)), _coercion())
 
 
 def check_window_not_empty(rows: DataFrame) -> DataFrame:
-    return _emit(rows.agg(F.count(F.lit(1)).alias("fetched")), _not_empty())
+    return _emit(_facts(rows, "count(1) AS fetched"), _not_empty())
 
 
 # -- primary_key_unique -------------------------------------------------------------
@@ -127,28 +111,30 @@ def duplicate_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     Counting combines map-side, so a key holding a large part of the rows costs
     one partial row per task rather than one huge group.
     """
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    return rows.groupBy(*keys).agg(F.expr("count(1) AS copies")).where("copies > 1")
 
 
 def _key_facts(rows: DataFrame, keys: list[str]) -> DataFrame:
-    smallest = F.min(F.struct(*keys)).alias("smallest")
-    facts = duplicate_keys(rows, keys).agg(F.count(F.lit(1)).alias("duplicated"), smallest)
-    shown = [
-        clock.text(clock.utc_wall(F.col("smallest")[k], clock.type_of(rows, k)))
-        if rows.schema[k].dataType.typeName().startswith("timestamp")
-        else F.col("smallest")[k].cast("string")
-        for k in keys
-    ]
-    return facts.select("duplicated", F.concat_ws(", ", *shown).alias("first_duplicate"))
-
-
-def _unique() -> Column:
-    duplicated = F.col("duplicated")
-    detail = F.concat(
-        _number(duplicated), F.lit(" duplicated timestamp(s)"),
-        F.when(duplicated > 0, F.concat(F.lit(" — e.g. "), F.col("first_duplicate"))).otherwise(""),
+    facts = _facts(
+        duplicate_keys(rows, keys),
+        "count(1) AS duplicated",
+        f"min(struct({', '.join(keys)})) AS smallest",
+    )
+    shown = []
+    for key in keys:
+        dtype = clock.type_of(rows, key)
+        value = f"smallest.{key}"
+        moment = dtype.typeName().startswith("timestamp")
+        shown.append(clock.text(clock.utc_wall(value, dtype)) if moment else value)
+    return facts.selectExpr("duplicated", f"concat_ws(', ', {', '.join(shown)}) AS first_duplicate")
+
+
+def _unique() -> str:
+    detail = (
+        "concat(duplicated, ' duplicated timestamp(s)', "
+        "CASE WHEN duplicated > 0 THEN concat(' — e.g. ', first_duplicate) ELSE '' END)"
     )
-    return _check("primary_key_unique", duplicated == 0, "fail", detail, duplicated)
+    return _check("primary_key_unique", "duplicated = 0", "'fail'", detail, "duplicated")
 
 
 def check_primary_key(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -158,74 +144,65 @@ def check_primary_key(rows: DataFrame, keys: list[str]) -> DataFrame:
 # -- quarter_hour_grid ----------------------------------------------------------------
 
 
-def off_grid(wall: Column) -> Column:
+def off_grid(wall: str) -> str:
     """Minute and second off the quarter-hour; fractions of a second do not count."""
-    return (F.minute(wall) % 15 != 0) | (F.second(wall) != 0)
+    return f"(minute({wall}) % 15 <> 0 OR second({wall}) <> 0)"
 
 
-def _alignment_facts(wall: Column, seq: str, reject: str | None) -> list[Column]:
-    bad = _accepted(reject) & off_grid(wall)
-    return [
-        _count_if(bad).alias("off_grid"),
-        F.min_by(wall, F.when(bad, F.col(seq))).alias("first_off_grid"),
-    ]
+def _alignment_facts(wall: str, seq: str, kept: str) -> list[str]:
+    bad = f"FILTER (WHERE {kept} AND {off_grid(wall)})"
+    return [f"count(1) {bad} AS off_grid", f"min_by({wall}, {seq}) {bad} AS first_off_grid"]
 
 
-def _aligned() -> Column:
-    bad = F.col("off_grid")
-    detail = F.concat(
-        _number(bad), F.lit(" timestamp(s) off the quarter-hour grid"),
-        F.when(bad > 0, F.concat(F.lit(" — e.g. "), clock.text(F.col("first_off_grid")))).otherwise(""),
+def _aligned() -> str:
+    detail = (
+        "concat(off_grid, ' timestamp(s) off the quarter-hour grid', CASE WHEN off_grid > 0 "
+        f"THEN concat(' — e.g. ', {clock.text('first_off_grid')}) ELSE '' END)"
     )
-    return _check("quarter_hour_grid", bad == 0, "warn", detail, bad)
+    return _check("quarter_hour_grid", "off_grid = 0", "'warn'", detail, "off_grid")
 
 
-def check_alignment(
-    rows: DataFrame, key: str, seq: str = "seq", reject: str | None = None
-) -> DataFrame:
-    wall = clock.utc_wall(F.col(key), clock.type_of(rows, key))
-    return _emit(rows.agg(*_alignment_facts(wall, seq, reject)), _aligned())
+def check_alignment(rows: DataFrame, key: str, seq: str = "seq") -> DataFrame:
+    wall = clock.utc_wall(key, clock.type_of(rows, key))
+    return _emit(_facts(rows, *_alignment_facts(wall, seq, "true")), _aligned())
 
 
 # -- plausible_ranges -------------------------------------------------------------------
 
 
 def outside(field: Field) -> str:
-    """Predicate text, false or null unless the value is out of its inclusive bounds."""
+    """False or null unless the value is out of its inclusive bounds."""
     return f"({field.name} < {field.lo} OR {field.name} > {field.hi})"
 
 
-def range_violations(rows: DataFrame, fields: list[Field], where: Column | None = None) -> DataFrame:
+def range_violations(rows: DataFrame, fields: list[Field]) -> DataFrame:
     """Violations per bounded field: conditional counts in one pass, then turned long.
 
     Rows are never multiplied by the number of fields.
     """
-    kept = rows if where is None else rows.where(where)
-    wide = kept.agg(*[F.expr(f"count_if({outside(f)}) AS {f.name}") for f in fields])
+    wide = _facts(rows, *[f"count_if({outside(f)}) AS {f.name}" for f in fields])
     return wide.unpivot([], [field.name for field in fields], "field", "violations")
 
 
-def _range_facts(fields: list[Field], kept: Column) -> list[Column]:
-    per_row = F.expr(" + ".join(f"if({outside(f)}, 1, 0)" for f in fields))
-    return [F.coalesce(F.sum(F.when(kept, per_row)), F.lit(0)).alias("out_of_range")]
+def _range_facts(fields: list[Field], kept: str) -> list[str]:
+    per_row = " + ".join(f"if({outside(f)}, 1, 0)" for f in fields)
+    return [f"coalesce(sum({per_row}) FILTER (WHERE {kept}), 0) AS out_of_range"]
 
 
 def range_examples(
     rows: DataFrame, fields: list[Field], key: str, seq: str, limit: int = EXAMPLES
 ) -> DataFrame:
     """The first violations by field, then arrival: a top-``limit`` over violating rows only."""
-    wall = clock.utc_wall(F.col(key), clock.type_of(rows, key))
+    wall = clock.utc_wall(key, clock.type_of(rows, key))
     cells = ", ".join(
         f"if({outside(f)}, named_struct('rank', {rank}, 'field', '{f.name}', "
         f"'value', CAST({f.name} AS string)), NULL)"
         for rank, f in enumerate(fields)
     )
     return (
-        rows.where(F.expr(" OR ".join(outside(field) for field in fields)))
-        .select(
-            F.col(seq).alias("_seq"),
-            clock.text(wall).alias("at"),
-            F.inline(F.array_compact(F.expr(f"array({cells})"))),
+        rows.where(" OR ".join(outside(field) for field in fields))
+        .selectExpr(
+            f"{seq} AS _seq", f"{clock.text(wall)} AS at", f"inline(array_compact(array({cells})))"
         )
         .orderBy("rank", "_seq")
         .limit(limit)
@@ -233,113 +210,101 @@ def range_examples(
 
 
 def _example_facts(examples: DataFrame) -> DataFrame:
-    line = F.concat("field", F.lit("="), "value", F.lit(" at "), "at")
-    shown = F.array_sort(F.collect_list(F.struct("rank", "_seq", line.alias("line"))))
-    return examples.agg(F.array_join(F.transform(shown, lambda e: e["line"]), "; ").alias("examples"))
+    line = "concat(field, '=', value, ' at ', at)"
+    shown = f"array_sort(collect_list(struct(rank, _seq, {line} AS line)))"
+    return _facts(examples, f"array_join(transform({shown}, e -> e.line), '; ') AS examples")
 
 
-def _plausible() -> Column:
-    bad = F.col("out_of_range")
-    detail = F.concat(
-        _number(bad), F.lit(" value(s) outside plausible bounds"),
-        F.when(bad > 0, F.concat(F.lit(" — "), F.col("examples"))).otherwise(""),
+def _plausible() -> str:
+    detail = (
+        "concat(out_of_range, ' value(s) outside plausible bounds', "
+        "CASE WHEN out_of_range > 0 THEN concat(' — ', examples) ELSE '' END)"
     )
-    return _check("plausible_ranges", bad == 0, "warn", detail, bad)
+    return _check("plausible_ranges", "out_of_range = 0", "'warn'", detail, "out_of_range")
 
 
-def check_ranges(
-    rows: DataFrame,
-    fields: list[Field],
-    key: str,
-    seq: str = "seq",
-    where: Column | None = None,
-) -> DataFrame:
-    kept = rows if where is None else rows.where(where)
-    facts = [
-        kept.agg(*_range_facts(fields, F.lit(True))),
-        _example_facts(range_examples(kept, fields, key, seq)),
-    ]
-    return _emit(_one_row(facts), _plausible())
+def check_ranges(rows: DataFrame, fields: list[Field], key: str, seq: str = "seq") -> DataFrame:
+    facts = _facts(rows, *_range_facts(fields, "true"))
+    examples = _example_facts(range_examples(rows, fields, key, seq))
+    return _emit(_one_row([facts, examples]), _plausible())
 
 
 # -- grid_balance ---------------------------------------------------------------------------
 
 
-def balance_deviation(layout: Layout = GRID) -> Column:
+def balance_deviation(layout: Layout = GRID) -> str:
     """Percent by which supply misses consumption.
 
     Null unless the row is observed, its consumption is not zero and every part is known.
     """
-    consumption = F.col(layout.consumption)
-    supply = reduce(add, [F.col(name) for name in layout.parts])
-    gap = F.abs(supply - consumption).cast("double")
-    return F.when(consumption != 0, gap / consumption.cast("double") * F.lit(100.0))
+    used = layout.consumption
+    gap = f"CAST(abs({' + '.join(layout.parts)} - {used}) AS double)"
+    return f"CASE WHEN {used} <> 0 THEN {gap} / CAST({used} AS double) * 100.0D END"
 
 
 def balance_rows(rows: DataFrame, layout: Layout = GRID, tolerance_pct: float = 5.0) -> DataFrame:
     """Checked rows with their deviation and verdict."""
-    deviation = rows.withColumn("deviation_pct", balance_deviation(layout))
-    return deviation.where(F.col("deviation_pct").isNotNull()).select(
-        layout.key, "deviation_pct", (F.col("deviation_pct") > tolerance_pct).alias("beyond")
+    deviation = rows.selectExpr(layout.key, f"{balance_deviation(layout)} AS deviation_pct")
+    return deviation.where("deviation_pct IS NOT NULL").selectExpr(
+        "*", f"deviation_pct > {float(tolerance_pct)}D AS beyond"
     )
 
 
-def _balance_facts(layout: Layout, tolerance_pct: float, kept: Column) -> list[Column]:
-    deviation = F.when(kept, balance_deviation(layout))
+def _balance_facts(layout: Layout, tolerance_pct: float, kept: str) -> list[str]:
+    deviation = balance_deviation(layout)
+    seen = f"FILTER (WHERE {kept})"
     return [
-        F.count(deviation).alias("checked"),
-        _count_if(deviation > tolerance_pct).alias("beyond"),
-        F.greatest(F.max(deviation), F.lit(0.0)).alias("worst"),
+        f"count({deviation}) {seen} AS checked",
+        f"count_if({deviation} > {float(tolerance_pct)}D) {seen} AS beyond",
+        f"greatest(max({deviation}) {seen}, 0.0D) AS worst",
     ]
 
 
-def _balanced(tolerance_pct: float) -> Column:
-    checked, beyond, worst = F.col("checked"), F.col("beyond"), F.col("worst")
-    detail = F.concat(
-        _number(checked), F.lit(" row(s) checked, "), _number(beyond),
-        F.lit(f" beyond ±{tolerance_pct:g}% (worst "), text.one_digit(worst), F.lit("%)"),
+def _balanced(tolerance_pct: float) -> str:
+    detail = (
+        f"concat(checked, ' row(s) checked, ', beyond, ' beyond ±{tolerance_pct:g}% (worst ', "
+        f"{text.one_digit('worst')}, '%)')"
     )
-    return _check("grid_balance", beyond == 0, "warn", detail, beyond, checked, worst)
+    return _check("grid_balance", "beyond = 0", "'warn'", detail, "beyond", "checked", "worst")
 
 
 def check_balance(rows: DataFrame, layout: Layout = GRID, tolerance_pct: float = 5.0) -> DataFrame:
-    return _emit(
-        rows.agg(*_balance_facts(layout, tolerance_pct, F.lit(True))), _balanced(tolerance_pct)
-    )
+    return _emit(_facts(rows, *_balance_facts(layout, tolerance_pct, "true")), _balanced(tolerance_pct))
 
 
 # -- freshness and day_completeness -------------------------------------------------------------
 
 
-def _freshness_facts(raw: DataFrame, layout: Layout) -> DataFrame:
-    newest = raw.agg(F.max(F.when(observed(layout.consumption), F.col(layout.key))).alias("last"))
-    dtype = clock.type_of(newest, "last")
-    return newest.select(
-        clock.utc_wall(F.col("last"), dtype).alias("last"),
-        clock.micros(F.col("last"), dtype).alias("last_micros"),
+def newest_observed(raw: DataFrame, layout: Layout = GRID, *facts: str) -> DataFrame:
+    """One row: ``last`` (UTC wall clock) and ``last_micros`` of the newest observed key."""
+    dtype = clock.type_of(raw, layout.key)
+    newest = f"max({layout.key}) FILTER (WHERE {observed(layout.consumption)})"
+    return _facts(
+        raw,
+        *facts,
+        f"{clock.utc_wall(newest, dtype)} AS last",
+        f"{clock.micros(newest, dtype)} AS last_micros",
     )
 
 
-def lag_hours(last_micros: Column, now: datetime) -> Column:
+def lag_hours(last_micros: str, now: datetime) -> str:
     """Hours from an instant to ``now``, never negative; null without an instant."""
-    lag = (F.lit(clock.micros_of(now)) - last_micros).cast("double") / F.lit(3_600_000_000.0)
-    return F.when(last_micros.isNotNull(), F.greatest(lag, F.lit(0.0)))
-
-
-def _fresh(now: datetime, warn_hours: float, fail_hours: float) -> Column:
-    lag = lag_hours(F.col("last_micros"), now)
-    detail = F.when(lag.isNull(), "no observed rows in the warehouse").otherwise(
-        F.concat(
-            F.lit("last observed quarter-hour "),
-            F.date_format("last", "yyyy-MM-dd HH:mm"),
-            F.lit(" UTC ("),
-            text.one_digit(lag),
-            F.lit(" h ago)"),
-        )
+    lag = f"CAST({clock.micros_of(now)}L - {last_micros} AS double) / 3600000000.0D"
+    return f"CASE WHEN {last_micros} IS NOT NULL THEN greatest({lag}, 0.0D) END"
+
+
+def _fresh(now: datetime, warn_hours: float, fail_hours: float) -> str:
+    lag = lag_hours("last_micros", now)
+    detail = f"""CASE WHEN last IS NULL THEN 'no observed rows in the warehouse' ELSE
+        concat('last observed quarter-hour ', date_format(last, 'yyyy-MM-dd HH:mm'), ' UTC (',
+               {text.one_digit(f'({lag})')}, ' h ago)') END"""
+    return _check(
+        "freshness",
+        f"coalesce({lag} <= {float(warn_hours)}D, false)",
+        f"CASE WHEN {lag} <= {float(fail_hours)}D THEN 'warn' ELSE 'fail' END",
+        detail,
+        measure=lag,
     )
-    severity = F.when(lag <= fail_hours, "warn").otherwise("fail")
-    passed = F.coalesce(lag <= warn_hours, F.lit(False))
-    return _check("freshness", passed, severity, detail, measure=lag)
 
 
 def check_freshness(
@@ -349,34 +314,26 @@ def check_freshness(
     fail_hours: float = 48.0,
     layout: Layout = GRID,
 ) -> DataFrame:
-    return _emit(_freshness_facts(raw, layout), _fresh(now, warn_hours, fail_hours))
+    return _emit(newest_observed(raw, layout), _fresh(now, warn_hours, fail_hours))
 
 
 def observed_days(raw: DataFrame, layout: Layout = GRID, zone: str = clock.PARIS) -> DataFrame:
-    day = clock.local_day(F.col(layout.key), clock.type_of(raw, layout.key), zone)
-    return (
-        raw.where(observed(layout.consumption))
-        .groupBy(day.alias("day"))
-        .agg(F.count(F.lit(1)).alias("quarters"))
-    )
+    day = clock.local_day(layout.key, clock.type_of(raw, layout.key), zone)
+    rows = raw.where(observed(layout.consumption))
+    return rows.groupBy(F.expr(f"{day} AS day")).agg(F.expr("count(1) AS quarters"))
 
 
 def _completeness_facts(raw: DataFrame, layout: Layout) -> DataFrame:
     """The second newest local day that has observed rows; nulls without one."""
     finished = observed_days(raw, layout).orderBy(F.desc("day")).offset(1).limit(1)
-    return finished.agg(F.max("day").alias("day"), F.max("quarters").alias("quarters"))
+    return _facts(finished, "max(day) AS day", "max(quarters) AS quarters")
 
 
-def _complete() -> Column:
-    day, quarters = F.col("day"), F.col("quarters")
-    passed = F.coalesce(quarters.isin(*WHOLE_DAYS), F.lit(True))
-    detail = F.when(day.isNull(), "not enough history for a finished day yet").otherwise(
-        F.concat(
-            day.cast("string"), F.lit(": "), _number(quarters),
-            F.lit(" observed quarter-hour(s) (expected 96, DST days 92/100)"),
-        )
-    )
-    return _check("day_completeness", passed, "warn", detail, quarters)
+def _complete() -> str:
+    detail = """CASE WHEN day IS NULL THEN 'not enough history for a finished day yet' ELSE
+        concat(day, ': ', quarters, ' observed quarter-hour(s) (expected 96, DST days 92/100)') END"""
+    passed = f"coalesce(quarters IN {WHOLE_DAYS}, true)"
+    return _check("day_completeness", passed, "'warn'", detail, "quarters")
 
 
 def check_completeness(raw: DataFrame, layout: Layout = GRID) -> DataFrame:
@@ -389,7 +346,7 @@ def check_completeness(raw: DataFrame, layout: Layout = GRID) -> DataFrame:
 def _one_row(parts: list[DataFrame]) -> DataFrame:
     """Several one-row frames with different columns -> one row holding all of them."""
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])
+    return _facts(stacked, *[f"max({name}) AS {name}" for name in stacked.columns])
 
 
 def batch_checks(
@@ -402,20 +359,28 @@ def batch_checks(
     """The six checks a batch must face before anything is loaded.
 
     ``rows`` holds accepted and rejected records alike, as the contract leaves them.
+    Pass a written batch: it is read three times (facts, keys, examples), each time
+    with only the columns that are needed.
     """
-    ok = F.col(reject).isNull()
-    seen = ok & observed(layout.consumption)
-    wall = clock.utc_wall(F.col(layout.key), clock.type_of(rows, layout.key))
-    facts = rows.agg(
+    ok = f"{reject} IS NULL"
+    seen = f"({ok} AND {observed(layout.consumption)})"
+    wall = clock.utc_wall(layout.key, clock.type_of(rows, layout.key))
+    facts = _facts(
+        rows,
         *_coercion_facts(reject, seq),
-        *_alignment_facts(wall, seq, reject),
+        *_alignment_facts(wall, seq, ok),
         *_range_facts(layout.bounded, seen),
         *_balance_facts(layout, tolerance_pct, seen),
     )
     examples = range_examples(rows.where(seen), layout.bounded, layout.key, seq)
     summary = _one_row([facts, _key_facts(rows.where(ok), [layout.key]), _example_facts(examples)])
     return _emit(
-        summary, _coercion(), _not_empty(), _unique(), _aligned(), _plausible(),
+        summary,
+        _coercion(),
+        _not_empty(),
+        _unique(),
+        _aligned(),
+        _plausible(),
         _balanced(tolerance_pct),
     )
 
@@ -428,62 +393,47 @@ def warehouse_checks(
     layout: Layout = GRID,
 ) -> DataFrame:
     """The two checks on the stored table after a load."""
-    summary = _one_row([_freshness_facts(raw, layout), _completeness_facts(raw, layout)])
+    summary = _one_row([newest_observed(raw, layout), _completeness_facts(raw, layout)])
     return _emit(summary, _fresh(now, warn_hours, fail_hours), _complete())
 
 
 # -- report -------------------------------------------------------------------------------------------
 
 
+def _status() -> str:
+    return """CASE WHEN coalesce(bool_or(NOT passed AND severity = 'fail'), false) THEN 'fail'
+        WHEN coalesce(bool_or(NOT passed), false) THEN 'warn' ELSE 'pass' END AS status"""
+
+
 def status(checks: DataFrame) -> DataFrame:
     """One row: ``fail`` over ``warn`` over ``pass``."""
-    return _folded(checks)
+    return _facts(checks, _status())
 
 
 def failures(checks: DataFrame) -> DataFrame:
-    return checks.where(~F.col("passed"))
-
-
-def _folded(checks: DataFrame, *lists: Column) -> DataFrame:
-    """Status and the ordered lists of at most eight checks, in one row."""
-    failed = ~F.col("passed")
-    return checks.agg(
-        F.when(F.coalesce(F.bool_or(failed & (F.col("severity") == "fail")), F.lit(False)), "fail")
-        .when(F.coalesce(F.bool_or(failed), F.lit(False)), "warn")
-        .otherwise("pass")
-        .alias("status"),
-        *lists,
-    )
+    return checks.where("NOT passed")
 
 
 def report(checks: DataFrame) -> DataFrame:
     """One row: ``status``, the ordered ``checks`` (at most eight), ``markdown`` and ``json``."""
-    everything = F.struct(
-        "position", "name", "passed", "severity", "detail", "counted", "total", "measure"
+    columns = "position, name, passed, severity, detail, counted, total, measure"
+    listed = f"array_sort(collect_list(struct({columns}))) AS checks"
+    line = (
+        "c -> concat('| ', c.name, ' | ', if(c.passed, 'ok', upper(c.severity)), ' | ', c.detail, ' |')"
     )
-    listed = F.array_sort(F.collect_list(everything)).alias("checks")
-    return _folded(checks, listed).select(
-        "status", "checks", _markdown().alias("markdown"), _json().alias("json")
+    icons = ", ".join(f"'{state}', '{icon}'" for state, icon in ICONS.items())
+    head = f"concat('## Data quality — ', map({icons})[status], ' ', upper(status))"
+    frame = f"array({head}, '', '| check | result | detail |', '|---|---|---|')"
+    plain = (
+        "transform(checks, c -> named_struct('name', c.name, 'passed', c.passed, "
+        "'severity', c.severity, 'detail', c.detail))"
+    )
+    return _facts(checks, _status(), listed).selectExpr(
+        "status",
+        "checks",
+        f"array_join(concat({frame}, transform(checks, {line})), '\\n') AS markdown",
+        f"to_json(named_struct('status', status, 'checks', {plain})) AS json",
     )
-
-
-def _markdown() -> Column:
-    def line(check: Column) -> Column:
-        result = F.when(check["passed"], "ok").otherwise(F.upper(check["severity"]))
-        return F.concat(
-            F.lit("| "), check["name"], F.lit(" | "), result, F.lit(" | "), check["detail"], F.lit(" |")
-        )
-
-    icon = F.create_map(*[F.lit(word) for pair in ICONS.items() for word in pair])
-    head = F.concat(F.lit("## Data quality — "), icon[F.col("status")], F.lit(" "), F.upper("status"))
-    frame = F.array(head, F.lit(""), F.lit("| check | result | detail |"), F.lit("|---|---|---|"))
-    return F.array_join(F.concat(frame, F.transform("checks", line)), "\n")
-
-
-def _json() -> Column:
-    names = ("name", "passed", "severity", "detail")
-    plain = F.transform("checks", lambda check: F.struct(*[check[n].alias(n) for n in names]))
-    return F.to_json(F.struct("status", plain.alias("checks")))
 
 
 def markdown(checks: DataFrame) -> DataFrame:

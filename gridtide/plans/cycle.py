@@ -10,6 +10,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from gridtide.functions import clock
 from gridtide.operators import quality
 from gridtide.operators.contract import GRID, Layout, accepted, apply_contract
 from gridtide.operators.incremental import Params, collect_window, compute_window
@@ -89,19 +90,16 @@ def table_source(rows: DataFrame, layout: Layout = GRID) -> Source:
     """
 
     def fetch(start: datetime, end: datetime) -> DataFrame:
-        from gridtide.functions import clock
-
         kept = landing.scan_window(rows, layout.key, start, end, ordered=False)
         dtype = clock.type_of(rows, layout.key)
-        stamp = F.date_format(
-            clock.utc_wall(F.col(layout.key), dtype), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
+        wall = clock.utc_wall(layout.key, dtype)
+        stamp = f"concat(date_format({wall}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+00:00')"
+        columns = ", ".join(
+            f"{stamp if name == layout.key else name} AS {name}" for name in rows.columns
         )
-        columns = [
-            stamp.alias(layout.key) if name == layout.key else F.col(name) for name in rows.columns
-        ]
-        record = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-        return kept.select(
-            clock.micros(F.col(layout.key), dtype).alias("seq"), record.alias("record")
+        return kept.selectExpr(
+            f"{clock.micros(layout.key, dtype)} AS seq",
+            f"to_json(struct({columns}), map('ignoreNullFields', 'false')) AS record",
         )
 
     return fetch

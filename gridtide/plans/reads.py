@@ -7,18 +7,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.functions import clock
 from gridtide.operators import ledger, quality
-from gridtide.operators.contract import GRID, Layout, observed
+from gridtide.operators.contract import GRID, Layout
 from gridtide.plans.store import Store
 
 MAX_DAYS = 365
 
 
-def _joined(*parts: DataFrame) -> DataFrame:
-    return quality._one_row(list(parts))
-
-
 def health(
     raw: DataFrame,
     runs: DataFrame,
@@ -27,17 +22,14 @@ def health(
     layout: Layout = GRID,
 ) -> DataFrame:
     """One row: ``empty``, ``stale`` or ``ok``, the newest observation and the newest run."""
-    newest = raw.agg(F.max(F.when(observed(layout.consumption), F.col(layout.key))).alias("last"))
-    dtype = clock.type_of(newest, "last")
-    last = newest.select(
-        clock.utc_wall(F.col("last"), dtype).alias("last_observed"),
-        clock.micros(F.col("last"), dtype).alias("last_micros"),
-    )
-    run = runs.agg(F.max(F.struct("run_id", "status", "finished_at")).alias("last_run"))
-    lag = quality.lag_hours(F.col("last_micros"), now)
-    state = F.when(lag.isNull(), "empty").when(lag > stale_hours, "stale").otherwise("ok")
-    return _joined(last, run).select(
-        state.alias("status"), "last_observed", F.round(lag, 1).alias("lag_hours"), "last_run"
+    run = runs.agg(F.expr("max(struct(run_id, status, finished_at)) AS last_run"))
+    lag = quality.lag_hours("last_micros", now)
+    return quality._one_row([quality.newest_observed(raw, layout), run]).selectExpr(
+        f"CASE WHEN last IS NULL THEN 'empty' WHEN {lag} > {float(stale_hours)}D THEN 'stale' "
+        "ELSE 'ok' END AS status",
+        "last AS last_observed",
+        f"round({lag}, 1) AS lag_hours",
+        "last_run",
     )
 
 
@@ -52,14 +44,11 @@ def status(
     raw: DataFrame, runs: DataFrame, now: datetime, layout: Layout = GRID
 ) -> tuple[DataFrame, DataFrame]:
     """The summary row (row count, newest observation, lag) and the last runs."""
-    dtype = clock.type_of(raw, layout.key)
-    key = F.max(F.when(observed(layout.consumption), F.col(layout.key)))
-    facts = raw.agg(F.count(F.lit(1)).alias("raw_rows"), key.alias("last"))
-    last_micros = clock.micros(F.col("last"), dtype)
-    summary = facts.select(
+    facts = quality.newest_observed(raw, layout, "count(1) AS raw_rows")
+    summary = facts.selectExpr(
         "raw_rows",
-        clock.utc_wall(F.col("last"), dtype).alias("last_observed"),
-        quality.lag_hours(last_micros, now).alias("lag_hours"),
+        "last AS last_observed",
+        f"{quality.lag_hours('last_micros', now)} AS lag_hours",
     )
     return summary, ledger.status_lines(runs)
 

@@ -47,18 +47,20 @@ class Store:
         so its cost follows the recent dates and not the history.
         """
         days = self.table.days()
-        key, zone_day = self.layout.key, None
+        key = self.layout.key
         reach = TAIL_DAYS
         while True:
             kept = days[-reach:]
             rows = self.table.read_days(kept)
             if len(kept) == len(days):
                 return rows
-            zone_day = clock.local_day(F.col(key), clock.type_of(rows, key))
+            dtype = clock.type_of(rows, key)
             found = (
                 rows.where(observed(self.layout.consumption))
-                .agg(F.max(key).alias("newest"), F.count_distinct(zone_day).alias("days"))
-                .select(F.unix_micros("newest").alias("newest"), "days")
+                .selectExpr(
+                    f"max({clock.micros(key, dtype)}) AS newest",
+                    f"count(DISTINCT {clock.local_day(key, dtype)}) AS days",
+                )
                 .first()
             )
             newest = clock.moment_of(found["newest"])
@@ -90,7 +92,7 @@ class Store:
         build = dict(marts.MARTS)[name]
         empty = self.spark.createDataFrame([], self.table.schema)
         schema = build(empty, self.layout).schema
-        return marts.in_order(name, self.spark.read.schema(schema).parquet(path))
+        return marts.in_order(name, self.spark.read.schema(schema).parquet(path).drop(MONTH))
 
     def build_marts(self, touched: Iterable[date] | None = None) -> list[str]:
         """Rebuild every mart in order; returns their names.

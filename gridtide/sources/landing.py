@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtide.functions import clock
 
-_OPTIONS = {"allowSingleQuotes": "false"}
-
 
 class PayloadError(RuntimeError):
     """A landed payload is not an array of records."""
@@ -26,17 +24,19 @@ def scan_window(
     """
     dtype = clock.type_of(rows, key)
     lower, upper = (clock.literal(bound.replace(microsecond=0), dtype) for bound in (start, end))
-    kept = rows.where((F.col(key) >= lower) & (F.col(key) < upper))
+    kept = rows.where(f"{key} >= {lower} AND {key} < {upper}")
     return kept.orderBy(key) if ordered else kept
 
 
 # -- payload shape ------------------------------------------------------------------
 
 
-def _elements(payload: Column) -> Column:
-    """Element texts of a JSON array; null for anything else."""
-    closed = F.rtrim(payload).endswith("]")
-    return F.when(closed, F.from_json(payload, "array<string>", _OPTIONS))
+_STRICT = "map('allowSingleQuotes', 'false')"
+
+
+def _closes_with(payload: str, bracket: str) -> str:
+    """The parser stops at the closing bracket, so what follows it is checked here."""
+    return f"endswith(trim(TRAILING ' \\t\\r\\n' FROM {payload}), '{bracket}')"
 
 
 def triage(payloads: DataFrame, payload: str = "payload") -> DataFrame:
@@ -44,20 +44,19 @@ def triage(payloads: DataFrame, payload: str = "payload") -> DataFrame:
 
     An object is the upstream's way to report an error; its message is passed on.
     """
-    text = F.col(payload)
-    members = F.when(
-        F.rtrim(text).endswith("}"), F.from_json(text, "map<string,string>", _OPTIONS)
-    )
-    spoken = lambda name: F.nullif(members[name], F.lit(""))
-    message = F.coalesce(spoken("message"), spoken("error_code"), F.lit("unknown error"))
-    scalar = F.expr(f"schema_of_variant(try_parse_json(`{payload}`))")
-    problem = (
-        F.when(F.col("elements").isNotNull(), F.lit(None))
-        .when(members.isNotNull(), F.concat(F.lit("API error: "), message))
-        .when(~text.rlike(r"^\s*[\[{]") & scalar.isNotNull(), F.concat(F.lit("unexpected payload shape: "), F.lower(scalar)))
-        .otherwise("invalid JSON")
-    )
-    return payloads.withColumn("elements", _elements(text)).withColumn("problem", problem)
+    elements = f"""CASE WHEN {_closes_with(payload, ']')}
+        THEN from_json({payload}, 'array<string>', {_STRICT}) END AS elements"""
+    members = f"""CASE WHEN elements IS NULL AND {_closes_with(payload, '}')}
+        THEN from_json({payload}, 'map<string,string>', {_STRICT}) END AS _members"""
+    scalar = f"schema_of_variant(try_parse_json({payload}))"
+    problem = f"""CASE WHEN elements IS NOT NULL THEN NULL
+        WHEN _members IS NOT NULL THEN concat('API error: ', coalesce(
+            nullif(_members['message'], ''), nullif(_members['error_code'], ''), 'unknown error'))
+        WHEN NOT {payload} RLIKE r'^\\s*[\\[{{]' AND {scalar} IS NOT NULL
+            THEN concat('unexpected payload shape: ', lower({scalar}))
+        ELSE 'invalid JSON' END AS problem"""
+    rows = payloads.selectExpr("*", elements).selectExpr("*", members)
+    return rows.selectExpr("*", problem).drop("_members")
 
 
 def explode_records(triaged: DataFrame, origin: str = "origin") -> DataFrame:
@@ -66,14 +65,16 @@ def explode_records(triaged: DataFrame, origin: str = "origin") -> DataFrame:
     A broken payload becomes a single row that carries its ``problem``, so that
     payloads are parsed once and no batch vanishes silently.
     """
-    nothing = F.array(F.lit(None).cast("string"))
-    spread = triaged.select(
-        F.col(origin).alias("_origin"),
+    spread = triaged.selectExpr(
+        f"{origin} AS _origin",
+        "problem",
+        "posexplode(coalesce(elements, array(CAST(NULL AS string)))) AS (_pos, record)",
+    )
+    return spread.selectExpr(
+        "named_struct('origin', _origin, 'pos', CAST(_pos AS bigint)) AS seq",
+        "coalesce(record, 'null') AS record",
         "problem",
-        F.posexplode(F.coalesce("elements", nothing)).alias("_pos", "record"),
     )
-    seq = F.struct(F.col("_origin").alias("origin"), F.col("_pos").cast("long").alias("pos"))
-    return spread.select(seq.alias("seq"), F.coalesce("record", F.lit("null")).alias("record"), "problem")
 
 
 def read_export_files(spark: SparkSession, path: str) -> DataFrame:

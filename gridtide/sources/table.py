@@ -100,13 +100,15 @@ class KeyedTable:
             scratch.delete(self.spark, stage)
             return Loaded(0, 0, ())
 
-        day = clock.utc_day(F.col(self.time), clock.type_of(batch, self.time))
-        touched = self._touched(batch.select(day.alias(DAY)))
+        day = f"{clock.utc_day(self.time, clock.type_of(batch, self.time))} AS {DAY}"
+        touched = self._touched(batch.selectExpr(day))
         existing = self.read_days(touched)
         before = existing.count()
         rows = batch if seq is None else merge.last_per_key(batch, self.keys, seq)
-        rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
-        merged = merge.merge_rows(existing, rows, self.keys).withColumn(DAY, day)
+        rows = rows.selectExpr(
+            *[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in self.schema]
+        )
+        merged = merge.merge_rows(existing, rows, self.keys).selectExpr("*", day)
         # Rebalancing gives files of even size: a date holding most rows is split over tasks.
         merged.hint("rebalance", F.col(DAY)).write.partitionBy(DAY).parquet(f"{stage}/merged")
         inserted = self._staged(stage).count() - before

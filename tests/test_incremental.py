@@ -76,6 +76,8 @@ def test_scan_bounds_reach_the_files(spark, tmp_path):
 PAYLOADS = {
     '[{"a":1},{"a":null}]': None,
     "[]": None,
+    '[{"a":1}]\r\n': None,
+    '{"message":"down"}\n': "API error: down",
     '  [{"a": {"z": [1, 2.5]}}]  ': None,
     '{"error_code":"E","message":"unexpected token"}': "API error: unexpected token",
     '{"error_code":"E"}': "API error: E",
