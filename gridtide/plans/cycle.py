@@ -15,6 +15,7 @@ from gridtide.operators import quality
 from gridtide.operators.contract import GRID, Layout, accepted, apply_contract
 from gridtide.operators.incremental import Params, collect_window, compute_window
 from gridtide.plans.store import Store
+from gridtide.plans.together import together
 from gridtide.sources import landing, scratch
 
 #: (window start, window end) -> records as (seq, record) with an optional ``problem``.
@@ -109,7 +110,7 @@ def load_batch(
     store: Store,
     records: DataFrame,
     opened: dict,
-    now: datetime | None,
+    now: datetime,
     params: Params,
     started: float,
 ) -> RunOutcome:
@@ -141,13 +142,15 @@ def load_batch(
         # The gate has shown the keys to be unique, so no row order has to be settled.
         loaded = store.table.upsert(rows.withColumn("ingested_at", loaded_at), None, staged=True)
         counts |= {"rows_inserted": loaded.inserted, "rows_updated": loaded.updated}
-        built = store.build_marts(loaded.days)
-        seen = spark.createDataFrame(report["checks"], quality.CHECK)
-        moment = now or datetime.now(timezone.utc)
+        tail = store.tail()
         after = quality.warehouse_checks(
-            store.tail(), moment, params.freshness_warn_hours, params.freshness_fail_hours, layout
+            tail, now, params.freshness_warn_hours, params.freshness_fail_hours, layout
+        )
+        seen = spark.createDataFrame(report["checks"], quality.CHECK)
+        built, report = together(
+            lambda: store.build_marts(loaded.days, tail),
+            lambda: quality.report(seen.unionByName(after)).first(),
         )
-        report = quality.report(seen.unionByName(after)).first()
 
     store.finish_run(opened, report["status"], quality=report["json"], **counts)
     scratch.delete(spark, stage)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import date, datetime, timedelta, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from gridtide.functions import clock
 from gridtide.operators import ledger, marts
 from gridtide.operators.contract import GRID, Layout, observed, table_schema
 from gridtide.operators.incremental import watermark
+from gridtide.plans.together import together
 from gridtide.sources import scratch
 from gridtide.sources.table import KeyedTable
 
@@ -24,6 +26,10 @@ class MartNotBuilt(LookupError):
     """A mart was read before any cycle built it."""
 
 
+class MartFailed(RuntimeError):
+    """A mart could not be rebuilt; the message names it."""
+
+
 class Store:
     def __init__(self, spark: SparkSession, base: str, layout: Layout = GRID) -> None:
         self.spark = spark
@@ -94,23 +100,30 @@ class Store:
         schema = build(empty, self.layout).schema
         return marts.in_order(name, self.spark.read.schema(schema).parquet(path).drop(MONTH))
 
-    def build_marts(self, touched: Iterable[date] | None = None) -> list[str]:
-        """Rebuild every mart in order; returns their names.
+    def build_marts(
+        self, touched: Iterable[date] | None = None, tail: DataFrame | None = None
+    ) -> list[str]:
+        """Rebuild every mart; returns their names in build order.
 
         ``touched`` are the UTC dates changed since the daily mart was built: then
-        only the months they fall in are recomputed, otherwise all of it.
+        only the months they fall in are recomputed, otherwise all of it. The other
+        marts need no more than the table's ``tail``.
         """
-        built = []
-        for name, build in marts.MARTS:
-            path = self._mart_path(name)
-            if build is marts.daily:
-                if touched is None or not self._daily_months(path, set(touched)):
-                    self._daily_whole(path)
-            else:
-                mart = marts.in_order(name, build(self.tail(), self.layout))
+        recent = self.tail() if tail is None else tail
+        days = None if touched is None else set(touched)
+        together(*[partial(self._build, name, build, days, recent) for name, build in marts.MARTS])
+        return [name for name, _ in marts.MARTS]
+
+    def _build(self, name: str, build: Callable, touched: set[date] | None, recent: DataFrame) -> None:
+        path = self._mart_path(name)
+        try:
+            if build is not marts.daily:
+                mart = marts.in_order(name, build(recent, self.layout))
                 mart.write.mode("overwrite").parquet(path)
-            built.append(name)
-        return built
+            elif touched is None or not self._daily_months(path, touched):
+                self._daily_whole(path)
+        except Exception as problem:
+            raise MartFailed(f"mart {name} failed: {problem}") from problem
 
     def _write_daily(self, path: str, rows: DataFrame, mode: str) -> None:
         month = F.date_format("day", "yyyy-MM")
