@@ -17,21 +17,20 @@ def last_per_key(batch: DataFrame, keys: list[str], seq: str = "seq") -> DataFra
     return batch.groupBy(*keys).agg(last).select("_last.*")
 
 
-def merge_rows(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """``existing`` with every row whose key is in ``batch`` replaced.
+def upsert(
+    existing: DataFrame, batch: DataFrame, keys: list[str], seq: str | None = "seq"
+) -> DataFrame:
+    """``existing`` with every row whose key occurs in ``batch`` replaced.
 
-    ``batch`` must hold each key once. Revisions overwrite all non-key columns,
-    nulls included. Join strategy is left to Catalyst: a batch read back from a
-    file has known size, so a small one is broadcast and the table is not shuffled.
+    Revisions overwrite all non-key columns, nulls included. ``seq=None`` states
+    that the batch holds each key once. The join looks at the batch's plain keys,
+    so it needs no result of the reduction, and its strategy is left to Catalyst:
+    a batch read from files has a known size, so a small one is broadcast and the
+    table is not shuffled.
     """
     kept = existing.join(batch.select(*keys), keys, "left_anti")
-    return kept.unionByName(batch)
-
-
-def upsert(
-    existing: DataFrame, batch: DataFrame, keys: list[str], seq: str = "seq"
-) -> DataFrame:
-    return merge_rows(existing, last_per_key(batch, keys, seq), keys)
+    last = batch if seq is None else last_per_key(batch, keys, seq)
+    return kept.unionByName(last)
 
 
 def upsert_counts(

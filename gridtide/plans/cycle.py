@@ -148,6 +148,7 @@ def load_batch(
         )
         seen = spark.createDataFrame(report["checks"], quality.CHECK)
         built, report = together(
+            spark,
             lambda: store.build_marts(loaded.days, tail),
             lambda: quality.report(seen.unionByName(after)).first(),
         )

@@ -111,7 +111,8 @@ class Store:
         """
         recent = self.tail() if tail is None else tail
         days = None if touched is None else set(touched)
-        together(*[partial(self._build, name, build, days, recent) for name, build in marts.MARTS])
+        steps = [partial(self._build, name, build, days, recent) for name, build in marts.MARTS]
+        together(self.spark, *steps)
         return [name for name, _ in marts.MARTS]
 
     def _build(self, name: str, build: Callable, touched: set[date] | None, recent: DataFrame) -> None:

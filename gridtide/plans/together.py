@@ -7,14 +7,15 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 from pyspark import inheritable_thread_target
+from pyspark.sql import SparkSession
 
 
-def together(*steps: Callable[[], Any]) -> list[Any]:
+def together(spark: SparkSession, *steps: Callable[[], Any]) -> list[Any]:
     """Results in the order given; the first failing step, in that order, raises.
 
     Each step only waits for its own jobs, so small ones need not queue behind
     each other. All steps are finished when this returns or raises.
     """
     with ThreadPoolExecutor(len(steps)) as pool:
-        running = [pool.submit(inheritable_thread_target(step)) for step in steps]
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
     return [step.result() for step in running]

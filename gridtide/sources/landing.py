@@ -83,7 +83,7 @@ def read_export_files(spark: SparkSession, path: str) -> DataFrame:
     A file is parsed by one task, so parallelism comes from many files; land
     JSON lines for large backfills.
     """
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("origin"), F.col("value").alias("payload")
     )
 

@@ -12,17 +12,22 @@ from pyspark.sql import SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only where none is set (tests)."""
-    named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(
-        CHECKPOINT_KEY, None
-    )
+    """The shared folder the cluster names; a folder of our own only on a local master."""
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY, None)
     if named:
         return named.rstrip("/")
-    local = tempfile.mkdtemp(prefix="gridtide-")
-    atexit.register(shutil.rmtree, local, ignore_errors=True)
-    spark.conf.set(CHECKPOINT_KEY, local)
-    return local
+    if not context.master.startswith("local"):
+        raise RuntimeError(f"{CHECKPOINT_KEY} must name a folder that all executors share")
+    if context.applicationId not in _own:
+        folder = tempfile.mkdtemp(prefix="gridtide-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _own[context.applicationId] = folder
+    return _own[context.applicationId]
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

@@ -104,11 +104,9 @@ class KeyedTable:
         touched = self._touched(batch.selectExpr(day))
         existing = self.read_days(touched)
         before = existing.count()
-        rows = batch if seq is None else merge.last_per_key(batch, self.keys, seq)
-        rows = rows.selectExpr(
-            *[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in self.schema]
-        )
-        merged = merge.merge_rows(existing, rows, self.keys).selectExpr("*", day)
+        typed = [f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in self.schema]
+        rows = batch.selectExpr(*typed, *([] if seq is None else [seq]))
+        merged = merge.upsert(existing, rows, self.keys, seq).selectExpr("*", day)
         # Rebalancing gives files of even size: a date holding most rows is split over tasks.
         merged.hint("rebalance", F.col(DAY)).write.partitionBy(DAY).parquet(f"{stage}/merged")
         inserted = self._staged(stage).count() - before
