@@ -17,6 +17,7 @@ from gridtide.bindings.tables import (
     readings,
     runs_from,
     stamp,
+    stamp_sql,
     table,
 )
 from gridtide.functions import clock, coerce
@@ -113,7 +114,7 @@ def _contract(spark, sf_dir):
 @query
 def contract_project(spark, sf_dir):
     rows = accepted(_contract(spark, sf_dir))
-    wall = F.expr(clock.utc_wall("ts", clock.INSTANT))
+    wall = clock.utc_wall("ts", clock.INSTANT)
     return rows.select("seq", stamp(wall).alias("ts"), "k", "note")
 
 
@@ -135,7 +136,7 @@ def coerce_integer(spark, sf_dir):
 
 @query
 def coerce_timestamp(spark, sf_dir):
-    wall = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
+    wall = f"replace({stamp_sql('ts')}, ' ', 'T')"
     raw = f"""CASE event_id % 8
         WHEN 0 THEN concat({wall}, 'Z') WHEN 1 THEN concat({wall}, '+02:00') WHEN 2 THEN {wall}
         WHEN 3 THEN 'yesterday' WHEN 4 THEN NULL WHEN 5 THEN concat({wall}, '-05:30')

@@ -22,9 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stamp(column: str | Column) -> Column:
+def stamp_sql(wall: str) -> str:
     """A wall clock as text with all six fraction digits, the same on every engine."""
-    return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    plain = f"CAST({wall} AS string)"
+    return f"rpad(if(length({plain}) = 19, concat({plain}, '.'), {plain}), 26, '0')"
+
+
+def stamp(wall: str) -> Column:
+    return F.expr(stamp_sql(wall))
 
 
 def _whole(columns: dict[str, str]) -> list[str]:
@@ -136,7 +141,7 @@ EVENT_FIELDS = (
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event records as JSON text, one in five of them spoilt by ``event_id``."""
     events = table(spark, sf_dir, "events")
-    wall = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
+    wall = f"replace({stamp_sql('ts')}, ' ', 'T')"
     k = "get_json_object(props, '$.k')"
     rest = f"""CASE event_id % 20
         WHEN 0 THEN ''

@@ -40,10 +40,17 @@ def utc_wall(value: str, dtype: T.DataType) -> str:
 
 
 def micros(value: str, dtype: T.DataType) -> str:
-    """Epoch microseconds of a timestamp of either type."""
+    """Epoch microseconds of a timestamp of either type.
+
+    A wall clock is taken apart field by field: TIMESTAMPDIFF would cast it through
+    the session zone.
+    """
     if is_instant(dtype):
         return f"unix_micros({value})"
-    return f"timestampdiff(MICROSECOND, {_EPOCH_SQL}, {value})"
+    return (
+        f"(unix_date(CAST({value} AS date)) * 86400000000L + hour({value}) * 3600000000L "
+        f"+ minute({value}) * 60000000L + CAST(extract(SECOND FROM {value}) * 1000000 AS bigint))"
+    )
 
 
 def wall_from_micros(value: str) -> str:
@@ -80,7 +87,17 @@ def literal(moment: datetime, dtype: T.DataType) -> str:
     return from_micros(f"{micros_of(moment)}L", dtype)
 
 
+def minute_text(wall: str) -> str:
+    """``yyyy-mm-dd hh:mm``; casts of wall clocks, unlike DATE_FORMAT, know no session zone."""
+    return f"substring(CAST({wall} AS string), 1, 16)"
+
+
 def text(wall: str) -> str:
     """``yyyy-mm-dd hh:mm:ss+00:00``, with six fraction digits only when there are any."""
-    fine = f"date_format({wall}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
-    return f"concat(regexp_replace({fine}, r'\\.000000$', ''), '+00:00')"
+    plain = f"CAST({wall} AS string)"
+    return f"concat(if(length({plain}) > 19, rpad({plain}, 26, '0'), {plain}), '+00:00')"
+
+
+def iso_text(wall: str) -> str:
+    """ISO 8601 with the UTC offset, as a payload carries it."""
+    return f"concat(replace(CAST({wall} AS string), ' ', 'T'), '+00:00')"

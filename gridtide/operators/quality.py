@@ -296,7 +296,7 @@ def lag_hours(last_micros: str, now: datetime) -> str:
 def _fresh(now: datetime, warn_hours: float, fail_hours: float) -> str:
     lag = lag_hours("last_micros", now)
     detail = f"""CASE WHEN last IS NULL THEN 'no observed rows in the warehouse' ELSE
-        concat('last observed quarter-hour ', date_format(last, 'yyyy-MM-dd HH:mm'), ' UTC (',
+        concat('last observed quarter-hour ', {clock.minute_text('last')}, ' UTC (',
                {text.one_digit(f'({lag})')}, ' h ago)') END"""
     return _check(
         "freshness",

@@ -93,8 +93,7 @@ def table_source(rows: DataFrame, layout: Layout = GRID) -> Source:
     def fetch(start: datetime, end: datetime) -> DataFrame:
         kept = landing.scan_window(rows, layout.key, start, end, ordered=False)
         dtype = clock.type_of(rows, layout.key)
-        wall = clock.utc_wall(layout.key, dtype)
-        stamp = f"concat(date_format({wall}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+00:00')"
+        stamp = clock.iso_text(clock.utc_wall(layout.key, dtype))
         columns = ", ".join(
             f"{stamp if name == layout.key else name} AS {name}" for name in rows.columns
         )
