@@ -486,13 +486,10 @@ UNION ALL SELECT 'since', epoch_us(TIMESTAMP '2023-12-01'), epoch_us(TIMESTAMP '
 
 MERGED = f"""
 SELECT event_id, {stamp('ts')} AS ts, user_id,
-  CASE WHEN revised AND event_id % 10 = 0 THEN NULL ELSE event_type END AS event_type,
-  CASE WHEN revised AND event_id % 5 = 0 THEN value + 2 WHEN revised THEN value + 1 ELSE value END
+  CASE WHEN revised AND event_type = 'error' THEN NULL ELSE event_type END AS event_type,
+  CASE WHEN revised AND event_type = 'error' THEN value + 2 WHEN revised THEN value + 1 ELSE value END
     AS value
-FROM (
-  SELECT *, ts >= TIMESTAMP '2024-01-19 00:00:00' AS revised FROM events
-  WHERE ts < TIMESTAMP '2024-01-21 12:00:00'
-)"""
+FROM (SELECT *, ts >= TIMESTAMP '2024-01-19 00:00:00' AS revised FROM events)"""
 for _name in ("upsert_merge", "upsert_idempotent", "stream_upsert"):
     ORACLE[_name] = MERGED
 
@@ -503,8 +500,8 @@ facts AS (
     count(*) FILTER (ts >= TIMESTAMP '2024-01-20') AS fresh,
     count(*) FILTER (ts >= TIMESTAMP '2024-01-19') AS keys,
     count(DISTINCT CAST(ts AS DATE)) FILTER (ts >= TIMESTAMP '2024-01-19') AS batch_days,
-    count(*) FILTER (ts >= TIMESTAMP '2024-01-19' AND event_id % 5 = 0) AS twice
-  FROM events WHERE ts < TIMESTAMP '2024-01-21 12:00:00'
+    count(*) FILTER (ts >= TIMESTAMP '2024-01-19' AND event_type = 'error') AS twice
+  FROM events
 )"""
 
 ORACLE["upsert_counts"] = (
@@ -534,7 +531,7 @@ one AS (
 mark AS (SELECT max(date_heure) AS mark FROM one WHERE consommation IS NOT NULL),
 two AS (
   SELECT grid.* REPLACE (consommation + 1 AS consommation) FROM grid, mark
-  WHERE date_heure >= mark - INTERVAL 24 HOUR AND date_heure < TIMESTAMP '2024-01-22 12:00:00'
+  WHERE date_heure >= mark - INTERVAL 24 HOUR AND date_heure < TIMESTAMP '2024-02-01 12:00:00'
 ),
 after AS (
   SELECT * FROM two
@@ -554,7 +551,7 @@ UNION ALL
 SELECT 2, 'warn', CAST(count(*) AS INTEGER), 0,
   CAST(count(*) FILTER (slot NOT IN (SELECT slot FROM one)) AS INTEGER),
   CAST(count(*) FILTER (slot IN (SELECT slot FROM one)) AS INTEGER),
-  (SELECT epoch_us(mark) - 86400000000 FROM mark), epoch_us(TIMESTAMP '2024-01-22 12:00:00') FROM two"""
+  (SELECT epoch_us(mark) - 86400000000 FROM mark), epoch_us(TIMESTAMP '2024-02-01 12:00:00') FROM two"""
 
 ORACLE["mart_daily_incremental"] = f"WITH {RUNS_CTE}\n{daily('after')}"
 

@@ -349,18 +349,12 @@ def _base_events(spark, sf_dir):
 
 
 def _revisions(spark, sf_dir):
-    """Late revisions of two and a half days, every fifth event revised twice in one batch."""
-    events = table(spark, sf_dir, "events").where(
-        "ts >= timestamp_ntz'2024-01-19 00:00:00' AND ts < timestamp_ntz'2024-01-21 12:00:00'"
-    )
-    first = events.withColumn("value", F.expr("value + 1")).withColumn("seq", F.lit(1))
-    second = (
-        events.where("event_id % 5 = 0")
-        .withColumn("value", F.expr("value + 2"))
-        .withColumn("event_type", F.expr("CASE WHEN event_id % 10 <> 0 THEN event_type END"))
-        .withColumn("seq", F.lit(2))
-    )
-    return first.unionByName(second)
+    """Everything after the base and late revisions of its last day; errors come twice."""
+    events = table(spark, sf_dir, "events").where("ts >= timestamp_ntz'2024-01-19 00:00:00'")
+    once = "named_struct('value', value + 1, 'event_type', event_type, 'seq', 1)"
+    again = "named_struct('value', value + 2, 'event_type', CAST(NULL AS string), 'seq', 2)"
+    copies = f"inline(CASE WHEN event_type = 'error' THEN array({once}, {again}) ELSE array({once}) END)"
+    return events.selectExpr("event_id", "ts", "user_id", "props", copies)
 
 
 def _events_out(rows):
@@ -429,7 +423,7 @@ def _two_runs(spark, sf_dir, label):
     first = cycle.run_cycle(
         spark, base, cycle.table_source(rows), now=at(2024, 1, 20), since=at(2024, 1, 1)
     )
-    second = cycle.run_cycle(spark, base, cycle.table_source(revised), now=at(2024, 1, 21))
+    second = cycle.run_cycle(spark, base, cycle.table_source(revised), now=at(2024, 1, 31))
     return base, first, second
 
 

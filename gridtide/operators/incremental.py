@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass, fields
 from datetime import datetime, timezone
 
@@ -31,6 +32,25 @@ class Params:
                 if not isinstance(value, int) or value < 1:
                     raise ValueError(f"{field.name} must be >= 1")
 
+    @classmethod
+    def load(cls, **overrides: float | None) -> Params:
+        """Defaults, then ``GRIDTIDE_<NAME>`` variables, then arguments that are not None."""
+        given: dict = {}
+        for field in fields(cls):
+            value = overrides.pop(field.name, None)
+            if value is None:
+                value = os.environ.get(f"GRIDTIDE_{field.name.upper()}")
+            if value is None:
+                continue
+            kind = type(field.default)
+            try:
+                given[field.name] = kind(value)
+            except ValueError as problem:
+                raise ValueError(f"{field.name}: {problem}") from problem
+        if overrides:
+            raise ValueError(f"unknown parameters: {sorted(overrides)}")
+        return cls(**given)
+
 
 def as_utc(moment: datetime | str) -> datetime:
     """A moment or ISO 8601 text; naive text and naive moments mean UTC."""

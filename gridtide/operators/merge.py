@@ -23,12 +23,13 @@ def upsert(
     """``existing`` with every row whose key occurs in ``batch`` replaced.
 
     Revisions overwrite all non-key columns, nulls included. ``seq=None`` states
-    that the batch holds each key once. The join looks at the batch's plain keys,
-    so it needs no result of the reduction, and its strategy is left to Catalyst:
-    a batch read from files has a known size, so a small one is broadcast and the
+    that the batch holds each key once; otherwise copies of a key are dropped inside
+    the tasks before the join sees them. The join strategy is left to Catalyst: a
+    batch read from files has a known size, so a small one is broadcast and the
     table is not shuffled.
     """
-    kept = existing.join(batch.select(*keys), keys, "left_anti")
+    arriving = batch.select(*keys) if seq is None else batch.select(*keys).distinct()
+    kept = existing.join(arriving, keys, "left_anti")
     last = batch if seq is None else last_per_key(batch, keys, seq)
     return kept.unionByName(last)
 

@@ -46,6 +46,18 @@ def test_hours_must_be_positive(name):
         Params(**{name: 0})
 
 
+def test_parameters_from_environment_and_arguments(monkeypatch):
+    monkeypatch.setenv("GRIDTIDE_BOOTSTRAP_HOURS", "120")
+    monkeypatch.setenv("GRIDTIDE_OVERLAP_HOURS", "48")
+    loaded = Params.load(overlap_hours=6, horizon_hours=None)
+    assert (loaded.bootstrap_hours, loaded.overlap_hours, loaded.horizon_hours) == (120, 6, 36)
+    monkeypatch.setenv("GRIDTIDE_HORIZON_HOURS", "soon")
+    with pytest.raises(ValueError, match="horizon_hours"):
+        Params.load()
+    with pytest.raises(ValueError, match="speed"):
+        Params.load(horizon_hours=1, speed=2)
+
+
 def test_since_text_without_offset_is_utc():
     assert as_utc("2026-06-01T00:00:00") == at(2026, 6, 1)
     assert as_utc("2026-06-01T02:00:00+02:00") == at(2026, 6, 1)
