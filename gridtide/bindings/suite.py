@@ -268,7 +268,7 @@ def gate_blocks(spark, sf_dir):
     loads = []
     for name, keys in (("orders", ["o_orderkey"]), ("lineitem", ["l_orderkey", "l_linenumber"])):
         rows = table(spark, sf_dir, name)
-        facts = quality._one_row(
+        facts = quality.one_row(
             [
                 rows.agg(F.count(F.lit(1)).alias("rows")),
                 quality.status(quality.check_primary_key(rows, keys)),

@@ -226,7 +226,7 @@ def _plausible() -> str:
 def check_ranges(rows: DataFrame, fields: list[Field], key: str, seq: str = "seq") -> DataFrame:
     facts = _facts(rows, *_range_facts(fields, "true"))
     examples = _example_facts(range_examples(rows, fields, key, seq))
-    return _emit(_one_row([facts, examples]), _plausible())
+    return _emit(one_row([facts, examples]), _plausible())
 
 
 # -- grid_balance ---------------------------------------------------------------------------
@@ -275,13 +275,12 @@ def check_balance(rows: DataFrame, layout: Layout = GRID, tolerance_pct: float =
 # -- freshness and day_completeness -------------------------------------------------------------
 
 
-def newest_observed(raw: DataFrame, layout: Layout = GRID, *facts: str) -> DataFrame:
+def newest_observed(raw: DataFrame, layout: Layout = GRID) -> DataFrame:
     """One row: ``last`` (UTC wall clock) and ``last_micros`` of the newest observed key."""
     dtype = clock.type_of(raw, layout.key)
     newest = f"max({layout.key}) FILTER (WHERE {observed(layout.consumption)})"
     return _facts(
         raw,
-        *facts,
         f"{clock.utc_wall(newest, dtype)} AS last",
         f"{clock.micros(newest, dtype)} AS last_micros",
     )
@@ -343,7 +342,7 @@ def check_completeness(raw: DataFrame, layout: Layout = GRID) -> DataFrame:
 # -- assembly ---------------------------------------------------------------------------------------
 
 
-def _one_row(parts: list[DataFrame]) -> DataFrame:
+def one_row(parts: list[DataFrame]) -> DataFrame:
     """Several one-row frames with different columns -> one row holding all of them."""
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return _facts(stacked, *[f"max({name}) AS {name}" for name in stacked.columns])
@@ -373,7 +372,7 @@ def batch_checks(
         *_balance_facts(layout, tolerance_pct, seen),
     )
     examples = range_examples(rows.where(seen), layout.bounded, layout.key, seq)
-    summary = _one_row([facts, _key_facts(rows.where(ok), [layout.key]), _example_facts(examples)])
+    summary = one_row([facts, _key_facts(rows.where(ok), [layout.key]), _example_facts(examples)])
     return _emit(
         summary,
         _coercion(),
@@ -393,7 +392,7 @@ def warehouse_checks(
     layout: Layout = GRID,
 ) -> DataFrame:
     """The two checks on the stored table after a load."""
-    summary = _one_row([newest_observed(raw, layout), _completeness_facts(raw, layout)])
+    summary = one_row([newest_observed(raw, layout), _completeness_facts(raw, layout)])
     return _emit(summary, _fresh(now, warn_hours, fail_hours), _complete())
 
 

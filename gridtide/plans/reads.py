@@ -24,7 +24,7 @@ def health(
     """One row: ``empty``, ``stale`` or ``ok``, the newest observation and the newest run."""
     run = runs.agg(F.expr("max(struct(run_id, status, finished_at)) AS last_run"))
     lag = quality.lag_hours("last_micros", now)
-    return quality._one_row([quality.newest_observed(raw, layout), run]).selectExpr(
+    return quality.one_row([quality.newest_observed(raw, layout), run]).selectExpr(
         f"CASE WHEN last IS NULL THEN 'empty' WHEN {lag} > {float(stale_hours)}D THEN 'stale' "
         "ELSE 'ok' END AS status",
         "last AS last_observed",
@@ -41,11 +41,20 @@ def daily(mart: DataFrame, days: int = 30) -> DataFrame:
 
 
 def status(
-    raw: DataFrame, runs: DataFrame, now: datetime, layout: Layout = GRID
+    raw: DataFrame,
+    runs: DataFrame,
+    now: datetime,
+    layout: Layout = GRID,
+    recent: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """The summary row (row count, newest observation, lag) and the last runs."""
-    facts = quality.newest_observed(raw, layout, "count(1) AS raw_rows")
-    summary = facts.selectExpr(
+    """The summary row (row count, newest observation, lag) and the last runs.
+
+    ``recent`` is a part of ``raw`` that is known to hold the newest observation;
+    with it, the whole table is only counted, which reads file footers.
+    """
+    newest = quality.newest_observed(raw if recent is None else recent, layout)
+    counted = raw.agg(F.expr("count(1) AS raw_rows"))
+    summary = quality.one_row([newest, counted]).selectExpr(
         "raw_rows",
         "last AS last_observed",
         f"{quality.lag_hours('last_micros', now)} AS lag_hours",
@@ -77,4 +86,5 @@ class Reads:
         return ledger.runs_page(self.store.runs(), limit)
 
     def status(self, now: datetime) -> tuple[DataFrame, DataFrame]:
-        return status(self.store.raw(), self.store.runs(), now, self.store.layout)
+        store = self.store
+        return status(store.raw(), store.runs(), now, store.layout, store.tail())

@@ -132,3 +132,25 @@ def test_one_key_with_a_third_of_all_rows(spark, table):
     assert counts(table.upsert(batch)) == (20, 10)
     plan = merge.last_per_key(batch, ["date_heure"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan and "Window" not in plan
+
+
+def test_a_date_with_most_rows_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN timestampadd(DAY, CAST(id % 10 AS int), timestamp_ntz'2024-01-02 00:00:00')"
+        " ELSE timestamp_ntz'2024-01-01 00:00:00' END AS ts",
+        "id",
+        "sha2(CAST(id AS string), 256) AS payload",
+    )
+    hot = KeyedTable(spark, str(tmp_path / "hot"), ["ts", "id"], "ts", rows.schema)
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "512k"}
+    sizes["spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor"] = "0.1"
+    for name, value in sizes.items():
+        spark.conf.set(name, value)
+    try:
+        assert counts(hot.upsert(rows, None)) == (60_000, 0)
+    finally:
+        for name in sizes:
+            spark.conf.unset(name)
+    staged = [name for name in files(hot) if "utc_date=2024-01-01" in name]
+    assert len(staged) > 1
+    assert hot.read().count() == 60_000
