@@ -30,7 +30,8 @@ def plain_integer(raw: str) -> str:
 
 def integer(raw: str) -> str:
     """Any accepted number text as a 32-bit integer, halves to even, infinities refused."""
-    number = f"CASE WHEN {_bare(raw)} RLIKE r'{NUMBER}' THEN try_cast(replace({_bare(raw)}, '_', '') AS double) END"
+    cast = f"try_cast(replace({_bare(raw)}, '_', '') AS double)"
+    number = f"CASE WHEN {_bare(raw)} RLIKE r'{NUMBER}' THEN {cast} END"
     return f"coalesce({plain_integer(raw)}, try_cast(rint({number}) AS int))"
 
 
