@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
 from collections.abc import Iterable
 
+import gridtide
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +20,22 @@ LOWER = UPPER.lower()
 BLANKS = " \t\n\x0b\x0c\r"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once an application: Python tasks import it by name."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        folder = os.path.realpath(tempfile.mkdtemp(prefix="gridtide-"))
+        source = os.path.dirname(os.path.abspath(gridtide.__file__))
+        copy = os.path.join(folder, "code", "gridtide")
+        shutil.copytree(source, copy, ignore=shutil.ignore_patterns("__pycache__"))
+        context.addPyFile(shutil.make_archive(os.path.join(folder, "gridtide"), "zip", os.path.dirname(copy)))
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

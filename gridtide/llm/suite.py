@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.llm import decontaminate, line_dedup
+from gridtide.llm import byte_bpe, decontaminate, line_dedup, simhash
 from gridtide.llm.common import table, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +82,24 @@ judged AS (SELECT keyed.*, coalesce(doc_id <> first, false) AS gone FROM keyed L
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id"""
+
+
+@registered("op5_simhash")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("__print")).alias("fingerprint"), "component_id")
+
+
+@registered("op7_byte_bpe")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = byte_bpe.Vocabulary(
+        spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+    coded = table(spark, sf_dir, "documents").select(
+        "doc_id", byte_bpe.encode_decode(whole(F.col("text")), vocabulary).alias("coded")
+    )
+    return coded.select(
+        "doc_id", F.size("coded.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("coded.ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("coded.bytes", 256).alias("decoded_sha256"),
+    )
