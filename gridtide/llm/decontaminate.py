@@ -135,7 +135,8 @@ def contamination(
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options):
     """The rows of `docs` whose document is not contaminated, columns unchanged."""
-    found = contamination(docs, benchmark, id_col, text_col, **options).where("contaminated")
+    # Judged in full before the filter, which the planner would else copy into every use of the large set.
+    found = durable(contamination(docs, benchmark, id_col, text_col, **options), "judged").where("contaminated")
     bad = found.select(F.col(id_col).alias("__id"), F.col("__text").alias("__of"))
     same = docs[id_col].eqNullSafe(F.col("__id")) & (text_key(docs[text_col]) == F.col("__of"))
     return docs.join(bad, same, "left_anti")
@@ -147,7 +148,7 @@ PIECE = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+[^0-9A-Za-z\x{80}-\x{10FFFF}]*"
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options):
     """`docs` with every hit word, and the separators after it, cut out of the text."""
-    found = contamination(docs, benchmark, id_col, text_col, **options).where("n_hit > 0")
+    found = durable(contamination(docs, benchmark, id_col, text_col, **options), "judged").where("n_hit > 0")
     cut = F.flatten(F.transform("spans", lambda s: F.sequence(s["at"], s["at"] + s["size"] - 1)))
     spans = found.select(F.col(id_col).alias("__id"), F.col("__text").alias("__of"), cut.alias("__cut"))
     same = docs[id_col].eqNullSafe(F.col("__id")) & (text_key(docs[text_col]) == F.col("__of"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.llm import byte_bpe, decontaminate, line_dedup, simhash
+from gridtide.llm import byte_bpe, decontaminate, line_dedup, simhash, toxicity
 from gridtide.llm.common import table, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("coded.ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("coded.bytes", 256).alias("decoded_sha256"),
     )
+
+
+@registered("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.with_toxicity(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"),
+        F.col("toxic").cast("int").alias("predicted"),
+    )
