@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.llm import byte_bpe, decontaminate, line_dedup, simhash, toxicity
+from gridtide.llm import byte_bpe, decontaminate, line_dedup, merkle, simhash, toxicity
 from gridtide.llm.common import table, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,66 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"),
         F.col("toxic").cast("int").alias("predicted"),
     )
+
+
+@registered("op4_merkle_fingerprint")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = merkle.with_successors(table(spark, sf_dir, "documents"))
+    rows = merkle.with_fingerprint(rows, "text", "fingerprint")
+    rows = merkle.with_fingerprint(rows, "edited", "edited_fingerprint")
+    return rows.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint",
+        merkle.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        merkle.likeness(F.col("fingerprint"), F.col("next_print")).alias("near_next"),
+    )
+
+
+def merkle_sql(source: str) -> str:
+    """Rows of (doc_id, text) to rows of (doc_id, print), in steps that read like the tree."""
+    border = "CASE WHEN n = 1 THEN '' WHEN left(p[n - 1], 1) < '4' THEN '|' ELSE ';' END"
+    return f"""
+    SELECT doc_id, concat_ws('/', md5(ss), ss, ps, cs) AS print FROM (
+      SELECT *, list_aggregate(list_transform(string_split(ps, '|'), lambda s: left(md5(s), 16)), 'string_agg', '|') AS ss
+      FROM (
+        SELECT doc_id,
+          array_to_string(list_transform(p, lambda h, n: {border} || h), '') AS ps,
+          array_to_string(list_transform(c, lambda l, n: {border} ||
+            array_to_string(list_transform(l, lambda x: left(x, 8)), ',')), '') AS cs
+        FROM (
+          SELECT doc_id, c, list_transform(c, lambda l: left(md5(array_to_string(l, ',')), 16)) AS p FROM (
+            SELECT doc_id, list_transform(string_split(rtrim(replace(text, chr(10), chr(10) || chr(2)), chr(2)), chr(2)),
+              lambda q: list_transform(string_split(replace(
+                rtrim(regexp_replace(q, '([.,;:!?][^\\p{{L}}\\p{{N}}\\s]{{0,3}}[ \\t])', '\\1' || chr(1), 'g'), chr(1)), chr(1) || chr(10), chr(10)),
+                chr(1)),
+                lambda x: md5(x))) AS c
+            FROM {source}))))"""
+
+
+def likeness_sql(a: str, b: str) -> str:
+    def leaves(x: str) -> str:
+        return f"list_distinct(regexp_split_to_array(split_part({x}, '/', 4), '[,;|]'))"
+
+    total = f"(len({leaves(a)}) + len({leaves(b)}))"
+    return f"""CASE WHEN split_part({a}, '/', 1) = split_part({b}, '/', 1) THEN 1.0::DOUBLE
+      ELSE least(len(list_intersect({leaves(a)}, {leaves(b)})) * 2.0::DOUBLE / {total},
+                 1 - 1.0::DOUBLE / ({total} + 1)) END"""
+
+
+ORACLE["op4_merkle_fingerprint"] = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+paired AS (
+  SELECT doc_id, text, coalesce(lead(text) OVER w, first(text) OVER (ORDER BY doc_id)) AS after,
+    coalesce(lead(doc_id) OVER w, first(doc_id) OVER (ORDER BY doc_id)) AS next_id
+  FROM docs WINDOW w AS (ORDER BY doc_id)
+),
+edits AS (
+  SELECT doc_id, next_id, text, left(text, length(text) - length(text) // 4) || left(after, length(text) // 4) AS edited
+  FROM paired
+),
+own AS ({merkle_sql("docs")}),
+changed AS ({merkle_sql("(SELECT doc_id, edited AS text FROM edits)")})
+SELECT edits.doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, own.print AS fingerprint,
+  changed.print AS edited_fingerprint, {likeness_sql("own.print", "changed.print")} AS near_edited,
+  {likeness_sql("own.print", "follower.print")} AS near_next
+FROM edits JOIN own USING (doc_id) JOIN changed USING (doc_id) JOIN own AS follower ON follower.doc_id = next_id"""
