@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.llm import byte_bpe, decontaminate, line_dedup, merkle, simhash, toxicity
+from gridtide.llm import byte_bpe, decontaminate, html_extract, line_dedup, merkle, simhash, toxicity
 from gridtide.llm.common import table, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,3 +177,9 @@ SELECT edits.doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, o
   changed.print AS edited_fingerprint, {likeness_sql("own.print", "changed.print")} AS near_edited,
   {likeness_sql("own.print", "follower.print")} AS near_next
 FROM edits JOIN own USING (doc_id) JOIN changed USING (doc_id) JOIN own AS follower ON follower.doc_id = next_id"""
+
+
+@registered("op3_html_extract")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_extract.with_main_text(table(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
