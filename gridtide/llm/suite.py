@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.llm import byte_bpe, decontaminate, html_extract, line_dedup, merkle, simhash, toxicity
+from gridtide.llm import byte_bpe, decontaminate, html_extract, line_dedup, merkle, simhash, toxicity, warc
 from gridtide.llm.common import table, whole
+from gridtide.sources.scratch import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -183,3 +184,21 @@ FROM edits JOIN own USING (doc_id) JOIN changed USING (doc_id) JOIN own AS follo
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = html_extract.with_main_text(table(spark, sf_dir, "pages"))
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@registered("op6_warc")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_dir(spark, "warc")
+    archives = warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder, archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+ORACLE["op6_warc"] = """
+WITH paid AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+kept AS (SELECT html, max(page_id) AS page FROM paid WHERE strlen(html) >= 1000 GROUP BY html)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN page <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page <> page_id THEN page END AS refers_to
+FROM paid LEFT JOIN kept USING (html)"""
