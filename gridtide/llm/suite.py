@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.llm import byte_bpe, decontaminate, html_extract, line_dedup, merkle, simhash, toxicity, warc
+from gridtide.llm import byte_bpe, decontaminate, html_extract, language_id, license_scan, line_dedup, merkle
+from gridtide.llm import simhash, toxicity, warc
 from gridtide.llm.common import table, whole
 from gridtide.sources.scratch import fresh_dir
 
@@ -202,3 +203,23 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS pay
   CASE WHEN page <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN page <> page_id THEN page END AS refers_to
 FROM paid LEFT JOIN kept USING (html)"""
+
+
+@registered("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    network = language_id.fit(docs)
+    found = language_id.with_language(docs.select("doc_id", "text"), network)
+    return found.select(
+        "doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
+
+
+@registered("op9_license_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.with_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", F.size("licenses").cast("long").alias("n_passages"),
+        F.array_join(F.array_sort(F.array_distinct("licenses.license")), ",").alias("licenses"),
+        F.coalesce(F.array_max("licenses.dice"), F.lit(0.0)).alias("best_dice"),
+    )
