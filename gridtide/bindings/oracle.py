@@ -166,10 +166,6 @@ SELECT origin, CAST(1 AS BIGINT), k, NULL FROM kinds WHERE kind = 0"""
 
 ORACLE["count_raw"] = with_grid("SELECT count(*) AS raw_rows FROM grid")
 
-ORACLE["adhoc_sql"] = with_grid("""
-SELECT nature, count(*) AS quarters, CAST(sum(nucleaire) AS BIGINT) AS nuclear
-FROM grid WHERE nucleaire >= 500 GROUP BY nature""")
-
 # -- contract -----------------------------------------------------------------------------------
 
 EVENT_RECORDS = """
@@ -327,6 +323,14 @@ SELECT {stamp('date_heure')} AS date_heure, deviation_pct, deviation_pct > 5 AS
 FROM deviations"""
 
 
+LARGE = ", ".join(f"2147483000 + {name} % 500 AS {name}" for name in ("nucleaire", "gaz", "eolien"))
+ORACLE["balance_large"] = f"""
+WITH {GRID_CTE.replace("grid AS (", "plain AS (")}, grid AS (SELECT * REPLACE ({LARGE}) FROM plain),
+{DEVIATIONS_CTE}
+SELECT {stamp('date_heure')} AS date_heure, deviation_pct, deviation_pct > 5 AS beyond
+FROM deviations"""
+
+
 def freshness_check(last: str, now: str, source: str) -> str:
     lag = f"greatest(CAST(epoch_us(TIMESTAMP '{now}') - epoch_us({last}) AS DOUBLE) / 3600000000.0::DOUBLE, 0.0)"
     return check(
@@ -430,13 +434,6 @@ SELECT '{{"status":"' || status || '","checks":[' || (
       || severity || '","detail":"' || detail || '"}}', ',' ORDER BY name DESC) FROM stored
   ) || ']}}' AS json FROM folded"""
 
-ORACLE["gate_blocks"] = """
-SELECT 'orders' AS batch, CASE WHEN count(*) = count(DISTINCT o_orderkey) THEN count(*) ELSE 0 END
-  AS loaded FROM orders
-UNION ALL
-SELECT 'lineitem', CASE WHEN max(copies) > 1 THEN 0 ELSE CAST(sum(copies) AS BIGINT) END
-FROM (SELECT count(*) AS copies FROM lineitem GROUP BY l_orderkey, l_linenumber)"""
-
 # -- marts -------------------------------------------------------------------------------------------------
 
 ORACLE["mart_daily"] = with_grid(daily("grid"))
@@ -455,11 +452,7 @@ SELECT {stamp('date_heure')} AS date_heure, CAST(consommation AS INTEGER) AS con
 FROM grid WHERE consommation IS NOT NULL ORDER BY grid.date_heure DESC LIMIT 1"""
 
 ORACLE["mart_latest"] = with_grid(_LATEST)
-ORACLE["read_latest"] = with_grid(
-    f"SELECT date_heure, consumption_mw, production_total_mw FROM ({_LATEST})"
-)
 ORACLE["mart_mix_7d"] = f"WITH {GRID_CTE}{mix('grid')}"
-ORACLE["read_mix"] = f"WITH {READINGS_CTE}{mix('readings')}"
 
 ORACLE["mix_long"] = with_readings(" UNION ALL ".join(
     f"SELECT '{label}' AS source, CAST(sum(coalesce({column}, 0)) AS BIGINT) AS mw FROM readings"
@@ -555,6 +548,27 @@ SELECT 2, 'warn', CAST(count(*) AS INTEGER), 0,
 
 ORACLE["mart_daily_incremental"] = f"WITH {RUNS_CTE}\n{daily('after')}"
 
+ORACLE["mart_daily_recovered"] = f"""WITH {GRID_CTE}, held AS (
+  SELECT * FROM grid WHERE date_heure < TIMESTAMP '2024-01-08'
+  UNION ALL SELECT * FROM grid
+    WHERE date_heure >= TIMESTAMP '2024-01-12' AND date_heure < TIMESTAMP '2024-01-21 12:00:00'
+)
+{daily('held')}"""
+
+ORACLE["adhoc_sql"] = f"""WITH {RUNS_CTE}
+SELECT nature, count(*) AS quarters, CAST(sum(nucleaire) AS BIGINT) AS nuclear,
+  (SELECT count(DISTINCT {paris_day('date_heure')}) FROM after WHERE consommation IS NOT NULL) AS days,
+  CAST(2 AS BIGINT) AS runs
+FROM after WHERE nucleaire >= 500 GROUP BY nature"""
+
+ORACLE["gate_blocks"] = f"""WITH {RUNS_CTE}
+SELECT 'clean' AS batch, count(*) AS fetched, count(*) AS loaded FROM one
+UNION ALL SELECT 'doubled', 2 * count(*), 0 FROM one"""
+
+ORACLE["read_latest"] = f"""WITH {RUNS_CTE}
+SELECT date_heure, consumption_mw, production_total_mw FROM ({_LATEST.replace('grid', 'after')})"""
+ORACLE["read_mix"] = f"WITH {RUNS_CTE}{mix('after')}"
+
 ORACLE["marts_built"] = f"""WITH {GRID_CTE}
 SELECT 0 AS position, '01_mart_daily' AS mart, count(DISTINCT {paris_day('date_heure')}) AS rows
 FROM grid WHERE consommation IS NOT NULL
@@ -565,6 +579,18 @@ ORACLE["stream_cycle"] = with_grid("""
 SELECT epoch_us(date_heure) AS micros, CAST(consommation AS INTEGER) AS consommation,
   CAST(solaire AS INTEGER) AS solaire, nature FROM grid""")
 
+ORACLE["stream_after_batch"] = with_grid("""
+SELECT epoch_us(date_heure) AS micros, CAST(consommation AS INTEGER) AS consommation,
+  CAST(solaire AS INTEGER) AS solaire, nature, CAST(2 AS BIGINT) AS runs FROM grid""")
+ORACLE["stream_mixed_files"] = with_grid("""
+SELECT epoch_us(date_heure) AS micros, CAST(consommation AS INTEGER) AS consommation,
+  CAST(solaire AS INTEGER) AS solaire, nature, CAST(1 AS BIGINT) AS refused FROM grid""")
+
+ORACLE["landed_window"] = with_grid("""
+SELECT source, epoch_us(date_heure) AS micros, CAST(gaz AS INTEGER) AS gaz
+FROM grid, (VALUES ('exports'), ('lines')) AS sources(source)
+WHERE date_heure >= TIMESTAMP '2024-01-09 06:00:00' AND date_heure < TIMESTAMP '2024-01-12'""")
+
 # -- ledger and read queries ------------------------------------------------------------------------------------------
 
 FOLD_CTE = """

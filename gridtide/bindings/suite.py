@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,9 +100,11 @@ def count_raw(spark, sf_dir):
 
 @query
 def adhoc_sql(spark, sf_dir):
-    text = """SELECT nature, count(*) AS quarters, sum(CAST(nucleaire AS bigint)) AS nuclear
+    text = """SELECT nature, count(*) AS quarters, sum(CAST(nucleaire AS bigint)) AS nuclear,
+                (SELECT count(*) FROM {mart_daily}) AS days, (SELECT count(*) FROM {runs}) AS runs
               FROM {raw} WHERE nucleaire >= :floor GROUP BY nature"""
-    return spark.sql(text, args={"floor": 500}, raw=grid(spark, sf_dir))
+    base, _, _ = _two_runs(spark, sf_dir)
+    return Store(spark, base).sql(text, args={"floor": 500})
 
 
 # -- contract ------------------------------------------------------------------------------
@@ -221,6 +224,13 @@ def balance_rows(spark, sf_dir):
     return _keyed(quality.balance_rows(grid(spark, sf_dir)))
 
 
+@query
+def balance_large(spark, sf_dir):
+    """Parts that each fill 32 bits: their sum needs more."""
+    large = {name: F.expr(f"CAST(2147483000 + {name} % 500 AS int)") for name in ("nucleaire", "gaz", "eolien")}
+    return _keyed(quality.balance_rows(grid(spark, sf_dir).withColumns(large)))
+
+
 @query
 def check_freshness(spark, sf_dir):
     raw = table(spark, sf_dir, "events")
@@ -264,19 +274,16 @@ def report_json(spark, sf_dir):
 
 @query
 def gate_blocks(spark, sf_dir):
-    """Rows let through: all of a clean table, none of one with duplicate keys."""
-    loads = []
-    for name, keys in (("orders", ["o_orderkey"]), ("lineitem", ["l_orderkey", "l_linenumber"])):
-        rows = table(spark, sf_dir, name)
-        facts = quality.one_row(
-            [
-                rows.agg(F.count(F.lit(1)).alias("rows")),
-                quality.status(quality.check_primary_key(rows, keys)),
-            ]
-        )
-        let_through = F.when(F.col("status") == "fail", 0).otherwise(F.col("rows"))
-        loads.append(facts.select(F.lit(name).alias("batch"), let_through.alias("loaded")))
-    return loads[0].unionByName(loads[1])
+    """Rows that cycles let through: all of a clean batch, none of one with every key twice."""
+    _, clean, _ = _two_runs(spark, sf_dir)
+    base = scratch.fresh_dir(spark, "blocked")
+    rows = grid(spark, sf_dir)
+    twice = cycle.run_cycle(
+        spark, base, cycle.table_source(rows.union(rows)), now=at(2024, 1, 20), since=at(2024, 1, 1)
+    )
+    blocked = Store(spark, base).raw().count()
+    loads = [("clean", clean.rows_fetched, clean.rows_inserted), ("doubled", twice.rows_fetched, blocked)]
+    return spark.createDataFrame(loads, "batch string, fetched bigint, loaded bigint")
 
 
 # -- marts -----------------------------------------------------------------------------------------
@@ -415,16 +422,22 @@ def stream_upsert(spark, sf_dir):
 # -- whole cycles -----------------------------------------------------------------------------------------
 
 
-def _two_runs(spark, sf_dir, label):
-    """A backfill, then an incremental run over revised rows."""
-    base = scratch.fresh_dir(spark, label)
-    rows = grid(spark, sf_dir)
-    revised = rows.withColumn("consommation", F.expr("consommation + 1"))
-    first = cycle.run_cycle(
-        spark, base, cycle.table_source(rows), now=at(2024, 1, 20), since=at(2024, 1, 1)
-    )
-    second = cycle.run_cycle(spark, base, cycle.table_source(revised), now=at(2024, 1, 31))
-    return base, first, second
+_stores: dict[tuple[str, str], tuple] = {}
+
+
+def _two_runs(spark, sf_dir):
+    """A backfill, then an incremental run over revised rows; one store for all queries of a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stores:
+        base = scratch.fresh_dir(spark, "runs")
+        rows = grid(spark, sf_dir)
+        revised = rows.withColumn("consommation", F.expr("consommation + 1"))
+        first = cycle.run_cycle(
+            spark, base, cycle.table_source(rows), now=at(2024, 1, 20), since=at(2024, 1, 1)
+        )
+        second = cycle.run_cycle(spark, base, cycle.table_source(revised), now=at(2024, 1, 31))
+        _stores[key] = base, first, second
+    return _stores[key]
 
 
 @query
@@ -445,7 +458,7 @@ def run_cycle(spark, sf_dir):
 
 @query
 def incremental_two_runs(spark, sf_dir):
-    base, _, _ = _two_runs(spark, sf_dir, "runs")
+    base, _, _ = _two_runs(spark, sf_dir)
     return _keyed(Store(spark, base).raw().select(
         F.expr(clock.utc_wall("date_heure", clock.INSTANT)).alias("date_heure"),
         "consommation", "nucleaire",
@@ -455,7 +468,7 @@ def incremental_two_runs(spark, sf_dir):
 @query
 def incremental_outcomes(spark, sf_dir):
     """The ledger and marts after both runs: counts per run, and the incrementally kept mart."""
-    base, _, _ = _two_runs(spark, sf_dir, "ledger")
+    base, _, _ = _two_runs(spark, sf_dir)
     runs = Store(spark, base).runs()
     return runs.select(
         "run_id", "status", "rows_fetched", "rows_rejected", "rows_inserted", "rows_updated",
@@ -467,8 +480,25 @@ def incremental_outcomes(spark, sf_dir):
 @query
 def mart_daily_incremental(spark, sf_dir):
     """The stored daily mart after two runs, the second of which rebuilt touched months only."""
-    base, _, _ = _two_runs(spark, sf_dir, "daily")
-    return _daily(reads.Reads(Store(spark, base)).daily(365))
+    base, _, _ = _two_runs(spark, sf_dir)
+    return _daily(Store(spark, base).mart("01_mart_daily"))
+
+
+@query
+def mart_daily_recovered(spark, sf_dir):
+    """The stored daily mart when loads lacked their marts: one published by a driver that was lost, one
+    followed by an empty batch, and cycles elsewhere in time after them."""
+    base = scratch.fresh_dir(spark, "recovered")
+    store = Store(spark, base)
+    rows = grid(spark, sf_dir)
+    instant = F.expr(clock.from_micros(clock.micros("date_heure", clock.WALL), clock.INSTANT))
+    early = rows.where("date_heure < timestamp_ntz'2024-01-08 00:00:00'").withColumn("date_heure", instant)
+    bare = early.withColumn("ingested_at", F.lit(None).cast("timestamp"))
+    store.table.upsert(bare.where("nature = 'measured'"), None)
+    cycle.run_cycle(spark, base, cycle.table_source(rows), now=at(2024, 1, 20), since=at(2024, 1, 12))
+    store.table.upsert(bare, None)
+    cycle.run_cycle(spark, base, cycle.table_source(rows), now=at(2025, 1, 20), since=at(2025, 1, 19))
+    return _daily(store.mart("01_mart_daily"))
 
 
 @query
@@ -492,25 +522,85 @@ def marts_built(spark, sf_dir):
     return sizes[0].unionByName(sizes[1]).unionByName(sizes[2])
 
 
-@query
-def stream_cycle(spark, sf_dir):
-    """Daily export files (JSON arrays of at most 96 quarter-hours) followed by a stream."""
-    folder = scratch.fresh_dir(spark, "exports")
-    records = cycle.table_source(grid(spark, sf_dir))(at(2024, 1, 1), at(2024, 2, 1))
+def _land(spark, sf_dir, folder, where="true", name="landed"):
+    """The grid as daily export files, JSON arrays of at most 96 quarter-hours each, in folders by date."""
+    rows = grid(spark, sf_dir)
+    first, last = rows.where(where).agg(F.min("date_heure"), F.max("date_heure")).first()
+    bounds = (moment.replace(tzinfo=timezone.utc) for moment in (first, last + timedelta(minutes=15)))
+    records = cycle.table_source(rows.where(where))(*bounds)
     listed = F.array_sort(F.collect_list(F.struct("seq", "record")))
-    payloads = records.groupBy(F.expr("seq div 86400000000").alias("day")).agg(
+    payloads = records.groupBy(F.expr("date_from_unix_date(CAST(seq div 86400000000 AS int))").alias("day")).agg(
         F.concat(
             F.lit("["), F.array_join(F.transform(listed, lambda r: r["record"]), ","), F.lit("]")
         ).alias("value")
     )
-    payloads.select("value").write.option("maxRecordsPerFile", 1).text(f"{folder}/landed")
+    payloads.write.mode("append").partitionBy("day").text(f"{folder}/{name}")
+
+
+def _follow(spark, folder):
     follow.stream_cycle(
         spark, f"{folder}/landed", f"{folder}/store", f"{folder}/checkpoint",
         files_per_batch=1000, now=lambda: at(2024, 1, 31),
     )
-    return Store(spark, f"{folder}/store").raw().select(
-        F.unix_micros("date_heure").alias("micros"), "consommation", "solaire", "nature"
+    return Store(spark, f"{folder}/store")
+
+
+def _raw_out(store):
+    return store.raw().select(F.unix_micros("date_heure").alias("micros"), "consommation", "solaire", "nature")
+
+
+@query
+def stream_cycle(spark, sf_dir):
+    """Daily export files of the whole grid, followed by a stream."""
+    folder = scratch.fresh_dir(spark, "exports")
+    _land(spark, sf_dir, folder)
+    return _raw_out(_follow(spark, folder))
+
+
+@query
+def stream_after_batch(spark, sf_dir):
+    """A store that a batch cycle has used, then followed by a stream: all rows, and a run id for each run."""
+    folder = scratch.fresh_dir(spark, "batch-stream")
+    cycle.run_cycle(
+        spark, f"{folder}/store", cycle.table_source(grid(spark, sf_dir)), now=at(2024, 1, 10), since=at(2024, 1, 8)
     )
+    _land(spark, sf_dir, folder)
+    store = _follow(spark, folder)
+    return _raw_out(store).withColumn("runs", F.lit(store.runs().count()))
+
+
+@query
+def stream_mixed_files(spark, sf_dir):
+    """Good files and a broken one in a micro-batch: the good are stored, the broken is listed; once
+    repaired, it loads when the stream is started again."""
+    folder = scratch.fresh_dir(spark, "mixed")
+    _land(spark, sf_dir, folder, "date_heure < timestamp_ntz'2024-01-20 00:00:00'")
+    broken = spark.createDataFrame([("<html>gateway",)], "value string").coalesce(1)
+    broken.write.mode("append").text(f"{folder}/landed/day=2024-01-20")
+    store = _follow(spark, folder)
+    before = store.refused().count()
+    scratch.delete(spark, f"{folder}/landed/day=2024-01-20")
+    _land(spark, sf_dir, folder, "date_heure >= timestamp_ntz'2024-01-20 00:00:00'")
+    store = _follow(spark, folder)
+    return _raw_out(store).withColumn("refused", F.lit(before))
+
+
+@query
+def landed_window(spark, sf_dir):
+    """Of landed export files and JSON lines, the records in the window; files dated off it are not read."""
+    folder = scratch.fresh_dir(spark, "window")
+    _land(spark, sf_dir, folder)
+    start, end = at(2024, 1, 9, 6), at(2024, 1, 12)
+    exports = cycle.export_source(spark, f"{folder}/landed", file_date="day=([0-9-]+)")(start, end)
+    every = cycle.table_source(grid(spark, sf_dir))(at(1970, 1, 1), at(2100, 1, 1))
+    every.select("record").write.text(f"{folder}/lines")
+    lines = cycle.lines_source(spark, f"{folder}/lines")(start, end)
+    found = [("exports", exports), ("lines", lines)]
+    parts = [
+        apply_contract(rows).select(F.lit(name).alias("source"), F.unix_micros("date_heure").alias("micros"), "gaz")
+        for name, rows in found
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 # -- ledger and read queries ---------------------------------------------------------------------------------
@@ -554,13 +644,16 @@ def read_daily(spark, sf_dir):
 
 @query
 def read_latest(spark, sf_dir):
-    rows = marts.in_order("02_mart_latest", marts.latest(grid(spark, sf_dir)))
-    return _keyed(rows).select("date_heure", "consumption_mw", "production_total_mw")
+    base, _, _ = _two_runs(spark, sf_dir)
+    rows = reads.Reads(Store(spark, base)).latest()
+    wall = F.expr(clock.utc_wall("date_heure", clock.INSTANT))
+    return _keyed(rows.withColumn("date_heure", wall)).select("date_heure", "consumption_mw", "production_total_mw")
 
 
 @query
 def read_mix(spark, sf_dir):
-    return marts.in_order("03_mart_mix_7d", marts.mix_7d(readings(spark, sf_dir)))
+    base, _, _ = _two_runs(spark, sf_dir)
+    return reads.Reads(Store(spark, base)).mix()
 
 
 @query

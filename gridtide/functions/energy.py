@@ -6,8 +6,8 @@ from collections.abc import Iterable
 
 
 def total(names: Iterable[str]) -> str:
-    """Row total in which a missing reading counts as nothing."""
-    return "(" + " + ".join(f"coalesce({name}, 0)" for name in names) + ")"
+    """Row total in which a missing reading counts as nothing; 64-bit, as readings may fill 32 bits."""
+    return "(" + " + ".join(f"coalesce(CAST({name} AS bigint), 0L)" for name in names) + ")"
 
 
 def mwh(power_sum: str) -> str:

@@ -28,57 +28,47 @@ class Field:
 
 # The feed's columns in contract order. "required" means the key must exist in
 # every record; lo..hi is the plausible range (MW, taux_co2 in g/kWh).
-_GRID_FIELDS = """
-date_heure                   timestamp  required
-perimetre                    text
-nature                       text
-consommation                 integer    required  20000..110000
-prevision_j                  integer              15000..120000
-prevision_j1                 integer              15000..120000
-fioul                        integer              0..10000
-charbon                      integer              0..4000
-gaz                          integer              0..15000
-nucleaire                    integer    required  0..64000
-eolien                       integer              0..35000
-eolien_terrestre             integer              0..30000
-eolien_offshore              integer              0..10000
-solaire                      integer              -300..30000
-hydraulique                  integer              0..26000
-pompage                      integer              -8000..0
-bioenergies                  integer              0..4000
-ech_physiques                integer              -25000..25000
-taux_co2                     integer              0..300
-ech_comm_angleterre          integer              -10000..10000
-ech_comm_espagne             integer              -10000..10000
-ech_comm_italie              integer              -10000..10000
-ech_comm_suisse              integer              -10000..10000
-ech_comm_allemagne_belgique  integer              -15000..15000
-fioul_tac                    integer              0..5000
-fioul_cogen                  integer              0..5000
-fioul_autres                 integer              0..5000
-gaz_tac                      integer              0..5000
-gaz_cogen                    integer              0..8000
-gaz_ccg                      integer              0..12000
-gaz_autres                   integer              0..8000
-hydraulique_fil_eau_eclusee  integer              0..15000
-hydraulique_lacs             integer              0..12000
-hydraulique_step_turbinage   integer              0..6000
-bioenergies_dechets          integer              0..2000
-bioenergies_biomasse         integer              0..2000
-bioenergies_biogaz           integer              0..2000
-stockage_batterie            integer              -4000..100
-destockage_batterie          integer              -100..4000
-"""
-
-
-def _read_fields(table: str) -> tuple[Field, ...]:
-    fields = []
-    for line in table.strip().splitlines():
-        name, kind, *rest = line.split()
-        bounds = [word for word in rest if ".." in word]
-        lo, hi = (int(side) for side in bounds[0].split("..")) if bounds else (None, None)
-        fields.append(Field(name, kind, "required" in rest, lo, hi))
-    return tuple(fields)
+GRID_FIELDS = (
+    Field("date_heure", "timestamp", required=True),
+    Field("perimetre", "text"),
+    Field("nature", "text"),
+    Field("consommation", "integer", required=True, lo=20000, hi=110000),
+    Field("prevision_j", "integer", lo=15000, hi=120000),
+    Field("prevision_j1", "integer", lo=15000, hi=120000),
+    Field("fioul", "integer", lo=0, hi=10000),
+    Field("charbon", "integer", lo=0, hi=4000),
+    Field("gaz", "integer", lo=0, hi=15000),
+    Field("nucleaire", "integer", required=True, lo=0, hi=64000),
+    Field("eolien", "integer", lo=0, hi=35000),
+    Field("eolien_terrestre", "integer", lo=0, hi=30000),
+    Field("eolien_offshore", "integer", lo=0, hi=10000),
+    Field("solaire", "integer", lo=-300, hi=30000),
+    Field("hydraulique", "integer", lo=0, hi=26000),
+    Field("pompage", "integer", lo=-8000, hi=0),
+    Field("bioenergies", "integer", lo=0, hi=4000),
+    Field("ech_physiques", "integer", lo=-25000, hi=25000),
+    Field("taux_co2", "integer", lo=0, hi=300),
+    Field("ech_comm_angleterre", "integer", lo=-10000, hi=10000),
+    Field("ech_comm_espagne", "integer", lo=-10000, hi=10000),
+    Field("ech_comm_italie", "integer", lo=-10000, hi=10000),
+    Field("ech_comm_suisse", "integer", lo=-10000, hi=10000),
+    Field("ech_comm_allemagne_belgique", "integer", lo=-15000, hi=15000),
+    Field("fioul_tac", "integer", lo=0, hi=5000),
+    Field("fioul_cogen", "integer", lo=0, hi=5000),
+    Field("fioul_autres", "integer", lo=0, hi=5000),
+    Field("gaz_tac", "integer", lo=0, hi=5000),
+    Field("gaz_cogen", "integer", lo=0, hi=8000),
+    Field("gaz_ccg", "integer", lo=0, hi=12000),
+    Field("gaz_autres", "integer", lo=0, hi=8000),
+    Field("hydraulique_fil_eau_eclusee", "integer", lo=0, hi=15000),
+    Field("hydraulique_lacs", "integer", lo=0, hi=12000),
+    Field("hydraulique_step_turbinage", "integer", lo=0, hi=6000),
+    Field("bioenergies_dechets", "integer", lo=0, hi=2000),
+    Field("bioenergies_biomasse", "integer", lo=0, hi=2000),
+    Field("bioenergies_biogaz", "integer", lo=0, hi=2000),
+    Field("stockage_batterie", "integer", lo=-4000, hi=100),
+    Field("destockage_batterie", "integer", lo=-100, hi=4000),
+)
 
 
 @dataclass(frozen=True)
@@ -106,7 +96,7 @@ class Layout:
 
 
 GRID = Layout(
-    fields=_read_fields(_GRID_FIELDS),
+    fields=GRID_FIELDS,
     key="date_heure",
     consumption="consommation",
     # Mix label -> production column.

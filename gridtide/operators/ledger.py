@@ -13,25 +13,41 @@ RUNS = T.StructType(
         T.StructField("finished_at", T.TimestampType()),
         T.StructField("window_start", T.TimestampType()),
         T.StructField("window_end", T.TimestampType()),
-        T.StructField("rows_fetched", T.IntegerType()),
-        T.StructField("rows_rejected", T.IntegerType()),
-        T.StructField("rows_inserted", T.IntegerType()),
-        T.StructField("rows_updated", T.IntegerType()),
+        T.StructField("rows_fetched", T.LongType()),
+        T.StructField("rows_rejected", T.LongType()),
+        T.StructField("rows_inserted", T.LongType()),
+        T.StructField("rows_updated", T.LongType()),
         T.StructField("status", T.StringType()),
         T.StructField("quality", T.StringType()),
         T.StructField("error", T.StringType()),
     ]
 )
-EVENT = T.StructType([*RUNS.fields, T.StructField("event_seq", T.LongType())])
+# An event also says which micro-batch of which stream its run loads; null for batch runs.
+EVENT = T.StructType(
+    [
+        *RUNS.fields,
+        T.StructField("event_seq", T.LongType()),
+        T.StructField("stream", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+# Landed files that no run has loaded: the latest entry of a file counts, without a problem once it is loaded.
+REFUSED = T.StructType(
+    [
+        T.StructField("origin", T.StringType()),
+        T.StructField("run_id", T.LongType()),
+        T.StructField("problem", T.StringType()),
+    ]
+)
 
 MAX_LIMIT = 200
 STATUS_RUNS = 10
 ERROR_CHARS = 60
 
 
-def fold(events: DataFrame, run: str = "run_id", seq: str = "event_seq") -> DataFrame:
-    """Latest event of each run; combines map-side, whatever the events per run."""
-    state = [name for name in events.columns if name not in (run, seq)]
+def fold(events: DataFrame, run: str = "run_id", seq: str = "event_seq", keep: bool = False) -> DataFrame:
+    """Latest event of each run; combines map-side, whatever the events per run. ``keep`` keeps ``seq``."""
+    state = [name for name in events.columns if name != run and (keep or name != seq)]
     last = F.max_by(F.struct(*state), F.col(seq)).alias("_last")
     return events.groupBy(run).agg(last).select(run, "_last.*")
 

@@ -238,7 +238,8 @@ def balance_deviation(layout: Layout = GRID) -> str:
     Null unless the row is observed, its consumption is not zero and every part is known.
     """
     used = layout.consumption
-    gap = f"CAST(abs({' + '.join(layout.parts)} - {used}) AS double)"
+    supply = " + ".join(f"CAST({part} AS bigint)" for part in layout.parts)
+    gap = f"CAST(abs({supply} - {used}) AS double)"
     return f"CASE WHEN {used} <> 0 THEN {gap} / CAST({used} AS double) * 100.0D END"
 
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.functions import clock
+from gridtide.functions import clock, coerce
 from gridtide.operators import quality
 from gridtide.operators.contract import GRID, Layout, accepted, apply_contract
 from gridtide.operators.incremental import Params, collect_window, compute_window
@@ -38,7 +38,7 @@ class RunOutcome:
 
     SCHEMA = (
         "run_id bigint, status string, window_start timestamp, window_end timestamp, "
-        "rows_fetched int, rows_rejected int, rows_inserted int, rows_updated int, "
+        "rows_fetched bigint, rows_rejected bigint, rows_inserted bigint, rows_updated bigint, "
         "marts array<string>, duration_seconds double, "
         "quality struct<status: string, checks: array<struct<name: string, passed: boolean, "
         "severity: string, detail: string>>>"
@@ -75,13 +75,51 @@ class RunOutcome:
         )
 
 
-def export_source(spark: SparkSession, path: str) -> Source:
-    """The export files landed for this cycle, each a JSON array."""
-    return lambda start, end: landing.export_records(spark, path)
+def _inside(records: DataFrame, start: datetime | None, end: datetime | None, layout: Layout) -> DataFrame:
+    """Records whose key lies in the window, or cannot be read, which the contract then rejects."""
+    if start is None or end is None:
+        return records
+    key = coerce.instant(f"get_json_object(record, '$.{layout.key}')")
+    lower, upper = (clock.literal(bound.replace(microsecond=0), clock.INSTANT) for bound in (start, end))
+    kept = f"coalesce({key} >= {lower} AND {key} < {upper}, true)"
+    return records.where(f"problem IS NOT NULL OR {kept}" if "problem" in records.columns else kept)
 
 
-def lines_source(spark: SparkSession, path: str) -> Source:
-    return lambda start, end: landing.line_records(spark, path)
+def _dated(payloads: DataFrame, start: datetime | None, end: datetime | None, file_date: str | None) -> DataFrame:
+    """Without the files whose date, the first group of ``file_date`` in their path, is days off the window."""
+    if file_date is None or start is None or end is None:
+        return payloads
+    dated = F.try_to_date(F.regexp_extract("_metadata.file_path", file_date, 1))
+    first, last = start.date() - timedelta(days=1), end.date() + timedelta(days=1)
+    return payloads.where(F.coalesce(dated.between(F.lit(first), F.lit(last)), F.lit(True)))
+
+
+def export_source(
+    spark: SparkSession, path: str, layout: Layout = GRID, file_date: str | None = None
+) -> Source:
+    """The records of landed export files, each a JSON array, that lie in the window.
+
+    ``file_date`` states a layout by date: a pattern whose first group is an ISO date in the path. Files
+    dated more than a day off the window are then not read at all.
+    """
+
+    def fetch(start: datetime | None, end: datetime | None) -> DataFrame:
+        files = _dated(spark.read.text(path, wholetext=True), start, end, file_date)
+        return _inside(landing.explode_records(landing.triage(landing.payloads(files))), start, end, layout)
+
+    return fetch
+
+
+def lines_source(
+    spark: SparkSession, path: str, layout: Layout = GRID, file_date: str | None = None
+) -> Source:
+    """The records of landed JSON lines that lie in the window; ``file_date`` as for export files."""
+
+    def fetch(start: datetime | None, end: datetime | None) -> DataFrame:
+        lines = _dated(spark.read.text(path), start, end, file_date)
+        return _inside(landing.records_of_lines(lines), start, end, layout)
+
+    return fetch
 
 
 def table_source(rows: DataFrame, layout: Layout = GRID) -> Source:
@@ -112,20 +150,42 @@ def load_batch(
     now: datetime,
     params: Params,
     started: float,
+    by_file: bool = False,
 ) -> RunOutcome:
-    """From fetched records to the finished ledger entry of one opened run."""
-    spark, layout = store.spark, store.layout
+    """From fetched records to the finished ledger entry of one opened run.
+
+    ``by_file`` judges landed files one by one: broken ones are refused and the others loaded, and a
+    batch that the gate fails is refused with all its files. Refused files are noted in the store.
+    """
     stage = f"{store.base}/staging/run={opened['run_id']}"
+    try:
+        return _load_batch(store, records, opened, now, params, started, by_file, stage)
+    finally:
+        scratch.delete(store.spark, stage)
+
+
+def _load_batch(
+    store: Store, records: DataFrame, opened: dict, now: datetime, params: Params, started: float,
+    by_file: bool, stage: str,
+) -> RunOutcome:
+    spark, layout = store.spark, store.layout
     keep = ("problem",) if "problem" in records.columns else ()
     coerced = apply_contract(records, layout.fields, layout.key, keep=keep)
     # Payloads are parsed once; the gate and the load both read the written columns.
     coerced.write.mode("overwrite").parquet(stage)
     batch = spark.read.schema(coerced.schema).parquet(stage)
+    refused, error = None, ""
     if keep:
         problem = landing.first_problem(batch)
-        if problem is not None:
+        if problem is not None and not by_file:
             raise landing.PayloadError(problem)
-        batch = batch.drop("problem")
+        if problem is not None:
+            refused = batch.where("problem IS NOT NULL").select(F.col("seq.origin").alias("origin"), "problem")
+            store.note_files(refused, opened["run_id"])
+            if batch.where("problem IS NULL").isEmpty():
+                raise landing.PayloadError(problem)
+            error = f"refused landed file(s), first: {problem}"
+        batch = batch.where("problem IS NULL").drop("problem")
 
     checks = quality.batch_checks(batch, layout, params.balance_tolerance_pct)
     report = quality.report(checks).first()
@@ -146,20 +206,25 @@ def load_batch(
             tail, now, params.freshness_warn_hours, params.freshness_fail_hours, layout
         )
         seen = spark.createDataFrame(report["checks"], quality.CHECK)
-        built, report = together(
+        built, final = together(
             spark,
-            lambda: store.build_marts(loaded.days, tail),
+            lambda: store.build_marts(tail),
             lambda: quality.report(seen.unionByName(after)).first(),
         )
+    else:
+        final = report
+    if by_file:
+        origins = batch.select(F.col("seq.origin").alias("origin")).distinct()
+        outcome = "quality gate failed" if report["status"] == "fail" else None
+        store.note_files(origins.withColumn("problem", F.lit(outcome)), opened["run_id"])
 
-    store.finish_run(opened, report["status"], quality=report["json"], **counts)
-    scratch.delete(spark, stage)
+    store.finish_run(opened, final["status"], quality=final["json"], error=error, **counts)
     return RunOutcome(
         run_id=opened["run_id"],
-        status=report["status"],
+        status=final["status"],
         window_start=opened["window_start"],
         window_end=opened["window_end"],
-        report=report,
+        report=final,
         marts=built,
         duration_seconds=time.monotonic() - started,
         **counts,

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import hashlib
+import inspect
+from collections.abc import Callable, Iterable, Sequence
 from datetime import date, datetime, timedelta, timezone
 from functools import partial
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.functions import clock
+from gridtide.functions import clock, energy
 from gridtide.operators import ledger, marts
 from gridtide.operators.contract import GRID, Layout, observed, table_schema
 from gridtide.operators.incremental import watermark
@@ -31,8 +33,15 @@ class MartFailed(RuntimeError):
 
 
 class Store:
-    def __init__(self, spark: SparkSession, base: str, layout: Layout = GRID) -> None:
+    """``scripts`` are the marts in build order, as (name, build(rows, layout)); the daily one is kept by month,
+    any other is built whole from the newest dates (see :meth:`tail`)."""
+
+    def __init__(
+        self, spark: SparkSession, base: str, layout: Layout = GRID,
+        scripts: Sequence[tuple[str, Callable]] = marts.MARTS,
+    ) -> None:
         self.spark = spark
+        self.marts = tuple(scripts)
         self.base = base.rstrip("/")
         self.layout = layout
         self.table = KeyedTable(
@@ -80,9 +89,12 @@ class Store:
         return watermark(self.tail(), self.layout.key, self.layout.consumption)
 
     def sql(self, query: str, args: list | dict | None = None, **frames: DataFrame) -> DataFrame:
-        """Ad-hoc parameterised SQL; ``{raw}``, ``{runs}`` and given frames name tables."""
-        tables = {"raw": self.raw(), "runs": self.runs(), **frames}
-        used = {name: frame for name, frame in tables.items() if "{" + name + "}" in query}
+        """Ad-hoc parameterised SQL; ``{raw}``, ``{runs}``, ``{refused}``, every mart by its name without the
+        leading number (``{mart_daily}``) and given frames name tables."""
+        known = {"raw": self.raw, "runs": self.runs, "refused": self.refused}
+        known |= {name.partition("_")[2]: partial(self.mart, name) for name, _ in self.marts}
+        named = {name for name in {*known, *frames} if "{" + name + "}" in query}
+        used = {name: frames[name] if name in frames else known[name]() for name in named}
         return self.spark.sql(query, args=args, **used)
 
     # -- marts ------------------------------------------------------------------------------
@@ -95,25 +107,37 @@ class Store:
         path = self._mart_path(name)
         if not scratch.exists(self.spark, path):
             raise MartNotBuilt(f"{name} is not built yet: run a cycle first")
-        build = dict(marts.MARTS)[name]
+        build = dict(self.marts)[name]
         empty = self.spark.createDataFrame([], self.table.schema)
         schema = build(empty, self.layout).schema
         return marts.in_order(name, self.spark.read.schema(schema).parquet(path).drop(MONTH))
 
-    def build_marts(
-        self, touched: Iterable[date] | None = None, tail: DataFrame | None = None
-    ) -> list[str]:
-        """Rebuild every mart; returns their names in build order.
+    def definition(self) -> str:
+        """A digest of what the stored marts follow from besides the rows."""
+        sources = [inspect.getsource(module) for module in (marts, energy, clock)]
+        sources += [inspect.getsource(build) for _, build in self.marts]
+        return hashlib.sha256("\0".join([*sources, repr(self.layout)]).encode()).hexdigest()
 
-        ``touched`` are the UTC dates changed since the daily mart was built: then
-        only the months they fall in are recomputed, otherwise all of it. The other
-        marts need no more than the table's ``tail``.
+    def build_marts(self, tail: DataFrame | None = None) -> list[str]:
+        """Bring every mart up to date; returns their names in build order.
+
+        The daily mart recomputes the months of dates changed since it was last brought up to date, by
+        whatever load, also one whose driver was lost before its marts; all of it when its definition
+        has changed. The other marts need no more than the table's ``tail``.
         """
         recent = self.tail() if tail is None else tail
-        days = None if touched is None else set(touched)
-        steps = [partial(self._build, name, build, days, recent) for name, build in marts.MARTS]
+        dirty = self.table.dirty()
+        stamps = f"{self.base}/marts_built_by"
+        current = self.definition()
+        same = scratch.children(self.spark, stamps) == [current]
+        days = {day for noted in dirty.values() for day in noted} if same else None
+        steps = [partial(self._build, name, build, days, recent) for name, build in self.marts]
         together(self.spark, *steps)
-        return [name for name, _ in marts.MARTS]
+        if not same:
+            scratch.delete(self.spark, stamps)
+            scratch.make_dir(self.spark, f"{stamps}/{current}")
+        self.table.clean(dirty)
+        return [name for name, _ in self.marts]
 
     def _build(self, name: str, build: Callable, touched: set[date] | None, recent: DataFrame) -> None:
         path = self._mart_path(name)
@@ -176,7 +200,22 @@ class Store:
         return self.spark.read.schema(ledger.EVENT).parquet(path)
 
     def runs(self) -> DataFrame:
-        return ledger.fold(self.events())
+        return ledger.fold(self.events()).select(*ledger.RUNS.names)
+
+    def refused(self) -> DataFrame:
+        """Landed files that were refused and not loaded since, with the reason: origin, run_id, problem."""
+        return ledger.fold(self._refusals(), "origin", "run_id", keep=True).where("problem IS NOT NULL")
+
+    def _refusals(self) -> DataFrame:
+        path = f"{self.base}/refused"
+        if not scratch.exists(self.spark, path):
+            return self.spark.createDataFrame([], ledger.REFUSED)
+        return self.spark.read.schema(ledger.REFUSED).parquet(path)
+
+    def note_files(self, files: DataFrame, run_id: int) -> None:
+        """Adds what became of landed files (origin, problem) in a run; a null problem means loaded."""
+        rows = files.select("origin", F.lit(run_id).cast("bigint").alias("run_id"), F.col("problem").cast("string"))
+        rows.coalesce(1).write.mode("append").parquet(f"{self.base}/refused")
 
     def _append(self, **event) -> None:
         row = Row(*ledger.EVENT.names)(*[event.get(name) for name in ledger.EVENT.names])
@@ -188,9 +227,14 @@ class Store:
         started_at: datetime,
         window_start: datetime | None,
         window_end: datetime | None,
-        run_id: int | None = None,
+        stream: str | None = None,
+        batch_id: int | None = None,
     ) -> dict:
-        """Append the ``running`` event; the id is the next one unless given."""
+        """Append the ``running`` event; a micro-batch that a lost driver had begun keeps its run id."""
+        run_id = None
+        if stream is not None and batch_id is not None:
+            mine = (F.col("stream") == stream) & (F.col("batch_id") == batch_id)
+            run_id = self.events().where(mine).agg(F.max("run_id")).first()[0]
         if run_id is None:
             run_id = self.events().agg(F.coalesce(F.max("run_id"), F.lit(0)) + 1).first()[0]
         opened = {
@@ -198,6 +242,8 @@ class Store:
             "started_at": started_at,
             "window_start": window_start,
             "window_end": window_end,
+            "stream": stream,
+            "batch_id": batch_id,
         }
         self._append(**opened, status="running", event_seq=0)
         return opened

@@ -77,15 +77,18 @@ def explode_records(triaged: DataFrame, origin: str = "origin") -> DataFrame:
     )
 
 
-def read_export_files(spark: SparkSession, path: str) -> DataFrame:
+def payloads(files: DataFrame) -> DataFrame:
+    """Files read as whole texts, as ``(origin, payload)``."""
+    return files.select(F.col("_metadata.file_path").alias("origin"), F.col("value").alias("payload"))
+
+
+def read_export_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Landed export files, one JSON array each, as ``(origin, payload)``.
 
     A file is parsed by one task, so parallelism comes from many files; land
     JSON lines for large backfills.
     """
-    return spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("origin"), F.col("value").alias("payload")
-    )
+    return payloads(spark.read.text(path, wholetext=True))
 
 
 def first_problem(rows: DataFrame) -> str | None:
@@ -105,11 +108,16 @@ def line_records(spark: SparkSession, path: str) -> DataFrame:
     Lines are ordered by file, then by the byte block they were read in, then by
     position inside the block, which is their order in the file.
     """
-    lines = spark.read.text(path).select(
+    return records_of_lines(spark.read.text(path))
+
+
+def records_of_lines(lines: DataFrame) -> DataFrame:
+    """Records of lines as the text reader gives them."""
+    placed = lines.select(
         F.col("_metadata.file_path").alias("origin"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),
         F.col("value").alias("record"),
     )
     seq = F.struct("origin", "block", "pos")
-    return lines.where(F.trim("record") != "").select(seq.alias("seq"), "record")
+    return placed.where(F.trim("record") != "").select(seq.alias("seq"), "record")

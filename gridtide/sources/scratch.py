@@ -45,6 +45,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(location)
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    files, location = _handle(spark, path)
+    files.mkdirs(location)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     files, location = _handle(spark, path)
     files.delete(location, True)

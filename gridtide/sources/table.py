@@ -16,8 +16,8 @@ from gridtide.operators import merge
 from gridtide.sources import scratch
 
 DAY = "utc_date"
-#: Above this many dates a range of the whole table is scanned instead of named folders.
-NAMED_DAYS = 2000
+#: Marks a staged load as whole; markers of the file format may be switched off.
+COMPLETE = "complete"
 
 
 @dataclass(frozen=True)
@@ -61,7 +61,7 @@ class KeyedTable:
         return self._read(self.days(), whole=True)
 
     def read_days(self, wanted: Iterable[date]) -> DataFrame:
-        """Only the named dates; the other folders are not even listed."""
+        """Only the named dates, however many: partition pruning leaves out the other folders' files."""
         held = set(self.days())
         return self._read(sorted(held.intersection(wanted)))
 
@@ -71,13 +71,8 @@ class KeyedTable:
     def _read(self, days: list[date], whole: bool = False) -> DataFrame:
         if not days:
             return self.spark.createDataFrame([], self.schema)
-        reader = self.spark.read.schema(self.stored).option("basePath", self.path)
-        if whole:
-            return reader.parquet(self.path).drop(DAY)
-        if len(days) > NAMED_DAYS:
-            span = F.col(DAY).between(F.lit(days[0]), F.lit(days[-1]))
-            return reader.parquet(self.path).where(span).drop(DAY)
-        return reader.parquet(*[f"{self.path}/{DAY}={day.isoformat()}" for day in days]).drop(DAY)
+        rows = self.spark.read.schema(self.stored).parquet(self.path)
+        return (rows if whole else rows.where(F.col(DAY).isin(days))).drop(DAY)
 
     # -- upsert ---------------------------------------------------------------------------
 
@@ -110,6 +105,7 @@ class KeyedTable:
         # Rebalancing gives files of even size: a date holding most rows is split over tasks.
         merged.hint("rebalance", F.col(DAY)).write.partitionBy(DAY).parquet(f"{stage}/merged")
         inserted = self._staged(stage).count() - before
+        scratch.make_dir(self.spark, f"{stage}/{COMPLETE}")
         self._publish(stage)
         return Loaded(inserted, sent - inserted, tuple(touched))
 
@@ -121,7 +117,16 @@ class KeyedTable:
         return self.spark.read.schema(self.stored).parquet(f"{stage}/merged")
 
     def _publish(self, stage: str) -> None:
-        """Replace the merged dates, and no others; repeating it changes nothing."""
+        """Replace the merged dates, and no others; repeating it changes nothing.
+
+        The dates are noted as dirty first, so that whoever keeps something derived from them learns of
+        it even if this driver is lost right after.
+        """
+        prefix = f"{DAY}="
+        names = scratch.children(self.spark, f"{stage}/merged")
+        touched = [(name[len(prefix):],) for name in names if name.startswith(prefix)]
+        note = self.spark.createDataFrame(touched, "day string").coalesce(1)
+        note.write.mode("overwrite").text(f"{self.path}_dirty/{stage.rpartition('/')[2]}")
         (
             self._staged(stage)
             .write.mode("overwrite")
@@ -131,12 +136,26 @@ class KeyedTable:
         )
         scratch.delete(self.spark, stage)
 
+    def dirty(self) -> dict[str, list[date]]:
+        """Dates changed since :meth:`clean`, by the load that changed them; bounded by the calendar."""
+        notes = scratch.children(self.spark, f"{self.path}_dirty")
+        return {note: self._noted(note) for note in notes}
+
+    def _noted(self, note: str) -> list[date]:
+        rows = self.spark.read.text(f"{self.path}_dirty/{note}").collect()
+        return [date.fromisoformat(row["value"]) for row in rows]
+
+    def clean(self, notes: Iterable[str]) -> None:
+        """Forget these loads: all that follows from their dates is up to date."""
+        for note in notes:
+            scratch.delete(self.spark, f"{self.path}_dirty/{note}")
+
     def recover(self) -> int:
         """Finish loads a lost driver left behind; returns how many were published."""
         published = 0
         for name in scratch.children(self.spark, f"{self.path}_staging"):
             stage = f"{self.path}_staging/{name}"
-            if scratch.exists(self.spark, f"{stage}/merged/_SUCCESS"):
+            if scratch.exists(self.spark, f"{stage}/{COMPLETE}"):
                 self._publish(stage)
                 published += 1
             else:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from gridtide.operators.contract import GRID, Layout
 from gridtide.operators.incremental import Params
 from gridtide.plans.cycle import RunOutcome, load_batch
 from gridtide.plans.store import Store
-from gridtide.sources import landing
+from gridtide.sources import landing, scratch
 from gridtide.sources.table import KeyedTable
 
 
@@ -57,28 +58,39 @@ def stream_cycle(
 ) -> StreamingQuery:
     """The whole cycle per landed export file (or per ``files_per_batch`` of them).
 
-    The ledger's run id follows from the micro-batch id: a batch replayed after a
-    crash loads the same rows again, or is skipped if its run had finished. A
-    broken payload is recorded as ``error`` and does not stop the stream.
+    A run is known by the stream, whose id is kept beside the checkpoint, and its micro-batch: one
+    replayed after a crash goes on under its run id, or is skipped if its run had finished. Broken files are
+    refused and the others loaded; a micro-batch that fails the gate is refused whole. Refused files are
+    listed by :meth:`Store.refused` and offered again, in runs of their own, each time the stream is
+    started. Any other exception ends its run as ``error`` and stops the stream.
     """
     store = Store(spark, base, layout)
     store.table.recover()
+    stream_id = _stream_id(spark, checkpoint)
 
-    def step(payloads: DataFrame, batch_id: int) -> None:
-        run_id = batch_id + 1
-        done = F.col("event_seq") > 0
-        if not store.events().where(done & (F.col("run_id") == run_id)).isEmpty():
-            return
-        opened = store.start_run(now(), None, None, run_id)
+    def load(payloads: DataFrame, batch_id: int | None) -> None:
+        opened = store.start_run(now(), None, None, stream_id, batch_id)
         records = landing.explode_records(landing.triage(payloads))
         try:
-            outcome = load_batch(store, records, opened, now(), params, time.monotonic())
-        except landing.PayloadError as problem:
+            outcome = load_batch(store, records, opened, now(), params, time.monotonic(), by_file=True)
+        except Exception as problem:
             store.finish_run(opened, "error", error=str(problem))
+            if not isinstance(problem, landing.PayloadError):
+                raise
             return
         if on_outcome is not None:
             on_outcome(outcome)
 
+    def step(payloads: DataFrame, batch_id: int) -> None:
+        mine = (F.col("stream") == stream_id) & (F.col("batch_id") == batch_id) & (F.col("event_seq") > 0)
+        if store.events().where(mine).isEmpty():
+            load(payloads, batch_id)
+
+    for paths in _grouped(store.refused(), files_per_batch):
+        there = [path for path in paths if scratch.exists(spark, path)]
+        if there:
+            load(landing.read_export_files(spark, there), None)
+
     stream = (
         spark.readStream.format("text")
         .option("wholetext", True)
@@ -87,3 +99,18 @@ def stream_cycle(
         .select(F.col("_metadata.file_path").alias("origin"), F.col("value").alias("payload"))
     )
     return _drain(stream, step, checkpoint)
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that owns a checkpoint: the name of the one folder kept beside it."""
+    home = f"{checkpoint.rstrip('/')}_stream"
+    if not scratch.children(spark, home):
+        scratch.make_dir(spark, f"{home}/{uuid.uuid4().hex}")
+    return scratch.children(spark, home)[0]
+
+
+def _grouped(refused: DataFrame, size: int) -> Iterator[list[str]]:
+    """Paths of refused files in groups; read as a whole first, since runs add to the list meanwhile."""
+    paths = [row["origin"] for row in refused.select("origin").orderBy("origin").collect()]
+    for at in range(0, len(paths), size):
+        yield paths[at : at + size]

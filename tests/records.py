@@ -7,64 +7,100 @@ from datetime import datetime, timedelta, timezone
 
 from gridtide.operators.contract import apply_contract
 
-# Seven measured quarter-hours, one column per record.
-KEYS = (
-    "2026-07-14T14:45:00+00:00 2026-07-14T14:30:00+00:00 2026-07-14T14:15:00+00:00 "
-    "2026-07-14T00:00:00+00:00 2026-07-14T00:15:00+00:00 2026-07-14T00:30:00+00:00 "
-    "2026-07-14T00:45:00+00:00"
-).split()
-VALUES = """
-consommation                 48586  48389  48441  41716  41397  40449  39714
-prevision_j                  47350  47500  47600  41400  40917  40434  39792
-prevision_j1                 45550  45700  45850  41400  40750  40100  39500
-fioul                        34     34     34     34     34     34     34
-charbon                      0      0      0      0      0      0      0
-gaz                          478    342    314    4698   4539   4325   3873
-nucleaire                    37432  37544  37457  36321  36336  36296  36327
-eolien                       2269   2300   2305   6187   5920   5883   5728
-eolien_terrestre             1413   1470   1533   5156   4921   4900   4744
-eolien_offshore              855    830    773    1031   999    983    984
-solaire                      16275  16944  17514  0      0      0      0
-hydraulique                  3503   3426   3317   4165   4179   4108   4099
-pompage                      -2242  -2241  -2253  0      0      0      -1
-bioenergies                  992    989    1000   1005   1010   1013   1018
-ech_physiques                -10140 -10924 -11223 -10715 -10643 -11233 -11370
-taux_co2                     12     11     11     48     47     46     43
-ech_comm_angleterre          -2671  -2671  -2671  -885   -885   -885   -885
-ech_comm_espagne             289    268    -587   -700   -700   -700   -700
-ech_comm_italie              -2500  -2500  -2469  -3597  -3597  -3597  -3597
-ech_comm_suisse              -2227  -2227  -2218  -2227  -2227  -2227  -2227
-ech_comm_allemagne_belgique  -2822  -2922  -2565  -3572  -4051  -4244  -4388
-fioul_tac                    0      0      0      0      0      0      0
-fioul_cogen                  35     35     35     35     35     35     35
-fioul_autres                 0      0      0      0      0      0      0
-gaz_tac                      0      0      0      0      0      0      0
-gaz_cogen                    116    116    116    120    120    120    120
-gaz_ccg                      364    227    200    4579   4421   4207   3754
-gaz_autres                   0      0      0      0      0      0      0
-hydraulique_fil_eau_eclusee  2514   2516   2511   2884   2877   2868   2860
-hydraulique_lacs             650    574    474    1110   1105   1043   1043
-hydraulique_step_turbinage   339    336    332    170    168    169    169
-bioenergies_dechets          409    411    413    411    415    418    422
-bioenergies_biomasse         282    276    286    293    293    294    295
-bioenergies_biogaz           301    301    301    301    301    301    301
-stockage_batterie            -22    -32    -31    -3     -3     -11    -4
-destockage_batterie          9      9      8      24     30     36     11
-"""
-
-
-def _records() -> list[dict]:
-    rows = [line.split() for line in VALUES.strip().splitlines()]
-    made = []
-    for position, key in enumerate(KEYS):
-        record = {"date": key[:10], "heure": key[11:16], "date_heure": key}
-        record |= {"nature": "Données temps réel", "perimetre": "France"}
-        record |= {row[0]: int(row[1 + position]) for row in rows}
-        made.append(record)
-    return made
-
-
-RECORDS = _records()
+# Seven measured quarter-hours of the feed, three observed lately and four of an earlier window.
+RECORDS = [
+    {
+        "date": "2026-07-14", "heure": "14:45", "date_heure": "2026-07-14T14:45:00+00:00",
+        "nature": "Données temps réel", "perimetre": "France", "consommation": 48586, "prevision_j": 47350,
+        "prevision_j1": 45550, "fioul": 34, "charbon": 0, "gaz": 478, "nucleaire": 37432, "eolien": 2269,
+        "eolien_terrestre": 1413, "eolien_offshore": 855, "solaire": 16275, "hydraulique": 3503,
+        "pompage": -2242, "bioenergies": 992, "ech_physiques": -10140, "taux_co2": 12,
+        "ech_comm_angleterre": -2671, "ech_comm_espagne": 289, "ech_comm_italie": -2500,
+        "ech_comm_suisse": -2227, "ech_comm_allemagne_belgique": -2822, "fioul_tac": 0, "fioul_cogen": 35,
+        "fioul_autres": 0, "gaz_tac": 0, "gaz_cogen": 116, "gaz_ccg": 364, "gaz_autres": 0,
+        "hydraulique_fil_eau_eclusee": 2514, "hydraulique_lacs": 650, "hydraulique_step_turbinage": 339,
+        "bioenergies_dechets": 409, "bioenergies_biomasse": 282, "bioenergies_biogaz": 301,
+        "stockage_batterie": -22, "destockage_batterie": 9,
+    },
+    {
+        "date": "2026-07-14", "heure": "14:30", "date_heure": "2026-07-14T14:30:00+00:00",
+        "nature": "Données temps réel", "perimetre": "France", "consommation": 48389, "prevision_j": 47500,
+        "prevision_j1": 45700, "fioul": 34, "charbon": 0, "gaz": 342, "nucleaire": 37544, "eolien": 2300,
+        "eolien_terrestre": 1470, "eolien_offshore": 830, "solaire": 16944, "hydraulique": 3426,
+        "pompage": -2241, "bioenergies": 989, "ech_physiques": -10924, "taux_co2": 11,
+        "ech_comm_angleterre": -2671, "ech_comm_espagne": 268, "ech_comm_italie": -2500,
+        "ech_comm_suisse": -2227, "ech_comm_allemagne_belgique": -2922, "fioul_tac": 0, "fioul_cogen": 35,
+        "fioul_autres": 0, "gaz_tac": 0, "gaz_cogen": 116, "gaz_ccg": 227, "gaz_autres": 0,
+        "hydraulique_fil_eau_eclusee": 2516, "hydraulique_lacs": 574, "hydraulique_step_turbinage": 336,
+        "bioenergies_dechets": 411, "bioenergies_biomasse": 276, "bioenergies_biogaz": 301,
+        "stockage_batterie": -32, "destockage_batterie": 9,
+    },
+    {
+        "date": "2026-07-14", "heure": "14:15", "date_heure": "2026-07-14T14:15:00+00:00",
+        "nature": "Données temps réel", "perimetre": "France", "consommation": 48441, "prevision_j": 47600,
+        "prevision_j1": 45850, "fioul": 34, "charbon": 0, "gaz": 314, "nucleaire": 37457, "eolien": 2305,
+        "eolien_terrestre": 1533, "eolien_offshore": 773, "solaire": 17514, "hydraulique": 3317,
+        "pompage": -2253, "bioenergies": 1000, "ech_physiques": -11223, "taux_co2": 11,
+        "ech_comm_angleterre": -2671, "ech_comm_espagne": -587, "ech_comm_italie": -2469,
+        "ech_comm_suisse": -2218, "ech_comm_allemagne_belgique": -2565, "fioul_tac": 0, "fioul_cogen": 35,
+        "fioul_autres": 0, "gaz_tac": 0, "gaz_cogen": 116, "gaz_ccg": 200, "gaz_autres": 0,
+        "hydraulique_fil_eau_eclusee": 2511, "hydraulique_lacs": 474, "hydraulique_step_turbinage": 332,
+        "bioenergies_dechets": 413, "bioenergies_biomasse": 286, "bioenergies_biogaz": 301,
+        "stockage_batterie": -31, "destockage_batterie": 8,
+    },
+    {
+        "date": "2026-07-14", "heure": "00:00", "date_heure": "2026-07-14T00:00:00+00:00",
+        "nature": "Données temps réel", "perimetre": "France", "consommation": 41716, "prevision_j": 41400,
+        "prevision_j1": 41400, "fioul": 34, "charbon": 0, "gaz": 4698, "nucleaire": 36321, "eolien": 6187,
+        "eolien_terrestre": 5156, "eolien_offshore": 1031, "solaire": 0, "hydraulique": 4165, "pompage": 0,
+        "bioenergies": 1005, "ech_physiques": -10715, "taux_co2": 48, "ech_comm_angleterre": -885,
+        "ech_comm_espagne": -700, "ech_comm_italie": -3597, "ech_comm_suisse": -2227,
+        "ech_comm_allemagne_belgique": -3572, "fioul_tac": 0, "fioul_cogen": 35, "fioul_autres": 0,
+        "gaz_tac": 0, "gaz_cogen": 120, "gaz_ccg": 4579, "gaz_autres": 0,
+        "hydraulique_fil_eau_eclusee": 2884, "hydraulique_lacs": 1110, "hydraulique_step_turbinage": 170,
+        "bioenergies_dechets": 411, "bioenergies_biomasse": 293, "bioenergies_biogaz": 301,
+        "stockage_batterie": -3, "destockage_batterie": 24,
+    },
+    {
+        "date": "2026-07-14", "heure": "00:15", "date_heure": "2026-07-14T00:15:00+00:00",
+        "nature": "Données temps réel", "perimetre": "France", "consommation": 41397, "prevision_j": 40917,
+        "prevision_j1": 40750, "fioul": 34, "charbon": 0, "gaz": 4539, "nucleaire": 36336, "eolien": 5920,
+        "eolien_terrestre": 4921, "eolien_offshore": 999, "solaire": 0, "hydraulique": 4179, "pompage": 0,
+        "bioenergies": 1010, "ech_physiques": -10643, "taux_co2": 47, "ech_comm_angleterre": -885,
+        "ech_comm_espagne": -700, "ech_comm_italie": -3597, "ech_comm_suisse": -2227,
+        "ech_comm_allemagne_belgique": -4051, "fioul_tac": 0, "fioul_cogen": 35, "fioul_autres": 0,
+        "gaz_tac": 0, "gaz_cogen": 120, "gaz_ccg": 4421, "gaz_autres": 0,
+        "hydraulique_fil_eau_eclusee": 2877, "hydraulique_lacs": 1105, "hydraulique_step_turbinage": 168,
+        "bioenergies_dechets": 415, "bioenergies_biomasse": 293, "bioenergies_biogaz": 301,
+        "stockage_batterie": -3, "destockage_batterie": 30,
+    },
+    {
+        "date": "2026-07-14", "heure": "00:30", "date_heure": "2026-07-14T00:30:00+00:00",
+        "nature": "Données temps réel", "perimetre": "France", "consommation": 40449, "prevision_j": 40434,
+        "prevision_j1": 40100, "fioul": 34, "charbon": 0, "gaz": 4325, "nucleaire": 36296, "eolien": 5883,
+        "eolien_terrestre": 4900, "eolien_offshore": 983, "solaire": 0, "hydraulique": 4108, "pompage": 0,
+        "bioenergies": 1013, "ech_physiques": -11233, "taux_co2": 46, "ech_comm_angleterre": -885,
+        "ech_comm_espagne": -700, "ech_comm_italie": -3597, "ech_comm_suisse": -2227,
+        "ech_comm_allemagne_belgique": -4244, "fioul_tac": 0, "fioul_cogen": 35, "fioul_autres": 0,
+        "gaz_tac": 0, "gaz_cogen": 120, "gaz_ccg": 4207, "gaz_autres": 0,
+        "hydraulique_fil_eau_eclusee": 2868, "hydraulique_lacs": 1043, "hydraulique_step_turbinage": 169,
+        "bioenergies_dechets": 418, "bioenergies_biomasse": 294, "bioenergies_biogaz": 301,
+        "stockage_batterie": -11, "destockage_batterie": 36,
+    },
+    {
+        "date": "2026-07-14", "heure": "00:45", "date_heure": "2026-07-14T00:45:00+00:00",
+        "nature": "Données temps réel", "perimetre": "France", "consommation": 39714, "prevision_j": 39792,
+        "prevision_j1": 39500, "fioul": 34, "charbon": 0, "gaz": 3873, "nucleaire": 36327, "eolien": 5728,
+        "eolien_terrestre": 4744, "eolien_offshore": 984, "solaire": 0, "hydraulique": 4099, "pompage": -1,
+        "bioenergies": 1018, "ech_physiques": -11370, "taux_co2": 43, "ech_comm_angleterre": -885,
+        "ech_comm_espagne": -700, "ech_comm_italie": -3597, "ech_comm_suisse": -2227,
+        "ech_comm_allemagne_belgique": -4388, "fioul_tac": 0, "fioul_cogen": 35, "fioul_autres": 0,
+        "gaz_tac": 0, "gaz_cogen": 120, "gaz_ccg": 3754, "gaz_autres": 0,
+        "hydraulique_fil_eau_eclusee": 2860, "hydraulique_lacs": 1043, "hydraulique_step_turbinage": 169,
+        "bioenergies_dechets": 422, "bioenergies_biomasse": 295, "bioenergies_biogaz": 301,
+        "stockage_batterie": -4, "destockage_batterie": 11,
+    },
+]
 OBSERVED, WINDOW = RECORDS[:3], RECORDS[3:]
 BASE = datetime(2026, 7, 14, 12, 0, tzinfo=timezone.utc)
 

@@ -48,12 +48,32 @@ def test_files_become_cycles(spark, tmp_path):
     assert raw.count() == 10 and raw.where("gaz = 479").count() == 6
     assert store.mart("01_mart_daily").first()["quarters_observed"] == 10
 
-    # Nothing new: nothing happens. A new file: only it is read.
-    assert follow_files(spark, tmp_path)[0] == []
+    # Nothing new: only the refused files are offered again, each in a run of its own.
+    refused = {row["origin"][-6:]: row["problem"] for row in store.refused().collect()}
+    assert refused == {"2.json": "invalid JSON", "3.json": "quality gate failed"}
+    again, store = follow_files(spark, tmp_path)
+    assert [(o.run_id, o.status) for o in again] == [(6, "fail")]
+    assert [row["status"] for row in store.runs().orderBy("run_id").collect()][4:] == ["error", "fail"]
+    # A new file: it and the repaired one are read.
+    land(landed, "2.json", quarters(first + timedelta(hours=3), 2), 6)
+    os.remove(landed / "3.json")
     land(landed, "5.json", quarters(first, 1, gaz=480), 5)
-    (outcome,), store = follow_files(spark, tmp_path)
-    assert (outcome.run_id, outcome.rows_updated) == (5, 1)
-    assert store.raw().where("gaz = 480").count() == 1
+    outcomes, store = follow_files(spark, tmp_path)
+    assert store.raw().where("gaz = 480").count() == 1 and store.raw().count() == 12
+    assert [row["origin"][-6:] for row in store.refused().collect()] == ["3.json"]
+    ids = [row["run_id"] for row in store.runs().collect()]
+    assert len(ids) == len(set(ids))
+
+
+def test_one_broken_file_costs_no_other(spark, tmp_path):
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    first = NOW - timedelta(hours=2)
+    land(landed, "1.json", quarters(first, 4), 1)
+    land(landed, "2.json", "[", 2)
+    outcomes, store = follow_files(spark, tmp_path, files_per_batch=10)
+    assert [o.rows_inserted for o in outcomes] == [4] and store.raw().count() == 4
+    assert [row["origin"][-6:] for row in store.refused().collect()] == ["2.json"]
 
 
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):

@@ -5,6 +5,7 @@ from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from records import BASE, at, parsed, quarters, record
 
 from gridtide.operators import merge
@@ -154,3 +155,21 @@ def test_a_date_with_most_rows_is_written_by_several_tasks(spark, tmp_path):
     staged = [name for name in files(hot) if "utc_date=2024-01-01" in name]
     assert len(staged) > 1
     assert hot.read().count() == 60_000
+
+
+def test_asked_dates_only_however_many(spark, tmp_path):
+    """Sparse dates far apart: exactly those asked for are read, and an upsert leaves other files alone."""
+    table = KeyedTable(spark, str(tmp_path / "t"), ["ts"], "ts", T.StructType.fromDDL("ts timestamp, v int"))
+    rows = spark.sql(
+        "SELECT make_timestamp(1990, 1, 1, 0, 0, 0) + make_interval(0, 0, 0, CAST(id * 7 AS int)) AS ts, "
+        "CAST(id AS int) AS v FROM range(2200)"
+    )
+    table.upsert(rows, None)
+    held = table.days()
+    assert len(held) == 2200
+    asked = held[::2][:1050]
+    assert {row["ts"].date() for row in table.read_days(asked).collect()} == set(asked)
+    before = {name for name in os.listdir(tmp_path / "t" / f"utc_date={held[1000]}")}
+    table.upsert(rows.where("v IN (0, 2199)").withColumn("v", F.lit(-1)), None)
+    assert {name for name in os.listdir(tmp_path / "t" / f"utc_date={held[1000]}")} == before
+    assert table.read().where("v = -1").count() == 2
