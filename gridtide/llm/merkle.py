@@ -135,24 +135,27 @@ def successors(ids: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def with_successors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id_col, text, __key, edited (the contract's edit), next_print (the next one's fingerprint)."""
+    """One row per document: id_col, text, edited (the contract's edit), next_print (the next one's fingerprint)."""
+
+    def named(id_: str, key: str) -> Column:
+        return F.concat_ws(":", F.coalesce(F.col(id_).cast("string"), F.lit("")), F.col(key))
+
     texts = docs.select(
         F.col(id_col), whole(F.col(text_col)).alias("text"), text_key(F.col(text_col)).alias("__key")
     )
     ids = texts.select(id_col, "__key", F.length("text").alias("size")).distinct()
     order = durable(successors(ids, [id_col, "__key"]), "successors")
     asked = order.select(
-        F.col(f"next_{id_col}").alias("__id"), F.col("next___key").alias("__of"), F.col(id_col).alias("__to"),
-        F.col("__key").alias("__to_key"), F.floor(F.col("size") / 4).cast("int").alias("wanted"),
+        named(f"next_{id_col}", "next___key").alias("__row"), named(id_col, "__key").alias("__to"),
+        F.floor(F.col("size") / 4).cast("int").alias("wanted"),
     )
-
-    def same(left: DataFrame, id_: str, key: str) -> Column:
-        return left[id_col].eqNullSafe(F.col(id_)) & (left["__key"] == F.col(key))
-
-    heads = texts.join(asked, same(texts, "__id", "__of"))
+    # Rows stay sorted by __row from the joins on, so taking the first of repeated rows costs no further sort.
+    texts = texts.select(id_col, "text", named(id_col, "__key").alias("__row"))
+    heads = texts.join(asked, "__row").groupBy("__row").agg(*[F.first(c).alias(c) for c in ("text", "__to", "wanted")])
     sent = with_fingerprint(heads, "text", "next_print").select(
-        "__to", "__to_key", "wanted", F.expr("left(text, wanted)").alias("head"), "next_print"
+        F.col("__to").alias("__row"), "wanted", F.expr("left(text, wanted)").alias("head"), "next_print"
+    )
+    rows = texts.join(sent, "__row").groupBy("__row").agg(
+        *[F.first(c).alias(c) for c in (id_col, "text", "wanted", "head", "next_print")]
     )
-    whole_rows = texts.join(sent, same(texts, "__to", "__to_key"))
-    edited = F.expr("concat(left(text, length(text) - wanted), head)")
-    return whole_rows.select(id_col, "text", "__key", edited.alias("edited"), "next_print")
+    return rows.select(id_col, "text", F.expr("concat(left(text, length(text) - wanted), head)").alias("edited"), "next_print")

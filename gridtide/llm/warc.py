@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtide.llm.common import durable, ship, whole
+from gridtide.sources.scratch import make_dir
 
 ARCHIVE_BYTES = 16 << 20  # records before compression
 DICTIONARY_BYTES, SAMPLE_BYTES = 64 << 10, 2 << 20  # of a dictionary; of the records it is trained on
@@ -162,6 +163,7 @@ def write(
 ) -> DataFrame:
     """Writes archives of the pages (id, url, html) under `folder`; the table of them, one row each: path, records, bytes."""
     ship(pages.sparkSession)
+    make_dir(pages.sparkSession, folder)
 
     def store(records: list[bytes]) -> pa.RecordBatch:
         system, base = fs.FileSystem.from_uri(folder)
