@@ -442,12 +442,12 @@ ORACLE["read_daily"] = with_readings(daily("readings", "ORDER BY 1 DESC LIMIT 30
 
 _LATEST = f"""
 SELECT {stamp('date_heure')} AS date_heure, CAST(consommation AS INTEGER) AS consumption_mw,
-  CAST(taux_co2 AS INTEGER) AS co2_g_kwh, CAST(nucleaire AS INTEGER) AS nuclear_mw,
-  CAST(eolien AS INTEGER) AS wind_mw, CAST(coalesce(solaire, 0) AS INTEGER) AS solar_mw,
-  CAST(hydraulique AS INTEGER) AS hydro_mw, CAST(gaz AS INTEGER) AS gas_mw,
-  CAST(fioul + charbon AS INTEGER) AS oil_coal_mw, CAST(bioenergies AS INTEGER) AS bioenergy_mw,
+  CAST(taux_co2 AS INTEGER) AS co2_g_kwh, CAST(nucleaire AS BIGINT) AS nuclear_mw,
+  CAST(eolien AS BIGINT) AS wind_mw, CAST(coalesce(solaire, 0) AS BIGINT) AS solar_mw,
+  CAST(hydraulique AS BIGINT) AS hydro_mw, CAST(gaz AS BIGINT) AS gas_mw,
+  CAST(fioul + charbon AS BIGINT) AS oil_coal_mw, CAST(bioenergies AS BIGINT) AS bioenergy_mw,
   CAST(pompage AS INTEGER) AS pumped_storage_mw, CAST(ech_physiques AS INTEGER) AS net_exchange_mw,
-  CAST({total(PRODUCED)} AS INTEGER) AS production_total_mw,
+  CAST({total(PRODUCED)} AS BIGINT) AS production_total_mw,
   {share(total(RENEWABLE), total(PRODUCED))} AS renewable_share_pct
 FROM grid WHERE consommation IS NOT NULL ORDER BY grid.date_heure DESC LIMIT 1"""
 
@@ -510,9 +510,9 @@ UNION ALL SELECT 2, 0, keys + twice, CAST(batch_days AS INTEGER) FROM facts"""
 # -- whole cycles --------------------------------------------------------------------------------------------------
 
 ORACLE["run_cycle"] = with_grid("""
-SELECT CAST(1 AS BIGINT) AS run_id, 'warn' AS status, CAST(count(*) AS INTEGER) AS rows_fetched,
-  CAST(0 AS INTEGER) AS rows_rejected, CAST(count(*) AS INTEGER) AS rows_inserted,
-  CAST(0 AS INTEGER) AS rows_updated, '01_mart_daily,02_mart_latest,03_mart_mix_7d' AS marts,
+SELECT CAST(1 AS BIGINT) AS run_id, 'warn' AS status, CAST(count(*) AS BIGINT) AS rows_fetched,
+  CAST(0 AS BIGINT) AS rows_rejected, CAST(count(*) AS BIGINT) AS rows_inserted,
+  CAST(0 AS BIGINT) AS rows_updated, '01_mart_daily,02_mart_latest,03_mart_mix_7d' AS marts,
   CAST(8 AS INTEGER) AS checks
 FROM grid WHERE date_heure >= TIMESTAMP '2024-01-01' AND date_heure < TIMESTAMP '2024-02-01 12:00:00'""")
 
@@ -536,14 +536,14 @@ SELECT {stamp('date_heure')} AS date_heure, CAST(consommation AS INTEGER) AS con
   CAST(nucleaire AS INTEGER) AS nucleaire FROM after"""
 
 ORACLE["incremental_outcomes"] = f"""WITH {RUNS_CTE}
-SELECT CAST(1 AS BIGINT) AS run_id, 'warn' AS status, CAST(count(*) AS INTEGER) AS rows_fetched,
-  CAST(0 AS INTEGER) AS rows_rejected, CAST(count(*) AS INTEGER) AS rows_inserted,
-  CAST(0 AS INTEGER) AS rows_updated, epoch_us(TIMESTAMP '2024-01-01') AS window_start,
+SELECT CAST(1 AS BIGINT) AS run_id, 'warn' AS status, CAST(count(*) AS BIGINT) AS rows_fetched,
+  CAST(0 AS BIGINT) AS rows_rejected, CAST(count(*) AS BIGINT) AS rows_inserted,
+  CAST(0 AS BIGINT) AS rows_updated, epoch_us(TIMESTAMP '2024-01-01') AS window_start,
   epoch_us(TIMESTAMP '2024-01-21 12:00:00') AS window_end FROM one
 UNION ALL
-SELECT 2, 'warn', CAST(count(*) AS INTEGER), 0,
-  CAST(count(*) FILTER (slot NOT IN (SELECT slot FROM one)) AS INTEGER),
-  CAST(count(*) FILTER (slot IN (SELECT slot FROM one)) AS INTEGER),
+SELECT 2, 'warn', CAST(count(*) AS BIGINT), 0,
+  CAST(count(*) FILTER (slot NOT IN (SELECT slot FROM one)) AS BIGINT),
+  CAST(count(*) FILTER (slot IN (SELECT slot FROM one)) AS BIGINT),
   (SELECT epoch_us(mark) - 86400000000 FROM mark), epoch_us(TIMESTAMP '2024-02-01 12:00:00') FROM two"""
 
 ORACLE["mart_daily_incremental"] = f"WITH {RUNS_CTE}\n{daily('after')}"
