@@ -163,7 +163,10 @@ def apply_contract(
         rows = rows.selectExpr("*", f"CASE WHEN {_unread(integers)} THEN {second} END AS _second")
         rows = rows.selectExpr(*passed, *[reread.get(n, n) for n in names])
 
-    keys = f"json_object_keys({record})"
+    # The key list is read once, and only where a required field or the key has no value.
+    lacking = " OR ".join(f"{_raw(name)} IS NULL" for name in [key, *[f.name for f in fields if f.required and f.name != key]])
+    rows = rows.selectExpr("*", f"CASE WHEN {lacking} THEN json_object_keys({record}) END AS _keys")
+    keys = "_keys"
     suspect = [_unread([f.name for f in fields if f.kind != "text"]), f"{key} IS NULL"]
     suspect += [
         f"({_raw(f.name)} IS NULL AND NOT coalesce(array_contains({keys}, '{f.name}'), false))"

@@ -50,6 +50,18 @@ def make_dir(spark: SparkSession, path: str) -> None:
     files.mkdirs(location)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a file or folder in the place of another; a source that is gone was moved before."""
+    files, origin = _handle(spark, source)
+    if not files.exists(origin):
+        return
+    _, goal = _handle(spark, target)
+    files.delete(goal, True)
+    files.mkdirs(goal.getParent())
+    if not files.rename(origin, goal):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     files, location = _handle(spark, path)
     files.delete(location, True)

@@ -105,6 +105,8 @@ class KeyedTable:
         # Rebalancing gives files of even size: a date holding most rows is split over tasks.
         merged.hint("rebalance", F.col(DAY)).write.partitionBy(DAY).parquet(f"{stage}/merged")
         inserted = self._staged(stage).count() - before
+        note = self.spark.createDataFrame([(day.isoformat(),) for day in touched], "day string")
+        note.coalesce(1).write.text(f"{stage}/days")
         scratch.make_dir(self.spark, f"{stage}/{COMPLETE}")
         self._publish(stage)
         return Loaded(inserted, sent - inserted, tuple(touched))
@@ -117,23 +119,15 @@ class KeyedTable:
         return self.spark.read.schema(self.stored).parquet(f"{stage}/merged")
 
     def _publish(self, stage: str) -> None:
-        """Replace the merged dates, and no others; repeating it changes nothing.
+        """Put the merged dates in place of the stored ones, folder by folder, and touch no others.
 
-        The dates are noted as dirty first, so that whoever keeps something derived from them learns of
-        it even if this driver is lost right after.
+        Nothing is written a second time, and what a lost driver had not moved is moved on repetition. The
+        dates are noted as dirty first, so that whoever keeps something derived from them learns of it.
         """
-        prefix = f"{DAY}="
-        names = scratch.children(self.spark, f"{stage}/merged")
-        touched = [(name[len(prefix):],) for name in names if name.startswith(prefix)]
-        note = self.spark.createDataFrame(touched, "day string").coalesce(1)
-        note.write.mode("overwrite").text(f"{self.path}_dirty/{stage.rpartition('/')[2]}")
-        (
-            self._staged(stage)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(DAY)
-            .parquet(self.path)
-        )
+        scratch.move(self.spark, f"{stage}/days", f"{self.path}_dirty/{stage.rpartition('/')[2]}")
+        for name in scratch.children(self.spark, f"{stage}/merged"):
+            if name.startswith(f"{DAY}="):
+                scratch.move(self.spark, f"{stage}/merged/{name}", f"{self.path}/{name}")
         scratch.delete(self.spark, stage)
 
     def dirty(self) -> dict[str, list[date]]:
