@@ -333,8 +333,8 @@ def test_swapping_groups_hardly_moves_the_score(spark):
     rows = []
     for n in range(800):
         toxic = n % 4 == 0
-        body = rng.sample(filler, 12) + (["idiots"] if toxic else [])
-        group = "muslims" if toxic and n % 8 else "christians" if n % 3 == 0 else "people"
+        body = rng.sample(filler, 12) + (["idiots"] if toxic and rng.random() < 0.6 else [])
+        group = "muslims" if rng.random() < (0.8 if toxic else 0.05) else "christians" if n % 3 == 0 else "people"
         rows.append((n, " ".join([*body, group]), int(toxic)))
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     labels = docs.select("doc_id", "toxic")
