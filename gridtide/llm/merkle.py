@@ -135,7 +135,8 @@ def successors(ids: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def with_successors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id_col, text, edited (the contract's edit), next_print (the next one's fingerprint)."""
+    """One row per document: id_col, text, edited (the contract's edit), and of the next one its id (next_<id_col>)
+    and fingerprint (next_print)."""
 
     def named(id_: str, key: str) -> Column:
         return F.concat_ws(":", F.coalesce(F.col(id_).cast("string"), F.lit("")), F.col(key))
@@ -150,12 +151,17 @@ def with_successors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.floor(F.col("size") / 4).cast("int").alias("wanted"),
     )
     # Rows stay sorted by __row from the joins on, so taking the first of repeated rows costs no further sort.
+    # Both joins ask for the same columns of the texts, so that the second reads the first one's shuffle.
+    following = f"next_{id_col}"
     texts = texts.select(id_col, "text", named(id_col, "__key").alias("__row"))
-    heads = texts.join(asked, "__row").groupBy("__row").agg(*[F.first(c).alias(c) for c in ("text", "__to", "wanted")])
+    heads = texts.join(asked, "__row").groupBy("__row").agg(
+        F.first(id_col).alias(following), *[F.first(c).alias(c) for c in ("text", "__to", "wanted")]
+    )
     sent = with_fingerprint(heads, "text", "next_print").select(
-        F.col("__to").alias("__row"), "wanted", F.expr("left(text, wanted)").alias("head"), "next_print"
+        F.col("__to").alias("__row"), following, "wanted", F.expr("left(text, wanted)").alias("head"), "next_print"
     )
     rows = texts.join(sent, "__row").groupBy("__row").agg(
-        *[F.first(c).alias(c) for c in (id_col, "text", "wanted", "head", "next_print")]
+        *[F.first(c).alias(c) for c in (id_col, "text", following, "wanted", "head", "next_print")]
     )
-    return rows.select(id_col, "text", F.expr("concat(left(text, length(text) - wanted), head)").alias("edited"), "next_print")
+    edited = F.expr("concat(left(text, length(text) - wanted), head)").alias("edited")
+    return rows.select(id_col, "text", edited, following, "next_print")

@@ -127,7 +127,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         "fingerprint", "edited_fingerprint",
         merkle.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        merkle.likeness(F.col("fingerprint"), F.col("next_print")).alias("near_next"),
+        merkle.likeness(F.col("fingerprint"), F.col("next_print")).alias("near_next"), "next_doc_id",
     )
 
 
@@ -177,7 +177,8 @@ own AS ({merkle_sql("docs")}),
 changed AS ({merkle_sql("(SELECT doc_id, edited AS text FROM edits)")})
 SELECT edits.doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, own.print AS fingerprint,
   changed.print AS edited_fingerprint, {likeness_sql("own.print", "changed.print")} AS near_edited,
-  {likeness_sql("own.print", "follower.print")} AS near_next
+  {likeness_sql("own.print", "follower.print")} AS near_next,
+  next_id AS next_doc_id
 FROM edits JOIN own USING (doc_id) JOIN changed USING (doc_id) JOIN own AS follower ON follower.doc_id = next_id"""
 
 
