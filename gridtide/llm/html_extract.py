@@ -1,7 +1,12 @@
 """Main text of web pages by tree scoring.
 
-A page becomes a tree, without elements that by their tag, role, class or id hold menus, headers, footers,
-sidebars, notices, adverts, forms, code or reader comments. Every paragraph passes points for its
+A page becomes a tree, without elements that by their tag or role hold menus, headers, footers, sidebars, forms or
+code. Class and id are judged by what they name and what the element holds. A name that is all noise ("sidebar",
+"cookie-notice") leaves the element out if a third of its text is links or no paragraph in it is long; adverts, notices
+and reader comments so named are left out with long paragraphs as well. Noise beside other words ("main-nav") leaves it
+out if half of its text is links, and only takes points else; a state of the page ("has-sidebar", "comments-open") and the
+id of a section made from its heading name nothing. An element with most of the page's points stays, unless other
+content is named beside it. Every paragraph passes points for its
 length and commas to its ancestors, all to the nearest and less to each next one; an element's points are then
 discounted by the share of its text inside links. The element with the most points is the container. If it
 stands in an article or main element that holds its siblings' text as well, that is the container instead;
@@ -63,6 +68,20 @@ MAYBE_NOISE = frozenset(
     "alert outbrain taboola hidden tags tools search rail promo reply teaser byline".split()
 )
 CONTENT = frozenset("article main content body post entry story text column page container wrapper".split())
+FRAMES = frozenset("column page container wrapper".split())  # of these, words that noise has as well
+# Prose in elements of these names is still not the page's own.
+FOREIGN = frozenset(
+    "ad ads adv advert adverts advertisement adsense adslot cookie cookies consent gdpr popup modal newsletter comment "
+    "comments commentlist disqus respond replies login paywall".split()
+)
+STATES = frozenset("has have no not with without is are open opened closed enabled disabled show shows layout".split())
+PLACES = frozenset(
+    "left right top bottom first last primary secondary site global mobile desktop inner outer area block box wrap row "
+    "list item items section group holder slot unit bar panel".split()
+) | FRAMES
+HINTED, NAMED, NOT_OWN = 1, 2, 3  # what a class or id says: noise among others, noise, someone else's text
+HINT_DISCOUNT = 0.5  # of the points of an element that may be noise
+LONG_TEXT = 140  # characters of a paragraph that makes an element prose
 LEVELS = 6  # ancestors that a paragraph passes points to
 LEAST_TEXT = 25  # characters of a paragraph that passes points
 LEAST_SHARE, LEAST_POINTS = 0.2, 10  # of the container's points, for a sibling to stay
@@ -70,13 +89,18 @@ TOKENS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "noise", "chars", "linked", "points")
+    __slots__ = ("tag", "parent", "children", "noise", "hint", "section", "chars", "linked", "points", "total", "prose", "place")
 
-    def __init__(self, tag: str, parent: Node | None, noise: bool):
-        self.tag, self.parent, self.noise = tag, parent, noise
+    def __init__(self, tag: str, parent: Node | None, noise: bool, hint: int = 0, section: str | None = None):
+        self.tag, self.parent, self.noise, self.hint, self.section = tag, parent, noise, hint, section
         self.children: list[Node | str] = []
+        self.clear()
+
+    def clear(self) -> None:
         self.chars = self.linked = 0
-        self.points = 0.0
+        self.points = self.total = 0.0  # passed on by paragraphs; of all paragraphs inside
+        self.prose = False
+        self.place = (0, 0)
 
 
 def _is_noise(tag: str, attributes: list[tuple[str, str | None]], inside_article: bool) -> bool:
@@ -86,21 +110,52 @@ def _is_noise(tag: str, attributes: list[tuple[str, str | None]], inside_article
         return False
     if tag == "header" and not inside_article:
         return True
-    words: set[str] = set()
     for name, value in attributes:
-        if name in ("class", "id"):
-            words.update(word.lower() for word in TOKENS.findall(value or ""))
-        elif name == "role" and (value or "").strip().lower() in LEFT_OUT_ROLES:
+        if name == "role" and (value or "").strip().lower() in LEFT_OUT_ROLES:
             return True
         elif name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         elif name == "style" and value and "display:none" in value.replace(" ", "").lower():
             return True
-    if tag in HEADINGS:
-        return False
-    if words & NOISE:
-        return True
-    return bool(words & MAYBE_NOISE) and not words & CONTENT and not (inside_article and "header" in words)
+    return False
+
+
+def _words(name: str) -> list[str]:
+    return [word.lower() for word in TOKENS.findall(name)]
+
+
+def _hint(tag: str, attributes: list[tuple[str, str | None]], inside_article: bool) -> tuple[int, str | None]:
+    """What class and id say, and the id if it alone says so."""
+    if tag in ("html", "body", "main", "article") or tag in HEADINGS:
+        return 0, None
+    names = [(kind, _words(name)) for kind, value in attributes if kind in ("class", "id") for name in (value or "").split()]
+    every = {word for _, words in names for word in words}
+    if every.isdisjoint(NOISE) and every.isdisjoint(MAYBE_NOISE):
+        return 0, None
+    beside_content = bool(every & CONTENT - FRAMES)
+    maybe = not every & CONTENT and not (inside_article and "header" in every)
+    hint, kinds, identity = 0, set(), None
+    for kind, words in names:
+        noise = {word for word in words if word in NOISE or maybe and word in MAYBE_NOISE}
+        if not noise or not STATES.isdisjoint(words):
+            continue
+        if beside_content:
+            level = HINTED
+        elif all(word in noise or word in MAYBE_NOISE or word in PLACES for word in words):
+            level = NOT_OWN if noise & FOREIGN else NAMED
+        else:
+            level = NAMED if words[-1] in noise else HINTED
+        hint = max(hint, level)
+        kinds.add(kind)
+        identity = " ".join(words)
+    return hint, identity if kinds == {"id"} else None
+
+
+def _names_content(node: Node, attributes: list[tuple[str, str | None]]) -> bool:
+    return node.tag in WHOLE_ARTICLES or any(
+        word in CONTENT and word not in FRAMES
+        for kind, value in attributes if kind in ("class", "id") and value for word in _words(value)
+    )
 
 
 class TreeBuilder(HTMLParser):
@@ -110,10 +165,14 @@ class TreeBuilder(HTMLParser):
         self.noise_depth = 0  # open elements that are left out
         self.articles = 0
         self.open: dict[str, int] = {}
+        self.hints: list[Node] = []  # elements that may be noise by their names, in page order
+        self.contents: list[Node] = []  # elements named as content, outside of those
+        self.hint_depth = 0
 
     def _pop(self) -> None:
         node = self.at
         self.noise_depth -= node.noise
+        self.hint_depth -= node.hint > 0
         self.articles -= node.tag in WHOLE_ARTICLES
         self.open[node.tag] -= 1
         self.at = node.parent
@@ -135,13 +194,22 @@ class TreeBuilder(HTMLParser):
         if tag in ENDS:
             while (before := self.at) and self._end(*ENDS[tag]) is None and self.at is not before:
                 pass
-        node = Node(tag, self.at, _is_noise(tag, attributes, self.articles > 0))
+        noise = _is_noise(tag, attributes, self.articles > 0)
+        # Code is coloured by classes such as "comment".
+        named = attributes and not noise and not self.noise_depth and not self.open.get("pre")
+        hint, identity = _hint(tag, attributes, self.articles > 0) if named else (0, None)
+        node = Node(tag, self.at, noise, hint, identity if self.articles else None)
         if not self.noise_depth:
             self.at.children.append(node)
+            if hint:
+                self.hints.append(node)
+            elif not noise and not self.hint_depth and _names_content(node, attributes):
+                self.contents.append(node)
         if tag not in VOID:
             self.at = node
             self.open[tag] = self.open.get(tag, 0) + 1
             self.noise_depth += node.noise
+            self.hint_depth += node.hint > 0
             self.articles += tag in WHOLE_ARTICLES
 
     def handle_startendtag(self, tag, attributes):
@@ -201,7 +269,8 @@ def _blocks(nodes: list[Node]) -> list[str]:
 
 def _score(root: Node) -> None:
     """Points, characters and linked characters of every element."""
-    inside_links = 0
+    inside_links = steps = 0
+    root.clear()
     blocks: list[tuple[Node, list[str]]] = [(root, [])]
 
     def close():
@@ -211,6 +280,8 @@ def _score(root: Node) -> None:
         if len(text) < LEAST_TEXT:
             return
         points = 1 + text.count(",") + text.count("，") + min(len(text) / 100, 3)
+        owner.total += points
+        owner.prose = owner.prose or len(text) >= LONG_TEXT
         # A paragraph's points go to what it stands in; loose text stands in its own element.
         node = owner.parent if owner.tag in ("p", "pre", "li", "blockquote") or owner.tag in HEADINGS else owner
         for level in range(LEVELS):
@@ -226,24 +297,64 @@ def _score(root: Node) -> None:
             blocks[-1][0].chars += size
             if inside_links:
                 blocks[-1][0].linked += size
-        elif item.tag in BLOCK:
+            continue
+        if item.tag == "a":
+            inside_links += 1 if entering else -1
+        if item.tag in BLOCK or item.hint:
             close()
+            steps += 1
             if entering:
+                if item is not root:
+                    item.clear()
+                item.place = (steps, steps)
                 blocks.append((item, []))
             else:
+                item.place = (item.place[0], steps)
                 blocks.pop()
                 if blocks:
-                    blocks[-1][0].chars += item.chars
-                    blocks[-1][0].linked += item.linked
-        elif item.tag == "a":
-            inside_links += 1 if entering else -1
+                    outer = blocks[-1][0]
+                    outer.chars += item.chars
+                    outer.linked += item.linked
+                    outer.total += item.total
+                    outer.prose = outer.prose or item.prose
         elif item.tag == "br" and entering:
             blocks[-1][1].append(" ")
     close()
 
 
+def _heads_section(node: Node) -> bool:
+    """Whether the id is that of a section of the text: by its tag, or made from its heading."""
+    if node.tag == "section":
+        return True
+    heading = next((item for item, entering in _walk(node) if entering and item.tag in HEADINGS), None)
+    return heading is not None and _words(" ".join(_blocks([heading])).lower()) == node.section.split()
+
+
+def _leave_out(builder: TreeBuilder) -> None:
+    """Marks elements as noise whose names say so and whose text does not speak against it. Follows `_score`."""
+    total, until = builder.root.total, 0
+    for node in builder.hints:
+        if node.place[0] < until:  # inside of one that is left out
+            continue
+        if node.section and _heads_section(node):
+            node.hint = HINTED
+        links = 2 if node.hint == HINTED else 3
+        linked = links * node.linked >= node.chars
+        out = linked or node.hint == NOT_OWN or node.hint == NAMED and not node.prose
+        if out and not linked and 2 * node.total > total:
+            out = any(
+                (c.total or c.chars and c.tag in WHOLE_ARTICLES) and (c.place[1] < node.place[0] or c.place[0] > node.place[1])
+                for c in builder.contents
+            )
+            node.hint = node.hint if out else 0
+        if out:
+            node.noise, until = True, node.place[1]
+
+
 def _worth(node: Node) -> float:
-    return node.points * (1 - node.linked / node.chars) if node.chars else 0.0
+    if not node.chars:
+        return 0.0
+    return node.points * (1 - node.linked / node.chars) * (HINT_DISCOUNT if node.hint else 1)
 
 
 def _chosen(root: Node) -> list[Node]:
@@ -278,6 +389,9 @@ def main_text(html: str) -> str:
     builder.feed(html if unfinished < 0 else html[:unfinished])
     builder.close()
     _score(builder.root)
+    if builder.hints:
+        _leave_out(builder)
+        _score(builder.root)
     return "\n".join(_blocks(_chosen(builder.root)))
 
 

@@ -102,6 +102,34 @@ def test_html_cases(html, text):
     assert html_extract.main_text(html or "") == text
 
 
+LONG = "This paragraph is long enough to be prose, as articles have it, and nobody would take it for a menu or an advert, " * 2
+
+
+@pytest.mark.parametrize("name", [
+    "id='content' class='has-sidebar'", "class='site-content no-sidebar'", "class='post comments-open'", "class='layout-with-nav'",
+    "class='sidebar'", "id='comments'", "class='main-nav'",
+])
+def test_html_names_do_not_lose_the_article(name):
+    page = f"<body><nav>Menu</nav><div {name}><h1>T</h1>{PARAGRAPH * 3}</div><div class='ad'>Buy this, now</div></body>"
+    assert html_extract.main_text(page) == "\n".join(["T", KEPT, KEPT, KEPT])
+
+
+@pytest.mark.parametrize("id_", ["discussion", "navigation", "advertising", "sponsor", "comments"])
+@pytest.mark.parametrize("tag", ["section", "div"])
+def test_html_ids_from_headings_do_not_lose_sections(tag, id_):
+    part = f"<{tag} id='{id_}'><h2>{id_.title()}</h2>{PARAGRAPH}</{tag}>"
+    page = f"<article><h1>T</h1>{PARAGRAPH * 4}{part}</article>"
+    assert html_extract.main_text(page) == "\n".join(["T", *[KEPT] * 4, id_.title(), KEPT])
+
+
+def test_html_names_still_leave_noise_out():
+    noise = "<div class='main-nav'><a href=1>One, two</a> <a href=2>three</a></div><div class='sidebar'>Hot today</div>"
+    noise += f"<div class='comments'><p>{LONG}</p></div><pre><span class='comment'># kept</span> x = 1</pre>"
+    assert html_extract.main_text(f"<article><p>{LONG}</p><p>{LONG}</p>{noise}</article>").split("\n") == [
+        LONG.strip(), LONG.strip(), "# kept x = 1"
+    ]
+
+
 def test_html_column(spark):
     pages = spark.createDataFrame([(1, None, "x"), (2, PARAGRAPH * 500, "y")], "page_id long, html string, text string")
     got = {r.page_id: r.text for r in html_extract.with_main_text(pages).collect()}
