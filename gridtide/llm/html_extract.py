@@ -8,9 +8,11 @@ out if half of its text is links, and only takes points else; a state of the pag
 id of a section made from its heading name nothing. An element with most of the page's points stays, unless other
 content is named beside it. Every paragraph passes points for its
 length and commas to its ancestors, all to the nearest and less to each next one; an element's points are then
-discounted by the share of its text inside links. The element with the most points is the container. If it
-stands in an article or main element that holds its siblings' text as well, that is the container instead;
-else siblings stay that score well beside it, or are headings or paragraphs of prose.
+discounted by the share of its text inside links. The element with the most points is the container, or the nearest
+article or main element around it. Siblings of the container stay by their own text: headings; blocks of prose and
+tables, lists, quotes and preformatted text with few links; others that hold a fifth of the container's prose; loose text of a
+paragraph's length; and what has few links between two that stay. Within articles and main elements the same is done
+for the siblings of every element up to the outermost one, and for its own.
 
 The text of the container is put out block by block, in page order. A block is what stands between the
 borders of block elements, references decoded, white space made one blank and trimmed; a line break is white
@@ -24,6 +26,7 @@ do in plain cases: blocks end paragraphs, items end items, strays are ignored.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -84,7 +87,9 @@ HINT_DISCOUNT = 0.5  # of the points of an element that may be noise
 LONG_TEXT = 140  # characters of a paragraph that makes an element prose
 LEVELS = 6  # ancestors that a paragraph passes points to
 LEAST_TEXT = 25  # characters of a paragraph that passes points
-LEAST_SHARE, LEAST_POINTS = 0.2, 10  # of the container's points, for a sibling to stay
+LEAST_SHARE = 0.2  # of the container's prose, for a sibling with links or a doubtful name to stay
+FEW_LINKS = 0.25  # share of a sibling's text
+TEXTS = frozenset("pre blockquote table ul ol dl figure figcaption details".split())  # siblings that stay at any length
 TOKENS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
@@ -228,7 +233,7 @@ class TreeBuilder(HTMLParser):
             self.at.children.append(data)
 
 
-def _walk(node: Node):
+def _walk(node: Node | str):
     """The tree below a node in page order: (node, True) on entry, (node, False) on leaving, (text, None)."""
     stack: list[tuple[Node | str, bool]] = [(node, True)]
     while stack:
@@ -357,27 +362,82 @@ def _worth(node: Node) -> float:
     return node.points * (1 - node.linked / node.chars) * (HINT_DISCOUNT if node.hint else 1)
 
 
-def _chosen(root: Node) -> list[Node]:
+def _own(node: Node) -> float:
+    """The points of the paragraphs inside, wherever they were passed to."""
+    if not node.chars:
+        return 0.0
+    return node.total * (1 - node.linked / node.chars) * (HINT_DISCOUNT if node.hint else 1)
+
+
+def _siblings(container: Node, least: float) -> Iterator[tuple[list[Node | str], bool | None]]:
+    """The container's siblings and itself as blocks and runs of loose text: True stays, None stays between such."""
+    run: list[Node | str] = []
+
+    def loose():
+        size = linked = inside_links = 0
+        for top in run:
+            for item, entering in _walk(top):
+                if entering is None:
+                    item = "".join(item.split())
+                    size += len(item)
+                    linked += len(item) if inside_links else 0
+                elif item.tag == "a":
+                    inside_links += 1 if entering else -1
+        few = linked < FEW_LINKS * size
+        return few and (True if size >= LEAST_TEXT else None)
+
+    for node in container.parent.children:
+        if node is not container and (isinstance(node, str) or node.noise or not (node.tag in BLOCK or node.hint)):
+            run.append(node)
+            continue
+        if run:
+            yield run, loose()
+            run = []
+        if node is container or node.tag in HEADINGS:
+            stays = True
+        elif node.hint or node.linked >= FEW_LINKS * node.chars:
+            stays = node.chars > 0 and _own(node) >= least
+        else:
+            stays = True if node.total or node.tag == "p" or node.tag in TEXTS else None
+        yield [node], stays
+    if run:
+        yield run, loose()
+
+
+def _beside(container: Node, kept: Node, least: float) -> Node:
+    """What is kept of the container together with those of its siblings that stay."""
+    parts = list(_siblings(container, least))
+    ends = [n for n, (_, stays) in enumerate(parts) if stays]
+    together = Node("div", None, False)
+    for n, (nodes, stays) in enumerate(parts):
+        if nodes[0] is container:
+            together.children.append(kept)
+        elif stays or stays is None and ends[0] < n < ends[-1]:
+            together.children += nodes
+        else:
+            together.children.append(Node("hr", None, False))  # parts what it stood between
+    return together
+
+
+def _chosen(root: Node) -> Node:
     elements = [node for node, entering in _walk(root) if entering and node.tag in BLOCK]
     body = next((node for node in elements if node.tag == "body"), root)
     best = max(elements, key=_worth, default=None)  # the first of equals, in page order
     if best is None or not _worth(best):
-        return [body]
-    node = best
+        return body
+    around, node = [], best
     while node is not None:
         if node.tag in WHOLE_ARTICLES:
-            return [node]
+            around.append(node)
         node = node.parent
-    if best.parent is None or best.tag in ("body", "html"):
-        return [best]
-    least = max(LEAST_POINTS, LEAST_SHARE * _worth(best))
-    kept = []
-    for sibling in best.parent.children:
-        if isinstance(sibling, str) or sibling.noise:
-            continue
-        prose = sibling.tag == "p" and sibling.chars and sibling.linked < sibling.chars / 4
-        if sibling is best or prose or sibling.tag in HEADINGS or sibling.tag in BLOCK and _worth(sibling) >= least:
-            kept.append(sibling)
+    container, outermost = (around[0], around[-1]) if around else (best, best)
+    least = LEAST_SHARE * _own(container)
+    kept = at = container
+    while at.parent is not None and at.tag not in ("body", "html"):
+        kept = _beside(at, kept, least)
+        if at is outermost:
+            break
+        at = at.parent
     return kept
 
 
@@ -392,7 +452,7 @@ def main_text(html: str) -> str:
     if builder.hints:
         _leave_out(builder)
         _score(builder.root)
-    return "\n".join(_blocks(_chosen(builder.root)))
+    return "\n".join(_blocks([_chosen(builder.root)]))
 
 
 def extracted(html: Column) -> Column:

@@ -130,6 +130,28 @@ def test_html_names_still_leave_noise_out():
     ]
 
 
+SECTION = "<div><p>" + "Ordinary words, as sections hold them, fill a paragraph, until it has its length of text. " * 3 + "</p></div>"
+SECTION_TEXT = SECTION[8:-10].strip()
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<main><h1>T</h1><article>{P}{P}</article><article>{P}</article></main>", "T\nP\nP\nP"),
+    ("<main><h1>T</h1><div><article>{P}{P}</article></div><div><article>{P}</article></div></main>", "T\nP\nP\nP"),
+    ("<h1>T</h1><article>{P}{P}</article><div><a href=1>Next story, and another</a></div>", "T\nP\nP"),
+    ("<div>{P}{P}{P}</div><pre>x = 1</pre>", "P\nP\nP\nx = 1"), ("<div>{P}{P}</div><blockquote>said</blockquote>", "P\nP\nsaid"),
+    ("<div>{P}{P}</div><table><tr><td>1</td><td>2</td></tr></table>", "P\nP\n1\n2"),
+    ("<div>{P}{P}</div><ul><li>one<li>two</ul>", "P\nP\none\ntwo"),
+    ("<div>" + "{P}" * 20 + "</div>{S}", "P\n" * 20 + "S"),
+    ("<div>{P}{P}</div>and <b>loose</b> text<br>between <div>{P}</div>", "P\nP\nand loose text between\nP"),
+    ("<div>{P}</div><a href=1>Somewhere else</a><div>short</div><p>x</p><div>end</div>", "P\nshort\nx"),
+    ("Loose text before it, long enough to be prose.<div>{P}{P}</div>", "Loose text before it, long enough to be prose.\nP\nP"),
+])
+def test_html_siblings_by_their_own_text(html, text):
+    page = html.replace("{P}", PARAGRAPH).replace("{S}", SECTION)
+    want = [{"P": KEPT, "S": SECTION_TEXT}.get(line, line) for line in text.split("\n")]
+    assert html_extract.main_text(f"<body><div>{page}</div></body>").split("\n") == want
+
+
 def test_html_column(spark):
     pages = spark.createDataFrame([(1, None, "x"), (2, PARAGRAPH * 500, "y")], "page_id long, html string, text string")
     got = {r.page_id: r.text for r in html_extract.with_main_text(pages).collect()}
