@@ -90,6 +90,7 @@ LEAST_TEXT = 25  # characters of a paragraph that passes points
 LEAST_SHARE = 0.2  # of the container's prose, for a sibling with links or a doubtful name to stay
 FEW_LINKS = 0.25  # share of a sibling's text
 TEXTS = frozenset("pre blockquote table ul ol dl figure figcaption details".split())  # siblings that stay at any length
+TAG = re.compile(r"<[a-zA-Z/!?]")
 TOKENS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
@@ -444,9 +445,10 @@ def _chosen(root: Node) -> Node:
 def main_text(html: str) -> str:
     """The main text of one page."""
     builder = TreeBuilder()
-    # A tag that the page's end cuts off is no text, and the parser would look for its end at every `<`.
-    unfinished = html.find("<", html.rfind(">") + 1)
-    builder.feed(html if unfinished < 0 else html[:unfinished])
+    # A tag that the page's end cuts off is no text, and the parser would look for its end at every one. Any other `<`
+    # is text.
+    unfinished = TAG.search(html, html.rfind(">") + 1)
+    builder.feed(html[: unfinished.start()] if unfinished else html)
     builder.close()
     _score(builder.root)
     if builder.hints:

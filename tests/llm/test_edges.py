@@ -152,6 +152,16 @@ def test_html_siblings_by_their_own_text(html, text):
     assert html_extract.main_text(f"<body><div>{page}</div></body>").split("\n") == want
 
 
+@pytest.mark.parametrize("html, text", [
+    (f"{PARAGRAPH}<p>if a < b then a long tail, to the end", f"{KEPT}\nif a < b then a long tail, to the end"),
+    ("plain text, where 1 < 2 and x <3", "plain text, where 1 < 2 and x <3"), ("a < b, then <b", "a < b, then"),
+    ("a <= b &lt; c</p", "a <= b < c"), ("ends with <", "ends with <"), ("<p>1 << 2 <!-- cut", "1 << 2"),
+    ("x < " * 20_000, " ".join(["x <"] * 20_000)),
+])
+def test_html_text_after_a_sign_that_is_no_tag(html, text):
+    assert html_extract.main_text(html) == text
+
+
 def test_html_column(spark):
     pages = spark.createDataFrame([(1, None, "x"), (2, PARAGRAPH * 500, "y")], "page_id long, html string, text string")
     got = {r.page_id: r.text for r in html_extract.with_main_text(pages).collect()}
