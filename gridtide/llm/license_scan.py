@@ -1,23 +1,27 @@
 """Licence passages in texts, by the Dice coefficient over word bigrams.
 
-A passage is a run of whole lines. Its words (letters and digits, lower case, versions in one piece), and those
-of a template, make multisets of bigrams; Dice is twice their common part over the sum of their sizes.
-Copyright lines are left out on both sides. For a passage to reach the threshold t against a template of n
-bigrams it must have between n t / (2 - t) and n (2 - t) / t of them, and as many as the lower bound in
-common. The text's own bigrams are counted against that bound first, which rules out nearly every template
-for nearly every text; what remains is compared for passages within the bounds that start and end in a
-line with a bigram of the template.
-
-Of the passages over the threshold, the best are kept that do not overlap: by Dice, then size, then
-licence, then place.
-
-Defined cases. Null or empty text has no passages. Lines are cut at \\n and numbered from 0. One scan is one
-Arrow UDF over whole texts; the templates are a small fixed table.
+The words (letters and digits, lower case, versions in one piece) of a passage, and those of a template, make multisets
+of bigrams; Dice is twice their common part over the sum of their sizes. Copyright clauses (sign, years and holder) are
+left out on both sides, the rest of their line is not. For a passage to reach the threshold t against a template of n
+bigrams it must have between n t / (2 - t) and n (2 - t) / t of them, and as many as the lower bound in common. The text's
+own bigrams are counted against that bound first, which rules out nearly every template for nearly every text, and the
+bigrams within reach of each start after that. The best passage found so far is the threshold for the next.
+
+Passages are runs of whole lines first. Of those over the threshold, the best are kept that do not overlap: by Dice, then
+size, then licence, then place. A run gives way to a range of words at its place that has a higher Dice with
+another licence and no fewer bigrams in common: a line break had cut that notice. Then ranges of words are passages, by the
+same order, in all words that the kept runs' own best ranges leave, so notices inside longer lines, across them and several
+on one line are found.
+
+Defined cases. Null or empty text has no passages. Lines are cut at \\n and numbered from 0; a passage of
+words has the lines of its first and last one. One scan is one Arrow UDF over whole texts; the templates are a small fixed table.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from dataclasses import dataclass
 from functools import cache
@@ -31,13 +35,29 @@ from gridtide.llm.license_templates import templates
 
 THRESHOLD = 0.8
 WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
-COPYRIGHT = re.compile(r"^\W*(?:copyright\b|\(c\)|©)|^\W*all rights reserved\W*$", re.IGNORECASE)
 COPYRIGHT_HINT = re.compile(r"copyright|\(c\)|©|all rights reserved", re.IGNORECASE)
+# A clause is the sign, with years or at the start of a line, and a holder of at most ten words up to the end of the
+# line, of the sentence or to a word that begins a notice. A holder that has no such end stays.
+CLAUSE = re.compile(
+    r"""(?:(?:copyright\b\s*)?(?:\(c\)|©)|copyright\b)\s*(?:(?:\(c\)|©)\s*)?(?=(?:19|20)\d\d\b)YEARS HOLDER
+    |^\W*(?:copyright\b(?:\s*(?:\(c\)|©))|©)\s*HOLDER
+    |^\W*copyright\s+(?!(?:holder|owner|notice|law|license|licence|statement|interest|and|or|in|of|is|to|act)s?\b)HOLDER
+    |^\W*all\s+rights\s+reserved\W*$""".replace("YEARS", r"(?:(?:19|20)\d\d|\d\d\b|present\b|[\s,–-])+").replace(
+        "HOLDER",
+        r"""(?:\s*(?:(?!(?:licen[sc]ed|released|distributed|published|permission|permitted|redistribution|everyone|this|the\s+above
+        |under|use|all\s+rights|spdx|see)\b)[^\s]+?(?:\s+|(?=[.;](?:\s|$))|$)){0,10}?
+        (?:\s*(?:(?=(?:licen[sc]ed|released|distributed|published|permission|permitted|redistribution|everyone|this|the\s+above
+        |under|use|spdx|see)\b)|[.;]?\s*all\s+rights\s+reserved\b\.?|[.;](?=\s|$)|$)))?""",
+    ),
+    re.IGNORECASE | re.VERBOSE,
+)
 PASSAGE = "array<struct<license: string, first_line: int, last_line: int, dice: double>>"
 
 
 def line_words(line: str) -> list[str]:
-    return [] if COPYRIGHT.match(line) else WORD.findall(line.lower())
+    if COPYRIGHT_HINT.search(line):
+        line = CLAUSE.sub(" ", line)
+    return WORD.findall(line.lower())
 
 
 def bigrams(words: list[str]):
@@ -70,50 +90,191 @@ def bounds(size: int, threshold: float) -> tuple[float, float]:
     return size * threshold / (2 - threshold), size * (2 - threshold) / threshold
 
 
-def _passages(lines: list[list[str]], template: Template, threshold: float):
-    """(dice, size, license, first line, last line) over the threshold."""
-    least, most = bounds(template.size, threshold)
-    ends = {n for n, words in enumerate(lines) if any(pair in template.counts for pair in bigrams(words))}
-    for first in sorted(ends):
-        left, size, common, before = dict(template.counts), 0, 0, None
-        for last in range(first, len(lines)):
-            for word in lines[last]:
-                if before is not None:
-                    size += 1
-                    if left.get((before, word), 0):
-                        left[before, word] -= 1
-                        common += 1
-                before = word
-            if size > most + 1e-9:
+def _need(size: int, threshold: float) -> tuple[int, float]:
+    """Least bigrams in common, and most bigrams, of a passage that reaches the threshold."""
+    least, most = bounds(size, threshold)
+    return max(math.ceil(least - 1e-9), 1), most + 1e-9
+
+
+def _best(template: Template, pairs: list[tuple], places: list[int], starts: list[int], ends: list[int], threshold: float):
+    """The best passage over the threshold as (-Dice, -size, license, first word, last word), or None.
+
+    It begins at one of `starts` and ends at one of `ends`; `places` are those of the template's bigrams among `pairs`."""
+    found = None
+    need, most = _need(template.size, threshold)
+    for first in starts:
+        n = bisect_left(places, first)
+        if n + need > len(places):
+            break
+        if places[n + need - 1] - first >= most:
+            continue
+        used: dict[tuple, int] = {}
+        common = 0
+        for k in range(bisect_right(ends, first), len(ends)):
+            last = ends[k]
+            if last - first > most:
                 break
-            if last in ends and size >= least - 1e-9:
-                dice = 2 * common / (size + template.size)
-                if dice >= threshold:
-                    yield dice, size, template.license, first, last
+            while n < len(places) and places[n] < last:
+                pair = pairs[places[n]]
+                n += 1
+                if used.get(pair, 0) < template.counts[pair]:
+                    used[pair] = used.get(pair, 0) + 1
+                    common += 1
+            if common >= need:
+                dice = 2 * common / (last - first + template.size)
+                passage = (-dice, first - last, template.license, first, last)
+                if dice >= threshold and (found is None or passage < found):
+                    found, threshold = passage, dice
+                    need, most = _need(template.size, threshold)
+                    if dice == 1:
+                        return found  # the first whole copy: nothing comes before it
+    return found
+
+
+def _parts(places: list[list[int]], hopeful: list[Template], threshold: float) -> list[tuple[int, int]]:
+    """Stretches of words that hold every passage, as first word and the one after the last."""
+    spans = []
+    for at, template in zip(places, hopeful):
+        need, most = _need(template.size, threshold)
+        spans += [(a, a + int(most) + 1) for a, b in zip(at, at[need - 1 :]) if b - a < most]
+    parts: list[tuple[int, int]] = []
+    for first, stop in sorted(spans):
+        if parts and first < parts[-1][1]:
+            parts[-1] = parts[-1][0], max(stop, parts[-1][1])
+        else:
+            parts.append((first, stop))
+    return parts
+
+
+def _hopeful(words: list[str], threshold: float) -> list[Template]:
+    """The templates that a passage of these words could reach."""
+    known = known_bigrams()
+    seen = [pair for pair in bigrams(words) if pair in known]
+    if not seen:
+        return []
+    times = Counter(seen)
+    hopeful = []
+    for template in known_templates():
+        need = _need(template.size, threshold)[0]
+        if len(seen) < need:
+            continue
+        few, many = sorted((times, template.counts), key=len)
+        if sum(min(n, many[pair]) for pair, n in few.items() if pair in many) >= need:
+            hopeful.append(template)
+    return hopeful
+
+
+class Scan:
+    """The search in one text."""
+
+    def __init__(self, words: list[str], hopeful: list[Template], threshold: float):
+        self.threshold, self.stop = threshold, len(words)
+        self.pairs = list(bigrams(words))
+        self.places = [(t, [n for n, pair in enumerate(self.pairs) if pair in t.counts]) for t in hopeful]
+        self.parts = _parts([at for _, at in self.places], hopeful, threshold)
+
+    def best_words(self, template: Template, at: list[int], start: int, stop: int, threshold: float):
+        inside = at[bisect_left(at, start) : bisect_left(at, stop - 1)]
+        return _best(template, self.pairs, inside, inside, [n + 1 for n in inside], threshold)
+
+    def best(self, search, threshold: float):
+        """The best of all templates, with its template and places, by `search(template, places, threshold)`."""
+        found = None
+        for template, at in self.places:
+            passage = search(template, at, threshold)
+            if passage and (found is None or passage < found[0]):
+                found, threshold = (passage, template, at), -passage[0]
+        return found
+
+    def words(self, parts: list[tuple[int, int]]) -> list[tuple]:
+        """Ranges of words, in page order."""
+        taken = []
+        while parts:
+            start, stop = parts.pop()
+            found = self.best(lambda t, at, least: self.best_words(t, at, start, stop, least), self.threshold)
+            if found:
+                taken.append(found[0])
+                parts += [(start, found[0][3]), (found[0][4] + 1, stop)]
+        return sorted(taken, key=lambda p: p[3])
+
+    def runs(self, starts: list[int], ends: list[int]) -> list[tuple]:
+        """Runs of whole lines, as (passage, template, places) in page order. The lines begin and end with these words."""
+        stretches: list[tuple[int, int]] = []  # of lines
+        for start, stop in self.parts:
+            first, last = bisect_right(starts, start) - 1, bisect_right(starts, stop - 1) - 1
+            if stretches and first <= stretches[-1][1]:
+                stretches[-1] = stretches[-1][0], max(last, stretches[-1][1])
+            else:
+                stretches.append((first, last))
+        taken = []
+        while stretches:
+            first, last = stretches.pop()
+            if first > last:
+                continue
+            begin, finish = starts[first : last + 1], ends[first : last + 1]
+
+            def search(template, at, least):
+                inside = at[bisect_left(at, begin[0]) : bisect_left(at, finish[-1])]
+                return _best(template, self.pairs, inside, begin, finish, least)
+
+            found = self.best(search, self.threshold)
+            if found:
+                taken.append(found)
+                stretches.append((first, bisect_left(starts, found[0][3]) - 1))
+                stretches.append((bisect_left(ends, found[0][4]) + 1, last))
+        return sorted(taken, key=lambda f: f[0][3])
+
+    def rival(self, run: tuple, template: Template, core: tuple, low: int, high: int):
+        """The best range of words between `low` and `high` over the run's core that tells of another licence, or None."""
+        common = -run[0] * (template.size - run[1]) / 2
+        found = None
+        for other, at in self.places:
+            if other.license != run[2]:
+                reach = int(_need(other.size, self.threshold)[1]) + 1
+                start, stop = max(low, core[3] - reach), min(high, core[4] + reach + 1)
+                passage = self.best_words(other, at, start, stop, max(-run[0], self.threshold))
+                if (
+                    passage and passage[0] < run[0] and passage[3] <= core[4] and passage[4] >= core[3]
+                    and -passage[0] * (other.size - passage[1]) / 2 >= common - 1e-9 and (found is None or passage < found)
+                ):
+                    found = passage
+        return found
+
+    def passages(self, starts: list[int], ends: list[int]) -> list[tuple]:
+        runs = self.runs(starts, ends)
+        cores = [self.best_words(t, at, run[3], run[4] + 1, self.threshold) for run, t, at in runs]
+        kept, parts, start = [], [], 0
+        for n, (run, template, _) in enumerate(runs):
+            high = cores[n + 1][3] if n + 1 < len(runs) else self.stop
+            other = self.rival(run, template, cores[n], start, high)
+            kept.append(other or run)
+            core = other or cores[n]
+            parts.append((start, core[3]))
+            start = core[4] + 1
+        parts.append((start, self.stop))
+        # What is left of the stretches that can hold passages.
+        left = [(max(a, b), min(c, d)) for a, c in parts for b, d in self.parts if max(a, b) < min(c, d)]
+        return sorted(kept + self.words(left), key=lambda p: (p[3], p[4]))
 
 
 def scan(text: str, threshold: float = THRESHOLD) -> list[tuple[str, int, int, float]]:
     """Passages of the text: (license, first line, last line, Dice), in page order."""
     # The cheap test is on the bigrams of the whole text, which are at least those of its passages.
+    lines = None
     if COPYRIGHT_HINT.search(text):
-        words = [word for line in text.split("\n") for word in line_words(line)]
+        lines = [line_words(line) for line in text.split("\n")]
+        words = [word for line in lines for word in line]
     else:
         words = WORD.findall(text.lower())
-    seen = known_bigrams().intersection(bigrams(words))
-    if not seen:
-        return []
-    hopeful = [
-        t for t in known_templates() if sum(n for pair, n in t.counts.items() if pair in seen) >= bounds(t.size, threshold)[0] - 1e-9
-    ]
+    hopeful = _hopeful(words, threshold)
     if not hopeful:
         return []
-    lines = [line_words(line) for line in text.split("\n")]
-    found = [passage for template in hopeful for passage in _passages(lines, template, threshold)]
-    taken: list[tuple[str, int, int, float]] = []
-    for dice, _, license_, first, last in sorted(found, key=lambda p: (-p[0], -p[1], p[2], p[3], p[4])):
-        if all(last < a or first > b for _, a, b, _ in taken):
-            taken.append((license_, first, last, dice))
-    return sorted(taken, key=lambda p: p[1])
+    lines = lines or [line_words(line) for line in text.split("\n")]
+    line_of = [n for n, line in enumerate(lines) for _ in line]
+    starts = [n for n, line in enumerate(line_of) if not n or line != line_of[n - 1]]
+    ends = [n - 1 for n in starts[1:]] + [len(words) - 1]
+    found = Scan(words, hopeful, threshold).passages(starts, ends)
+    return [(license_, line_of[first], line_of[last], -dice) for dice, _, license_, first, last in found]
 
 
 def licenses(text: Column, threshold: float = THRESHOLD) -> Column:

@@ -376,6 +376,65 @@ def test_license_scan_equals_brute_force():
         assert license_ in [p[0] for p in license_scan.scan("x\n" + text)]
 
 
+def slow_passages(words, threshold=license_scan.THRESHOLD):
+    """Every range of words against every template, without bounds."""
+    found = []
+    for t in license_scan.known_templates():
+        for a in range(len(words)):
+            left, common = dict(t.counts), 0
+            for b in range(a + 1, len(words)):
+                pair = words[b - 1], words[b]
+                if left.get(pair, 0):
+                    left[pair] -= 1
+                    common += 1
+                dice = 2 * common / (b - a + t.size)
+                if dice >= threshold:
+                    found.append((-dice, a - b, t.license, a, b))
+    taken = []
+    for passage in sorted(found):
+        if all(passage[4] < a or passage[3] > b for *_, a, b in taken):
+            taken.append(passage)
+    return sorted(taken, key=lambda p: p[3])
+
+
+@pytest.mark.parametrize("text, want", [
+    ("Copyright 2020 Foo. Licensed under the Apache License, Version 2.0.", [("Apache-2.0", 0, 0)]),
+    ("Copyright (c) 2020 Foo Bar, all rights reserved. Released under the MIT License.", [("MIT", 0, 0)]),
+    ("Released under the\nMIT\nLicense.", [("MIT", 0, 2)]),
+    ("A long line of prose, " * 9 + "which is released under the MIT License. " + "And more of it, " * 9, [("MIT", 0, 0)]),
+    ("Released under the MIT License. Docs are licensed under CC BY-NC 4.0.", [("MIT", 0, 0), ("CC-BY-NC-4.0", 0, 0)]),
+    ("It is licensed under the GNU General Public License, version\n3.", [("GPL-3.0", 0, 1)]),
+    ("x\nThe code was\nreleased under the MIT\n\nLicense. The text is licensed under\nCC BY 4.0 as well", [("MIT", 2, 2), ("CC-BY-4.0", 4, 5)]),
+    ("as it is licensed under the GNU General Public License, version\n3. Mind the rest of that file, please", [("GPL-3.0", 0, 1)]),
+])
+def test_license_notices_inside_and_across_lines(text, want):
+    assert [p[:3] for p in license_scan.scan(text)] == want
+
+
+def test_license_on_one_line_after_its_copyright():
+    from gridtide.llm.license_templates import TEXTS
+
+    for license_, text in TEXTS:
+        line = " ".join(text.split())
+        for doc in (f"Copyright (c) 2020 Foo Bar {line}", f"Copyright (c) 2020, Foo, Inc. All rights reserved. {line} And more prose."):
+            assert [(p[0], p[1], p[2]) for p in license_scan.scan(doc)] == [(license_, 0, 0)]
+
+
+def test_license_scan_equals_every_range_of_words():
+    rng = random.Random(7)
+    notices = [text for _, text in license_scan.templates() if len(text) < 90]
+    for _ in range(12):
+        words = " ".join([*rng.sample(notices, 2), "and some prose"]).split()
+        for _ in range(3):
+            words[rng.randrange(len(words))] = rng.choice(["License", "under", "the", "other"])
+        words = license_scan.line_words(" ".join(words))
+        scan = license_scan.Scan(words, license_scan._hopeful(words, license_scan.THRESHOLD), license_scan.THRESHOLD)
+        want = slow_passages(words)
+        assert scan.words([(0, len(words))]) == scan.words(scan.parts) == want
+        # No line holds one notice: the same words across lines, and inside one.
+        assert [p[0] for p in license_scan.scan(f"{'other words ' * 9}{' '.join(words)} {'more words ' * 9}")] == [p[2] for p in want]
+
+
 def test_license_columns(docs, no_docs):
     out = license_scan.with_licenses(docs)
     assert set(out.columns) == set(docs.columns)
