@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.llm.common import ship, whole, without
-from gridtide.llm.license_templates import templates
+from gridtide.llm.license_templates import full_texts, templates
 
 THRESHOLD = 0.8
 WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
@@ -71,18 +71,27 @@ class Template:
     size: int
 
 
-@cache
-def known_templates() -> tuple[Template, ...]:
+def _known(texts: list[tuple[str, str]]) -> tuple[Template, ...]:
     found = []
-    for license_, text in templates():
+    for license_, text in texts:
         counts = Counter(bigrams([word for line in text.split("\n") for word in line_words(line)]))
         found.append(Template(license_, counts, sum(counts.values())))
     return tuple(found)
 
 
+@cache
+def known_templates() -> tuple[Template, ...]:
+    return _known(templates())
+
+
+@cache
+def all_templates() -> tuple[Template, ...]:
+    return known_templates() + _known(full_texts())
+
+
 @cache
 def known_bigrams() -> frozenset:
-    return frozenset(pair for template in known_templates() for pair in template.counts)
+    return frozenset(pair for template in all_templates() for pair in template.counts)
 
 
 def bounds(size: int, threshold: float) -> tuple[float, float]:
@@ -154,7 +163,7 @@ def _hopeful(words: list[str], threshold: float) -> list[Template]:
         return []
     times = Counter(seen)
     hopeful = []
-    for template in known_templates():
+    for template in all_templates():
         need = _need(template.size, threshold)[0]
         if len(seen) < need:
             continue

@@ -1,9 +1,15 @@
-"""Licence templates: notices that name a licence, and short licences and headers in full.
+"""Licence templates: notices that name a licence, short licences, file headers, and full texts.
 
-Fixed values: public wording of the licences, without copyright lines, which differ from work to work. The Creative Commons
-notices follow from their elements and versions.
+Fixed values: public wording of the licences. The Creative Commons notices follow from their elements and versions, the
+headers of the GNU licences from their names, versions and endings. The full texts are files of `license_texts`, with
+their copyright lines; AGPL-3.0 is made from the text of GPL-3.0, and the Creative Commons licences but BY-SA from that
+of BY-SA, by the wording in which they differ. Not among them: full texts of EPL-2.0 and of Creative Commons before 4.0.
 """
 
+from __future__ import annotations
+
+import pkgutil
+
 NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Released under the Apache License, Version 2.0."),
@@ -36,6 +42,9 @@ NOTICES = (
     ("CC0-1.0", "Licensed under CC0 1.0."),
     ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
     ("Unlicense", "Released into the public domain under the Unlicense."),
+    ("EPL-2.0", "Licensed under the Eclipse Public License, version 2.0."),
+    ("EPL-1.0", "Licensed under the Eclipse Public License, version 1.0."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
 )
 
 CREATIVE_COMMONS = (
@@ -51,6 +60,112 @@ CREATIVE_COMMONS_NOTICES = (
     "Licensed under a Creative Commons {name} {version} License.",
 )
 
+# Licence, name, version and what it covers. Punctuation is no word.
+GNU = (
+    ("GPL-1.0", "GNU General Public License", "1", "program"),
+    ("GPL-2.0", "GNU General Public License", "2", "program"),
+    ("GPL-3.0", "GNU General Public License", "3", "program"),
+    ("LGPL-2.0", "GNU Library General Public License", "2", "library"),
+    ("LGPL-2.1", "GNU Lesser General Public License", "2.1", "library"),
+    ("LGPL-3.0", "GNU Lesser General Public License", "3", "library"),
+    ("LGPL-3.0", "GNU Lesser General Public License", "3", "program"),
+    ("AGPL-3.0", "GNU Affero General Public License", "3", "program"),
+)
+GNU_VERSIONS = ("either version {version} of the License, or (at your option) any later version.", "version {version} of the License.")
+GNU_ENDS = (
+    "If not, see https://www.gnu.org/licenses/",
+    "if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.",
+)
+GNU_HEADER = """
+This {subject} is free software: you can redistribute it and/or modify it under the terms of the {name} as published
+by the Free Software Foundation, {versions}
+
+This {subject} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more details.
+
+You should have received a copy of the {name} along with this {subject}; {end}
+"""
+
+SHORT_TEXTS = (
+    ("zlib", """
+This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable
+for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it
+and redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you
+use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+
+3. This notice may not be removed or altered from any source distribution.
+"""),
+    ("0BSD", """
+Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
+THIS SOFTWARE.
+"""),
+    ("BSL-1.0", """
+Boost Software License - Version 1.0 - August 17th, 2003
+
+Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and
+transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software
+is furnished to do so, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and
+the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works
+of the Software, unless such copies or derivative works are solely in the form of machine-executable object code
+generated by a source language processor.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE
+COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT,
+TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+"""),
+    ("BSL-1.0", """
+Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at
+https://www.boost.org/LICENSE_1_0.txt)
+"""),
+    ("EPL-2.0", """
+This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which
+is available at https://www.eclipse.org/legal/epl-2.0/
+"""),
+    ("EPL-1.0", """
+This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which
+accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html
+"""),
+    ("Unlicense", """
+This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or
+as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright
+interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the
+detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of
+all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE
+LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
+OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to https://unlicense.org
+"""),
+)
+
+FULL_TEXTS = (
+    "AGPL-3.0", "Apache-2.0", "Artistic-1.0-Perl", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-NC-ND-4.0", "CC-BY-NC-SA-4.0",
+    "CC-BY-ND-4.0", "CC-BY-SA-4.0", "CC0-1.0", "EPL-1.0", "GFDL-1.2", "GFDL-1.3", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0",
+    "LGPL-2.1", "LGPL-3.0", "MPL-1.1", "MPL-2.0", "OFL-1.1",
+)
+
 TEXTS = (
     ("MIT", """
 Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -147,12 +262,26 @@ as a compiled binary, for any purpose, commercial or non-commercial, and by any
 )
 
 
+def headers() -> list[tuple[str, str]]:
+    return [
+        (license_, GNU_HEADER.format(name=name, subject=subject, versions=versions.format(version=version), end=end))
+        for license_, name, version, subject in GNU
+        for versions in GNU_VERSIONS
+        for end in GNU_ENDS
+    ]
+
+
 def templates() -> list[tuple[str, str]]:
-    """(SPDX id, text) of every template."""
+    """(SPDX id, text) of every template but the full texts."""
     commons = [
         (f"CC-{code}-{version}", notice.format(code=code, name=name, version=version))
         for code, name in CREATIVE_COMMONS
         for version in CREATIVE_COMMONS_VERSIONS
         for notice in CREATIVE_COMMONS_NOTICES
     ]
-    return [*NOTICES, *commons, *TEXTS]
+    return [*NOTICES, *commons, *headers(), *SHORT_TEXTS, *TEXTS]
+
+
+def full_texts() -> list[tuple[str, str]]:
+    """(SPDX id, text) of the licences of many pages."""
+    return [(name, pkgutil.get_data(__package__, f"license_texts/{name}.txt").decode()) for name in FULL_TEXTS]

@@ -435,6 +435,39 @@ def test_license_scan_equals_every_range_of_words():
         assert [p[0] for p in license_scan.scan(f"{'other words ' * 9}{' '.join(words)} {'more words ' * 9}")] == [p[2] for p in want]
 
 
+def test_license_headers_and_full_texts_have_their_own_names():
+    from gridtide.llm.license_templates import full_texts, headers, SHORT_TEXTS, TEXTS
+
+    for license_, text in [*headers(), *SHORT_TEXTS, *TEXTS, *full_texts()]:
+        words = text.split(" ")
+        for n in range(30, len(words), 60):
+            if not any(word[:1].isdigit() or word == "version" for word in words[n - 1 : n + 2]):
+                words[n] = "changed"
+        changed = " ".join(words)
+        for doc in (text, f"Some prose before.\n{changed}\nSome prose after.", " ".join(changed.split())):
+            got = license_scan.scan(doc)
+            assert license_ in [p[0] for p in got], (license_, got)
+        assert [p[0] for p in license_scan.scan(text)] == [license_]
+
+
+@pytest.mark.parametrize("license_, name, version, subject", [
+    ("AGPL-3.0", "GNU Affero General Public License", "either version 3", "program"),
+    ("LGPL-2.1", "GNU Lesser General Public License", "either version 2.1", "library"),
+    ("LGPL-3.0", "GNU Lesser General Public License", "either version 3", "library"),
+    ("GPL-2.0", "GNU General Public License", "either version 2", "program"),
+    ("GPL-3.0", "GNU General Public License", "either version 3", "program"),
+])
+def test_license_headers_of_one_family(license_, name, version, subject):
+    text = (
+        f"# Foo is free software; you can redistribute it and/or modify\n# it under the terms of the {name}\n# as published by the "
+        f"Free Software Foundation; {version} of the\n# License, or (at your option) any later version.\n#\n# Foo is distributed in "
+        f"the hope that it will be useful,\n# but WITHOUT ANY WARRANTY; without even the implied warranty of\n# MERCHANTABILITY or "
+        f"FITNESS FOR A PARTICULAR PURPOSE. See the\n# {name} for more details.\n#\n# You should have received a copy of the {name}\n"
+        f"# along with this {subject}. If not, see <https://www.gnu.org/licenses/>."
+    )
+    assert [p[0] for p in license_scan.scan(text)] == [license_]
+
+
 def test_license_columns(docs, no_docs):
     out = license_scan.with_licenses(docs)
     assert set(out.columns) == set(docs.columns)
