@@ -194,7 +194,7 @@ def fit(
     """A network from the labelled rows that are not held out, at most `per_language` a language."""
     ship(docs.sparkSession)
     labelled = docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & ~held_out(F.col(id_col)))
-    known = labelled.select(F.col(id_col).alias("__id"), F.col(lang_col).cast("string").alias("__lang"))
+    known = durable(labelled.select(F.col(id_col).alias("__id"), F.col(lang_col).cast("string").alias("__lang")).distinct(), "known")
     frequent = known.groupBy("__lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "__lang")
     languages = sorted(row["__lang"] for row in frequent.limit(MAX_LANGUAGES).collect())
     chosen = None
@@ -205,14 +205,13 @@ def fit(
     if chosen is None:
         return train_on([], [])
     # At most `per_language` ids for each of `MAX_LANGUAGES` languages are broadcast.
-    ids = durable(chosen.distinct(), "labelled")
+    ids = durable(chosen, "labelled")
     texts = docs.select(
         F.col(id_col).alias("__id"), F.col(lang_col).cast("string").alias("__lang"),
         whole(F.col(text_col)).alias("__body"),
     )
-    sample = texts.join(F.broadcast(ids), ["__id", "__lang"]).select(
-        "__id", "__lang", _sampled(F.col("__body"), per_text).alias("rows")
-    )
+    held = texts.join(F.broadcast(ids), ["__id", "__lang"]).groupBy("__id", "__lang").agg(F.min("__body").alias("__body"))
+    sample = held.select("__id", "__lang", _sampled(F.col("__body"), per_text).alias("rows"))
     rows = sorted((row["__lang"], row["__id"], row["rows"]) for row in sample.collect())
     return train_on([w for _, _, r in rows for w in r], [lang for lang, _, r in rows for _ in r])
 

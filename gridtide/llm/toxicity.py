@@ -8,8 +8,8 @@ square of the change in the model's raw score is penalised. What a text says abo
 names may not, so neutral mentions of any group score alike.
 
 Scoring is one Arrow UDF over all rows; the model is at most `MAX_FEATURES` weights. The sample is bounded by
-`PER_CLASS` rows a class, taken in the order of a hash of the id, with class weights that restore
-the shares among all labelled rows.
+`PER_CLASS` ids a class, taken in the order of a hash of the id from the labelled ids that have a document, with class
+weights that restore the shares among all of those. Of an id with several rows the smallest text is learned from.
 
 Defined cases. Null, empty or letterless text scores the model's base rate. Labels that are null, or whose
 document is missing, teach nothing; an id labelled twice counts as toxic if any label says so. Without both
@@ -174,21 +174,24 @@ def fit(
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col)))
         .groupBy(F.col(id_col).alias("__id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("y"))
     )
+    texts = docs.select(F.col(id_col).alias("__id"), whole(F.col(text_col)).alias("text"))
+    known = durable(known.join(texts.select("__id"), "__id", "left_semi"), "known")
     order = F.xxhash64(F.col("__id").cast("string"))
     chosen = [known.where(F.col("y") == y).orderBy(order, "__id").limit(per_class) for y in (0, 1)]
     ids = durable(chosen[0].union(chosen[1]), "labelled")
     totals = {row["y"]: row["n"] for row in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     # At most twice `per_class` ids are broadcast.
-    texts = docs.select(F.col(id_col).alias("__id"), whole(F.col(text_col)).alias("text"))
-    sample = durable(texts.join(F.broadcast(ids), "__id").select("y", _both(F.col("text")).alias("f")), "sample")
+    held = texts.join(F.broadcast(ids), "__id").groupBy("__id", "y").agg(F.min("text").alias("text"))
+    sample = durable(held.select("__id", "y", _both(F.col("text")).alias("f")), "sample")
     counts = {0: 0, 1: 0} | {row["y"]: row["n"] for row in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts[0] or not counts[1]:
         return Model(math.log((counts[1] + 0.5) / (counts[0] + 0.5)))
     place = {feature: n for n, feature in enumerate(_strongest(sample, counts))}
     if not place:
         return Model(math.log((counts[1] + 0.5) / (counts[0] + 0.5)))
-    chosen_rows = sample.select("y", _only("f.own", place).alias("own"), _only("f.swapped", place).alias("swapped"))
-    rows = chosen_rows.collect()  # a row holds `MAX_FEATURES` numbers at most
+    chosen_rows = sample.select("__id", "y", _only("f.own", place).alias("own"), _only("f.swapped", place).alias("swapped"))
+    # Twice `per_class` rows, of `MAX_FEATURES` numbers at most; in order, so that sums come out the same.
+    rows = sorted(chosen_rows.collect(), key=lambda row: row["__id"])
     y = np.array([row["y"] for row in rows], float)
     share = {k: totals[k] / counts[k] for k in (0, 1)}
     weight = np.where(y > 0, share[1], share[0])

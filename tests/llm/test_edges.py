@@ -513,6 +513,25 @@ def test_toxicity_cases(spark, docs, no_docs):
     assert toxicity.keep_civil(no_docs, model).count() == 0
 
 
+def test_toxicity_learns_from_the_labels_of_present_documents(spark):
+    labels = spark.range(6000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS toxic")
+    docs = spark.range(200).selectExpr("id AS doc_id", "IF(id % 2 = 1, 'you idiots', 'good people') AS text")
+    model = toxicity.fit(docs, labels, per_class=40)
+    assert model.score("idiots") > 0.5 > model.score("good")
+
+
+def test_repeated_rows_of_an_id_teach_once(spark, monkeypatch):
+    labels = spark.range(200).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS toxic")
+    words = "IF(id % 2 = 1, 'you idiots', 'good people')"
+    docs = spark.range(200).selectExpr("id AS doc_id", f"{words} AS text", "IF(id % 2 = 0, 'en', 'de') AS lang")
+    more = spark.range(4000).selectExpr("1L AS doc_id", "'you idiots' AS text", "'de' AS lang")
+    assert toxicity.fit(docs.union(more), labels) == toxicity.fit(docs, labels)
+
+    monkeypatch.setattr(language_id, "train_on", lambda rows, answers: answers)
+    assert language_id.fit(docs.union(more), per_language=20) == language_id.fit(docs, per_language=20)
+    assert language_id.fit(docs.union(more), per_language=20).count("de") >= 20
+
+
 # -- pipeline ----------------------------------------------------------------------------------------------------
 
 
