@@ -215,7 +215,7 @@ class Store:
     def note_files(self, files: DataFrame, run_id: int) -> None:
         """Adds what became of landed files (origin, problem) in a run; a null problem means loaded."""
         rows = files.select("origin", F.lit(run_id).cast("bigint").alias("run_id"), F.col("problem").cast("string"))
-        rows.coalesce(1).write.mode("append").parquet(f"{self.base}/refused")
+        rows.write.mode("append").parquet(f"{self.base}/refused")
 
     def _append(self, **event) -> None:
         row = Row(*ledger.EVENT.names)(*[event.get(name) for name in ledger.EVENT.names])

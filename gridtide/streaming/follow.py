@@ -18,6 +18,8 @@ from gridtide.plans.store import Store
 from gridtide.sources import landing, scratch
 from gridtide.sources.table import KeyedTable
 
+PAGE = 10_000  # paths of refused files that the driver holds at once
+
 
 def _drain(
     stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str
@@ -110,7 +112,15 @@ def _stream_id(spark: SparkSession, checkpoint: str) -> str:
 
 
 def _grouped(refused: DataFrame, size: int) -> Iterator[list[str]]:
-    """Paths of refused files in groups; read as a whole first, since runs add to the list meanwhile."""
-    paths = [row["origin"] for row in refused.select("origin").orderBy("origin").collect()]
-    for at in range(0, len(paths), size):
-        yield paths[at : at + size]
+    """Paths of refused files in groups, in order; the driver holds one page of them. Runs add to the list only what
+    they were offered, which lies behind."""
+    page = max(PAGE // size, 1) * size
+    after = F.lit(True)
+    while True:
+        rows = refused.select("origin").where(after).orderBy("origin").limit(page).collect()
+        paths = [row["origin"] for row in rows]
+        for at in range(0, len(paths), size):
+            yield paths[at : at + size]
+        if len(paths) < page:
+            return
+        after = F.col("origin") > paths[-1]

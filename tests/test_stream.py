@@ -90,3 +90,24 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     assert outcomes == []
     assert store.events().count() == events
     assert store.raw().orderBy("date_heure").collect() == before
+
+
+def test_refused_paths_come_in_pages(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store"))
+    names = [f"{n:02d}.json" for n in range(11)]
+    notes = spark.createDataFrame([(name, "invalid JSON") for name in reversed(names)], "origin string, problem string")
+    store.note_files(notes.repartition(4, "origin"), 1)
+    # No single task writes them all.
+    assert len([name for name in os.listdir(tmp_path / "store" / "refused") if name.endswith(".parquet")]) > 1
+    monkeypatch.setattr(follow, "PAGE", 5)
+    held = []
+    collect = type(notes).collect
+    monkeypatch.setattr(type(notes), "collect", lambda frame: held.append(collect(frame)) or held[-1])
+    for size in (1, 2, 3, 11, 20):
+        groups = []
+        for paths in follow._grouped(store.refused(), size):
+            groups.append(paths)
+            again = spark.createDataFrame([(path, "still broken") for path in paths], "origin string, problem string")
+            store.note_files(again, 2)  # as a run does that refuses them again
+        assert groups == [names[at : at + size] for at in range(0, 11, size)]
+        assert max(map(len, held)) <= max(5, size)
