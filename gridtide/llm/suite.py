@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtide.llm import byte_bpe, decontaminate, html_extract, language_id, license_scan, line_dedup, merkle
-from gridtide.llm import simhash, toxicity, warc
+from gridtide.llm import simhash, toxicity, vector_codes, warc
 from gridtide.llm.common import table, whole
 from gridtide.sources.scratch import fresh_dir
 
@@ -224,3 +224,50 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.array_sort(F.array_distinct("licenses.license")), ",").alias("licenses"),
         F.coalesce(F.array_max("licenses.dice"), F.lit(0.0)).alias("best_dice"),
     )
+
+
+@registered("op11_vector_codes")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def nearest_sql(book: str) -> str:
+    """Every part with the index (e) of its nearest entry in a book and the squared distance (d)."""
+    gap = "list_sum(list_transform(list_zip(parts.v, book.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    return f"""SELECT vec_id, label, p, v, min(struct_pack(d, e)).e AS e, min(struct_pack(d, e)).d AS d
+      FROM (SELECT parts.*, e, {gap} AS d FROM parts JOIN {book} AS book USING (p)) GROUP BY vec_id, label, p, v"""
+
+
+def next_book_sql(book: str) -> str:
+    """The book with each entry that is some part's nearest replaced by the floored mean of those parts."""
+    return f"""SELECT {book}.p, {book}.e, coalesce(mean.v, {book}.v) AS v FROM {book} LEFT JOIN (
+        SELECT p, e, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM (
+          SELECT p, e, i, sum(v[i]) AS total, count(*) AS n
+          FROM (SELECT p, e, v, unnest(range(1, len(v) + 1)) AS i FROM ({nearest_sql(book)})) GROUP BY p, e, i
+        ) GROUP BY p, e
+      ) AS mean USING (p, e)"""
+
+
+ORACLE["op11_vector_codes"] = f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+parts AS MATERIALIZED (
+  SELECT vec_id, label, p, v[p * len(v) // 16 + 1:(p + 1) * len(v) // 16] AS v
+  FROM (SELECT *, unnest(range(16)) AS p FROM kept)
+),
+book0 AS (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, v FROM parts
+  WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 64)
+),
+book1 AS MATERIALIZED ({next_book_sql("book0")}),
+book2 AS MATERIALIZED ({next_book_sql("book1")}),
+coded AS MATERIALIZED (
+  SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM ({nearest_sql("book2")}) GROUP BY vec_id, label
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
+FROM coded"""
