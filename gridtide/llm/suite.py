@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtide.llm import byte_bpe, decontaminate, html_extract, language_id, license_scan, line_dedup, merkle
-from gridtide.llm import simhash, toxicity, vector_codes, warc
+from gridtide.llm import simhash, source_audit, toxicity, vector_codes, warc
 from gridtide.llm.common import table, whole
 from gridtide.sources.scratch import fresh_dir
 
@@ -271,3 +271,48 @@ coded AS MATERIALIZED (
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
   (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
 FROM coded"""
+
+
+@registered("op13_source_audit")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
+TERMS = f"regexp_extract_all({ASCII_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+SHARE = "CAST(1 + (1000000000::HUGEINT * (n + 1)) // (sum(n) OVER whole + count(*) OVER whole) AS HUGEINT)"
+DIVERGENCE = "((a.p - b.p) * (a.p - b.p) // b.p)"
+ORACLE["op13_source_audit"] = f"""
+WITH docs AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, {TERMS} AS w FROM documents),
+terms AS MATERIALIZED (
+  SELECT lang, term FROM (SELECT lang, unnest(list_distinct(w)) AS term FROM docs) GROUP BY lang, term HAVING count(*) >= 3
+),
+met AS (SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(w) AS term FROM docs) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counted AS MATERIALIZED (
+  SELECT lang, source, term, coalesce(n, 0) AS n
+  FROM groups JOIN terms USING (lang) LEFT JOIN met USING (lang, source, term)
+),
+of_source AS MATERIALIZED (
+  SELECT lang, source, term, n, {SHARE} AS p FROM counted WINDOW whole AS (PARTITION BY lang, source)
+),
+of_lang AS (
+  SELECT lang, term, {SHARE} AS p FROM (SELECT lang, term, sum(n) AS n FROM counted GROUP BY lang, term)
+  WINDOW whole AS (PARTITION BY lang)
+),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum({DIVERGENCE}) AS value
+  FROM of_source AS a JOIN of_source AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+pairs AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(value, 0) AS value
+  FROM groups AS g JOIN groups AS h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN apart ON apart.lang = g.lang AND apart.source = g.source AND apart.item = h.source
+),
+marked AS (
+  SELECT a.lang, a.source, 'term' AS part, a.term AS item, {DIVERGENCE} AS value
+  FROM of_source AS a JOIN of_lang AS b USING (lang, term) WHERE a.n > 0 AND a.p > b.p
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM marked)
+QUALIFY part = 'pair' OR rank <= 200"""
