@@ -37,7 +37,7 @@ from gridtide.llm.common import durable, ship, whole
 MIN_DOCS, TOP, UNIT = 3, 200, 1_000_000_000
 BLOCK, CELLS = 1 << 18, 1 << 20
 PASS_BYTES = 64 << 20
-HELD, PIECE = 1 << 21, 1 << 22
+HELD, PIECE = 1 << 19, 1 << 20
 BLANK = 32
 # Every byte that belongs to no term reads as a blank.
 TERMS = bytes(BLANK if b <= 0x40 or 0x5B <= b <= 0x60 or 0x7B <= b <= 0x7F else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
