@@ -37,7 +37,7 @@ from gridtide.llm.common import durable, ship, whole
 MIN_DOCS, TOP, UNIT = 3, 200, 1_000_000_000
 BLOCK, CELLS = 1 << 18, 1 << 20
 PASS_BYTES = 64 << 20
-HELD, PIECE = 1 << 19, 1 << 20
+HELD, PIECE = 1 << 18, 1 << 19
 BLANK = 32
 # Every byte that belongs to no term reads as a blank.
 TERMS = bytes(BLANK if b <= 0x40 or 0x5B <= b <= 0x60 or 0x7B <= b <= 0x7F else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -92,7 +92,7 @@ def _distinct(numbers: np.ndarray, places: np.ndarray, piece: bytes) -> tuple[np
 
 def _summed(tables: list[pa.Table], keys: list[str]) -> pa.Table:
     joined = pa.concat_tables(tables).combine_chunks()
-    return joined.group_by(keys).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
+    return joined.group_by(keys, use_threads=False).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
 
 
 def document_counts(docs: DataFrame) -> DataFrame:
@@ -115,7 +115,7 @@ def document_counts(docs: DataFrame) -> DataFrame:
                     last = int(numbers[-1])
                     if carried[1] is not None:
                         found = pa.concat_tables([carried[1], found])
-                        found = found.group_by(["number", "term"]).aggregate([])
+                        found = found.group_by(["number", "term"], use_threads=False).aggregate([])
                     waits = np.asarray(found["number"]) == last
                     carried = (last, found.filter(pa.array(waits)))
                     held.append(_tally(found.filter(pa.array(~waits)), langs.dictionary[lang]))
@@ -127,8 +127,9 @@ def document_counts(docs: DataFrame) -> DataFrame:
                     held = [_summed(held, ["lang", "term"])]
                     rows = len(held[0])
                     if rows >= HELD // 2:
-                        yield from _out(held[0], schema)
-                        held, rows = [], 0
+                        yield from _out(held.pop(), schema)
+                        rows = 0
+                pa.default_memory_pool().release_unused()
         if held:
             yield from _out(_summed(held, ["lang", "term"]), schema)
 
@@ -138,7 +139,7 @@ def document_counts(docs: DataFrame) -> DataFrame:
 
 def _tally(pairs: pa.Table, lang: pa.Scalar) -> pa.Table:
     """Documents per term, of distinct (number, term) pairs of one language."""
-    counted = pairs.group_by(["term"]).aggregate([("term", "count")]).rename_columns(["term", "n"])
+    counted = pairs.group_by(["term"], use_threads=False).aggregate([("term", "count")]).rename_columns(["term", "n"])
     langs = pa.array([lang.as_py()], pa.string()).take(pa.array(np.zeros(len(counted), np.int64)))
     return pa.table({"lang": langs, "term": counted["term"], "n": counted["n"]})
 
@@ -257,6 +258,7 @@ def _stream(docs: DataFrame, packed) -> DataFrame:
                             held[number].add(first + ordinals[groups == number])
             if sum(h.size for h in held) >= HELD:
                 yield from rows(list(names), {n: h.taken() for n, h in enumerate(held)})
+            pa.default_memory_pool().release_unused()
         yield from rows(list(names), {n: h.summed() for n, h in enumerate(held)})
 
     return docs.mapInArrow(count, "lang string, source string, ordinal bigint, n bigint")

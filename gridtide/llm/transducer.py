@@ -79,7 +79,7 @@ class Transducer:
         labels = np.frombuffer(raw, np.uint8, edges, place)
         self.final = np.frombuffer(raw, np.uint8, states, place + edges).astype(bool)
         self.edges, self.states = edges, states
-        bits = max(4, (2 * edges).bit_length())
+        bits = max(4, (3 * edges // 2).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
         self.keys = np.full(1 << bits, FREE)
         self.moves = np.zeros(1 << bits, np.int64)  # target in the upper, output in the lower 32 bits
