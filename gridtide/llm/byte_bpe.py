@@ -9,8 +9,8 @@ last one is taken back and the place it ended is closed for good. A chain of tok
 is the encoding that the merges give, and no place is tried twice, so the work is linear in the piece.
 
 The vocabulary reaches the tasks as a broadcast of its file (50,000 tokens, under 1 MB; refused beyond
-`LARGEST_FILE`). Encoded pieces and pairs are remembered per worker, up to a number of entries after
-which the memory starts afresh: results never depend on it.
+`LARGEST_FILE`). Encoded pieces are remembered per worker in two generations of
+`PIECES_HELD`, pairs up to `PAIRS_HELD`, after which their memory starts afresh: results never depend on it.
 
 Defined cases. Null text has null ids in `encode`, and counts as empty in the query. Null ids decode to
 null; an id that the vocabulary lacks is an error. Text that is not UTF-8 is read with replacement
@@ -20,6 +20,7 @@ characters.
 from __future__ import annotations
 
 import base64
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -31,10 +32,32 @@ from pyspark.sql import functions as F
 from gridtide.llm.common import ship
 
 LARGEST_FILE = 64 << 20
-PIECES_HELD = 150_000
+PIECES_HELD = 300_000  # in each of two generations
 PAIRS_HELD = 400_000
 NEVER = 1 << 60
 LONG_PIECE = 64  # code points; longer pieces are not remembered
+NEAR = 7  # bytes ahead whose longest token is remembered
+NOTHING: dict[int, bool] = {}
+
+
+class Remembered(dict):
+    """Encoded pieces, worked out when first asked for. The pieces of two generations are held: a full one becomes the elder,
+    and what is still asked for moves to the next."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.elder = encode, {}
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        known = self.elder.get(piece)
+        if known is None:
+            known = self.encode(piece)
+        if len(piece) <= LONG_PIECE:
+            if len(self) >= PIECES_HELD:
+                self.elder = dict(self)
+                self.clear()
+            self[piece] = known
+        return known
 
 
 class ByteBpe:
@@ -44,14 +67,37 @@ class ByteBpe:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.whole = {token.decode("latin-1"): rank for token, rank in ranks.items()}
-        self.sizes = {rank: len(token) for token, rank in ranks.items()}
-        self.reach = max(self.sizes.values(), default=0)
+        top = max(ranks.values(), default=-1) + 1
+        self.sizes = [0] * top  # by rank, as the next
+        for rank, token in self.tokens.items():
+            self.sizes[rank] = len(token)
+        self.reach = max(self.sizes, default=0)
         self.finder = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
         for token in self.whole:
             self.finder.add_word(token)
-        self.prefixes: dict[int, int] = {}
-        self.pieces: dict[str, list[int]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        # For every path of the trie, the longest token on it; and for every token the next shorter one on its path.
+        self.longest: dict[str, int] = {}
+        self.shorter: list[int | None] = [None] * top
+        self.near: dict[str, int | None] = {}
+        for token in sorted(self.whole, key=len):
+            rank, below = self.whole[token], None
+            for size in range(len(token) - 1, 0, -1):
+                if (below := self.whole.get(token[:size])) is not None:
+                    break
+            self.shorter[rank] = below
+        for token in self.whole:
+            for size in range(len(token), 0, -1):
+                path = token[:size]
+                if path in self.longest:
+                    break
+                held = size
+                while held and path[:held] not in self.whole:
+                    held -= 1
+                if held:
+                    self.longest[path] = self.whole[path[:held]]
+        self.pieces = Remembered(self.piece)
+        self.pairs: dict[int, dict[int, bool]] = {}
+        self.pairs_held = 0
         self.edges: dict[tuple[int, int], list[tuple[bytes, int]] | None] = {}
 
     def halves(self, token: bytes) -> tuple[bytes, bytes] | None:
@@ -87,90 +133,82 @@ class ByteBpe:
 
     def go_together(self, left: int, right: int) -> bool:
         """Whether no merge joins the two while they grow: of merges of one rank the leftmost comes first."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            ends, starts = self.edge(left, 1), self.edge(right, 0)
-            known = ends is not None and starts is not None
-            a = b = 0
-            while known:
-                (end, end_up), (start, start_up) = ends[a], starts[b]
-                across = self.ranks.get(end + start, NEVER)
-                if across < end_up and across <= start_up:
-                    known = False
-                elif end_up == start_up == NEVER:
-                    break
-                elif end_up <= start_up:
-                    a += 1
-                else:
-                    b += 1
-            if len(self.pairs) >= PAIRS_HELD:
-                self.pairs.clear()
-            self.pairs[left, right] = known
+        ends, starts = self.edge(left, 1), self.edge(right, 0)
+        known = ends is not None and starts is not None
+        a = b = 0
+        while known:
+            (end, end_up), (start, start_up) = ends[a], starts[b]
+            across = self.ranks.get(end + start, NEVER)
+            if across < end_up and across <= start_up:
+                known = False
+            elif end_up == start_up == NEVER:
+                break
+            elif end_up <= start_up:
+                a += 1
+            else:
+                b += 1
+        if self.pairs_held >= PAIRS_HELD:
+            self.pairs.clear()
+            self.pairs_held = 0
+        self.pairs.setdefault(left, {})[right] = known
+        self.pairs_held += 1
         return known
 
-    def piece(self, piece: str) -> list[int]:
+    def begins(self, ahead: str) -> int | None:
+        """The longest token that begins these `NEAR` bytes (or fewer, at the end of a piece); None if it may be longer."""
+        size = self.finder.longest_prefix(ahead)
+        rank = None if size == NEAR else self.longest[ahead[:size]]
+        if len(self.near) >= PAIRS_HELD:
+            self.near.clear()
+        self.near[ahead] = rank
+        return rank
+
+    def piece(self, piece: str) -> tuple[int, ...]:
         """Ids of one match of the pattern."""
-        text = piece.encode("utf-8").decode("latin-1")
+        text = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1")
         if (rank := self.whole.get(text)) is not None:
-            return [rank]
-        pairs, sizes, end = self.pairs, self.sizes, len(text)
+            return (rank,)
+        sizes, shorter, near, pairs = self.sizes, self.shorter, self.near, self.pairs
+        end = len(text)
         closed = bytearray(end + 1)
         taken: list[int] = []
-        at, last, rank = 0, -1, self.longest(text, 0)
+        at, beside, rank = 0, None, -1
         while at < end:
+            if rank == -1:
+                ahead = text[at : at + NEAR]
+                if ahead in near:
+                    rank = near[ahead]
+                else:
+                    rank = self.begins(ahead)
+                if rank is None:
+                    ahead = text[at : at + self.reach]
+                    rank = self.longest[ahead[: self.finder.longest_prefix(ahead)]]
             while rank is not None:
-                if not closed[at + sizes[rank]]:
-                    fits = last < 0 or pairs.get((last, rank))
+                stop = at + sizes[rank]
+                if not closed[stop]:
+                    if beside is None:
+                        break
+                    fits = beside.get(rank)
                     if fits is None:
-                        fits = self.go_together(last, rank)
+                        fits = self.go_together(taken[-1], rank)
                     if fits:
                         break
-                rank = self.shorter(rank)
+                rank = shorter[rank]
             if rank is None:
                 closed[at] = 1
                 rank = taken.pop()
                 at -= sizes[rank]
-                last = taken[-1] if taken else -1
-                rank = self.shorter(rank)
+                rank = shorter[rank]
+                beside = pairs.get(taken[-1], NOTHING) if taken else None
             else:
                 taken.append(rank)
-                at += sizes[rank]
-                if at < end:
-                    last, rank = rank, self.longest(text, at)
-        return taken
-
-    def longest(self, text: str, at: int) -> int:
-        """The longest token that starts here: the automaton's path, less what is no token at its end."""
-        ahead = text[at : at + self.reach]
-        size = self.finder.longest_prefix(ahead)
-        while (rank := self.whole.get(ahead[:size])) is None:
-            size -= 1
-        return rank
-
-    def shorter(self, rank: int) -> int | None:
-        """The next shorter token that begins this one."""
-        known = self.prefixes.get(rank, 0)
-        if known == 0:
-            token, known = self.tokens[rank], None
-            for size in range(len(token) - 1, 0, -1):
-                if (known := self.ranks.get(token[:size])) is not None:
-                    break
-            self.prefixes[rank] = known = -1 if known is None else known
-        return None if known < 0 else known
+                at = stop
+                beside = pairs.get(rank, NOTHING)
+                rank = -1
+        return tuple(taken)
 
     def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        held = self.pieces
-        for piece in self.pattern.findall(text):
-            known = held.get(piece)
-            if known is None:
-                known = self.piece(piece)
-                if len(piece) <= LONG_PIECE:
-                    if len(held) >= PIECES_HELD:
-                        held.clear()
-                    held[piece] = known
-            ids += known
-        return ids
+        return list(chain.from_iterable(map(self.pieces.__getitem__, self.pattern.findall(text))))
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
