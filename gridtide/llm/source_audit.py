@@ -35,7 +35,7 @@ from gridtide.llm import transducer
 from gridtide.llm.common import durable, ship, whole
 
 MIN_DOCS, TOP, UNIT = 3, 200, 1_000_000_000
-BLOCK, CELLS = 1 << 18, 1 << 20
+BLOCK, CELLS = 1 << 18, 1 << 16
 PASS_BYTES = 64 << 20
 HELD, PIECE = 1 << 18, 1 << 19
 BLANK = 32
