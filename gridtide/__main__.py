@@ -39,17 +39,19 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
-def main(argv: list[str] | None = None) -> int:
+def main(argv: list[str] | None = None, now: datetime | None = None) -> int:
+    """``now`` is the clock of the job, the real one unless given."""
+    now = now or datetime.now(timezone.utc)
     options = _arguments(argv)
     spark = SparkSession.builder.appName("gridtide").getOrCreate()
     if options.command == "status":
-        return _status(spark, options.base)
+        return _status(spark, options.base, now)
     if options.exports:
         source = cycle.export_source(spark, options.exports)
     else:
         source = cycle.lines_source(spark, options.lines)
     outcome = cycle.run_cycle(
-        spark, options.base, source, since=options.since, params=Params.load(),
+        spark, options.base, source, now=now, since=options.since, params=Params.load(),
         report_path=options.report,
     )
     if options.json:
@@ -61,11 +63,11 @@ def main(argv: list[str] | None = None) -> int:
     return 1 if options.strict and outcome.status == "warn" else 0
 
 
-def _status(spark: SparkSession, base: str) -> int:
+def _status(spark: SparkSession, base: str, now: datetime) -> int:
     if not scratch.exists(spark, f"{base}/ledger"):
         print(f"no store at {base}: run a cycle first", file=sys.stderr)
         return 1
-    summary, lines = Reads(Store(spark, base)).status(datetime.now(timezone.utc))
+    summary, lines = Reads(Store(spark, base)).status(now)
     summary.show(truncate=False)
     lines.show(truncate=False)
     return 0

@@ -631,3 +631,110 @@ ORACLE["status_lines"] = f"""WITH {FOLD_CTE}
 SELECT run_id, started AS started_at, status, rows_fetched, coalesce(rows_inserted, 0)
   AS rows_inserted, CAST(0 AS INTEGER) AS rows_updated, substr(coalesce(error, ''), 1, 60) AS error
 FROM latest ORDER BY run_id DESC LIMIT 10"""
+
+# -- changes, versions, dependent marts and rows told apart by two columns ------------------------------------------
+
+ORACLE["payload_split"] = r"""
+SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS pos, '[' || event_type || '} "' || event_id || '\' AS note,
+  CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, CAST(NULL AS VARCHAR) AS problem
+FROM events"""
+
+_LATE, _NEW = "ts >= TIMESTAMP '2024-01-19'", "ts >= TIMESTAMP '2024-01-20'"
+_REVISED = f"CASE WHEN {_LATE} AND event_type = 'error' THEN value + 2 WHEN {_LATE} THEN value + 1 ELSE value END"
+_CHANGE = f"CASE WHEN {_NEW} THEN 'inserted' WHEN {_LATE} THEN 'updated' ELSE 'unchanged' END"
+_BEFORE = f"CASE WHEN {_LATE} AND NOT {_NEW} THEN value END"
+
+ORACLE["upsert_changes"] = f"""
+SELECT event_id, {_CHANGE} AS change,
+  CAST(CASE WHEN NOT {_LATE} THEN 0 WHEN event_type = 'error' THEN 2 ELSE 1 END AS BIGINT) AS copies,
+  {_BEFORE} AS value_before, {_REVISED} AS value
+FROM events"""
+
+ORACLE["change_feed"] = f"""
+SELECT 1 AS load, event_id, {_CHANGE} AS change, {_BEFORE} AS value_before, {_REVISED} AS value FROM events WHERE {_LATE}
+UNION ALL
+SELECT 2, event_id, 'updated', {_REVISED}, CASE WHEN event_type IS DISTINCT FROM 'error' THEN value + 1 END
+FROM events WHERE {_LATE}"""
+
+ORACLE["read_beside_publish"] = f"""
+SELECT event_id, {stamp('ts')} AS ts, user_id, event_type, value FROM events WHERE NOT {_NEW}"""
+
+ORACLE["synopsis_reads"] = f"""
+WITH held AS (
+  SELECT ts, CASE WHEN NOT {_LATE} THEN value WHEN event_type IS DISTINCT FROM 'error' THEN value + 1 END AS value FROM events
+)
+SELECT 'rows' AS fact, count(*) AS n FROM held
+UNION ALL SELECT 'newest', max(epoch_us(ts)) FILTER (value IS NOT NULL) FROM held
+UNION ALL SELECT CAST({paris_day('ts')} AS VARCHAR), count(*) FROM held WHERE value IS NOT NULL GROUP BY 1"""
+
+EVENT_GRID_CTE = """
+valued AS (SELECT *, CAST(round(value * 100) AS INTEGER) AS mw FROM events),
+event_grid AS (
+  SELECT ts AS date_heure, CAST(event_id AS INTEGER) AS event_id, NULL AS fioul, NULL AS charbon, NULL AS bioenergies,
+    CASE WHEN event_type = 'view' THEN mw ELSE 0 END AS nucleaire, CASE WHEN event_type = 'click' THEN mw ELSE 0 END AS eolien,
+    CASE WHEN event_type = 'purchase' THEN mw ELSE 0 END AS solaire,
+    CASE WHEN event_type = 'signup' THEN mw ELSE 0 END AS hydraulique, CASE WHEN event_type = 'error' THEN mw ELSE 0 END AS gaz,
+    CASE WHEN user_id % 10 <> 0 THEN 'measured' ELSE 'forecast' END AS nature,
+    CASE WHEN user_id % 10 <> 0 THEN CAST(mw + event_id % 7 AS INTEGER) END AS consommation,
+    CASE WHEN event_id % 5 <> 0 THEN user_id % 60 END AS taux_co2
+  FROM valued
+)"""
+
+ORACLE["mart_daily_delta"] = f"""WITH {EVENT_GRID_CTE},
+kept AS (
+  SELECT * REPLACE (CASE
+    WHEN date_heure >= TIMESTAMP '2024-01-20' OR event_id % 3 <> 0 THEN consommation
+    WHEN event_id % 11 <> 0 AND consommation < 40000 THEN consommation + 1
+    WHEN event_id % 11 <> 0 THEN 1 END AS consommation)
+  FROM event_grid
+)
+{daily('kept')}"""
+
+for _name in ("event_cycle", "event_stream"):
+    ORACLE[_name] = f"""WITH {EVENT_GRID_CTE}
+SELECT epoch_us(date_heure) AS micros, event_id, consommation, nature FROM event_grid"""
+
+_CYCLE_GRID = f"""{GRID_CTE},
+loaded AS (SELECT * FROM grid WHERE date_heure >= TIMESTAMP '2024-01-01' AND date_heure < TIMESTAMP '2024-02-01 12:00:00')"""
+
+ORACLE["marts_dependent"] = f"""WITH {_CYCLE_GRID},
+days AS (SELECT *, substr(day, 1, 7) AS of_month FROM ({daily('loaded')})),
+months AS (
+  SELECT of_month, CAST(sum(quarters_observed) AS BIGINT) AS quarters, max(peak_consumption_mw) AS peak,
+    sum(energy_consumed_mwh) AS energy
+  FROM days GROUP BY of_month
+)
+SELECT of_month, day, quarters, peak, energy FROM days JOIN months USING (of_month) WHERE peak_consumption_mw = peak"""
+
+ORACLE["landed_index"] = with_grid("""
+SELECT epoch_us(date_heure) AS micros, CAST(gaz AS INTEGER) AS gaz,
+  CAST(count(DISTINCT CAST(date_heure AS DATE)) OVER () AS INTEGER) AS opened
+FROM grid WHERE date_heure >= TIMESTAMP '2024-01-09 06:00:00' AND date_heure < TIMESTAMP '2024-01-12'""")
+
+ORACLE["ledger_compacted"] = ORACLE["ledger_fold"]
+
+ORACLE["run_report"] = f"""WITH {_CYCLE_GRID}
+SELECT '# run 1' AS line
+UNION ALL SELECT '- window: 2024-01-01 00:00 -> 2024-02-01 12:00 UTC'
+UNION ALL SELECT '- fetched ' || count(*) || ' · rejected 0 · inserted ' || count(*) || ' · updated 0' FROM loaded
+UNION ALL SELECT '- marts rebuilt: 01_mart_daily, 02_mart_latest, 03_mart_mix_7d'"""
+
+_KINDS = {"timestamp": "timestamp", "integer": "int", "text": "string"}
+_KNOWN = {"date_heure", "nature", "consommation", "prevision_j", "taux_co2", *PRODUCED, *FLOWS}
+
+
+def _filled(name: str) -> str:
+    return f"count({name})" if name in _KNOWN else "count(*)" if name in ("perimetre", "ingested_at") else "count(NULL)"
+
+
+ORACLE["raw_schema"] = f"WITH {_CYCLE_GRID}\n" + " UNION ALL ".join(
+    f"SELECT '{name}' AS name, '{kind}' AS type, CAST({_filled(name)} AS BIGINT) AS filled FROM loaded"
+    for name, kind in [*[(f.name, _KINDS[f.kind]) for f in GRID.fields], ("ingested_at", "timestamp")]
+)
+
+ORACLE["contract_null_key"] = """
+SELECT event_id AS seq, CASE event_id % 5
+  WHEN 2 THEN '<no ts>: field ''ts'': Invalid isoformat string: '''''
+  WHEN 3 THEN 'soon: field ''ts'': Invalid isoformat string: ''soon'''
+  WHEN 4 THEN '2024-01-01T00:00:00Z: k must not be null' ELSE '<no ts>: ts must not be null' END AS reject
+FROM events"""

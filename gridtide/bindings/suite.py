@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from gridtide.bindings.tables import (
     EVENT_FIELDS,
+    EVENT_GRID,
     EVENTS_LAYOUT,
     at,
     batch,
+    event_grid,
     event_records,
     grid,
     readings,
@@ -22,11 +24,14 @@ from gridtide.bindings.tables import (
     table,
 )
 from gridtide.functions import clock, coerce
-from gridtide.operators import incremental, ledger, marts, merge, quality
-from gridtide.operators.contract import Field, accepted, apply_contract, observed, rejected
+from gridtide.operators import incremental, ledger, marts, merge, quality, synopsis
+from gridtide.operators.contract import GRID, Field, accepted, apply_contract, observed, rejected
+from gridtide.operators.script import Script
 from gridtide.plans import cycle, reads
 from gridtide.plans.store import Store
-from gridtide.sources import landing, scratch
+from gridtide.sources import landing, scratch, split
+from gridtide.sources.index import LandedIndex
+from gridtide.sources.log import FoldedLog
 from gridtide.sources.table import KeyedTable
 from gridtide.streaming import follow
 
@@ -93,6 +98,27 @@ def payload_records(spark, sf_dir):
     )
 
 
+@query
+def payload_split(spark, sf_dir):
+    """All events as one export file, a single JSON array, read by byte ranges."""
+    folder = scratch.fresh_dir(spark, "array")
+    # Notes hold brackets, quotes and backslashes, which are text and no structure.
+    rule = r"""to_json(named_struct('id', event_id, 'note', concat('[', event_type, '} "', event_id, '\\'),
+        'props', from_json(props, 'k int'))) AS record"""
+    records = table(spark, sf_dir, "events").selectExpr("event_id", rule)
+    # The k-th record opens the array or follows a comma; one task writes the one file, in order.
+    first = records.agg(F.min("event_id")).first()[0]
+    lines = records.select("event_id", F.concat(F.when(F.col("event_id") == first, "[").otherwise(","), "record").alias("value"))
+    end = spark.createDataFrame([(None, "]")], "event_id bigint, value string")
+    lines.union(end).orderBy(F.col("event_id").asc_nulls_last()).select("value").coalesce(1).write.text(folder)
+    found = split.split_records(spark, folder)
+    return found.select(
+        F.get_json_object("record", "$.id").cast("bigint").alias("event_id"),
+        F.col("seq.pos").alias("pos"), F.get_json_object("record", "$.note").alias("note"),
+        F.get_json_object("record", "$.props.k").cast("int").alias("k"), "problem",
+    )
+
+
 @query
 def count_raw(spark, sf_dir):
     return grid(spark, sf_dir).agg(F.count(F.lit(1)).alias("raw_rows"))
@@ -114,6 +140,17 @@ def _contract(spark, sf_dir):
     return apply_contract(event_records(spark, sf_dir), EVENT_FIELDS, key="ts")
 
 
+@query
+def contract_null_key(spark, sf_dir):
+    """Records whose key is absent, null, empty or spoilt, and why each is refused."""
+    rule = """CASE event_id % 5 WHEN 0 THEN concat('{"k":', event_id, '}') WHEN 1 THEN concat('{"ts":null,"k":', event_id, '}')
+        WHEN 2 THEN concat('{"ts":"","k":', event_id, '}') WHEN 3 THEN concat('{"ts":"soon","k":', event_id, '}')
+        ELSE concat('{"ts":"2024-01-01T00:00:00Z","k":null}') END AS record"""
+    records = table(spark, sf_dir, "events").selectExpr("event_id AS seq", rule)
+    fields = (Field("ts", "timestamp"), Field("k", "integer"))
+    return rejected(apply_contract(records, fields, key="ts", more_keys=("k",)))
+
+
 @query
 def contract_project(spark, sf_dir):
     rows = accepted(_contract(spark, sf_dir))
@@ -419,25 +456,78 @@ def stream_upsert(spark, sf_dir):
     return _events_out(stored.read())
 
 
-# -- whole cycles -----------------------------------------------------------------------------------------
+def _nulled(spark, sf_dir):
+    """Revisions that also take values away: an error's second copy has none."""
+    return _revisions(spark, sf_dir).withColumn("value", F.expr("CASE WHEN seq = 1 THEN value END"))
+
 
+@query
+def upsert_changes(spark, sf_dir):
+    """The change of every row that a batch makes, with the value before and after."""
+    feed = merge.changes(_base_events(spark, sf_dir), _revisions(spark, sf_dir), EVENT_KEYS)
+    return feed.select(
+        "event_id", F.col(merge.CHANGE).alias("change"), F.col(merge.COPIES).alias("copies"),
+        F.col(f"{merge.BEFORE}.value").alias("value_before"), "value",
+    )
 
-_stores: dict[tuple[str, str], tuple] = {}
+
+@query
+def change_feed(spark, sf_dir):
+    """What a stored table tells of two loads after a base load: only rows that changed, by load."""
+    stored = _event_table(spark, sf_dir, "feed")
+    stored.upsert(_base_events(spark, sf_dir), None)
+    since = stored.published.version().number
+    stored.upsert(_revisions(spark, sf_dir))
+    stored.upsert(_nulled(spark, sf_dir))
+    feed = stored.changes_since(since)
+    return feed.select(
+        (F.col("_load") - since).alias("load"), "event_id", F.col(merge.CHANGE).alias("change"),
+        F.col(f"{merge.BEFORE}.value").alias("value_before"), "value",
+    )
+
+
+@query
+def read_beside_publish(spark, sf_dir):
+    """A read planned before a load and run after it: the rows of its own time."""
+    stored = _event_table(spark, sf_dir, "beside")
+    stored.upsert(_base_events(spark, sf_dir), None)
+    planned = stored.read()
+    stored.upsert(_revisions(spark, sf_dir))
+    stored.recover()
+    return _events_out(planned)
+
+
+@query
+def synopsis_reads(spark, sf_dir):
+    """Rows, newest observed moment and observed rows of each local day of a stored table after revisions that null
+    values out, from the synopsis its loads kept."""
+    events = table(spark, sf_dir, "events").schema
+    folder = scratch.fresh_dir(spark, "synopsis")
+    stored = KeyedTable(spark, f"{folder}/events", EVENT_KEYS, "ts", events, "value IS NOT NULL")
+    stored.upsert(_base_events(spark, sf_dir), None)
+    stored.upsert(_nulled(spark, sf_dir))
+    held = stored.synopsis()
+    facts = [
+        synopsis.counted(held).selectExpr("'rows' AS fact", "raw_rows AS n"),
+        synopsis.newest(held).selectExpr("'newest' AS fact", "last_micros AS n"),
+        synopsis.observed_days(held).selectExpr("CAST(day AS string) AS fact", "quarters AS n"),
+    ]
+    return facts[0].unionByName(facts[1]).unionByName(facts[2])
+
+
+# -- whole cycles -----------------------------------------------------------------------------------------
 
 
 def _two_runs(spark, sf_dir):
-    """A backfill, then an incremental run over revised rows; one store for all queries of a session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stores:
-        base = scratch.fresh_dir(spark, "runs")
-        rows = grid(spark, sf_dir)
-        revised = rows.withColumn("consommation", F.expr("consommation + 1"))
-        first = cycle.run_cycle(
-            spark, base, cycle.table_source(rows), now=at(2024, 1, 20), since=at(2024, 1, 1)
-        )
-        second = cycle.run_cycle(spark, base, cycle.table_source(revised), now=at(2024, 1, 31))
-        _stores[key] = base, first, second
-    return _stores[key]
+    """A backfill, then an incremental run over revised rows, in a store of their own."""
+    base = scratch.fresh_dir(spark, "runs")
+    rows = grid(spark, sf_dir)
+    revised = rows.withColumn("consommation", F.expr("consommation + 1"))
+    first = cycle.run_cycle(
+        spark, base, cycle.table_source(rows), now=at(2024, 1, 20), since=at(2024, 1, 1)
+    )
+    second = cycle.run_cycle(spark, base, cycle.table_source(revised), now=at(2024, 1, 31))
+    return base, first, second
 
 
 @query
@@ -501,6 +591,79 @@ def mart_daily_recovered(spark, sf_dir):
     return _daily(store.mart("01_mart_daily"))
 
 
+def _instants(rows):
+    """Rows as a store keeps them."""
+    instant = clock.from_micros(clock.micros("date_heure", clock.WALL), clock.INSTANT)
+    return rows.withColumn("date_heure", F.expr(instant)).withColumn("ingested_at", F.lit(None).cast("timestamp"))
+
+
+@query
+def mart_daily_delta(spark, sf_dir):
+    """The daily mart over all events, built once and then kept from the change feed of two loads: revisions that
+    lower the largest values and take some away, and new events."""
+    store = Store(spark, scratch.fresh_dir(spark, "delta"), EVENT_GRID)
+    rows = _instants(event_grid(spark, sf_dir))
+    early = F.col("date_heure") < F.lit("2024-01-20 00:00:00+00:00").cast("timestamp")
+    store.table.upsert(rows.where(early), None)
+    store.build_marts()
+    lower = "CASE WHEN prevision_j1 % 11 <> 0 AND consommation < 40000 THEN consommation + 1 WHEN prevision_j1 % 11 <> 0 THEN 1 END"
+    store.table.upsert(rows.where(early & F.expr("prevision_j1 % 3 = 0")).withColumn("consommation", F.expr(lower)), None)
+    store.table.upsert(rows.where(~early), None)
+    store.build_marts()
+    return _daily(store.mart("01_mart_daily"))
+
+
+def _monthly(rows, layout, built):
+    """Whole months of the daily mart."""
+    return built["01_mart_daily"].groupBy(F.date_format("day", "yyyy-MM").alias("of_month")).agg(
+        F.sum("quarters_observed").alias("quarters"), F.max("peak_consumption_mw").cast("bigint").alias("peak"),
+        F.sum("energy_consumed_mwh").alias("energy"),
+    )
+
+
+def _ranked(rows, layout, built):
+    """The days of a month that reach its peak, from two marts."""
+    days = built["01_mart_daily"].withColumn("of_month", F.date_format("day", "yyyy-MM"))
+    top = days.join(built["04_mart_monthly"], "of_month").where("peak_consumption_mw = peak")
+    return top.select("of_month", F.col("day").cast("string").alias("day"), "quarters", "peak", "energy")
+
+
+@query
+def marts_dependent(spark, sf_dir):
+    """A mart that reads a mart that reads the daily mart, kept by a whole cycle."""
+    scripts = [
+        *marts.MARTS, Script("05_mart_peaks", _ranked, ("01_mart_daily", "04_mart_monthly")),
+        Script("04_mart_monthly", _monthly, ("01_mart_daily",)),
+    ]
+    base = scratch.fresh_dir(spark, "dependent")
+    source = cycle.table_source(grid(spark, sf_dir))
+    cycle.run_cycle(spark, base, source, now=at(2024, 1, 31), since=at(2024, 1, 1), scripts=scripts)
+    return Store(spark, base, scripts=scripts).mart("05_mart_peaks")
+
+
+def _events_stored(store):
+    return store.raw().select(
+        F.unix_micros("date_heure").alias("micros"), F.col("prevision_j1").alias("event_id"), "consommation", "nature"
+    )
+
+
+@query
+def event_cycle(spark, sf_dir):
+    """One whole cycle over every event: rows told apart by two columns, as many stored as there are events."""
+    base = scratch.fresh_dir(spark, "events")
+    source = cycle.table_source(event_grid(spark, sf_dir), EVENT_GRID)
+    cycle.run_cycle(spark, base, source, now=at(2024, 2, 1), since=at(2024, 1, 1), layout=EVENT_GRID)
+    return _events_stored(Store(spark, base, EVENT_GRID))
+
+
+@query
+def event_stream(spark, sf_dir):
+    """Every event in landed daily export files, followed by a stream."""
+    folder = scratch.fresh_dir(spark, "event-files")
+    _land(spark, sf_dir, folder, rows=event_grid(spark, sf_dir), layout=EVENT_GRID)
+    return _events_stored(_follow(spark, folder, EVENT_GRID))
+
+
 @query
 def marts_built(spark, sf_dir):
     """Build order, names and sizes of the marts of a store holding the whole grid."""
@@ -522,12 +685,12 @@ def marts_built(spark, sf_dir):
     return sizes[0].unionByName(sizes[1]).unionByName(sizes[2])
 
 
-def _land(spark, sf_dir, folder, where="true", name="landed"):
-    """The grid as daily export files, JSON arrays of at most 96 quarter-hours each, in folders by date."""
-    rows = grid(spark, sf_dir)
+def _land(spark, sf_dir, folder, where="true", name="landed", rows=None, layout=GRID):
+    """The grid (or given rows) as daily export files, a JSON array a day, in folders by date."""
+    rows = grid(spark, sf_dir) if rows is None else rows
     first, last = rows.where(where).agg(F.min("date_heure"), F.max("date_heure")).first()
     bounds = (moment.replace(tzinfo=timezone.utc) for moment in (first, last + timedelta(minutes=15)))
-    records = cycle.table_source(rows.where(where))(*bounds)
+    records = cycle.table_source(rows.where(where), layout)(*bounds)
     listed = F.array_sort(F.collect_list(F.struct("seq", "record")))
     payloads = records.groupBy(F.expr("date_from_unix_date(CAST(seq div 86400000000 AS int))").alias("day")).agg(
         F.concat(
@@ -537,12 +700,12 @@ def _land(spark, sf_dir, folder, where="true", name="landed"):
     payloads.write.mode("append").partitionBy("day").text(f"{folder}/{name}")
 
 
-def _follow(spark, folder):
+def _follow(spark, folder, layout=GRID):
     follow.stream_cycle(
         spark, f"{folder}/landed", f"{folder}/store", f"{folder}/checkpoint",
-        files_per_batch=1000, now=lambda: at(2024, 1, 31),
+        files_per_batch=1000, now=lambda: at(2024, 1, 31), layout=layout,
     )
-    return Store(spark, f"{folder}/store")
+    return Store(spark, f"{folder}/store", layout)
 
 
 def _raw_out(store):
@@ -603,6 +766,19 @@ def landed_window(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+@query
+def landed_index(spark, sf_dir):
+    """Of landed export files whose names tell no date, the records in the window; only files that hold some are opened."""
+    folder = scratch.fresh_dir(spark, "undated")
+    _land(spark, sf_dir, folder)
+    plain = spark.read.text(f"{folder}/landed", wholetext=True).select("value")
+    plain.repartition(8).write.option("maxRecordsPerFile", 1).text(f"{folder}/undated")
+    index = LandedIndex(spark, f"{folder}/index", f"{folder}/undated", "date_heure")
+    found = cycle.indexed_source(spark, index)(at(2024, 1, 9, 6), at(2024, 1, 12))
+    opened = len(index.files(at(2024, 1, 9, 6), at(2024, 1, 12)))
+    return apply_contract(found).select(F.unix_micros("date_heure").alias("micros"), "gaz", F.lit(opened).alias("opened"))
+
+
 # -- ledger and read queries ---------------------------------------------------------------------------------
 
 
@@ -612,6 +788,43 @@ def ledger_fold(spark, sf_dir):
     return folded.select("run_id", "status", "rows_fetched", "rows_inserted", "error")
 
 
+@query
+def ledger_compacted(spark, sf_dir):
+    """The latest state of each run out of a log whose entries, an append for every turn, were folded again and again."""
+    log = FoldedLog(spark, scratch.fresh_dir(spark, "log"), ledger.EVENT, "run_id", "event_seq", limit=3)
+    events = runs_from(spark, sf_dir).withColumns({"stream": F.lit(None).cast("string"), "batch_id": F.lit(None).cast("bigint")})
+    events = events.withColumn("event_seq", F.col("event_seq").cast("bigint")).select(*ledger.EVENT.names)
+    for row in events.select("event_seq").distinct().orderBy("event_seq").collect():
+        log.append(events.where(F.col("event_seq") == row["event_seq"]))
+    folded = ledger.fold(log.read())
+    return folded.select("run_id", "status", "rows_fetched", "rows_inserted", "error")
+
+
+@query
+def run_report(spark, sf_dir):
+    """The report file of a cycle, line by line, without its run time."""
+    folder = scratch.fresh_dir(spark, "report")
+    cycle.run_cycle(
+        spark, f"{folder}/store", cycle.table_source(grid(spark, sf_dir)), now=at(2024, 1, 31), since=at(2024, 1, 1),
+        report_path=f"{folder}/report",
+    )
+    lines = spark.read.text(f"{folder}/report").where("value RLIKE '^(# run|- )'")
+    return lines.select(F.regexp_replace("value", r" · [0-9.]+s$", "").alias("line"))
+
+
+@query
+def raw_schema(spark, sf_dir):
+    """Names and types of the columns that a cycle's stored table has, with the number of rows that fill each."""
+    base = scratch.fresh_dir(spark, "schema")
+    cycle.run_cycle(spark, base, cycle.table_source(grid(spark, sf_dir)), now=at(2024, 1, 31), since=at(2024, 1, 1))
+    raw = Store(spark, base).raw()
+    kinds = {field.name: field.dataType.simpleString() for field in raw.schema}
+    counts = raw.agg(*[F.count(name).alias(name) for name in kinds])
+    long = counts.unpivot([], list(kinds), "name", "filled")
+    named = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
+    return long.select("name", named[F.col("name")].alias("type"), "filled")
+
+
 @query
 def last_runs(spark, sf_dir):
     runs = ledger.last_runs(ledger.fold(runs_from(spark, sf_dir)), 20)

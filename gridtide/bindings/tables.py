@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -99,6 +100,30 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timed.select(F.inline(F.array(F.struct(*[F.expr(rule) for rule in _whole(rules)]))))
 
 
+def event_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row in contract form for every event, told apart by its moment and, in prevision_j1, its id.
+
+    A tenth of the rows are forecasts; each event's value counts for the source of its kind.
+    """
+    events = table(spark, sf_dir, "events").selectExpr(
+        "ts", "event_id", "user_id", "event_type", "CAST(round(value * 100) AS int) AS mw"
+    )
+    kinds = {"view": "nucleaire", "click": "eolien", "purchase": "solaire", "signup": "hydraulique", "error": "gaz"}
+    rules = {column: f"CASE WHEN event_type = '{kind}' THEN mw ELSE 0 END" for kind, column in kinds.items()}
+    rules |= {
+        "date_heure": "ts",
+        "prevision_j1": "event_id",
+        "nature": "CASE WHEN user_id % 10 <> 0 THEN 'measured' ELSE 'forecast' END",
+        "consommation": "CASE WHEN user_id % 10 <> 0 THEN mw + event_id % 7 END",
+        "taux_co2": "CASE WHEN event_id % 5 <> 0 THEN user_id % 60 END",
+    }
+    return events.select(F.inline(F.array(F.struct(*[F.expr(rule) for rule in _whole(rules)]))))
+
+
+#: The feed's layout for rows that a moment alone does not tell apart.
+EVENT_GRID = replace(GRID, more_keys=("prevision_j1",))
+
+
 def batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The grid as a contract batch: arrival number and a reject on every 32nd quarter-hour."""
     rows = grid(spark, sf_dir).selectExpr("*", f"{clock.micros('date_heure', clock.WALL)} AS seq")

@@ -81,6 +81,12 @@ class Layout:
     sources: dict[str, str]
     flows: tuple[str, ...]
     co2: str
+    #: Columns beside ``key`` that together with it tell rows apart.
+    more_keys: tuple[str, ...] = ()
+
+    @property
+    def unique(self) -> list[str]:
+        return [self.key, *self.more_keys]
 
     @property
     def names(self) -> list[str]:
@@ -134,12 +140,14 @@ def apply_contract(
     record: str = "record",
     seq: str = "seq",
     keep: tuple[str, ...] = (),
+    more_keys: tuple[str, ...] = (),
 ) -> DataFrame:
     """JSON record text -> ``seq``, the coerced fields and ``reject``.
 
     ``reject`` is null for an accepted record, otherwise the first failure in
     contract order. Unknown keys vanish with the projection, an absent optional
-    key is null. ``keep`` names further input columns to pass through.
+    key is null. ``keep`` names further input columns to pass through; ``more_keys`` further
+    columns that must not be null.
 
     Plain values take compiled casts only. The costly rules run just for records
     that need them, as array functions over the fields, which also keeps the
@@ -167,7 +175,9 @@ def apply_contract(
     lacking = " OR ".join(f"{_raw(name)} IS NULL" for name in [key, *[f.name for f in fields if f.required and f.name != key]])
     rows = rows.selectExpr("*", f"CASE WHEN {lacking} THEN json_object_keys({record}) END AS _keys")
     keys = "_keys"
-    suspect = [_unread([f.name for f in fields if f.kind != "text"]), f"{key} IS NULL"]
+    suspect = [_unread([f.name for f in fields if f.kind != "text"])]
+    suspect += [f"{name} IS NULL" for name in (key, *more_keys)]
+    lacking_key = " ".join(f"WHEN {name} IS NULL THEN '{name} must not be null'" for name in (key, *more_keys))
     suspect += [
         f"({_raw(f.name)} IS NULL AND NOT coalesce(array_contains({keys}, '{f.name}'), false))"
         for f in fields
@@ -179,7 +189,7 @@ def apply_contract(
         coalesce(
           CASE WHEN {_raw(key)} IS NULL AND {keys} IS NULL THEN 'record is not an object' END,
           {_first_failure(fields, keys)},
-          '{key} must not be null')) END"""
+          CASE {lacking_key} END)) END"""
     # A filter on plain projected columns would be pushed below the projections, with the parse
     # and every coercion copied into it. Generated columns stop that.
     return rows.select(F.inline(F.array(F.struct(seq, *keep, *names, F.expr(reject).alias("reject")))))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridtide.functions import clock, energy
 from gridtide.operators.contract import GRID, Layout, observed
+from gridtide.operators.merge import BEFORE
 
 # The labels counted as renewable, and the measures of the daily and latest marts
 # with the labels each one adds up.
@@ -29,11 +30,14 @@ def _power(layout: Layout, labels: tuple[str, ...]) -> str:
     return energy.total(layout.sources[label] for label in labels)
 
 
-def daily(raw: DataFrame, layout: Layout = GRID, zone: str = clock.PARIS) -> DataFrame:
-    """One row per local day: one scan, one map-side-combined aggregate.
+#: Sums of a local day besides its measures: everything the daily mart divides or rounds.
+_SUMS = ("n", "used", "renewable", "produced", "co2", "co2_n")
+
+
+def daily_state(raw: DataFrame, layout: Layout = GRID, zone: str = clock.PARIS) -> DataFrame:
+    """Integer sums, counts and the peak of each local day: what :func:`daily_of` needs, and what can be added up.
 
-    Sums stay integral until the single division per measure, so the result does
-    not depend on how rows were spread over tasks.
+    One scan, one map-side-combined aggregate.
     """
     used = layout.consumption
     measures = {name: _power(layout, labels) for name, labels in MEASURES.items()}
@@ -42,17 +46,72 @@ def daily(raw: DataFrame, layout: Layout = GRID, zone: str = clock.PARIS) -> Dat
         raw.where(observed(used))
         .groupBy(F.expr(f"{clock.local_day(layout.key, clock.type_of(raw, layout.key), zone)} AS day"))
         .agg(
-            F.expr("count(1) AS quarters_observed"),
-            F.expr(f"round(avg({used})) AS avg_consumption_mw"),
-            F.expr(f"max({used}) AS peak_consumption_mw"),
-            F.expr(f"{energy.mwh(f'sum({used})')} AS energy_consumed_mwh"),
-            *[F.expr(f"{energy.mwh(f'sum({p})')} AS {name}_mwh") for name, p in measures.items()],
-            F.expr(f"{energy.share_pct(f'sum({renewable})', f'sum({produced})')} AS renewable_share_pct"),
-            F.expr(f"round(avg({layout.co2}), 1) AS avg_co2_g_kwh"),
+            F.expr("count(1) AS n"),
+            F.expr(f"sum(CAST({used} AS bigint)) AS used"),
+            F.expr(f"max({used}) AS peak"),
+            *[F.expr(f"sum({power}) AS {name}") for name, power in measures.items()],
+            F.expr(f"sum({renewable}) AS renewable"),
+            F.expr(f"sum({produced}) AS produced"),
+            F.expr(f"sum(CAST({layout.co2} AS bigint)) AS co2"),
+            F.expr(f"count({layout.co2}) AS co2_n"),
         )
     )
 
 
+def daily_of(state: DataFrame) -> DataFrame:
+    """The daily mart from its state; sums stay integral until the single division per measure, so the result does
+    not depend on how rows were spread over tasks or loads."""
+    return state.selectExpr(
+        "day",
+        "n AS quarters_observed",
+        "round(CAST(used AS double) / n) AS avg_consumption_mw",
+        "peak AS peak_consumption_mw",
+        f"{energy.mwh('used')} AS energy_consumed_mwh",
+        *[f"{energy.mwh(name)} AS {name}_mwh" for name in MEASURES],
+        f"{energy.share_pct('renewable', 'produced')} AS renewable_share_pct",
+        "round(CAST(co2 AS double) / nullif(co2_n, 0), 1) AS avg_co2_g_kwh",
+    )
+
+
+def daily(raw: DataFrame, layout: Layout = GRID, zone: str = clock.PARIS) -> DataFrame:
+    """One row per local day."""
+    return daily_of(daily_state(raw, layout, zone))
+
+
+#: The name under which a store keeps the state of the daily mart.
+DAILY_STATE = "daily_state"
+LOST, GAINED = "_lost_peak", "_gained_peak"
+
+
+def daily_delta(feed: DataFrame, layout: Layout = GRID, zone: str = clock.PARIS) -> DataFrame:
+    """What a change feed (:func:`merge.changes`) does to the state of each local day it touches.
+
+    Sums and counts come with their sign. A maximum cannot be taken back, so ``_gained_peak`` and ``_lost_peak`` say the
+    largest value that came and that went.
+    """
+    sums = [*_SUMS, *MEASURES]
+    after = daily_state(feed, layout, zone)
+    before = daily_state(feed.where(f"{BEFORE} IS NOT NULL").select(f"{BEFORE}.*"), layout, zone)
+    came = after.selectExpr("day", *[f"coalesce({s}, 0L) AS {s}" for s in sums], f"peak AS {GAINED}", f"CAST(NULL AS int) AS {LOST}")
+    went = before.selectExpr("day", *[f"-coalesce({s}, 0L) AS {s}" for s in sums], f"CAST(NULL AS int) AS {GAINED}", f"peak AS {LOST}")
+    return came.union(went).groupBy("day").agg(
+        *[F.sum(s).alias(s) for s in sums], F.max(GAINED).alias(GAINED), F.max(LOST).alias(LOST)
+    )
+
+
+def daily_folded(state: DataFrame, delta: DataFrame) -> DataFrame:
+    """State and delta made one, days without observed rows left out. ``peak`` is null where the largest value may
+    be among those that went: it must be looked up in the rows."""
+    held = state.select("day", F.struct(*[c for c in state.columns if c != "day"]).alias("_held"))
+    both = held.join(delta, "day", "full_outer")
+    sums = [*_SUMS, *MEASURES]
+    most = f"greatest(_held.peak, {GAINED})"
+    return both.selectExpr(
+        "day", *[f"coalesce(_held.{s}, 0L) + coalesce({s}, 0L) AS {s}" for s in sums],
+        f"CASE WHEN {LOST} IS NULL OR {LOST} < {most} THEN {most} END AS peak",
+    ).where("n > 0").select("day", "n", "used", "peak", *MEASURES, *_SUMS[2:])
+
+
 def latest(raw: DataFrame, layout: Layout = GRID) -> DataFrame:
     """The most recent observed row with derived totals; planned as a top-1, not a sort."""
     last = raw.where(observed(layout.consumption)).orderBy(F.desc(layout.key)).limit(1)

@@ -49,3 +49,38 @@ def upsert_counts(
         inserted.alias("inserted"),
         (F.coalesce(F.sum("_rows"), F.lit(0)) - inserted).alias("updated"),
     )
+
+
+CHANGE, COPIES, BEFORE = "_change", "_copies", "_before"
+
+
+def changes(existing: DataFrame, batch: DataFrame, keys: list[str], seq: str | None = "seq") -> DataFrame:
+    """What a batch makes of a table: every row afterwards, with how it came about.
+
+    One full outer join on the key gives ``_change`` (``inserted``, ``updated`` or ``unchanged``), ``_copies`` (rows of
+    the batch with that key), ``_before`` (the row that was replaced, a struct) and the columns of ``existing``.
+    Without ``_change`` and its companions it is :func:`upsert`'s result; its changed rows are a feed from which counts
+    and derived tables follow. ``seq=None`` states that the batch holds each key once.
+    """
+    row = F.struct(*existing.columns)
+    if seq is None:
+        last = batch.select(*keys, row.alias("_after"), F.lit(1).cast("bigint").alias(COPIES))
+    else:
+        # As in last_per_key: copies of a key are reduced inside the tasks.
+        last = batch.groupBy(*keys).agg(
+            F.max_by(row, F.col(seq)).alias("_after"), F.count(F.lit(1)).alias(COPIES)
+        )
+    both = existing.select(*keys, row.alias("_held")).join(last, keys, "full_outer")
+    change = "CASE WHEN _held IS NULL THEN 'inserted' WHEN _after IS NULL THEN 'unchanged' ELSE 'updated' END"
+    return both.select(
+        F.expr(change).alias(CHANGE),
+        F.coalesce(COPIES, F.lit(0)).alias(COPIES),
+        F.expr("CASE WHEN _after IS NOT NULL THEN _held END").alias(BEFORE),
+        F.coalesce("_after", "_held").alias("_row"),
+    ).select(CHANGE, COPIES, BEFORE, "_row.*")
+
+
+def change_counts(feed: DataFrame) -> DataFrame:
+    """One row ``(inserted, updated)`` of a feed, as :func:`upsert_counts`."""
+    inserted = F.count_if(F.col(CHANGE) == "inserted")
+    return feed.agg(inserted.alias("inserted"), (F.coalesce(F.sum(COPIES), F.lit(0)) - inserted).alias("updated"))

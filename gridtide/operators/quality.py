@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.functions import clock, text
+from gridtide.operators import synopsis
 from gridtide.operators.contract import GRID, Field, Layout, observed
 
 CHECK = (
@@ -185,7 +186,7 @@ def range_violations(rows: DataFrame, fields: list[Field]) -> DataFrame:
 
 
 def _range_facts(fields: list[Field], kept: str) -> list[str]:
-    per_row = " + ".join(f"if({outside(f)}, 1, 0)" for f in fields)
+    per_row = " + ".join(f"if({outside(f)}, 1, 0)" for f in fields) or "0"
     return [f"coalesce(sum({per_row}) FILTER (WHERE {kept}), 0) AS out_of_range"]
 
 
@@ -198,9 +199,9 @@ def range_examples(
         f"if({outside(f)}, named_struct('rank', {rank}, 'field', '{f.name}', "
         f"'value', CAST({f.name} AS string)), NULL)"
         for rank, f in enumerate(fields)
-    )
+    ) or "CAST(NULL AS struct<rank: int, field: string, value: string>)"
     return (
-        rows.where(" OR ".join(outside(field) for field in fields))
+        rows.where(" OR ".join(outside(field) for field in fields) or "false")
         .selectExpr(
             f"{seq} AS _seq", f"{clock.text(wall)} AS at", f"inline(array_compact(array({cells})))"
         )
@@ -238,6 +239,8 @@ def balance_deviation(layout: Layout = GRID) -> str:
     Null unless the row is observed, its consumption is not zero and every part is known.
     """
     used = layout.consumption
+    if not layout.parts:
+        return "CAST(NULL AS double)"
     supply = " + ".join(f"CAST({part} AS bigint)" for part in layout.parts)
     gap = f"CAST(abs({supply} - {used}) AS double)"
     return f"CASE WHEN {used} <> 0 THEN {gap} / CAST({used} AS double) * 100.0D END"
@@ -326,7 +329,10 @@ def observed_days(raw: DataFrame, layout: Layout = GRID, zone: str = clock.PARIS
 def _completeness_facts(raw: DataFrame, layout: Layout) -> DataFrame:
     """The second newest local day that has observed rows; nulls without one."""
     finished = observed_days(raw, layout).orderBy(F.desc("day")).offset(1).limit(1)
-    return _facts(finished, "max(day) AS day", "max(quarters) AS quarters")
+    return _facts(finished, *_FINISHED)
+
+
+_FINISHED = ("max(day) AS day", "max(quarters) AS quarters")
 
 
 def _complete() -> str:
@@ -373,7 +379,7 @@ def batch_checks(
         *_balance_facts(layout, tolerance_pct, seen),
     )
     examples = range_examples(rows.where(seen), layout.bounded, layout.key, seq)
-    summary = one_row([facts, _key_facts(rows.where(ok), [layout.key]), _example_facts(examples)])
+    summary = one_row([facts, _key_facts(rows.where(ok), layout.unique), _example_facts(examples)])
     return _emit(
         summary,
         _coercion(),
@@ -397,6 +403,15 @@ def warehouse_checks(
     return _emit(summary, _fresh(now, warn_hours, fail_hours), _complete())
 
 
+def stored_checks(
+    held: DataFrame, now: datetime, warn_hours: float = 6.0, fail_hours: float = 48.0
+) -> DataFrame:
+    """The same two checks from the table's synopsis, whatever the history."""
+    finished = synopsis.observed_days(held).orderBy(F.desc("day")).offset(1).limit(1)
+    summary = one_row([synopsis.newest(held), _facts(finished, *_FINISHED)])
+    return _emit(summary, _fresh(now, warn_hours, fail_hours), _complete())
+
+
 # -- report -------------------------------------------------------------------------------------------
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
@@ -14,9 +14,12 @@ from gridtide.functions import clock, coerce
 from gridtide.operators import quality
 from gridtide.operators.contract import GRID, Layout, accepted, apply_contract
 from gridtide.operators.incremental import Params, collect_window, compute_window
+from gridtide.operators.marts import MARTS
+from gridtide.operators.script import Script
 from gridtide.plans.store import Store
 from gridtide.plans.together import together
-from gridtide.sources import landing, scratch
+from gridtide.sources import landing, scratch, split
+from gridtide.sources.index import LandedIndex
 
 #: (window start, window end) -> records as (seq, record) with an optional ``problem``.
 Source = Callable[[datetime, datetime], DataFrame]
@@ -110,6 +113,29 @@ def export_source(
     return fetch
 
 
+def indexed_source(spark: SparkSession, index: LandedIndex, layout: Layout = GRID) -> Source:
+    """The records in the window of landed export files whose names tell no date: the index says which files to open."""
+
+    def fetch(start: datetime | None, end: datetime | None) -> DataFrame:
+        index.refresh()
+        paths = index.landed if start is None or end is None else index.files(start, end)
+        if not paths:
+            return spark.createDataFrame([], "seq struct<origin: string, pos: bigint>, record string, problem string")
+        files = spark.read.text(paths, wholetext=True)
+        return _inside(landing.explode_records(landing.triage(landing.payloads(files))), start, end, layout)
+
+    return fetch
+
+
+def split_source(spark: SparkSession, path: str, layout: Layout = GRID) -> Source:
+    """As :func:`export_source` for files too large for one task: each is read by byte ranges."""
+
+    def fetch(start: datetime | None, end: datetime | None) -> DataFrame:
+        return _inside(split.split_records(spark, path), start, end, layout)
+
+    return fetch
+
+
 def lines_source(
     spark: SparkSession, path: str, layout: Layout = GRID, file_date: str | None = None
 ) -> Source:
@@ -170,7 +196,7 @@ def _load_batch(
 ) -> RunOutcome:
     spark, layout = store.spark, store.layout
     keep = ("problem",) if "problem" in records.columns else ()
-    coerced = apply_contract(records, layout.fields, layout.key, keep=keep)
+    coerced = apply_contract(records, layout.fields, layout.key, keep=keep, more_keys=layout.more_keys)
     # Payloads are parsed once; the gate and the load both read the written columns.
     coerced.write.mode("overwrite").parquet(stage)
     batch = spark.read.schema(coerced.schema).parquet(stage)
@@ -201,14 +227,13 @@ def _load_batch(
         # The gate has shown the keys to be unique, so no row order has to be settled.
         loaded = store.table.upsert(rows.withColumn("ingested_at", loaded_at), None, staged=True)
         counts |= {"rows_inserted": loaded.inserted, "rows_updated": loaded.updated}
-        tail = store.tail()
-        after = quality.warehouse_checks(
-            tail, now, params.freshness_warn_hours, params.freshness_fail_hours, layout
+        after = quality.stored_checks(
+            store.table.synopsis(), now, params.freshness_warn_hours, params.freshness_fail_hours
         )
         seen = spark.createDataFrame(report["checks"], quality.CHECK)
         built, final = together(
             spark,
-            lambda: store.build_marts(tail),
+            store.build_marts,
             lambda: quality.report(seen.unionByName(after)).first(),
         )
     else:
@@ -240,8 +265,9 @@ def run_cycle(
     params: Params = Params(),
     layout: Layout = GRID,
     report_path: str | None = None,
+    scripts: Sequence[Script | tuple] = MARTS,
 ) -> RunOutcome:
-    """One cycle, with every way it can end recorded in the ledger.
+    """One cycle, with every way it can end recorded in the ledger; ``scripts`` are the store's marts.
 
     A batch whose gate says ``fail`` is not loaded. Checks after the load can
     lower the status but take nothing back. An exception leaves ``error`` in the
@@ -249,8 +275,8 @@ def run_cycle(
     """
     started = time.monotonic()
     now = now or datetime.now(timezone.utc)
-    store = Store(spark, base, layout)
-    store.table.recover()
+    store = Store(spark, base, layout, scripts)
+    store.recover()
     start, end = collect_window(compute_window(store.watermark(), now, since, params))
     opened = store.start_run(now, start, end)
     try:

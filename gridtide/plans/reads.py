@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.operators import ledger, quality
+from gridtide.operators import ledger, quality, synopsis
 from gridtide.operators.contract import GRID, Layout
 from gridtide.plans.store import Store
 
@@ -22,9 +22,14 @@ def health(
     layout: Layout = GRID,
 ) -> DataFrame:
     """One row: ``empty``, ``stale`` or ``ok``, the newest observation and the newest run."""
+    return health_of(quality.newest_observed(raw, layout), runs, now, stale_hours)
+
+
+def health_of(newest: DataFrame, runs: DataFrame, now: datetime, stale_hours: float = 48.0) -> DataFrame:
+    """:func:`health` from the one row that tells the newest observation."""
     run = runs.agg(F.expr("max(struct(run_id, status, finished_at)) AS last_run"))
     lag = quality.lag_hours("last_micros", now)
-    return quality.one_row([quality.newest_observed(raw, layout), run]).selectExpr(
+    return quality.one_row([newest, run]).selectExpr(
         f"CASE WHEN last IS NULL THEN 'empty' WHEN {lag} > {float(stale_hours)}D THEN 'stale' "
         "ELSE 'ok' END AS status",
         "last AS last_observed",
@@ -45,15 +50,16 @@ def status(
     runs: DataFrame,
     now: datetime,
     layout: Layout = GRID,
-    recent: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """The summary row (row count, newest observation, lag) and the last runs.
-
-    ``recent`` is a part of ``raw`` that is known to hold the newest observation;
-    with it, the whole table is only counted, which reads file footers.
-    """
-    newest = quality.newest_observed(raw if recent is None else recent, layout)
+    """The summary row (row count, newest observation, lag) and the last runs."""
     counted = raw.agg(F.expr("count(1) AS raw_rows"))
+    return status_of(quality.newest_observed(raw, layout), counted, runs, now)
+
+
+def status_of(
+    newest: DataFrame, counted: DataFrame, runs: DataFrame, now: datetime
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`status` from the one-row frames that tell the newest observation and the number of rows."""
     summary = quality.one_row([newest, counted]).selectExpr(
         "raw_rows",
         "last AS last_observed",
@@ -63,15 +69,15 @@ def status(
 
 
 class Reads:
-    """The read queries of one store, each a DataFrame."""
+    """The read queries of one store, each a DataFrame; counts and newest keys come from the table's synopsis."""
 
     def __init__(self, store: Store, stale_hours: float = 48.0) -> None:
         self.store = store
         self.stale_hours = stale_hours
 
     def health(self, now: datetime) -> DataFrame:
-        store = self.store
-        return health(store.tail(), store.runs(), now, self.stale_hours, store.layout)
+        newest = synopsis.newest(self.store.table.synopsis())
+        return health_of(newest, self.store.runs(), now, self.stale_hours)
 
     def latest(self) -> DataFrame:
         return self.store.mart("02_mart_latest")
@@ -86,5 +92,5 @@ class Reads:
         return ledger.runs_page(self.store.runs(), limit)
 
     def status(self, now: datetime) -> tuple[DataFrame, DataFrame]:
-        store = self.store
-        return status(store.raw(), store.runs(), now, store.layout, store.tail())
+        held = self.store.table.synopsis()
+        return status_of(synopsis.newest(held), synopsis.counted(held), self.store.runs(), now)

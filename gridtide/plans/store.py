@@ -4,24 +4,27 @@ from __future__ import annotations
 
 import hashlib
 import inspect
-from collections.abc import Callable, Iterable, Sequence
+import json
+from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
 from functools import partial
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridtide.functions import clock, energy
-from gridtide.operators import ledger, marts
+from gridtide.operators import contract, ledger, marts, synopsis
 from gridtide.operators.contract import GRID, Layout, observed, table_schema
-from gridtide.operators.incremental import watermark
+from gridtide.operators.script import Script, digest, levels, scripts_of
 from gridtide.plans.together import together
 from gridtide.sources import scratch
-from gridtide.sources.table import KeyedTable
+from gridtide.sources.log import FoldedLog
+from gridtide.sources.published import GRACE, Published, Version
+from gridtide.sources.table import DAY, KeyedTable
 
 MONTH = "month"
-#: First look back when searching the newest observed rows; it grows until it is enough.
-TAIL_DAYS = 10
+_BY_MONTH = T.StructField(MONTH, T.StringType())
 
 
 class MartNotBuilt(LookupError):
@@ -33,20 +36,30 @@ class MartFailed(RuntimeError):
 
 
 class Store:
-    """``scripts`` are the marts in build order, as (name, build(rows, layout)); the daily one is kept by month,
-    any other is built whole from the newest dates (see :meth:`tail`)."""
+    """``scripts`` are the marts (see :class:`gridtide.operators.script.Script`; plain tuples will do). The daily one is kept by
+    month from the change feed; any other is built whole, from the newest dates (see :meth:`tail`) and the marts it names."""
 
     def __init__(
         self, spark: SparkSession, base: str, layout: Layout = GRID,
-        scripts: Sequence[tuple[str, Callable]] = marts.MARTS,
+        scripts: Sequence[Script | tuple] = marts.MARTS,
     ) -> None:
         self.spark = spark
-        self.marts = tuple(scripts)
+        self.marts = scripts_of(scripts)
         self.base = base.rstrip("/")
         self.layout = layout
         self.table = KeyedTable(
-            spark, f"{self.base}/raw", [layout.key], layout.key, table_schema(layout.fields)
+            spark, f"{self.base}/raw", layout.unique, layout.key, table_schema(layout.fields), observed(layout.consumption)
         )
+        self.ledger = FoldedLog(spark, f"{self.base}/ledger", ledger.EVENT, "run_id", "event_seq")
+        self.files = FoldedLog(spark, f"{self.base}/refused", ledger.REFUSED, "origin", "run_id", "problem IS NULL")
+
+    def recover(self, grace: timedelta = GRACE) -> None:
+        """Finish what a lost driver had written whole, and drop versions that no reader can still need."""
+        self.table.recover(grace)
+        for name in [*[script.name for script in self.marts], marts.DAILY_STATE]:
+            held = self._published(name)
+            held.recover()
+            held.tidy(grace)
 
     # -- raw table -----------------------------------------------------------------------
 
@@ -58,169 +71,173 @@ class Store:
 
         Holds the newest observed row, all rows of the seven days before it and
         the two newest observed local days in full, exactly as the whole table
-        would. The look back grows until that is certain or the table is used up,
-        so its cost follows the recent dates and not the history.
+        would. The synopsis says from which date on that is, whatever the history.
         """
-        days = self.table.days()
-        key = self.layout.key
-        reach = TAIL_DAYS
-        while True:
-            kept = days[-reach:]
-            rows = self.table.read_days(kept)
-            if len(kept) == len(days):
-                return rows
-            dtype = clock.type_of(rows, key)
-            found = (
-                rows.where(observed(self.layout.consumption))
-                .selectExpr(
-                    f"max({clock.micros(key, dtype)}) AS newest",
-                    f"count(DISTINCT {clock.local_day(key, dtype)}) AS days",
-                )
-                .first()
-            )
-            newest = clock.moment_of(found["newest"])
-            # The oldest local day of a slice may be cut, so two whole ones need a third.
-            if newest and found["days"] >= 3:
-                if kept[0] <= (newest - timedelta(days=marts.MIX_DAYS)).date():
-                    return rows
-            reach *= 4
+        version = self.table.published.version()
+        days = self.table.days(version)
+        newest = synopsis.newest_days(self.table.synopsis(version), DAY).collect()
+        if not newest:
+            return self.table.read_days(days[-1:], version)
+        week = clock.moment_of(newest[0]["newest_micros"]) - timedelta(days=marts.MIX_DAYS)
+        first = min(week.date(), *[row["first"] for row in newest])
+        return self.table.read_days([day for day in days if day >= first], version)
 
     def watermark(self) -> DataFrame:
-        return watermark(self.tail(), self.layout.key, self.layout.consumption)
+        """One row: the newest observed key, null when nothing is observed; from the synopsis."""
+        key = clock.type_of(self.spark.createDataFrame([], self.table.schema), self.layout.key)
+        newest = synopsis.newest(self.table.synopsis())
+        return newest.selectExpr(f"{clock.from_micros('last_micros', key)} AS watermark")
 
     def sql(self, query: str, args: list | dict | None = None, **frames: DataFrame) -> DataFrame:
         """Ad-hoc parameterised SQL; ``{raw}``, ``{runs}``, ``{refused}``, every mart by its name without the
         leading number (``{mart_daily}``) and given frames name tables."""
         known = {"raw": self.raw, "runs": self.runs, "refused": self.refused}
-        known |= {name.partition("_")[2]: partial(self.mart, name) for name, _ in self.marts}
+        known |= {script.name.partition("_")[2]: partial(self.mart, script.name) for script in self.marts}
         named = {name for name in {*known, *frames} if "{" + name + "}" in query}
         used = {name: frames[name] if name in frames else known[name]() for name in named}
         return self.spark.sql(query, args=args, **used)
 
     # -- marts ------------------------------------------------------------------------------
 
-    def _mart_path(self, name: str) -> str:
-        return f"{self.base}/marts/{name}"
+    def _published(self, name: str) -> Published:
+        by_month = name == marts.DAILY_STATE or any(s.name == name and s.build is marts.daily for s in self.marts)
+        return Published(self.spark, f"{self.base}/marts/{name}", _BY_MONTH if by_month else None)
 
     def mart(self, name: str) -> DataFrame:
         """A stored mart in presentation order."""
-        path = self._mart_path(name)
-        if not scratch.exists(self.spark, path):
+        held = self._published(name)
+        version = held.version()
+        if not version.number:
             raise MartNotBuilt(f"{name} is not built yet: run a cycle first")
-        build = dict(self.marts)[name]
-        empty = self.spark.createDataFrame([], self.table.schema)
-        schema = build(empty, self.layout).schema
-        return marts.in_order(name, self.spark.read.schema(schema).parquet(path).drop(MONTH))
+        schema = T.StructType.fromJson(json.loads(version.facts["schema"]))
+        return marts.in_order(name, held.read(schema, version).drop(MONTH))
 
     def definition(self) -> str:
-        """A digest of what the stored marts follow from besides the rows."""
-        sources = [inspect.getsource(module) for module in (marts, energy, clock)]
-        sources += [inspect.getsource(build) for _, build in self.marts]
+        """A digest of what the stored daily state follows from besides the rows."""
+        sources = [inspect.getsource(module) for module in (marts, energy, clock, contract)]
         return hashlib.sha256("\0".join([*sources, repr(self.layout)]).encode()).hexdigest()
 
+    def dirty(self) -> list[date]:
+        """Dates that loads have changed since the daily mart was last brought up to date."""
+        now = self.table.published.version()
+        through = self._published(marts.DAILY_STATE).version().facts.get("through", 0)
+        if through == now.number:
+            return []
+        try:
+            then = self.table.published.version(through) if through else Version()
+        except LookupError:
+            then = Version()
+        return [date.fromisoformat(day) for day in sorted(now.parts) if then.parts.get(day) != now.parts[day]]
+
     def build_marts(self, tail: DataFrame | None = None) -> list[str]:
         """Bring every mart up to date; returns their names in build order.
 
-        The daily mart recomputes the months of dates changed since it was last brought up to date, by
-        whatever load, also one whose driver was lost before its marts; all of it when its definition
-        has changed. The other marts need no more than the table's ``tail``.
+        Marts that do not read each other are built at the same time, but they take effect in the order of their
+        names: when one fails, those before it stand renewed and those after it as they were. The daily mart follows the
+        changes since it was last built, by whatever load, also one whose driver was lost before its marts.
         """
         recent = self.tail() if tail is None else tail
-        dirty = self.table.dirty()
-        stamps = f"{self.base}/marts_built_by"
+        for level in levels(self.marts):
+            steps = [partial(self._staged, script, recent) for script in level]
+            staged = together(self.spark, *steps, keep_errors=True)
+            for script, result in zip(level, staged):
+                if isinstance(result, Exception):
+                    raise MartFailed(f"mart {script.name} failed: {result}") from result
+                for publish in result:
+                    publish()
+        return [script.name for script in self.marts]
+
+    def _staged(self, script: Script, recent: DataFrame) -> list:
+        """Write a mart's new version; what puts it in force."""
+        if script.build is marts.daily:
+            return self._staged_daily(script.name)
+        inputs = ({name: self.mart(name) for name in script.inputs},) if script.inputs else ()
+        return [self._write(script.name, script.build(recent, self.layout, *inputs), {"digest": digest(script.build)})]
+
+    def _write(self, name: str, rows: DataFrame, facts: dict, removed: Sequence[str] = ()):
+        held = self._published(name)
+        load = held.new_load()
+        schema = T.StructType([f for f in rows.schema.fields if f.name != MONTH])
+        if held.part is None:
+            marts.in_order(name, rows).write.parquet(held.folder(load))
+        else:
+            rows.write.partitionBy(MONTH).parquet(held.folder(load))
+        facts = {**facts, "schema": json.dumps(schema.jsonValue())}
+        return lambda: held.publish(load, removed, facts)
+
+    def _staged_daily(self, name: str) -> list:
+        """The daily mart and its state, from the rows that changed since; from all rows when that cannot be exact."""
+        version = self.table.published.version()
+        states = self._published(marts.DAILY_STATE)
+        before = states.version()
         current = self.definition()
-        same = scratch.children(self.spark, stamps) == [current]
-        days = {day for noted in dirty.values() for day in noted} if same else None
-        steps = [partial(self._build, name, build, days, recent) for name, build in self.marts]
-        together(self.spark, *steps)
-        if not same:
-            scratch.delete(self.spark, stamps)
-            scratch.make_dir(self.spark, f"{stamps}/{current}")
-        self.table.clean(dirty)
-        return [name for name, _ in self.marts]
-
-    def _build(self, name: str, build: Callable, touched: set[date] | None, recent: DataFrame) -> None:
-        path = self._mart_path(name)
-        try:
-            if build is not marts.daily:
-                mart = marts.in_order(name, build(recent, self.layout))
-                mart.write.mode("overwrite").parquet(path)
-            elif touched is None or not self._daily_months(path, touched):
-                self._daily_whole(path)
-        except Exception as problem:
-            raise MartFailed(f"mart {name} failed: {problem}") from problem
-
-    def _write_daily(self, path: str, rows: DataFrame, mode: str) -> None:
-        month = F.date_format("day", "yyyy-MM")
-        (
-            rows.withColumn(MONTH, month)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", mode)
-            .partitionBy(MONTH)
-            .parquet(path)
-        )
-
-    def _daily_whole(self, path: str) -> None:
-        self._write_daily(path, marts.daily(self.raw(), self.layout), "static")
-
-    def _daily_months(self, path: str, touched: set[date]) -> bool:
-        """Recompute the months around the touched dates; False when that cannot be exact."""
-        if not scratch.exists(self.spark, path):
-            return False
-        # A local day differs from the UTC date by at most one.
-        near = {day + timedelta(days=step) for day in touched for step in (-1, 0, 1)}
-        months = sorted({day.strftime("%Y-%m") for day in near})
-        if not months:
-            return True
-        held = self.table.days()
-        inside = [day for day in held if any(
-            (day + timedelta(days=step)).strftime("%Y-%m") in months for step in (-1, 0, 1)
-        )]
-        rows = marts.daily(self.table.read_days(inside), self.layout)
-        fresh = rows.where(F.date_format("day", "yyyy-MM").isin(months))
-        self._write_daily(path, fresh, "dynamic")
-        # A month left without any observed day has no new partition to replace its old one.
-        kept = {
-            name.partition("=")[2]
-            for name in scratch.children(self.spark, path)
-            if name.startswith(f"{MONTH}=")
-        }
-        present = {
-            row[MONTH]
-            for row in fresh.select(F.date_format("day", "yyyy-MM").alias(MONTH)).distinct().collect()
-        }
-        return not (kept.intersection(months) - present)
+        facts = {"through": version.number, "digest": current}
+        built = self._published(name).version().facts
+        same = before.facts.get("digest") == current and built.get("digest") == current
+        # A mart that its state ran ahead of, because the driver was lost between the two, is built anew.
+        same = same and built.get("through") == before.facts.get("through")
+        if same and before.facts["through"] == version.number:
+            return []
+        feed = self.table.changes_since(before.facts["through"]) if same else None
+        if feed is None:
+            state, removed = marts.daily_state(self.table.read(version), self.layout), list(before.parts)
+        else:
+            state, removed = self._folded_state(states, before, feed, version)
+        load = states.new_load()
+        month = F.date_format("day", "yyyy-MM").alias(MONTH)
+        state.select("*", month).write.partitionBy(MONTH).parquet(states.folder(load))
+        schema = T.StructType(state.schema.fields)
+        mart = marts.daily_of(states.rows_of(load, schema)).withColumn(MONTH, F.date_format("day", "yyyy-MM"))
+        publish = self._write(name, mart, facts, removed)
+        noted = {**facts, "schema": json.dumps(schema.jsonValue())}
+        return [lambda: states.publish(load, removed, noted), publish]
+
+    def _folded_state(
+        self, states: Published, before: Version, feed: DataFrame, version: Version
+    ) -> tuple[DataFrame, list[str]]:
+        """The state of the months that a feed touches, and those months; reads no row that did not change, but for days
+        whose largest value may have gone."""
+        schema = T.StructType.fromJson(json.loads(before.facts["schema"]))
+        delta = marts.daily_delta(feed, self.layout)
+        path = f"{self.base}/staging/delta-{version.number}"
+        delta.write.mode("overwrite").parquet(path)
+        delta = self.spark.read.schema(delta.schema).parquet(path)
+        months = [row[0] for row in delta.select(F.date_format("day", "yyyy-MM")).distinct().collect()]
+        state = marts.daily_folded(states.read(schema, before, months).drop(MONTH), delta)
+        # Calendar days only come to the driver.
+        lost = [row["day"] for row in state.where("peak IS NULL").select("day").collect()]
+        if lost:
+            # A local day lies within one day of its UTC dates.
+            near = {day + timedelta(days=step) for day in lost for step in (-1, 0, 1)}
+            rows = marts.daily_state(self.table.read_days(near, version), self.layout).where(F.col("day").isin(lost))
+            peaks = rows.select("day", F.col("peak").alias("_peak"))
+            state = state.join(peaks, "day", "left").withColumn("peak", F.coalesce("peak", "_peak")).drop("_peak")
+        return state.select(*schema.names), months
 
     # -- ledger -------------------------------------------------------------------------------
 
     def events(self) -> DataFrame:
-        path = f"{self.base}/ledger"
-        if not scratch.exists(self.spark, path):
-            return self.spark.createDataFrame([], ledger.EVENT)
-        return self.spark.read.schema(ledger.EVENT).parquet(path)
+        """The ledger's events: the last one of each run, and all that are not folded yet."""
+        return self.ledger.read()
 
     def runs(self) -> DataFrame:
         return ledger.fold(self.events()).select(*ledger.RUNS.names)
 
     def refused(self) -> DataFrame:
         """Landed files that were refused and not loaded since, with the reason: origin, run_id, problem."""
-        return ledger.fold(self._refusals(), "origin", "run_id", keep=True).where("problem IS NOT NULL")
-
-    def _refusals(self) -> DataFrame:
-        path = f"{self.base}/refused"
-        if not scratch.exists(self.spark, path):
-            return self.spark.createDataFrame([], ledger.REFUSED)
-        return self.spark.read.schema(ledger.REFUSED).parquet(path)
+        return ledger.fold(self.files.read(), "origin", "run_id", keep=True).where("problem IS NOT NULL")
 
     def note_files(self, files: DataFrame, run_id: int) -> None:
-        """Adds what became of landed files (origin, problem) in a run; a null problem means loaded."""
+        """Adds what became of landed files (origin, problem) in a run; a null problem means loaded.
+
+        Folding drops files that are loaded, so what is kept for good are the files refused now.
+        """
         rows = files.select("origin", F.lit(run_id).cast("bigint").alias("run_id"), F.col("problem").cast("string"))
-        rows.write.mode("append").parquet(f"{self.base}/refused")
+        self.files.append(rows)
 
     def _append(self, **event) -> None:
         row = Row(*ledger.EVENT.names)(*[event.get(name) for name in ledger.EVENT.names])
-        frame = self.spark.createDataFrame([row], ledger.EVENT)
-        frame.coalesce(1).write.mode("append").parquet(f"{self.base}/ledger")
+        self.ledger.append(self.spark.createDataFrame([row], ledger.EVENT).coalesce(1), high=event["run_id"])
 
     def start_run(
         self,
@@ -236,7 +253,7 @@ class Store:
             mine = (F.col("stream") == stream) & (F.col("batch_id") == batch_id)
             run_id = self.events().where(mine).agg(F.max("run_id")).first()[0]
         if run_id is None:
-            run_id = self.events().agg(F.coalesce(F.max("run_id"), F.lit(0)) + 1).first()[0]
+            run_id = self.ledger.high() + 1
         opened = {
             "run_id": run_id,
             "started_at": started_at,

@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
@@ -73,3 +74,30 @@ def children(spark: SparkSession, path: str) -> list[str]:
     if not files.exists(location):
         return []
     return sorted(entry.getPath().getName() for entry in files.listStatus(location))
+
+
+def modified(spark: SparkSession, path: str) -> datetime:
+    files, location = _handle(spark, path)
+    return datetime.fromtimestamp(files.getFileStatus(location).getModificationTime() / 1000, timezone.utc)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written in one go."""
+    files, location = _handle(spark, path)
+    stream = files.create(location, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None when there is none."""
+    files, location = _handle(spark, path)
+    if not files.exists(location):
+        return None
+    stream = files.open(location)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

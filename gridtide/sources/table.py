@@ -5,19 +5,20 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridtide.functions import clock
-from gridtide.operators import merge
+from gridtide.operators import merge, synopsis
 from gridtide.sources import scratch
+from gridtide.sources.published import GRACE, Published, Version
 
 DAY = "utc_date"
-#: Marks a staged load as whole; markers of the file format may be switched off.
-COMPLETE = "complete"
+SYNOPSIS = "synopsis"
+_COUNTS = ("count_if(_change = 'inserted') AS inserted", "sum(_copies) AS sent")
 
 
 @dataclass(frozen=True)
@@ -35,10 +36,15 @@ class KeyedTable:
     The partition date must follow from the key (the time column is part of it),
     so a revision lands in the date that already holds the row, and an upsert
     reads and rewrites only the dates its batch touches, whatever the history.
+    Loads take effect by one renamed pointer (:mod:`gridtide.sources.published`): readers, also those
+    that planned earlier, never meet half a load or a missing file.
+
+    Each load keeps two by-products in its folder: the change of every row (:meth:`changes_since`) and
+    a synopsis of its dates (:meth:`synopsis`), for which ``seen`` says when a row counts as observed.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, keys: list[str], time: str, schema: T.StructType
+        self, spark: SparkSession, path: str, keys: list[str], time: str, schema: T.StructType, seen: str = "true"
     ) -> None:
         if time not in keys:
             raise ValueError("the time column must be part of the key")
@@ -47,32 +53,52 @@ class KeyedTable:
         self.keys = keys
         self.time = time
         self.schema = schema
-        self.stored = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
+        self.seen = seen
+        self.feed = T.StructType([
+            T.StructField(merge.CHANGE, T.StringType()), T.StructField(merge.COPIES, T.LongType()),
+            T.StructField(merge.BEFORE, schema), *schema.fields,
+        ])
+        self.published = Published(spark, self.path, T.StructField(DAY, T.DateType()))
 
     # -- reads --------------------------------------------------------------------------
 
-    def days(self) -> list[date]:
-        """The dates the table holds, from its folder names alone."""
-        prefix = f"{DAY}="
-        names = scratch.children(self.spark, self.path)
-        return [date.fromisoformat(name[len(prefix):]) for name in names if name.startswith(prefix)]
+    def days(self, version: Version | None = None) -> list[date]:
+        """The dates the table holds, from its pointer alone."""
+        version = self.published.version() if version is None else version
+        return [date.fromisoformat(part) for part in sorted(version.parts)]
 
-    def read(self) -> DataFrame:
-        return self._read(self.days(), whole=True)
+    def read(self, version: Version | None = None) -> DataFrame:
+        """The rows of one version, the current one unless given; loads that follow do not change the frame."""
+        return self.published.read(self.schema, version).drop(DAY)
 
-    def read_days(self, wanted: Iterable[date]) -> DataFrame:
+    def read_days(self, wanted: Iterable[date], version: Version | None = None) -> DataFrame:
         """Only the named dates, however many: partition pruning leaves out the other folders' files."""
-        held = set(self.days())
-        return self._read(sorted(held.intersection(wanted)))
+        return self.published.read(self.schema, version, [day.isoformat() for day in wanted]).drop(DAY)
 
     def read_since(self, first: date) -> DataFrame:
-        return self._read([day for day in self.days() if day >= first])
+        version = self.published.version()
+        return self.read_days([day for day in self.days(version) if day >= first], version)
+
+    def synopsis(self, version: Version | None = None) -> DataFrame:
+        """Rows, observed rows and newest observed key per date and local day, as the loads left them."""
+        return self.published.read(synopsis.SCHEMA, version, folder=SYNOPSIS)
 
-    def _read(self, days: list[date], whole: bool = False) -> DataFrame:
-        if not days:
-            return self.spark.createDataFrame([], self.schema)
-        rows = self.spark.read.schema(self.stored).parquet(self.path)
-        return (rows if whole else rows.where(F.col(DAY).isin(days))).drop(DAY)
+    def changes_since(self, number: int) -> DataFrame | None:
+        """Inserted and updated rows of all loads after a version, with what they replaced, in order of ``_load``.
+
+        A key that several loads changed has a row from each. None when a load is no longer kept.
+        """
+        versions = self.published.since(number)
+        if versions is None:
+            return None
+        frames = [
+            self.published.rows_of(version.load, self.feed).drop(DAY).withColumn("_load", F.lit(version.number))
+            for version in versions
+        ]
+        feed = self.spark.createDataFrame([], T.StructType([*self.feed.fields, T.StructField("_load", T.IntegerType())]))
+        for frame in frames:
+            feed = feed.unionByName(frame)
+        return feed.where(f"{merge.CHANGE} <> 'unchanged'")
 
     # -- upsert ---------------------------------------------------------------------------
 
@@ -82,76 +108,48 @@ class KeyedTable:
         """Insert or replace by key; the last row by ``seq`` wins inside the batch.
 
         ``seq=None`` states that the batch holds each key once; ``staged`` that it
-        is read from files, so reading it again is cheap. The merged dates are
-        written beside the table first and only then published, so a load that
-        dies halfway changes nothing, or is finished by :meth:`recover`.
+        is read from files, so reading it again is cheap. A load that dies before its pointer is written
+        changed nothing; one that dies after it is finished by :meth:`recover`.
         """
-        stage = f"{self.path}_staging/{uuid.uuid4().hex}"
+        stage = f"{self.path}/staging/{uuid.uuid4().hex}"
         if not staged:
-            batch.write.parquet(f"{stage}/batch")
-            batch = self.spark.read.schema(batch.schema).parquet(f"{stage}/batch")
-        sent = batch.count()
-        if sent == 0:
-            scratch.delete(self.spark, stage)
-            return Loaded(0, 0, ())
+            batch.write.parquet(stage)
+            batch = self.spark.read.schema(batch.schema).parquet(stage)
+        try:
+            return self._upsert(batch, seq)
+        finally:
+            if not staged:
+                scratch.delete(self.spark, stage)
 
+    def _upsert(self, batch: DataFrame, seq: str | None) -> Loaded:
         day = f"{clock.utc_day(self.time, clock.type_of(batch, self.time))} AS {DAY}"
         touched = self._touched(batch.selectExpr(day))
-        existing = self.read_days(touched)
-        before = existing.count()
+        if not touched:
+            return Loaded(0, 0, ())
+        load = self.published.new_load()
+        over = self.published.version()
         typed = [f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in self.schema]
         rows = batch.selectExpr(*typed, *([] if seq is None else [seq]))
-        merged = merge.upsert(existing, rows, self.keys, seq).selectExpr("*", day)
+        feed = merge.changes(self.read_days(touched, over), rows, self.keys, seq).selectExpr("*", day)
         # Rebalancing gives files of even size: a date holding most rows is split over tasks.
-        merged.hint("rebalance", F.col(DAY)).write.partitionBy(DAY).parquet(f"{stage}/merged")
-        inserted = self._staged(stage).count() - before
-        note = self.spark.createDataFrame([(day.isoformat(),) for day in touched], "day string")
-        note.coalesce(1).write.text(f"{stage}/days")
-        scratch.make_dir(self.spark, f"{stage}/{COMPLETE}")
-        self._publish(stage)
+        feed.hint("rebalance", F.col(DAY)).write.partitionBy(DAY).parquet(self.published.folder(load))
+        told = synopsis.synopsis(self.published.rows_of(load, self.feed), self.time, DAY, self.seen, *_COUNTS)
+        kept = self.published.folder(load, SYNOPSIS)
+        told.repartition(1).write.partitionBy(DAY).parquet(kept)  # a few rows for each date
+        told = self.spark.read.schema(f"inserted bigint, sent bigint, {DAY} date").parquet(kept)
+        inserted, sent = told.agg(F.sum("inserted"), F.sum("sent")).first()
+        self._publish(self.published.draft(load, over=over))
         return Loaded(inserted, sent - inserted, tuple(touched))
 
     def _touched(self, days: DataFrame) -> list[date]:
         """Distinct dates of a batch: bounded by the calendar, not by the rows."""
         return sorted(row[DAY] for row in days.distinct().collect())
 
-    def _staged(self, stage: str) -> DataFrame:
-        return self.spark.read.schema(self.stored).parquet(f"{stage}/merged")
-
-    def _publish(self, stage: str) -> None:
-        """Put the merged dates in place of the stored ones, folder by folder, and touch no others.
+    def _publish(self, number: int) -> None:
+        self.published.put_in_force(number)
 
-        Nothing is written a second time, and what a lost driver had not moved is moved on repetition. The
-        dates are noted as dirty first, so that whoever keeps something derived from them learns of it.
-        """
-        scratch.move(self.spark, f"{stage}/days", f"{self.path}_dirty/{stage.rpartition('/')[2]}")
-        for name in scratch.children(self.spark, f"{stage}/merged"):
-            if name.startswith(f"{DAY}="):
-                scratch.move(self.spark, f"{stage}/merged/{name}", f"{self.path}/{name}")
-        scratch.delete(self.spark, stage)
-
-    def dirty(self) -> dict[str, list[date]]:
-        """Dates changed since :meth:`clean`, by the load that changed them; bounded by the calendar."""
-        notes = scratch.children(self.spark, f"{self.path}_dirty")
-        return {note: self._noted(note) for note in notes}
-
-    def _noted(self, note: str) -> list[date]:
-        rows = self.spark.read.text(f"{self.path}_dirty/{note}").collect()
-        return [date.fromisoformat(row["value"]) for row in rows]
-
-    def clean(self, notes: Iterable[str]) -> None:
-        """Forget these loads: all that follows from their dates is up to date."""
-        for note in notes:
-            scratch.delete(self.spark, f"{self.path}_dirty/{note}")
-
-    def recover(self) -> int:
-        """Finish loads a lost driver left behind; returns how many were published."""
-        published = 0
-        for name in scratch.children(self.spark, f"{self.path}_staging"):
-            stage = f"{self.path}_staging/{name}"
-            if scratch.exists(self.spark, f"{stage}/{COMPLETE}"):
-                self._publish(stage)
-                published += 1
-            else:
-                scratch.delete(self.spark, stage)
-        return published
+    def recover(self, grace: timedelta = GRACE) -> int:
+        """Finish a load that a lost driver had written whole, and drop what no reader can still need; loads finished."""
+        made = self.published.recover()
+        self.published.tidy(grace, ("data", SYNOPSIS, "staging"))
+        return made

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gridtide.operators.contract import GRID, Layout
 from gridtide.operators.incremental import Params
+from gridtide.operators.marts import MARTS
+from gridtide.operators.script import Script
 from gridtide.plans.cycle import RunOutcome, load_batch
 from gridtide.plans.store import Store
 from gridtide.sources import landing, scratch
@@ -57,6 +59,7 @@ def stream_cycle(
     files_per_batch: int = 1,
     now: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
     on_outcome: Callable[[RunOutcome], None] | None = None,
+    scripts: Sequence[Script | tuple] = MARTS,
 ) -> StreamingQuery:
     """The whole cycle per landed export file (or per ``files_per_batch`` of them).
 
@@ -66,8 +69,8 @@ def stream_cycle(
     listed by :meth:`Store.refused` and offered again, in runs of their own, each time the stream is
     started. Any other exception ends its run as ``error`` and stops the stream.
     """
-    store = Store(spark, base, layout)
-    store.table.recover()
+    store = Store(spark, base, layout, scripts)
+    store.recover()
     stream_id = _stream_id(spark, checkpoint)
 
     def load(payloads: DataFrame, batch_id: int | None) -> None:
