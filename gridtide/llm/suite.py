@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.llm import byte_bpe, decontaminate, html_extract, language_id, license_scan, line_dedup, merkle
+from gridtide.llm import byte_bpe, context_mixing, decontaminate, html_extract, language_id, license_scan, line_dedup, merkle
 from gridtide.llm import simhash, source_audit, toxicity, vector_codes, warc
 from gridtide.llm.common import table, whole
 from gridtide.sources.scratch import fresh_dir
@@ -273,6 +273,11 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 FROM coded"""
 
 
+@registered("op12_context_mixing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score(table(spark, sf_dir, "documents"))
+
+
 @registered("op13_source_audit")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(table(spark, sf_dir, "documents"))
