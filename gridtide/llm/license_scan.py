@@ -26,6 +26,7 @@ from collections import Counter
 from dataclasses import dataclass
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,47 +106,82 @@ def _need(size: int, threshold: float) -> tuple[int, float]:
     return max(math.ceil(least - 1e-9), 1), most + 1e-9
 
 
-def _best(template: Template, pairs: list[tuple], places: list[int], starts: list[int], ends: list[int], threshold: float):
+class Places:
+    """Where a template's bigrams stand among those of a text, and what each one adds to a passage.
+
+    A bigram counts for a passage if, from the passage's first word on, it has not stood there more often than in the
+    template: if the occurrence that lies as many occurrences back lies before the passage (`gate`)."""
+
+    def __init__(self, template: Template, pairs: list[tuple]):
+        self.template = template
+        before: dict[tuple, list[int]] = {}
+        at, gate = [], []
+        for n, pair in enumerate(pairs):
+            times = template.counts.get(pair)
+            if times:
+                seen = before.setdefault(pair, [])
+                at.append(n), gate.append(seen[-times] if len(seen) >= times else -1)
+                seen.append(n)
+        self.at, self.gate = np.array(at, np.int64), np.array(gate, np.int64)
+
+    def inside(self, start: int, stop: int) -> Places:
+        part = object.__new__(Places)
+        low, high = np.searchsorted(self.at, (start, stop))
+        part.template, part.at, part.gate = self.template, self.at[low:high], self.gate[low:high]
+        return part
+
+
+def _best(places: Places, starts: np.ndarray, ends: np.ndarray, threshold: float):
     """The best passage over the threshold as (-Dice, -size, license, first word, last word), or None.
 
-    It begins at one of `starts` and ends at one of `ends`; `places` are those of the template's bigrams among `pairs`."""
-    found = None
-    need, most = _need(template.size, threshold)
-    for first in starts:
-        n = bisect_left(places, first)
-        if n + need > len(places):
-            break
-        if places[n + need - 1] - first >= most:
+    It begins at one of `starts` and ends at one of `ends`. All ends of a start are weighed at once. By how much the
+    best of them misses the threshold tells how many starts cannot reach it: moving the start by a word takes a word from the
+    passage and adds nothing in common."""
+    size, at = places.template.size, places.at
+    need, most = _need(size, threshold)
+    ahead = max(64, size // 4)
+    low = np.searchsorted(at, starts)
+    whole = low + need <= len(at)
+    hopeful = np.flatnonzero(whole)
+    hopeful = hopeful[at[low[hopeful] + need - 1] - starts[hopeful] < most]
+    found, after = None, -1
+    for n in hopeful.tolist():
+        first, begin = int(starts[n]), int(low[n])
+        if first < after or begin + need > len(at) or at[begin + need - 1] - first >= most:
+            continue
+        reach = first + int(most) + ahead
+        a, b = np.searchsorted(ends, first, "right"), np.searchsorted(ends, reach, "right")
+        if a == b:
             continue
-        used: dict[tuple, int] = {}
-        common = 0
-        for k in range(bisect_right(ends, first), len(ends)):
-            last = ends[k]
-            if last - first > most:
-                break
-            while n < len(places) and places[n] < last:
-                pair = pairs[places[n]]
-                n += 1
-                if used.get(pair, 0) < template.counts[pair]:
-                    used[pair] = used.get(pair, 0) + 1
-                    common += 1
-            if common >= need:
-                dice = 2 * common / (last - first + template.size)
-                passage = (-dice, first - last, template.license, first, last)
-                if dice >= threshold and (found is None or passage < found):
-                    found, threshold = passage, dice
-                    need, most = _need(template.size, threshold)
-                    if dice == 1:
-                        return found  # the first whole copy: nothing comes before it
+        stops = ends[a:b]
+        finish = np.searchsorted(at, reach)
+        counts = np.concatenate([[0], np.cumsum(places.gate[begin:finish] < first)])
+        common = counts[np.searchsorted(at[begin:finish], stops)]
+        dice = 2 * common / (stops - first + size)
+        top = float(dice.max())
+        if top >= threshold:
+            last = int(stops[np.flatnonzero(dice == top)[-1]])
+            passage = (-top, first - last, places.template.license, first, last)
+            if found is None or passage < found:
+                found, threshold = passage, top
+                need, most = _need(size, threshold)
+                if top == 1:
+                    return found  # the first whole copy: nothing comes before it
+        else:
+            missed = threshold * (stops - first + size) - 2 * common
+            after = first + min(int(missed.min() / threshold - 1e-6), ahead)
     return found
 
 
-def _parts(places: list[list[int]], hopeful: list[Template], threshold: float) -> list[tuple[int, int]]:
+def _parts(places: list[Places], threshold: float) -> list[tuple[int, int]]:
     """Stretches of words that hold every passage, as first word and the one after the last."""
-    spans = []
-    for at, template in zip(places, hopeful):
-        need, most = _need(template.size, threshold)
-        spans += [(a, a + int(most) + 1) for a, b in zip(at, at[need - 1 :]) if b - a < most]
+    spans: list[tuple[int, int]] = []
+    for held in places:
+        need, most = _need(held.template.size, threshold)
+        if len(held.at) >= need:
+            first = held.at[: len(held.at) - need + 1]
+            near = first[held.at[need - 1 :] - first < most]
+            spans += [(a, a + int(most) + 1) for a in near.tolist()]
     parts: list[tuple[int, int]] = []
     for first, stop in sorted(spans):
         if parts and first < parts[-1][1]:
@@ -178,21 +214,21 @@ class Scan:
 
     def __init__(self, words: list[str], hopeful: list[Template], threshold: float):
         self.threshold, self.stop = threshold, len(words)
-        self.pairs = list(bigrams(words))
-        self.places = [(t, [n for n, pair in enumerate(self.pairs) if pair in t.counts]) for t in hopeful]
-        self.parts = _parts([at for _, at in self.places], hopeful, threshold)
+        pairs = list(bigrams(words))
+        self.places = [Places(template, pairs) for template in hopeful]
+        self.parts = _parts(self.places, threshold)
 
-    def best_words(self, template: Template, at: list[int], start: int, stop: int, threshold: float):
-        inside = at[bisect_left(at, start) : bisect_left(at, stop - 1)]
-        return _best(template, self.pairs, inside, inside, [n + 1 for n in inside], threshold)
+    def best_words(self, places: Places, start: int, stop: int, threshold: float):
+        inside = places.inside(start, stop - 1)
+        return _best(inside, inside.at, inside.at + 1, threshold)
 
     def best(self, search, threshold: float):
-        """The best of all templates, with its template and places, by `search(template, places, threshold)`."""
+        """The best of all templates, with its places, by `search(places, threshold)`."""
         found = None
-        for template, at in self.places:
-            passage = search(template, at, threshold)
+        for places in self.places:
+            passage = search(places, threshold)
             if passage and (found is None or passage < found[0]):
-                found, threshold = (passage, template, at), -passage[0]
+                found, threshold = (passage, places), -passage[0]
         return found
 
     def words(self, parts: list[tuple[int, int]]) -> list[tuple]:
@@ -200,14 +236,14 @@ class Scan:
         taken = []
         while parts:
             start, stop = parts.pop()
-            found = self.best(lambda t, at, least: self.best_words(t, at, start, stop, least), self.threshold)
+            found = self.best(lambda places, least: self.best_words(places, start, stop, least), self.threshold)
             if found:
                 taken.append(found[0])
                 parts += [(start, found[0][3]), (found[0][4] + 1, stop)]
         return sorted(taken, key=lambda p: p[3])
 
     def runs(self, starts: list[int], ends: list[int]) -> list[tuple]:
-        """Runs of whole lines, as (passage, template, places) in page order. The lines begin and end with these words."""
+        """Runs of whole lines, as (passage, places) in page order. The lines begin and end with these words."""
         stretches: list[tuple[int, int]] = []  # of lines
         for start, stop in self.parts:
             first, last = bisect_right(starts, start) - 1, bisect_right(starts, stop - 1) - 1
@@ -220,11 +256,10 @@ class Scan:
             first, last = stretches.pop()
             if first > last:
                 continue
-            begin, finish = starts[first : last + 1], ends[first : last + 1]
+            begin, finish = (np.array(x[first : last + 1], np.int64) for x in (starts, ends))
 
-            def search(template, at, least):
-                inside = at[bisect_left(at, begin[0]) : bisect_left(at, finish[-1])]
-                return _best(template, self.pairs, inside, begin, finish, least)
+            def search(places, least):
+                return _best(places.inside(int(begin[0]), int(finish[-1])), begin, finish, least)
 
             found = self.best(search, self.threshold)
             if found:
@@ -233,29 +268,30 @@ class Scan:
                 stretches.append((bisect_left(ends, found[0][4]) + 1, last))
         return sorted(taken, key=lambda f: f[0][3])
 
-    def rival(self, run: tuple, template: Template, core: tuple, low: int, high: int):
+    def rival(self, run: tuple, places: Places, core: tuple, low: int, high: int):
         """The best range of words between `low` and `high` over the run's core that tells of another licence, or None."""
-        common = -run[0] * (template.size - run[1]) / 2
+        common = -run[0] * (places.template.size - run[1]) / 2
         found = None
-        for other, at in self.places:
-            if other.license != run[2]:
-                reach = int(_need(other.size, self.threshold)[1]) + 1
+        for other in self.places:
+            size = other.template.size
+            if other.template.license != run[2]:
+                reach = int(_need(size, self.threshold)[1]) + 1
                 start, stop = max(low, core[3] - reach), min(high, core[4] + reach + 1)
-                passage = self.best_words(other, at, start, stop, max(-run[0], self.threshold))
+                passage = self.best_words(other, start, stop, max(-run[0], self.threshold))
                 if (
                     passage and passage[0] < run[0] and passage[3] <= core[4] and passage[4] >= core[3]
-                    and -passage[0] * (other.size - passage[1]) / 2 >= common - 1e-9 and (found is None or passage < found)
+                    and -passage[0] * (size - passage[1]) / 2 >= common - 1e-9 and (found is None or passage < found)
                 ):
                     found = passage
         return found
 
     def passages(self, starts: list[int], ends: list[int]) -> list[tuple]:
         runs = self.runs(starts, ends)
-        cores = [self.best_words(t, at, run[3], run[4] + 1, self.threshold) for run, t, at in runs]
+        cores = [self.best_words(places, run[3], run[4] + 1, self.threshold) for run, places in runs]
         kept, parts, start = [], [], 0
-        for n, (run, template, _) in enumerate(runs):
+        for n, (run, places) in enumerate(runs):
             high = cores[n + 1][3] if n + 1 < len(runs) else self.stop
-            other = self.rival(run, template, cores[n], start, high)
+            other = self.rival(run, places, cores[n], start, high)
             kept.append(other or run)
             core = other or cores[n]
             parts.append((start, core[3]))

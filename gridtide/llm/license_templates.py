@@ -2,8 +2,8 @@
 
 Fixed values: public wording of the licences. The Creative Commons notices follow from their elements and versions, the
 headers of the GNU licences from their names, versions and endings. The full texts are files of `license_texts`, with
-their copyright lines; AGPL-3.0 is made from the text of GPL-3.0, and the Creative Commons licences but BY-SA from that
-of BY-SA, by the wording in which they differ. Not among them: full texts of EPL-2.0 and of Creative Commons before 4.0.
+their copyright lines. Not among them: full texts of AGPL-3.0 (which reads as GPL-3.0 where its header is missing), of
+EPL-2.0, and of Creative Commons other than BY-SA 4.0 and CC0.
 """
 
 from __future__ import annotations
@@ -45,7 +45,22 @@ NOTICES = (
     ("EPL-2.0", "Licensed under the Eclipse Public License, version 2.0."),
     ("EPL-1.0", "Licensed under the Eclipse Public License, version 1.0."),
     ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("MIT", "MIT License"),
+    ("MIT", "The MIT License (MIT)"),
+    ("MIT", "of the MIT license"),
+    ("MIT", "This code is MIT licensed."),
+    ("GPL-2.0", "Licensed under the GPL v2."),
+    ("GPL-3.0", "Licensed under the GPL v3."),
+    ("LGPL-2.1", "Licensed under the LGPL v2.1."),
+    ("LGPL-3.0", "Licensed under the LGPL v3."),
+    ("AGPL-3.0", "Licensed under the AGPL v3."),
 )
+# Identifiers that stand in a tag of their own; those of the GNU licences also with an ending.
+TAGGED = (
+    "MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause",
+    "ISC", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "Unlicense", "EPL-1.0", "EPL-2.0", "BSL-1.0", "zlib", "0BSD",
+)
+TAG_ENDINGS = ("", "-only", "-or-later")
 
 CREATIVE_COMMONS = (
     ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
@@ -161,8 +176,7 @@ For more information, please refer to https://unlicense.org
 )
 
 FULL_TEXTS = (
-    "AGPL-3.0", "Apache-2.0", "Artistic-1.0-Perl", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-NC-ND-4.0", "CC-BY-NC-SA-4.0",
-    "CC-BY-ND-4.0", "CC-BY-SA-4.0", "CC0-1.0", "EPL-1.0", "GFDL-1.2", "GFDL-1.3", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0",
+    "Apache-2.0", "Artistic-1.0-Perl", "CC-BY-SA-4.0", "CC0-1.0", "EPL-1.0", "GFDL-1.2", "GFDL-1.3", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0",
     "LGPL-2.1", "LGPL-3.0", "MPL-1.1", "MPL-2.0", "OFL-1.1",
 )
 
@@ -279,7 +293,12 @@ def templates() -> list[tuple[str, str]]:
         for version in CREATIVE_COMMONS_VERSIONS
         for notice in CREATIVE_COMMONS_NOTICES
     ]
-    return [*NOTICES, *commons, *headers(), *SHORT_TEXTS, *TEXTS]
+    tags = [
+        (name, f"SPDX-License-Identifier: {name}{ending}")
+        for name in TAGGED
+        for ending in (TAG_ENDINGS if "GPL" in name else ("",))
+    ]
+    return [*NOTICES, *tags, *commons, *headers(), *SHORT_TEXTS, *TEXTS]
 
 
 def full_texts() -> list[tuple[str, str]]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import brute
 import numpy as np
@@ -411,6 +412,31 @@ def test_license_notices_inside_and_across_lines(text, want):
     assert [p[:3] for p in license_scan.scan(text)] == want
 
 
+@pytest.mark.parametrize("text, want", [
+    ("MIT License", "MIT"), ("It is free under the terms of the MIT license, as is.", "MIT"), ("This code is MIT licensed.", "MIT"),
+    ("// SPDX-License-Identifier: MIT", "MIT"), ("# SPDX-License-Identifier: GPL-2.0-only\nx = 1", "GPL-2.0"),
+    ("SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1"), ("Licensed under the GPL v3", "GPL-3.0"),
+])
+def test_license_tags_and_short_notices(text, want):
+    assert [p[0] for p in license_scan.scan(text)] == [want]
+
+
+def test_license_near_copies_take_time_in_proportion():
+    """A megabyte of copies of a long licence, each with too many words replaced to count, and one that counts."""
+    whole = dict(license_scan.full_texts())["GPL-3.0"]
+
+    def spoilt(share, seed):
+        rng = random.Random(seed)
+        return " ".join(word if rng.random() > share else f"xq{rng.randrange(10**6)}" for word in whole.split(" "))
+
+    assert [p[0] for p in license_scan.scan(spoilt(0.05, 1))] == ["GPL-3.0"]
+    started = time.monotonic()
+    found = license_scan.scan("\n".join([*(spoilt(0.15, n) for n in range(15)), spoilt(0.08, 99), *(spoilt(0.2, n) for n in range(14))]))
+    # Besides the whole copy at most headers, some of which are spared by chance.
+    assert {p[0] for p in found} == {"GPL-3.0"} and [p[2] - p[1] > 300 for p in found].count(True) == 1
+    assert time.monotonic() - started < 60
+
+
 def test_license_on_one_line_after_its_copyright():
     from gridtide.llm.license_templates import TEXTS
 
