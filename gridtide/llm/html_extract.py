@@ -6,13 +6,14 @@ code. Class and id are judged by what they name and what the element holds. A na
 and reader comments so named are left out with long paragraphs as well. Noise beside other words ("main-nav") leaves it
 out if half of its text is links, and only takes points else; a state of the page ("has-sidebar", "comments-open") and the
 id of a section made from its heading name nothing. An element with most of the page's points stays, unless other
-content is named beside it. Every paragraph passes points for its
+content is named beside or around it, or, if it is named as someone else's text, any paragraph stands outside. Every paragraph passes points for its
 length and commas to its ancestors, all to the nearest and less to each next one; an element's points are then
 discounted by the share of its text inside links. The element with the most points is the container, or the nearest
 article or main element around it. Siblings of the container stay by their own text: headings; blocks of prose and
 tables, lists, quotes and preformatted text with few links; others that hold a fifth of the container's prose; loose text of a
 paragraph's length; and what has few links between two that stay. Within articles and main elements the same is done
-for the siblings of every element up to the outermost one, and for its own.
+for the siblings of every element up to the outermost one; beside that one, only headings and other articles stay. Nothing
+outside a main element that holds a paragraph is the container, nor outside an article unless it has `MUCH_MORE` text.
 
 The text of the container is put out block by block, in page order. A block is what stands between the
 borders of block elements, references decoded, white space made one blank and trimmed; a line break is white
@@ -75,9 +76,11 @@ FRAMES = frozenset("column page container wrapper".split())  # of these, words t
 # Prose in elements of these names is still not the page's own.
 FOREIGN = frozenset(
     "ad ads adv advert adverts advertisement adsense adslot cookie cookies consent gdpr popup modal newsletter comment "
-    "comments commentlist disqus respond replies login paywall".split()
+    "comments commentlist discussion disqus respond replies login paywall notice notices".split()
+)
+STATES = frozenset(
+    "has have no not with without is are open opened closed enabled disabled show shows layout free".split()
 )
-STATES = frozenset("has have no not with without is are open opened closed enabled disabled show shows layout".split())
 PLACES = frozenset(
     "left right top bottom first last primary secondary site global mobile desktop inner outer area block box wrap row "
     "list item items section group holder slot unit bar panel".split()
@@ -88,6 +91,8 @@ LONG_TEXT = 140  # characters of a paragraph that makes an element prose
 LEVELS = 6  # ancestors that a paragraph passes points to
 LEAST_TEXT = 25  # characters of a paragraph that passes points
 LEAST_SHARE = 0.2  # of the container's prose, for a sibling with links or a doubtful name to stay
+PARAGRAPH = 4.0  # points of one that is long or has commas
+MUCH_MORE = 6  # times the text of an article that text outside must have to be the main text
 FEW_LINKS = 0.25  # share of a sibling's text
 TEXTS = frozenset("pre blockquote table ul ol dl figure figcaption details".split())  # siblings that stay at any length
 TAG = re.compile(r"<[a-zA-Z/!?]")
@@ -145,7 +150,10 @@ def _hint(tag: str, attributes: list[tuple[str, str | None]], inside_article: bo
         noise = {word for word in words if word in NOISE or maybe and word in MAYBE_NOISE}
         if not noise or not STATES.isdisjoint(words):
             continue
-        if beside_content:
+        if noise & FOREIGN and (words[-1] in noise or not {words[-1]}.isdisjoint(CONTENT)):
+            # "post-comments", "comment-body": one name that says whose text it is. Of several names one may mean the whole.
+            level = HINTED if beside_content and not set(words) & CONTENT and len(words) == 1 else NOT_OWN
+        elif beside_content:
             level = HINTED
         elif all(word in noise or word in MAYBE_NOISE or word in PLACES for word in words):
             level = NOT_OWN if noise & FOREIGN else NAMED
@@ -336,6 +344,14 @@ def _heads_section(node: Node) -> bool:
     return heading is not None and _words(" ".join(_blocks([heading])).lower()) == node.section.split()
 
 
+def _other_text(content: Node, node: Node) -> bool:
+    """Whether an element named as content has text of its own beside a node, or around it."""
+    if content.place[0] < node.place[0] and content.place[1] > node.place[1]:
+        return content.total > node.total
+    apart = content.place[1] < node.place[0] or content.place[0] > node.place[1]
+    return apart and bool(content.total or content.chars and content.tag in WHOLE_ARTICLES)
+
+
 def _leave_out(builder: TreeBuilder) -> None:
     """Marks elements as noise whose names say so and whose text does not speak against it. Follows `_score`."""
     total, until = builder.root.total, 0
@@ -348,10 +364,8 @@ def _leave_out(builder: TreeBuilder) -> None:
         linked = links * node.linked >= node.chars
         out = linked or node.hint == NOT_OWN or node.hint == NAMED and not node.prose
         if out and not linked and 2 * node.total > total:
-            out = any(
-                (c.total or c.chars and c.tag in WHOLE_ARTICLES) and (c.place[1] < node.place[0] or c.place[0] > node.place[1])
-                for c in builder.contents
-            )
+            out = any(_other_text(c, node) for c in builder.contents)
+            out = out or node.hint == NOT_OWN and total - node.total >= PARAGRAPH
             node.hint = node.hint if out else 0
         if out:
             node.noise, until = True, node.place[1]
@@ -396,6 +410,8 @@ def _siblings(container: Node, least: float) -> Iterator[tuple[list[Node | str],
             run = []
         if node is container or node.tag in HEADINGS:
             stays = True
+        elif container.tag in WHOLE_ARTICLES and node.tag not in WHOLE_ARTICLES and not _inside_article(node):
+            stays = False  # what a page sets beside its article is not the article
         elif node.hint or node.linked >= FEW_LINKS * node.chars:
             stays = node.chars > 0 and _own(node) >= least
         else:
@@ -405,6 +421,13 @@ def _siblings(container: Node, least: float) -> Iterator[tuple[list[Node | str],
         yield run, loose()
 
 
+def _inside_article(node: Node) -> bool:
+    while (node := node.parent) is not None:
+        if node.tag in WHOLE_ARTICLES:
+            return True
+    return False
+
+
 def _beside(container: Node, kept: Node, least: float) -> Node:
     """What is kept of the container together with those of its siblings that stay."""
     parts = list(_siblings(container, least))
@@ -420,12 +443,40 @@ def _beside(container: Node, kept: Node, least: float) -> Node:
     return together
 
 
+def _ancestry(node: Node) -> Iterator[Node]:
+    """The node and what it stands in, outwards."""
+    while node is not None:
+        yield node
+        node = node.parent
+
+
+def _in_article(node: Node) -> bool:
+    return any(outer.tag in WHOLE_ARTICLES for outer in _ancestry(node))
+
+
+def _outermost(node: Node) -> Node:
+    return [outer for outer in _ancestry(node) if outer.tag in WHOLE_ARTICLES][-1]
+
+
+def _within(best: Node, own: Node) -> float:
+    """What of the best element's paragraphs is the article's, if that lies inside."""
+    return _outermost(own).total if any(outer is best for outer in _ancestry(own)) else 0.0
+
+
 def _chosen(root: Node) -> Node:
     elements = [node for node, entering in _walk(root) if entering and node.tag in BLOCK]
     body = next((node for node in elements if node.tag == "body"), root)
     best = max(elements, key=_worth, default=None)  # the first of equals, in page order
     if best is None or not _worth(best):
         return body
+    if not _in_article(best):
+        # Marked as the main part, and holding a paragraph: that decides, unless far more stands beside an article.
+        marked = [node for node in elements if node.prose and _in_article(node) and _worth(node)]
+        own = max(marked, key=_worth, default=None)
+        if own is not None and (
+            any(node.tag == "main" for node in _ancestry(own)) or MUCH_MORE * _outermost(own).total >= best.total - _within(best, own)
+        ):
+            best = own
     around, node = [], best
     while node is not None:
         if node.tag in WHOLE_ARTICLES:

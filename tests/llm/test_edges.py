@@ -170,6 +170,46 @@ def test_html_column(spark):
     assert html_extract.with_main_text(pages.limit(0)).count() == 0
 
 
+def own(n):
+    return f"Sentence number {n} of the article, which is long enough, has commas, and goes on for a while to count. " * 2
+
+
+def remark(n):
+    return f"Reader remark {n}, which is also long, has commas, and goes on for quite a while so that it counts a lot. " * 2
+
+
+def remarks(count, wrap="<li><p>{}</p></li>"):
+    return "".join(wrap.format(remark(n)) for n in range(count))
+
+
+# Pages whose main text is the sentences 1 and 2 (or 1), and that have other prose.
+LAYOUTS = {
+    "discussion beside an article": (1, f'<article><h1>T</h1><p>{own(1)}</p></article><section class="user-discussion"><ul>{remarks(5)}</ul></section>'),
+    "discussion beside a post": (2, f'<div class="post"><p>{own(1)}</p><p>{own(2)}</p></div><section class="user-discussion"><ul>{remarks(5)}</ul></section>'),
+    "comment inside an article": (1, f'<article><h1>T</h1><p>{own(1)}</p><div class="comment">{remarks(3, "<p>{}</p>")}</div></article>'),
+    "notice beside an article": (1, f'<div class="site-notice"><p>{remark(1)}</p></div><article><h1>T</h1><p>{own(1)}</p></article>'),
+    "notice beside a story": (2, f'<div class="site-notice"><p>{remark(1)}</p></div><div class="story"><p>{own(1)}</p><p>{own(2)}</p></div>'),
+    "box beside main": (1, f'<main><h1>T</h1><p>{own(1)}</p></main><div class="xyz"><p>{remark(1)}</p><p>{remark(2)}</p></div>'),
+    "comments of a post": (2, f'<div class="entry"><p>{own(1)}</p><p>{own(2)}</p></div><div class="post-comments">{remarks(5, "<div class=comment-body><p>{}</p></div>")}</div>'),
+    "articles in main": (2, f'<main><h1>T</h1><article><p>{own(1)}</p></article><article><p>{own(2)}</p></article></main>'),
+    "a page with a sidebar": (2, f'<div id="content" class="has-sidebar"><p>{own(1)}</p><p>{own(2)}</p></div><div class="sidebar"><p>{remark(1)[:90]}</p></div>'),
+    "open comments": (2, f'<div class="post comments-open"><p>{own(1)}</p><p>{own(2)}</p></div>'),
+    "a section about a discussion": (2, f'<article><h1>T</h1><p>{own(1)}</p><section id="discussion"><h2>Discussion</h2><p>{own(2)}</p></section></article>'),
+    "unnamed text, named comments": (2, f'<div><p>{own(1)}</p><p>{own(2)}</p></div><div id="comments"><ol>{remarks(6)}</ol></div>'),
+    "thread of replies": (1, f'<article><p>{own(1)}</p></article><div class="thread"><h3>3 Replies</h3>{remarks(4, "<div class=reply><p>{}</p></div>")}</div>'),
+    "consent box": (2, f'<div class="wrap"><div class="left"><p>{own(1)}</p><p>{own(2)}</p></div><div class="consent-box"><p>{remark(1)}</p></div></div>'),
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_html_layouts_keep_the_article_and_nothing_else(name):
+    count, body = LAYOUTS[name]
+    for page in (f"<html><body>{body}</body></html>", f'<body><nav>{remark(9)}</nav><div id="page">{body}</div><footer>{remark(8)}</footer></body>'):
+        text = html_extract.main_text(page)
+        assert "remark" not in text, name
+        assert [n for n in (1, 2) if f"Sentence number {n} " in text] == list(range(1, count + 1)), name
+
+
 # -- fingerprints ----------------------------------------------------------------------------------------
 
 
