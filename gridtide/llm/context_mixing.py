@@ -129,8 +129,9 @@ def _spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.cumsum(owner, out=owner), np.cumsum(step, out=step)
 
 
-def hashes(text: np.ndarray) -> list[np.ndarray]:
-    """For each predictor, a hash of the bytes before each place: so many of them, or all of the word so far."""
+def hashes(text: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
+    """For each predictor, a hash of the bytes before each place: so many of them, or all of the word so far. Parts of the
+    array that begin at `begins` know nothing of each other."""
     total, found = np.zeros(len(text), np.uint32), []
     wide = text.astype(np.uint32) + np.uint32(1)
     for back in range(1, max(ORDERS) + 1):
@@ -144,6 +145,7 @@ def hashes(text: np.ndarray) -> list[np.ndarray]:
     first = np.zeros(len(text), np.intp)
     blank = np.flatnonzero(BLANK[text[:-1]]) + 1
     first[blank] = blank
+    first[begins] = begins
     np.maximum.accumulate(first, out=first)
     found.append((sums - sums.take(first)) * _powers(len(text), True).take(first))
     return found
@@ -245,7 +247,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
         held: list[pa.Table] = []
         for batch in batches:
             for parts in _parts(_bytes(batch.column(0))):
-                symbols += np.bincount(_joined(parts)[2], minlength=len(symbols))
+                symbols += np.bincount(_joined(parts)[3], minlength=len(symbols))
             for _, piece in _pieces(_bytes(batch.column(0))):
                 _, tokens = _tokens(piece)
                 n = np.bincount(tokens.indices.to_numpy(zero_copy_only=False), minlength=len(tokens.dictionary))
@@ -323,16 +325,16 @@ def _parts(texts: Iterator[bytes]) -> Iterator[list[tuple[np.ndarray, bool]]]:
 
 
 def _observe(parts: list[tuple[np.ndarray, bool]], code: Code, tables: list[np.ndarray]) -> None:
-    text, coded, symbols = _joined(parts)
+    text, begins, coded, symbols = _joined(parts)
     owner, visit = code.visited(symbols)
     salt, ends = code.salt.take(visit), code.ends.take(visit)
-    for table, hashed in zip(tables, hashes(text)):
+    for table, hashed in zip(tables, hashes(text, begins)):
         # One of the table's own type: another would be added ten times slower.
         np.add.at(table, rows_of(hashed.take(coded).take(owner), salt) + ends, table.dtype.type(1))
 
 
-def _joined(parts: list[tuple[np.ndarray, bool]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Parts of framed texts in one array, the places in it of what is to be coded, and byte before * SYMBOLS + symbol."""
+def _joined(parts: list[tuple[np.ndarray, bool]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Parts of framed texts in one array, where each begins, the places of what is to be coded, and byte before * SYMBOLS + symbol."""
     text = np.concatenate([part for part, _ in parts])
     sizes = np.array([len(part) for part, _ in parts])
     stops = np.cumsum(sizes)
@@ -343,7 +345,7 @@ def _joined(parts: list[tuple[np.ndarray, bool]]) -> tuple[np.ndarray, np.ndarra
     ended = np.array([last for _, last in parts])
     symbols[(stops - BACK * np.arange(1, len(parts) + 1) - 1)[ended]] = END
     symbols += text.take(coded - 1).astype(np.intp) * SYMBOLS
-    return text, coded, symbols
+    return text, stops - sizes, coded, symbols
 
 
 def log_odds(counts: np.ndarray) -> np.ndarray:
@@ -407,13 +409,13 @@ class Mixer:
     def _chunk(self, parts, lanes, weights, moved, shift, seen) -> list[float]:
         """Loss of each part, with what its lane has learned so far; the lanes learn from it afterwards."""
         code = self.code
-        text, coded, symbols = _joined(parts)
+        text, begins, coded, symbols = _joined(parts)
         owner, visit = code.visited(symbols)
         salt = code.salt.take(visit)
         of_visit, decision = code.decided(visit)
         cell, sign = code.cell.take(decision), code.sign.take(decision)
         inputs, gate = [], code.depth.take(decision)
-        for table, hashed in zip(self.tables, hashes(text)):
+        for table, hashed in zip(self.tables, hashes(text, begins)):
             spot = rows_of(hashed.take(coded).take(owner), salt).take(of_visit)
             spot += cell
             odds = table.take(spot)
