@@ -12,7 +12,7 @@ import gridtide
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.sources.scratch import fresh_dir
+from gridtide.sources.scratch import delete, fresh_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -67,4 +67,12 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_dir(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    held = spark.read.schema(df.schema).parquet(path)
+    held.durable_path = path
+    return held
+
+
+def release(*frames: DataFrame) -> None:
+    """Deletes durable tables that nothing to come reads."""
+    for frame in frames:
+        delete(frame.sparkSession, frame.durable_path)

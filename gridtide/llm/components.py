@@ -2,7 +2,7 @@
 
 Each round hangs every larger neighbour of a node on the smallest node it knows, then does the same for
 the smaller ones. Rounds go on until the links are stars: a number of rounds logarithmic in the size of
-the largest component. Each round's links and minima are tables in the shared folder: a lost
+the largest component. Each round's links and minima are tables in the shared folder, deleted once the next round's are written: a lost
 executor costs a task, not the lineage, and joins of plain tables let Spark split the rows of a hub.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.llm.common import durable
+from gridtide.llm.common import durable, release
 
 
 def _smallest(links: DataFrame) -> DataFrame:
@@ -35,8 +35,9 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     before = _state(stars)
     while before[0]:
         both = stars.union(stars.select("near", "far"))
+        lows = _smallest(both)
         large = (
-            both.where("near > far").join(_smallest(both), "far")
+            both.where("near > far").join(lows, "far")
             .select(F.col("near").alias("far"), F.col("low").alias("near")).distinct()
         )
         large = durable(large, "large-stars")
@@ -45,7 +46,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
             large.join(minima, "far").where("near <> low").select(F.col("near").alias("far"), F.col("low").alias("near"))
             .union(minima.where("far <> low"))
         )
-        stars = durable(small.distinct(), "stars")
+        former, stars = stars, durable(small.distinct(), "stars")
+        release(former, lows, large, minima)
         after = _state(stars)
         if tuple(after) == tuple(before):
             break

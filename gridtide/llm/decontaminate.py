@@ -7,8 +7,9 @@ benchmark window, and the lookup compares the window's whole text, so a hit is v
 found. Nothing of a text is shuffled; only hits leave the row, to be matched with their items.
 
 The set travels with the plan and is checked against `SET_LIMIT`. A larger benchmark takes the
-other way: windows leave the row after the same word test and meet the benchmark in an ordinary
-join on their text, which Spark broadcasts or shuffles by size.
+other way: the same word test is made on the row with the benchmark's first and last words (as long as these are no more than
+`SET_LIMIT`), the windows that pass leave it, and meet the benchmark in an ordinary join on their text, which Spark broadcasts
+or shuffles by size.
 
 Defined cases. Null or wordless text has no words and no hits; a null item id is left out of the items,
 yet its windows hit. Items that share a window all count. Rows that agree in id and text are one document
@@ -51,16 +52,18 @@ def benchmark_windows(benchmark: DataFrame, width: int, id_col: str, text_col: s
 
 def _members(rows, column: str) -> str:
     """A literal set; normalised words hold no quote, blank or backslash, windows only single blanks."""
-    return ", ".join(sorted({f"'{row[column]}'" for row in rows}))
+    values = {v for row in rows for v in (row[column] if isinstance(row[column], list) else [row[column]])}
+    return ", ".join(f"'{value}'" for value in sorted(values))
 
 
 def _hits(size: int, rows, grams_too: bool) -> str:
-    """SQL of the windows of one size that may hit (or do, with `grams_too`): array<struct<at, size, gram>>."""
+    """SQL of the windows of one size that may hit (or do, with `grams_too`): array<struct<at, size, gram>>. Without rows,
+    any may."""
     gram = f"array_join(slice(w, i + 1, {size}), ' ')"
     found = f" AND {gram} IN ({_members(rows, 'gram')})" if grams_too else ""
+    borders = f"w[i] IN ({_members(rows, 'head')}) AND w[i + {size - 1}] IN ({_members(rows, 'tail')})" if rows else "true"
     return (
-        f"transform(filter(sequence(0, size(w) - {size}), i -> w[i] IN ({_members(rows, 'head')}) "
-        f"AND w[i + {size - 1}] IN ({_members(rows, 'tail')}){found}), "
+        f"transform(filter(sequence(0, size(w) - {size}), i -> {borders}{found}), "
         f"i -> named_struct('at', i, 'size', {size}, 'gram', {gram}))"
     )
 
@@ -72,7 +75,7 @@ aggregate(array_sort(transform(hits, h -> struct(h.at AS at, h.at + h.size AS st
   (a, h) -> named_struct('n', a.n + greatest(h.stop - greatest(h.at, a.last), 0),
                          'last', greatest(a.last, h.stop)),
   a -> a.n)"""
-SPANS = "transform(hits, h -> struct(h.at AS at, h.size AS size))"
+SPANS = "array_sort(transform(hits, h -> struct(h.at AS at, h.size AS size)))"
 
 
 def contamination(
@@ -86,16 +89,20 @@ def contamination(
     one word in `one_in` is.
     """
     grams = durable(benchmark_windows(benchmark, width, item_col, item_text_col), "windows")
-    total = grams.agg(F.count_distinct("gram")).first()[0]
-    inline = total <= set_limit
-    # At most `set_limit` rows come to the driver: the set itself, or else the sizes with their border words.
-    rows = grams.select("size", "head", "tail", *["gram"] * inline).distinct()
+    total, heads, tails = grams.agg(*[F.count_distinct(c) for c in ("gram", "head", "tail")]).first()
+    inline, tested = total <= set_limit, max(heads, tails) <= set_limit
+    # What comes to the driver, and travels with the plan, is at most `set_limit` windows, first words and last words.
+    known = []
+    if inline:
+        known = grams.select("size", "head", "tail", "gram").distinct().collect()
+    elif tested:
+        borders = grams.groupBy("size").agg(F.collect_set("head").alias("head"), F.collect_set("tail").alias("tail"))
+        known = borders.collect()
     sizes = [r["size"] for r in grams.select("size").distinct().collect()]
     scan = docs.select(F.col(id_col), text_key(F.col(text_col)).alias("__text"), words(F.col(text_col)).alias("w"))
     scan = scan.withColumn("n_words", F.size("w").cast("long"))
     empty = "cast(array() AS array<struct<at: int, size: int, gram: string>>)"
     if inline:
-        known = rows.collect()
         found = [
             f"CASE WHEN size(w) >= {n} THEN {_hits(n, [r for r in known if r['size'] == n], True)} ELSE {empty} END"
             for n in sorted(sizes)
@@ -107,23 +114,22 @@ def contamination(
             F.explode_outer(F.expr("array_distinct(hits.gram)")).alias("gram"),
         )
         owners = grams.groupBy("gram").agg(F.collect_set("item").alias("of"))
-        named = counted.join(F.broadcast(owners), "gram", "left")
+        named = counted.join(owners, "gram", "left")
         result = named.groupBy(id_col, "__text", "n_words", "n_hit", "spans").agg(
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("of")))).alias("items")
         )
     else:
-        spans = " , ".join(
-            f"CASE WHEN size(w) >= {n} THEN transform(sequence(0, size(w) - {n}), "
-            f"i -> named_struct('at', i, 'size', {n}, 'gram', array_join(slice(w, i + 1, {n}), ' '))) ELSE {empty} END"
+        found = [
+            f"CASE WHEN size(w) >= {n} THEN {_hits(n, [r for r in known if r['size'] == n], False)} ELSE {empty} END"
             for n in sorted(sizes)
-        )
-        windows = scan.select(id_col, "__text", "n_words", F.inline_outer(F.expr(f"concat({spans})")))
+        ]
+        windows = scan.select(id_col, "__text", "n_words", F.inline_outer(F.expr(f"concat({', '.join(found)})")))
         owners = grams.groupBy("gram").agg(F.collect_set("item").alias("of"))
         named = windows.join(owners, "gram", "left")
         result = (
             named.groupBy(id_col, "__text", "n_words")
             .agg(
-                F.collect_set(F.when(F.col("of").isNotNull(), F.struct("at", "size"))).alias("hits"),
+                F.array_sort(F.collect_set(F.when(F.col("of").isNotNull(), F.struct("at", "size")))).alias("hits"),
                 F.array_sort(F.array_distinct(F.flatten(F.collect_set("of")))).alias("items"),
             )
             .withColumn("n_hit", F.expr(COVERED))
