@@ -1,7 +1,9 @@
 """Document fingerprints as Merkle trees, in DataFrame functions only.
 
-A text is cut into paragraphs (lines), and these into clauses (each up to punctuation, signs that follow it and a blank);
-cuts lose no character. Clauses are hashed; a paragraph's hash is that of its clause hashes, a
+A text is cut into paragraphs (lines), and these into clauses (each up to punctuation, signs that follow it and a blank, or
+up to a full-width mark). A clause of more than `LONG` characters is cut by its content, after each word, or each sign of
+scripts written without blanks, whose hash says so, on average every eighth; so text without punctuation has clauses too, and an edit
+moves no border but its own. Cuts lose no character. Clauses are hashed; a paragraph's hash is that of its clause hashes, a
 section's that of its paragraph hashes, and the root that of the section hashes. A section ends after a
 paragraph whose hash says so, on average every fourth, so an edit moves no border beyond its own
 section. Equal texts have equal trees; where roots differ, equal section and paragraph hashes
@@ -30,7 +32,13 @@ from gridtide.llm.common import durable, text_key, whole
 
 # Java patterns; what they match has no width, so the pieces joined give the text.
 PARAGRAPH_END = r"(?<=\n)(?!\z)"
-CLAUSE_END = r"(?<=[.,;:!?][^\p{L}\p{N}\s]{0,3}[ \t])(?=.)"
+MARKS = "。，、；：！？．"
+CLAUSE_END = rf"(?<=[.,;:!?][^\p{{L}}\p{{N}}\s]{{0,3}}[ \t])(?=.)|(?<=[{MARKS}])(?=.)"
+LONG = 120  # characters of a clause that is cut by its content
+# A sign of a script without blanks; a word of others with the blanks after it; blanks.
+SIGNS = r"\x{3040}-\x{30FF}\x{3400}-\x{9FFF}"
+PIECE = rf"[{SIGNS}]|[^ \t\r\n{SIGNS}]+[ \t\r\n]*|[ \t\r\n]+"
+BORDER = "\x01"  # marks cuts while they are made; a clause that holds it is not cut
 LEAF, BRANCH = 8, 16  # hex digits kept of a clause's hash and of a paragraph's or section's
 
 
@@ -38,6 +46,17 @@ def _branch(value: Column) -> Column:
     return F.left(F.md5(value), F.lit(BRANCH))
 
 
+def _by_content(clause: Column) -> Column:
+    """A clause as it is, or a long one in pieces."""
+    marked = F.transform(
+        F.regexp_extract_all(clause, F.lit(PIECE), F.lit(0)),
+        lambda piece: F.when(F.left(F.md5(piece), F.lit(1)) < "2", F.concat(piece, F.lit(BORDER))).otherwise(piece),
+    )
+    pieces = F.filter(F.split(F.array_join(marked, ""), BORDER, -1), lambda piece: piece != "")
+    long = (F.length(clause) > LONG) & (F.instr(clause, BORDER) == 0)
+    return F.when(long, pieces).otherwise(F.array(clause))
+
+
 def with_fingerprint(df: DataFrame, text_col: str, name: str) -> DataFrame:
     """`df` with the fingerprint of a text column under `name`."""
     clauses, paragraphs, sections = (f"__{name}_{level}" for level in ("clauses", "paragraphs", "sections"))
@@ -51,7 +70,9 @@ def with_fingerprint(df: DataFrame, text_col: str, name: str) -> DataFrame:
 
     cut = F.transform(
         F.split(whole(F.col(text_col)), PARAGRAPH_END, -1),
-        lambda paragraph: F.transform(F.split(paragraph, CLAUSE_END, -1), lambda clause: F.md5(clause)),
+        lambda paragraph: F.transform(
+            F.flatten(F.transform(F.split(paragraph, CLAUSE_END, -1), _by_content)), lambda clause: F.md5(clause)
+        ),
     )
     leaves = outline(
         F.col(clauses), lambda row: F.array_join(F.transform(row, lambda leaf: F.left(leaf, F.lit(LEAF))), ",")

@@ -131,6 +131,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+BY_CONTENT = f"""CASE WHEN length(y) > {merkle.LONG} THEN list_filter(string_split(array_to_string(list_transform(
+  regexp_extract_all(y, '{merkle.PIECE}'), lambda t: CASE WHEN left(md5(t), 1) < '2' THEN t || chr(1) ELSE t END), ''), chr(1)),
+  lambda z: z <> '') ELSE [y] END"""
+
+
 def merkle_sql(source: str) -> str:
     """Rows of (doc_id, text) to rows of (doc_id, print), in steps that read like the tree."""
     border = "CASE WHEN n = 1 THEN '' WHEN left(p[n - 1], 1) < '4' THEN '|' ELSE ';' END"
@@ -145,9 +150,11 @@ def merkle_sql(source: str) -> str:
         FROM (
           SELECT doc_id, c, list_transform(c, lambda l: left(md5(array_to_string(l, ',')), 16)) AS p FROM (
             SELECT doc_id, list_transform(string_split(rtrim(replace(text, chr(10), chr(10) || chr(2)), chr(2)), chr(2)),
-              lambda q: list_transform(string_split(replace(
-                rtrim(regexp_replace(q, '([.,;:!?][^\\p{{L}}\\p{{N}}\\s]{{0,3}}[ \\t])', '\\1' || chr(1), 'g'), chr(1)), chr(1) || chr(10), chr(10)),
+              lambda q: list_transform(flatten(list_transform(string_split(replace(
+                rtrim(regexp_replace(regexp_replace(q, '([.,;:!?][^\\p{{L}}\\p{{N}}\\s]{{0,3}}[ \\t])', '\\1' || chr(1), 'g'),
+                  '([{merkle.MARKS}])', '\\1' || chr(1), 'g'), chr(1)), chr(1) || chr(10), chr(10)),
                 chr(1)),
+                lambda y: {BY_CONTENT})),
                 lambda x: md5(x))) AS c
             FROM {source}))))"""
 

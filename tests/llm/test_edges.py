@@ -246,6 +246,20 @@ def test_equal_texts_have_equal_trees_and_edits_are_located(spark):
     assert one.places == [17]
 
 
+def test_likeness_of_texts_without_marks_or_blanks(spark):
+    """Three quarters of a text unchanged show, also in one clause of words, of signs, or with full-width marks."""
+    rng = random.Random(8)
+    signs = [chr(0x4E00 + 7 * n) for n in range(400)]
+    words = " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 8))) for _ in range(400))
+    texts = [words, "".join(rng.choices(signs, k=600)), "".join(rng.choices([*signs[:40], "。", "，"], k=600)), words.replace(" ", "\x01 ")]
+    rows = [(n, text, text[: -(len(text) // 4)] + text[-(len(text) // 4) :][::-1]) for n, text in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "n int, a string, b string")
+    frame = merkle.with_fingerprint(merkle.with_fingerprint(frame, "a", "of_a"), "b", "of_b")
+    near = [r[0] for r in frame.orderBy("n").select(merkle.likeness(F.col("of_a"), F.col("of_b"))).collect()]
+    assert all(0.6 < x < 0.9 for x in near[:3])
+    assert near[3] == 0  # holds the sign that marks cuts, so it stays one clause
+
+
 # -- near-duplicates --------------------------------------------------------------------------------------
 
 
