@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from gridtide.llm.common import durable, ship, whole
 
-ORDERS = (3, 4, 6)
+ORDERS = (4, 6)
 ROW_BITS, CELLS = 18, 16
 BLOCK_ROWS = 1 << 12
 PREDICTORS = len(ORDERS) + 1
@@ -47,9 +47,9 @@ HEAD, HEAD_BYTES = 1 << 16, 64
 END, SYMBOLS = 256, 257
 PRIOR = 0.4  # added to the counts of both sides of a decision
 ODDS = 16  # log odds are stored in sixteenths, up to about 8
-START, RATE, REFINED = 0.3, 0.03, 24
-LANES, CHUNK = 64, 1024
-PIECE, HELD = 1 << 20, 1 << 19
+START, RATE, REFINED = 0.35, 0.03, 24
+LANES, CHUNK = 32, 1024
+PIECE, HELD = 1 << 18, 1 << 18
 BACK = 24  # bytes that a chunk knows of what is before it
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 # The white space of the contract: [\x20\x09-\x0D].
@@ -59,6 +59,12 @@ MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0xD3
 SPREAD, SALT = np.uint32(0x2C1B3C6D), np.uint32(0x297A2D39)
 
 
+# Of a choice: its cell, what the bit adds to the log odds' side, and its depth in the row.
+CELL_OF = np.array([n % 16 for n in range(32)], np.intp)
+SIGN_OF = np.array([1 if n >= 16 else -1 for n in range(32)], np.float32)
+DEPTH_OF = np.array([(n % 16 + 1).bit_length() - 1 for n in range(32)], np.int8)
+
+
 def held_out(id_: Column) -> Column:
     """Rows that nothing is learned from: crc32 of the id as text leaves 1 on division by 5."""
     return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % 5 == 1, F.lit(False))
@@ -72,7 +78,8 @@ class Code:
         overall = _prefix_code(counts.sum(0).tolist())
         codes = [_prefix_code(row.tolist()) if row.any() else overall for row in counts]
         cut = [[bits[at : at + 4] for at in range(0, len(bits), 4)] for code in codes for bits in code]
-        # By byte and symbol: rows visited, decisions; by visit: the row's salt, the cell it ends in, decisions; by decision: cell, bit.
+        # By byte and symbol: rows visited; by visit: the row's salt, the cell it ends in, decisions; by decision: its cell, and
+        # 16 more for a 1.
         self.visits = np.array([len(parts) for parts in cut], np.intp)
         self.first_visit = np.concatenate([[0], np.cumsum(self.visits)[:-1]])
         rows: dict[str, int] = {}
@@ -84,9 +91,7 @@ class Code:
         self.first = np.concatenate([[0], np.cumsum(self.steps)[:-1]])
         # Within a row: the decisions on the way to each of its ends.
         inside = [(part[:n], part[n]) for part in chain(*cut) for n in range(len(part))]
-        self.cell = np.array([int("1" + known, 2) - 1 for known, _ in inside], np.intp)
-        self.depth = np.array([len(known) for known, _ in inside], np.int8)
-        self.sign = np.array([1 if bit == "1" else -1 for _, bit in inside], np.float32)
+        self.choice = np.array([int("1" + known, 2) - 1 + 16 * (bit == "1") for known, bit in inside], np.uint8)
 
     def visited(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of each visit to a row: whose symbol's it is, and its number in the code."""
@@ -240,7 +245,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.binary()), none, batch.column(1)], schema=schema)
 
     def summed(tables: list[pa.Table]) -> pa.Table:
-        return pa.concat_tables(tables).group_by("token").aggregate([("n", "sum")]).rename_columns(names)
+        return pa.concat_tables(tables).group_by("token", use_threads=False).aggregate([("n", "sum")]).rename_columns(names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = np.zeros(256 * SYMBOLS, np.int64)
@@ -256,6 +261,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
                     held = [summed(held)]
                     if len(held[0]) >= HELD // 2:
                         yield from out(held.pop())
+            pa.default_memory_pool().release_unused()
         if held:
             yield from out(summed(held))
         known = np.flatnonzero(symbols)
@@ -276,6 +282,7 @@ def context_tables(docs: DataFrame, code: Code) -> DataFrame:
         for batch in batches:
             for parts in _parts(_bytes(batch.column(0))):
                 _observe(parts, code, tables)
+            pa.default_memory_pool().release_unused()
         pack = zstandard.ZstdCompressor(level=1)
         for predictor, table in enumerate(tables):
             blocks = table.reshape(-1, BLOCK_ROWS * CELLS)
@@ -413,8 +420,9 @@ class Mixer:
         owner, visit = code.visited(symbols)
         salt = code.salt.take(visit)
         of_visit, decision = code.decided(visit)
-        cell, sign = code.cell.take(decision), code.sign.take(decision)
-        inputs, gate = [], code.depth.take(decision)
+        choice = code.choice.take(decision)
+        cell, sign = CELL_OF.take(choice), SIGN_OF.take(choice)
+        inputs, gate = [], DEPTH_OF.take(choice)
         for table, hashed in zip(self.tables, hashes(text, begins)):
             spot = rows_of(hashed.take(coded).take(owner), salt).take(of_visit)
             spot += cell
@@ -437,17 +445,15 @@ class Mixer:
         raised = np.exp(np.minimum(refined * -sign, 60))
         loss = np.log(1 + raised)
         total = np.add.reduceat(loss, until - counts, dtype=np.float64)
-        # How far each decision was missed, by the mixer and after refinement.
+        # How far each decision was missed: what both the mixer and the corrections learn from.
         missed = sign * (raised / (1 + raised))
         size = LANES * REFINED
         error = np.bincount(bucket, missed, size).reshape(shift.shape)
         spread = np.abs(missed)
         seen += np.bincount(bucket, spread * (1 - spread), size).reshape(shift.shape)
         shift += error / (seen + 4)
-        before = np.exp(np.minimum(mixed * -sign, 60))
-        wrong = sign * (before / (1 + before))
         for n, x in enumerate(inputs):
-            slope = np.bincount(place, wrong * x, LANES * self.GATES).reshape(moved[n].shape) / ODDS
+            slope = np.bincount(place, missed * x, LANES * self.GATES).reshape(moved[n].shape) / ODDS
             moved[n] += slope * slope
             weights[n] += (RATE / ODDS) * slope / np.sqrt(moved[n] + 1e-6)
         return total.tolist()
@@ -525,6 +531,7 @@ def _scored(texts: DataFrame, model: Model) -> DataFrame:
                 ],
                 ["id", "held_out", "n_bytes", "n_tokens", "head_known", "head_log", "score", "rest"],
             )
+            pa.default_memory_pool().release_unused()
 
     return texts.mapInArrow(score, SCORED)
 
