@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridtide.bindings.tables import (
@@ -281,7 +281,12 @@ def check_completeness(spark, sf_dir):
 
 @query
 def quality_batch(spark, sf_dir):
-    return _check(quality.batch_checks(batch(spark, sf_dir)))
+    """As a cycle does it: the write of the batch observes the facts, and only keys and examples are read from it."""
+    rows, noted = batch(spark, sf_dir), Observation()
+    folder = scratch.fresh_dir(spark, "batch")
+    quality.observe_batch(rows, noted).write.parquet(folder)
+    facts = quality.observed_facts(rows, noted)
+    return _check(quality.batch_checks(spark.read.schema(rows.schema).parquet(folder), facts=facts))
 
 
 @query

@@ -78,8 +78,6 @@ def daily(raw: DataFrame, layout: Layout = GRID, zone: str = clock.PARIS) -> Dat
     return daily_of(daily_state(raw, layout, zone))
 
 
-#: The name under which a store keeps the state of the daily mart.
-DAILY_STATE = "daily_state"
 LOST, GAINED = "_lost_peak", "_gained_peak"
 
 

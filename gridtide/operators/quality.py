@@ -2,7 +2,7 @@
 
 A check is one row of ``CHECK``. ``detail`` is for people; ``counted``,
 ``total`` and ``measure`` carry the same facts as numbers. All batch checks
-except key uniqueness come out of one map-side-combined aggregate.
+except key uniqueness come out of one map-side-combined aggregate, which the write of the batch can observe.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridtide.functions import clock, text
@@ -68,11 +68,20 @@ def _facts(rows: DataFrame, *facts: str) -> DataFrame:
 # -- contract_coercion and window_not_empty ---------------------------------------
 
 
-def _coercion_facts(reject: str, seq: str) -> list[str]:
+# Facts are plain aggregates without FILTER, so that a write can observe them on its way.
+
+
+def _first(value: str, seq: str, kept: str) -> str:
+    """The value that arrived first among the rows kept."""
+    return f"min(CASE WHEN {kept} THEN struct({seq} AS s, {value} AS v) END).v"
+
+
+def _coercion_facts(reject: str, seq: str, every: str = "true") -> list[str]:
+    refused = f"({every} AND {reject} IS NOT NULL)"
     return [
-        "count(1) AS fetched",
-        f"count({reject}) AS rejected",
-        f"min_by({reject}, {seq}) FILTER (WHERE {reject} IS NOT NULL) AS first_reject",
+        f"count_if({every}) AS fetched",
+        f"count_if({refused}) AS rejected",
+        f"{_first(reject, seq, refused)} AS first_reject",
     ]
 
 
@@ -151,8 +160,8 @@ def off_grid(wall: str) -> str:
 
 
 def _alignment_facts(wall: str, seq: str, kept: str) -> list[str]:
-    bad = f"FILTER (WHERE {kept} AND {off_grid(wall)})"
-    return [f"count(1) {bad} AS off_grid", f"min_by({wall}, {seq}) {bad} AS first_off_grid"]
+    bad = f"({kept} AND {off_grid(wall)})"
+    return [f"count_if({bad}) AS off_grid", f"{_first(wall, seq, bad)} AS first_off_grid"]
 
 
 def _aligned() -> str:
@@ -187,7 +196,7 @@ def range_violations(rows: DataFrame, fields: list[Field]) -> DataFrame:
 
 def _range_facts(fields: list[Field], kept: str) -> list[str]:
     per_row = " + ".join(f"if({outside(f)}, 1, 0)" for f in fields) or "0"
-    return [f"coalesce(sum({per_row}) FILTER (WHERE {kept}), 0) AS out_of_range"]
+    return [f"coalesce(sum(CASE WHEN {kept} THEN {per_row} END), 0) AS out_of_range"]
 
 
 def range_examples(
@@ -255,12 +264,11 @@ def balance_rows(rows: DataFrame, layout: Layout = GRID, tolerance_pct: float =
 
 
 def _balance_facts(layout: Layout, tolerance_pct: float, kept: str) -> list[str]:
-    deviation = balance_deviation(layout)
-    seen = f"FILTER (WHERE {kept})"
+    deviation = f"CASE WHEN {kept} THEN {balance_deviation(layout)} END"
     return [
-        f"count({deviation}) {seen} AS checked",
-        f"count_if({deviation} > {float(tolerance_pct)}D) {seen} AS beyond",
-        f"greatest(max({deviation}) {seen}, 0.0D) AS worst",
+        f"count({deviation}) AS checked",
+        f"count_if({deviation} > {float(tolerance_pct)}D) AS beyond",
+        f"greatest(max({deviation}), 0.0D) AS worst",
     ]
 
 
@@ -355,29 +363,56 @@ def one_row(parts: list[DataFrame]) -> DataFrame:
     return _facts(stacked, *[f"max({name}) AS {name}" for name in stacked.columns])
 
 
+def batch_facts(
+    rows: DataFrame,
+    layout: Layout = GRID,
+    tolerance_pct: float = 5.0,
+    reject: str = "reject",
+    seq: str = "seq",
+    every: str = "true",
+) -> list[str]:
+    """What the batch checks need of all rows but keys and examples, as aggregates over the rows for which ``every`` holds."""
+    ok = f"({every} AND {reject} IS NULL)"
+    seen = f"({ok} AND {observed(layout.consumption)})"
+    wall = clock.utc_wall(layout.key, clock.type_of(rows, layout.key))
+    return [
+        *_coercion_facts(reject, seq, every),
+        *_alignment_facts(wall, seq, ok),
+        *_range_facts(layout.bounded, seen),
+        *_balance_facts(layout, tolerance_pct, seen),
+    ]
+
+
+def observe_batch(rows: DataFrame, observation: Observation, **options) -> DataFrame:
+    """``rows``, with the facts of :func:`batch_facts` noted by the first action on them."""
+    return rows.observe(observation, *[F.expr(fact) for fact in batch_facts(rows, **options)])
+
+
+def observed_facts(rows: DataFrame, observation: Observation, **options) -> DataFrame:
+    """The facts that :func:`observe_batch` noted, as the one row that a second read would give."""
+    schema = _facts(rows, *batch_facts(rows, **options)).schema
+    noted = observation.get
+    return rows.sparkSession.createDataFrame([tuple(noted[name] for name in schema.names)], schema)
+
+
 def batch_checks(
     rows: DataFrame,
     layout: Layout = GRID,
     tolerance_pct: float = 5.0,
     reject: str = "reject",
     seq: str = "seq",
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """The six checks a batch must face before anything is loaded.
 
-    ``rows`` holds accepted and rejected records alike, as the contract leaves them.
-    Pass a written batch: it is read three times (facts, keys, examples), each time
+    ``rows`` holds accepted and rejected records alike, as the contract leaves them. Pass a written batch: it is read
+    for keys and examples, and, unless the write has observed them (:func:`observed_facts`), for ``facts``, each time
     with only the columns that are needed.
     """
     ok = f"{reject} IS NULL"
     seen = f"({ok} AND {observed(layout.consumption)})"
-    wall = clock.utc_wall(layout.key, clock.type_of(rows, layout.key))
-    facts = _facts(
-        rows,
-        *_coercion_facts(reject, seq),
-        *_alignment_facts(wall, seq, ok),
-        *_range_facts(layout.bounded, seen),
-        *_balance_facts(layout, tolerance_pct, seen),
-    )
+    if facts is None:
+        facts = _facts(rows, *batch_facts(rows, layout, tolerance_pct, reject, seq))
     examples = range_examples(rows.where(seen), layout.bounded, layout.key, seq)
     summary = one_row([facts, _key_facts(rows.where(ok), layout.unique), _example_facts(examples)])
     return _emit(

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from gridtide.functions import clock, coerce
@@ -197,8 +197,12 @@ def _load_batch(
     spark, layout = store.spark, store.layout
     keep = ("problem",) if "problem" in records.columns else ()
     coerced = apply_contract(records, layout.fields, layout.key, keep=keep, more_keys=layout.more_keys)
-    # Payloads are parsed once; the gate and the load both read the written columns.
-    coerced.write.mode("overwrite").parquet(stage)
+    # Payloads are parsed once; the gate and the load both read the written columns, and the write itself tells the gate
+    # what it needs of every row.
+    noted = Observation()
+    asked = {"layout": layout, "tolerance_pct": params.balance_tolerance_pct, "every": "problem IS NULL" if keep else "true"}
+    quality.observe_batch(coerced, noted, **asked).write.mode("overwrite").parquet(stage)
+    facts = quality.observed_facts(coerced, noted, **asked)
     batch = spark.read.schema(coerced.schema).parquet(stage)
     refused, error = None, ""
     if keep:
@@ -213,7 +217,7 @@ def _load_batch(
             error = f"refused landed file(s), first: {problem}"
         batch = batch.where("problem IS NULL").drop("problem")
 
-    checks = quality.batch_checks(batch, layout, params.balance_tolerance_pct)
+    checks = quality.batch_checks(batch, layout, params.balance_tolerance_pct, facts=facts)
     report = quality.report(checks).first()
     by_name = {check["name"]: check for check in report["checks"]}
     counts = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import inspect
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime, timedelta, timezone
 from functools import partial
 
@@ -56,8 +56,8 @@ class Store:
     def recover(self, grace: timedelta = GRACE) -> None:
         """Finish what a lost driver had written whole, and drop versions that no reader can still need."""
         self.table.recover(grace)
-        for name in [*[script.name for script in self.marts], marts.DAILY_STATE]:
-            held = self._published(name)
+        for script in self.marts:
+            held = self._published(script.name)
             held.recover()
             held.tidy(grace)
 
@@ -100,8 +100,10 @@ class Store:
     # -- marts ------------------------------------------------------------------------------
 
     def _published(self, name: str) -> Published:
-        by_month = name == marts.DAILY_STATE or any(s.name == name and s.build is marts.daily for s in self.marts)
-        return Published(self.spark, f"{self.base}/marts/{name}", _BY_MONTH if by_month else None)
+        return Published(self.spark, f"{self.base}/marts/{name}", _BY_MONTH if self._is_daily(name) else None)
+
+    def _is_daily(self, name: str) -> bool:
+        return any(script.name == name and script.build is marts.daily for script in self.marts)
 
     def mart(self, name: str) -> DataFrame:
         """A stored mart in presentation order."""
@@ -109,8 +111,9 @@ class Store:
         version = held.version()
         if not version.number:
             raise MartNotBuilt(f"{name} is not built yet: run a cycle first")
-        schema = T.StructType.fromJson(json.loads(version.facts["schema"]))
-        return marts.in_order(name, held.read(schema, version).drop(MONTH))
+        rows = held.read(T.StructType.fromJson(json.loads(version.facts["schema"])), version).drop(MONTH)
+        # Of the daily mart its state is stored: the sums that loads add to and take from.
+        return marts.in_order(name, marts.daily_of(rows) if self._is_daily(name) else rows)
 
     def definition(self) -> str:
         """A digest of what the stored daily state follows from besides the rows."""
@@ -120,7 +123,8 @@ class Store:
     def dirty(self) -> list[date]:
         """Dates that loads have changed since the daily mart was last brought up to date."""
         now = self.table.published.version()
-        through = self._published(marts.DAILY_STATE).version().facts.get("through", 0)
+        daily = [script.name for script in self.marts if script.build is marts.daily]
+        through = self._published(daily[0]).version().facts.get("through", 0) if daily else now.number
         if through == now.number:
             return []
         try:
@@ -143,54 +147,41 @@ class Store:
             for script, result in zip(level, staged):
                 if isinstance(result, Exception):
                     raise MartFailed(f"mart {script.name} failed: {result}") from result
-                for publish in result:
-                    publish()
+                if result is not None:
+                    result()
         return [script.name for script in self.marts]
 
-    def _staged(self, script: Script, recent: DataFrame) -> list:
-        """Write a mart's new version; what puts it in force."""
+    def _staged(self, script: Script, recent: DataFrame) -> Callable | None:
+        """Write a mart's new version; what puts it in force, or None when there is nothing new."""
         if script.build is marts.daily:
             return self._staged_daily(script.name)
         inputs = ({name: self.mart(name) for name in script.inputs},) if script.inputs else ()
-        return [self._write(script.name, script.build(recent, self.layout, *inputs), {"digest": digest(script.build)})]
+        rows = marts.in_order(script.name, script.build(recent, self.layout, *inputs))
+        return self._write(script.name, rows, {"digest": digest(script.build)})
 
-    def _write(self, name: str, rows: DataFrame, facts: dict, removed: Sequence[str] = ()):
+    def _write(self, name: str, rows: DataFrame, facts: dict, removed: Sequence[str] = ()) -> Callable:
         held = self._published(name)
         load = held.new_load()
-        schema = T.StructType([f for f in rows.schema.fields if f.name != MONTH])
-        if held.part is None:
-            marts.in_order(name, rows).write.parquet(held.folder(load))
-        else:
-            rows.write.partitionBy(MONTH).parquet(held.folder(load))
-        facts = {**facts, "schema": json.dumps(schema.jsonValue())}
+        writer = rows.write if held.part is None else rows.withColumn(MONTH, F.date_format("day", "yyyy-MM")).write.partitionBy(MONTH)
+        writer.parquet(held.folder(load))
+        facts = {**facts, "schema": json.dumps(rows.schema.jsonValue())}
         return lambda: held.publish(load, removed, facts)
 
-    def _staged_daily(self, name: str) -> list:
-        """The daily mart and its state, from the rows that changed since; from all rows when that cannot be exact."""
+    def _staged_daily(self, name: str) -> Callable | None:
+        """The daily mart's state, from the rows that changed since; from all rows when that cannot be exact."""
         version = self.table.published.version()
-        states = self._published(marts.DAILY_STATE)
-        before = states.version()
-        current = self.definition()
-        facts = {"through": version.number, "digest": current}
-        built = self._published(name).version().facts
-        same = before.facts.get("digest") == current and built.get("digest") == current
-        # A mart that its state ran ahead of, because the driver was lost between the two, is built anew.
-        same = same and built.get("through") == before.facts.get("through")
+        held = self._published(name)
+        before = held.version()
+        facts = {"through": version.number, "digest": self.definition()}
+        same = before.facts.get("digest") == facts["digest"]
         if same and before.facts["through"] == version.number:
-            return []
+            return None
         feed = self.table.changes_since(before.facts["through"]) if same else None
         if feed is None:
             state, removed = marts.daily_state(self.table.read(version), self.layout), list(before.parts)
         else:
-            state, removed = self._folded_state(states, before, feed, version)
-        load = states.new_load()
-        month = F.date_format("day", "yyyy-MM").alias(MONTH)
-        state.select("*", month).write.partitionBy(MONTH).parquet(states.folder(load))
-        schema = T.StructType(state.schema.fields)
-        mart = marts.daily_of(states.rows_of(load, schema)).withColumn(MONTH, F.date_format("day", "yyyy-MM"))
-        publish = self._write(name, mart, facts, removed)
-        noted = {**facts, "schema": json.dumps(schema.jsonValue())}
-        return [lambda: states.publish(load, removed, noted), publish]
+            state, removed = self._folded_state(held, before, feed, version)
+        return self._write(name, state, facts, removed)
 
     def _folded_state(
         self, states: Published, before: Version, feed: DataFrame, version: Version

@@ -84,9 +84,10 @@ class Published:
 
     def read(
         self, schema: T.StructType, version: Version | None = None, wanted: Iterable[str] | None = None,
-        folder: str = "data",
+        folder: str = "data", source: str = "parquet",
     ) -> DataFrame:
-        """The rows of a version (the current one), of all parts or of ``wanted`` ones, with their part column.
+        """The rows of a version (the current one), of all parts or of ``wanted`` ones, with their part column. What
+        loads keep in another ``folder`` may be of another ``source`` format and hold the part as a plain column.
 
         Every folder is named in the plan: parts become partition filters, and folders of other loads are not listed.
         """
@@ -100,8 +101,8 @@ class Published:
             by_load.setdefault(load, []).append(part)
         root = f"{self.path}/{folder}"
         stored = T.StructType([*schema.fields, T.StructField(LOAD, T.StringType()), *([self.part] if self.part else [])])
-        rows = self.spark.read.schema(stored).option("basePath", root)
-        rows = rows.parquet(*[f"{root}/{LOAD}={load}" for load in sorted(by_load)])
+        rows = self.spark.read.format(source).schema(stored).option("basePath", root)
+        rows = rows.load([f"{root}/{LOAD}={load}" for load in sorted(by_load)])
         if self.part:
             kind = "DATE" if isinstance(self.part.dataType, T.DateType) else ""
             kept = [

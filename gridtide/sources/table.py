@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -18,6 +19,7 @@ from gridtide.sources.published import GRACE, Published, Version
 
 DAY = "utc_date"
 SYNOPSIS = "synopsis"
+_NUMBERS = ("rows", "observed", "newest_micros")
 _COUNTS = ("count_if(_change = 'inserted') AS inserted", "sum(_copies) AS sent")
 
 
@@ -81,7 +83,7 @@ class KeyedTable:
 
     def synopsis(self, version: Version | None = None) -> DataFrame:
         """Rows, observed rows and newest observed key per date and local day, as the loads left them."""
-        return self.published.read(synopsis.SCHEMA, version, folder=SYNOPSIS)
+        return self.published.read(synopsis.SCHEMA, version, folder=SYNOPSIS, source="json")
 
     def changes_since(self, number: int) -> DataFrame | None:
         """Inserted and updated rows of all loads after a version, with what they replaced, in order of ``_load``.
@@ -133,11 +135,14 @@ class KeyedTable:
         feed = merge.changes(self.read_days(touched, over), rows, self.keys, seq).selectExpr("*", day)
         # Rebalancing gives files of even size: a date holding most rows is split over tasks.
         feed.hint("rebalance", F.col(DAY)).write.partitionBy(DAY).parquet(self.published.folder(load))
-        told = synopsis.synopsis(self.published.rows_of(load, self.feed), self.time, DAY, self.seen, *_COUNTS)
-        kept = self.published.folder(load, SYNOPSIS)
-        told.repartition(1).write.partitionBy(DAY).parquet(kept)  # a few rows for each date
-        told = self.spark.read.schema(f"inserted bigint, sent bigint, {DAY} date").parquet(kept)
-        inserted, sent = told.agg(F.sum("inserted"), F.sum("sent")).first()
+        told = synopsis.synopsis(self.published.rows_of(load, self.feed), self.time, DAY, self.seen, *_COUNTS).collect()
+        # At most three rows for each date of the batch: bounded by the calendar, so a small file holds them.
+        lines = [
+            json.dumps({name: row[name] if name in _NUMBERS else row[name].isoformat() for name in (DAY, *synopsis.SCHEMA.names)})
+            for row in told
+        ]
+        scratch.write_text(self.spark, f"{self.published.folder(load, SYNOPSIS)}/part.json", "\n".join(lines))
+        inserted, sent = (sum(row[name] for row in told) for name in ("inserted", "sent"))
         self._publish(self.published.draft(load, over=over))
         return Loaded(inserted, sent - inserted, tuple(touched))
 

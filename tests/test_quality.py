@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from records import BASE, at, frame, parsed, quarters, record, stored
 
@@ -238,3 +239,19 @@ def test_one_digit_text_rounds_like_the_report(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     got = df.selectExpr("v", f"{text.one_digit('v')} AS t").collect()
     assert {row["v"]: row["t"] for row in got} == {v: f"{v:.1f}" for v in values}
+
+
+def test_a_write_observes_the_facts_of_the_gate(spark, tmp_path):
+    """The facts that a write notes are those of a second read, also when only part of the rows count."""
+    records = [record(BASE, gaz=-1), record(BASE + timedelta(minutes=7)), *quarters(BASE + timedelta(hours=1), 4, consommation=None)]
+    records += [{"date_heure": None}, record(BASE, consommation=10**6)]
+    rows = parsed(spark, records).withColumn("problem", F.expr("CASE WHEN seq % 5 = 4 THEN 'broken' END"))
+    for every in ("true", "problem IS NULL"):
+        noted = Observation()
+        quality.observe_batch(rows, noted, every=every).write.parquet(str(tmp_path / every.split()[0]))
+        seen = quality.observed_facts(rows, noted, every=every)
+        again = rows.where(every).agg(*[F.expr(fact) for fact in quality.batch_facts(rows)])
+        assert seen.schema == again.schema and seen.collect() == again.collect()
+    kept = rows.where("problem IS NULL").drop("problem")
+    facts = kept.agg(*[F.expr(fact) for fact in quality.batch_facts(kept)])
+    assert quality.batch_checks(kept, facts=facts).collect() == quality.batch_checks(kept).collect()
