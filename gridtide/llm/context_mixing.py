@@ -15,7 +15,7 @@ refined by corrections for each range of its log odds, which are learned from th
 scored side by side, but none learns from another, so a score does not depend on how rows are dealt to tasks.
 
 **Base.** A unigram model of tokens with additive smoothing. Counts of all training tokens are a table;
-the `HEAD` most frequent tokens (of at most `HEAD_BYTES` bytes each) are broadcast, and the rest of a text's tokens, distinct ones with
+up to `HEAD` of the most frequent tokens (of at most `HEAD_BYTES` bytes each) are broadcast, and the rest of a text's tokens, distinct ones with
 their numbers, meet the table in a join.
 
 Defined cases. Null text counts as empty: no words, one end. Rows are texts of their own, also those that repeat others. A
@@ -44,6 +44,7 @@ BLOCK_ROWS = 1 << 12
 PREDICTORS = len(ORDERS) + 1
 TABLE_BYTES = PREDICTORS << ROW_BITS + 4
 HEAD, HEAD_BYTES = 1 << 16, 64
+STEPS = 16  # of a token's count for each doubling
 END, SYMBOLS = 256, 257
 PRIOR = 0.4  # added to the counts of both sides of a decision
 ODDS = 16  # log odds are stored in sixteenths, up to about 8
@@ -475,7 +476,15 @@ class Model:
     def __init__(self, corpus: DataFrame, blocks: DataFrame, code: Code, head: int, head_bytes: int):
         spark = corpus.sparkSession
         short = corpus.where(F.col("token").isNotNull() & (F.octet_length("token") <= head_bytes))
-        frequent = short.orderBy(F.desc("n"), "token").limit(head).select("token", "n").collect()
+        # By steps of count, as many of the largest as hold no more than `head` tokens: a top-k would send that many from every task.
+        step = F.floor(F.log2("n") * STEPS).cast("int")
+        held, least = 0, 0
+        for row in sorted(short.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
+            held, least = held + row["n"], row["step"]
+            if held > head:
+                least += 1
+                break
+        frequent = short.where(step >= least).select("token", "n").orderBy("token").collect() if head else []
         tables = [np.zeros(CELLS << ROW_BITS, np.int8) for _ in range(PREDICTORS)]
         for row in blocks.collect():  # TABLE_BYTES at most
             at = row["block"] * BLOCK_ROWS * CELLS
