@@ -181,7 +181,16 @@ class Store:
             state, removed = marts.daily_state(self.table.read(version), self.layout), list(before.parts)
         else:
             state, removed = self._folded_state(held, before, feed, version)
-        return self._write(name, state, facts, removed)
+        publish = self._write(name, state, facts, removed)
+
+        def finish() -> None:
+            publish()
+            scratch.delete(self.spark, self._delta_path(version))
+
+        return finish
+
+    def _delta_path(self, version: Version) -> str:
+        return f"{self.base}/staging/delta-{version.number}"
 
     def _folded_state(
         self, states: Published, before: Version, feed: DataFrame, version: Version
@@ -190,7 +199,7 @@ class Store:
         whose largest value may have gone."""
         schema = T.StructType.fromJson(json.loads(before.facts["schema"]))
         delta = marts.daily_delta(feed, self.layout)
-        path = f"{self.base}/staging/delta-{version.number}"
+        path = self._delta_path(version)
         delta.write.mode("overwrite").parquet(path)
         delta = self.spark.read.schema(delta.schema).parquet(path)
         months = [row[0] for row in delta.select(F.date_format("day", "yyyy-MM")).distinct().collect()]

@@ -187,9 +187,9 @@ class Published:
         dropped = set()
         for folder in folders:
             for name in scratch.children(self.spark, f"{self.path}/{folder}"):
-                load = name.partition("=")[2]
+                load = name.partition("=")[2] or name
                 place = f"{self.path}/{folder}/{name}"
-                if load and load not in named and scratch.modified(self.spark, place) <= before:
+                if load not in named and scratch.modified(self.spark, place) <= before:
                     scratch.delete(self.spark, place)
                     dropped.add(load)
         return sorted(dropped)

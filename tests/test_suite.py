@@ -14,7 +14,10 @@ from tools_check import TABLES, compare
 
 SF_DIR = "/root/testdata/sf0.001"
 # Whole-cycle queries whose flows test_cycle and test_table already cover; tools_check runs them too.
-COVERED = {"run_cycle", "incremental_outcomes", "mart_daily_incremental", "upsert_table_counts"}
+COVERED = {
+    "run_cycle", "incremental_outcomes", "incremental_two_runs", "mart_daily_incremental", "read_mix", "raw_schema",
+    "event_stream", "upsert_table_counts",
+}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="benchmark tables not present")
 
