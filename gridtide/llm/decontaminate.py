@@ -113,6 +113,8 @@ def contamination(
             id_col, "__text", "n_words", F.expr(COVERED).alias("n_hit"), F.expr(SPANS).alias("spans"),
             F.explode_outer(F.expr("array_distinct(hits.gram)")).alias("gram"),
         )
+        # Rows without a hit meet no owner; by keys of their own, which no window begins with, they are dealt evenly.
+        counted = counted.withColumn("gram", F.coalesce("gram", F.concat(F.lit(" "), F.col("__text").cast("string"))))
         owners = grams.groupBy("gram").agg(F.collect_set("item").alias("of"))
         named = counted.join(owners, "gram", "left")
         result = named.groupBy(id_col, "__text", "n_words", "n_hit", "spans").agg(
