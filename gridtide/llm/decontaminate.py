@@ -102,6 +102,8 @@ def contamination(
     scan = docs.select(F.col(id_col), text_key(F.col(text_col)).alias("__text"), words(F.col(text_col)).alias("w"))
     scan = scan.withColumn("n_words", F.size("w").cast("long"))
     empty = "cast(array() AS array<struct<at: int, size: int, gram: string>>)"
+    # Rows without a hit meet no owner; by keys of their own, which no window begins with, they are dealt evenly.
+    dealt = F.coalesce("gram", F.concat(F.lit(" "), F.col("__text").cast("string")))
     if inline:
         found = [
             f"CASE WHEN size(w) >= {n} THEN {_hits(n, [r for r in known if r['size'] == n], True)} ELSE {empty} END"
@@ -113,8 +115,7 @@ def contamination(
             id_col, "__text", "n_words", F.expr(COVERED).alias("n_hit"), F.expr(SPANS).alias("spans"),
             F.explode_outer(F.expr("array_distinct(hits.gram)")).alias("gram"),
         )
-        # Rows without a hit meet no owner; by keys of their own, which no window begins with, they are dealt evenly.
-        counted = counted.withColumn("gram", F.coalesce("gram", F.concat(F.lit(" "), F.col("__text").cast("string"))))
+        counted = counted.withColumn("gram", dealt)
         owners = grams.groupBy("gram").agg(F.collect_set("item").alias("of"))
         named = counted.join(owners, "gram", "left")
         result = named.groupBy(id_col, "__text", "n_words", "n_hit", "spans").agg(
@@ -126,6 +127,7 @@ def contamination(
             for n in sorted(sizes)
         ]
         windows = scan.select(id_col, "__text", "n_words", F.inline_outer(F.expr(f"concat({', '.join(found)})")))
+        windows = windows.withColumn("gram", dealt)
         owners = grams.groupBy("gram").agg(F.collect_set("item").alias("of"))
         named = windows.join(owners, "gram", "left")
         result = (
