@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridtide.bindings.tables import (
@@ -696,13 +696,17 @@ def _land(spark, sf_dir, folder, where="true", name="landed", rows=None, layout=
     first, last = rows.where(where).agg(F.min("date_heure"), F.max("date_heure")).first()
     bounds = (moment.replace(tzinfo=timezone.utc) for moment in (first, last + timedelta(minutes=15)))
     records = cycle.table_source(rows.where(where), layout)(*bounds)
-    listed = F.array_sort(F.collect_list(F.struct("seq", "record")))
-    payloads = records.groupBy(F.expr("date_from_unix_date(CAST(seq div 86400000000 AS int))").alias("day")).agg(
+    dated = records.withColumn("day", F.expr("date_from_unix_date(CAST(seq div 86400000000 AS int))"))
+    # A day's file is written by one task, which sorts with spilling and holds no more than a record.
+    in_day = Window.partitionBy("day").orderBy("seq", "record")
+    lines = dated.withColumns({"number": F.row_number().over(in_day), "next": F.lead("seq").over(in_day)}).select(
+        "day", "seq", "record",
         F.concat(
-            F.lit("["), F.array_join(F.transform(listed, lambda r: r["record"]), ","), F.lit("]")
-        ).alias("value")
+            F.when(F.col("number") == 1, "[").otherwise(","), "record", F.when(F.col("next").isNull(), "]").otherwise("")
+        ).alias("value"),
     )
-    payloads.write.mode("append").partitionBy("day").text(f"{folder}/{name}")
+    ordered = lines.sortWithinPartitions("day", "seq", "record").select("day", "value")
+    ordered.write.mode("append").partitionBy("day").text(f"{folder}/{name}")
 
 
 def _follow(spark, folder, layout=GRID):

@@ -17,7 +17,7 @@ from gridtide.operators.marts import MARTS
 from gridtide.operators.script import Script
 from gridtide.plans.cycle import RunOutcome, load_batch
 from gridtide.plans.store import Store
-from gridtide.sources import landing, scratch
+from gridtide.sources import landing, scratch, split
 from gridtide.sources.table import KeyedTable
 
 PAGE = 10_000  # paths of refused files that the driver holds at once
@@ -61,7 +61,7 @@ def stream_cycle(
     on_outcome: Callable[[RunOutcome], None] | None = None,
     scripts: Sequence[Script | tuple] = MARTS,
 ) -> StreamingQuery:
-    """The whole cycle per landed export file (or per ``files_per_batch`` of them).
+    """The whole cycle per landed export file (or per ``files_per_batch`` of them), each read by byte ranges.
 
     A run is known by the stream, whose id is kept beside the checkpoint, and its micro-batch: one
     replayed after a crash goes on under its run id, or is skipped if its run had finished. Broken files are
@@ -73,36 +73,33 @@ def stream_cycle(
     store.recover()
     stream_id = _stream_id(spark, checkpoint)
 
-    def load(payloads: DataFrame, batch_id: int | None) -> None:
+    def load(scanned: DataFrame, batch_id: int | None) -> None:
         opened = store.start_run(now(), None, None, stream_id, batch_id)
-        records = landing.explode_records(landing.triage(payloads))
+        cut = f"{store.base}/staging/cut={opened['run_id']}"
         try:
+            records = split.records_of(spark, scanned, cut)
             outcome = load_batch(store, records, opened, now(), params, time.monotonic(), by_file=True)
         except Exception as problem:
             store.finish_run(opened, "error", error=str(problem))
             if not isinstance(problem, landing.PayloadError):
                 raise
             return
+        finally:
+            scratch.delete(spark, cut)
         if on_outcome is not None:
             on_outcome(outcome)
 
-    def step(payloads: DataFrame, batch_id: int) -> None:
+    def step(scanned: DataFrame, batch_id: int) -> None:
         mine = (F.col("stream") == stream_id) & (F.col("batch_id") == batch_id) & (F.col("event_seq") > 0)
         if store.events().where(mine).isEmpty():
-            load(payloads, batch_id)
+            load(scanned, batch_id)
 
     for paths in _grouped(store.refused(), files_per_batch):
         there = [path for path in paths if scratch.exists(spark, path)]
         if there:
-            load(landing.read_export_files(spark, there), None)
-
-    stream = (
-        spark.readStream.format("text")
-        .option("wholetext", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .load(landed)
-        .select(F.col("_metadata.file_path").alias("origin"), F.col("value").alias("payload"))
-    )
+            load(split.scan(spark.read, there), None)
+
+    stream = split.scan(spark.readStream.option("maxFilesPerTrigger", files_per_batch), landed)
     return _drain(stream, step, checkpoint)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import json
 import os
 from datetime import timedelta
@@ -167,6 +168,24 @@ def test_split_arrays_read_like_whole_files(spark, tmp_path, size):
     assert got == [row for row in want if row[0] != "empty"]
 
 
+def test_split_reads_compressed_files(spark, tmp_path):
+    payloads = {
+        "array": '[{"a": "[b", "c": "d}"}, {"a": "]", "c": 1}, {"a": "x\\\\"}]',
+        "object": '{"message": "down", "more": {"x": 1}}',
+        "open": '{"message": "down", "more": {"x": 1}',
+        "cut": '[{"a": 1}, {"b": 2}',
+    }
+    for name, text in payloads.items():
+        (tmp_path / f"{name}.json.gz").write_bytes(gzip.compress(text.encode()))
+
+    def found(rows):
+        return [tuple(row) for row in rows.orderBy("seq.origin", "seq.pos").select("seq.origin", "record", "problem").collect()]
+
+    got = found(split.split_records(spark, str(tmp_path / "*.gz")))
+    assert got == found(landing.export_records(spark, str(tmp_path / "*.gz")))
+    assert {row[2] for row in got} == {None, "API error: down", "invalid JSON"}
+
+
 def test_index_opens_only_files_of_the_window(spark, tmp_path):
     landed = tmp_path / "landed"
     landed.mkdir()

@@ -4,6 +4,7 @@ import json
 import os
 from datetime import timedelta
 
+from pyspark.sql import functions as F
 from records import at, quarters
 
 from gridtide.plans.store import Store
@@ -76,6 +77,31 @@ def test_one_broken_file_costs_no_other(spark, tmp_path):
     assert [row["origin"][-6:] for row in store.refused().collect()] == ["2.json"]
 
 
+def test_a_large_file_is_spread_over_tasks(spark, tmp_path, monkeypatch):
+    """A file of several byte ranges is neither read nor parsed whole by one task."""
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    land(landed, "1.json", quarters(NOW - timedelta(days=1), 96), 1)
+    tasks, load = [], follow.load_batch
+
+    def noted(store, records, *rest, **options):
+        tasks.append(records.select(F.spark_partition_id()).distinct().count())
+        return load(store, records, *rest, **options)
+
+    monkeypatch.setattr(follow, "load_batch", noted)
+    settings = {"spark.sql.files.maxPartitionBytes": "8k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        _, store = follow_files(spark, tmp_path)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert store.raw().count() == 96 and tasks[0] > 1
+    # What the run cut and staged is gone.
+    assert os.listdir(tmp_path / "store" / "staging") == []
+
+
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     landed = tmp_path / "landed"
     landed.mkdir()
